@@ -5,8 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from corpusloom.llm.cap import cap_contributors
 from corpusloom.llm.neardup import near_duplicate_groups, near_duplicate_pairs
+from corpusloom.llm.overlap import cross_split_pairs, cross_split_report
+from corpusloom.llm.people import name_node, person_keys, persons
+from corpusloom.llm.splits import assign_splits, code_node, together
+from corpusloom.session import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -33,3 +39,46 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def p5_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(table(spark, sf_dir, "strategies"), "row_id", TEXTS, **NEARLY)
+
+
+@query
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = cross_split_pairs(table(spark, sf_dir, "strategies"), "row_id", TEXTS, "split", **NEARLY)
+    return pairs.select(F.least("train_record", "held_record").alias("row_a"), F.greatest("train_record", "held_record").alias("row_b"))
+
+
+@query
+def p2_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_split_report(table(spark, sf_dir, "strategies"), "row_id", TEXTS, "split", "source_url", **NEARLY)
+
+
+@query
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "strategies").select("row_id", person_keys().alias("keys"), F.coalesce(F.nullif("likes_count", F.lit(0)), "preview_likes_count", F.lit(0)).alias("likes"))
+    rows = stored(rows, "likes")
+    first = persons(rows).withColumnRenamed("node", "key")
+    who = rows.select("row_id", "likes", F.get("keys", F.lit(0)).alias("key")).join(first, "key", "left").select("row_id", "likes", F.col("root").alias("who"))
+    return cap_contributors(who, "who", "likes", "row_id", max_share=0.02).where("not kept").select(F.col("record").alias("row_id"))
+
+
+def _related(spark: SparkSession, sf_dir: str) -> DataFrame:
+    node = code_node("source_code")
+    keys = F.concat(person_keys(), F.when(node.isNull(), F.array().cast("array<string>")).otherwise(F.array(node)))
+    return table(spark, sf_dir, "strategies").select("row_id", "author", keys.alias("keys"))
+
+
+PARTS = {"train": 0.8, "validation": 0.1, "test": 0.1}
+
+
+@query
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _related(spark, sf_dir)
+    _, state = assign_splits(rows, "row_id", "keys", PARTS)
+    names = rows.where("author <> ''").select("author").distinct().select(F.col("author").alias("value"), name_node("author").alias("node"))
+    return together(names, state).select(F.col("a").alias("author_a"), F.col("b").alias("author_b"))
+
+
+@query
+def p4_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, _ = assign_splits(_related(spark, sf_dir), "row_id", "keys", PARTS)
+    return assigned.select(F.col("record").alias("row_id"), "split")
