@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.llm.bpe import count_tokens, encode
 from corpusloom.llm.cap import cap_contributors
 from corpusloom.llm.neardup import near_duplicate_groups, near_duplicate_pairs
 from corpusloom.llm.overlap import cross_split_pairs, cross_split_report
+from corpusloom.llm.packing import pack
+from corpusloom.llm.pairs import DEFECTS, broken_pairs
 from corpusloom.llm.people import name_node, person_keys, persons
 from corpusloom.llm.splits import assign_splits, code_node, together
 from corpusloom.session import stored
@@ -82,3 +85,45 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p4_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     assigned, _ = assign_splits(_related(spark, sf_dir), "row_id", "keys", PARTS)
     return assigned.select(F.col("record").alias("row_id"), "split")
+
+
+def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = table(spark, sf_dir, "script_pairs").select(F.lit("script_pairs").alias("table_name"), F.col("pair_id").alias("row_key"), F.col("input").alias("question"), F.col("output").alias("answer"))
+    segments = table(spark, sf_dir, "segments").select(F.lit("segments"), "segment_id", "input", "output")
+    tried = table(spark, sf_dir, "processing_states").where("conversion_attempts is null or conversion_attempts <> 0")
+    return pairs.union(segments).union(tried.select(F.lit("processing_states"), "state_id", "raw_data.source_code", "converted_code"))
+
+
+@query
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keyed = _answers(spark, sf_dir).select(F.struct("table_name", "row_key").alias("key"), "question", "answer")
+    return broken_pairs(keyed, "key", "question", "answer").select("key.table_name", "key.row_key", "defect")
+
+
+@query
+def p1_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers, and those with each defect, by table."""
+    every = _answers(spark, sf_dir).groupBy("table_name").agg(F.count("*").alias("answers"))
+    broken = p1_found(spark, sf_dir).groupBy("table_name").pivot("defect", list(DEFECTS)).count().na.fill(0)
+    return every.join(broken, "table_name", "left").na.fill(0)
+
+
+@query
+def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+#: Tokens of a training sequence.
+CAPACITY = 2048
+
+
+@query
+def p7_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(count_tokens(table(spark, sf_dir, "documents"), "doc_id", "text"), "doc_id", "n_tokens", CAPACITY)
+
+
+@query
+def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences, the tokens in them and the share of their room that is used."""
+    used = p7_packed(spark, sf_dir).where("sequence is not null").groupBy("sequence").agg(F.sum("length").alias("used"))
+    return used.agg(F.count("*").alias("sequences"), F.sum("used").alias("tokens"), (F.sum("used") / (F.count("*") * CAPACITY)).alias("fill"))
