@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm import words as W
@@ -29,7 +29,7 @@ from corpusloom.llm.reduce import keep_ids
 from corpusloom.session import stored
 
 SYMBOLS = 5
-_FEATURES = "tid long, field int, c1 long, c2 long, low binary, high binary"
+_FEATURES = "tid long, field int, held boolean, c1 long, c2 long, n int, low binary, high binary"
 
 
 def segments_for(threshold: float, miss: float = 0.0015) -> int:
@@ -47,14 +47,13 @@ def _multipliers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return base[:n] | np.uint64(1), base[n:]
 
 
-def _features(id_col: str, text_cols: list[str], k: int, symbols: int, min_words: int):
+def _features(n_cols: int, k: int, symbols: int, min_words: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher, (a, b) = W.WordHasher(), _multipliers(symbols)
         for batch in batches:
             rows = []
-            ids = batch[id_col].to_numpy()
-            for field, col in enumerate(text_cols):
-                for i, text in zip(ids, batch[col]):
+            for field in range(n_cols):
+                for i, held, text in zip(batch["id"], batch["held"], batch[f"t{field}"]):
                     ws = W.words(text)
                     if len(ws) < max(min_words, k):
                         continue
@@ -63,8 +62,8 @@ def _features(id_col: str, text_cols: list[str], k: int, symbols: int, min_words
                     for at in range(0, len(runs), 4096):  # bounded memory for very long texts
                         low = np.minimum(low, (runs[at : at + 4096, None] * a[None, :] + b[None, :]).min(axis=0))
                     sig = (W.mixed(low) >> np.uint64(48)).astype(np.uint16)
-                    rows.append((int(i) * len(text_cols) + field, field, *W.content_hash(ws), (sig & 255).astype(np.uint8).tobytes(), (sig >> 8).astype(np.uint8).tobytes()))
-            yield pd.DataFrame(rows, columns=["tid", "field", "c1", "c2", "low", "high"])
+                    rows.append((int(i) * n_cols + field, field, bool(held), *W.content_hash(ws), len(ws), (sig & 255).astype(np.uint8).tobytes(), (sig >> 8).astype(np.uint8).tobytes()))
+            yield pd.DataFrame(rows, columns=["tid", "field", "held", "c1", "c2", "n", "low", "high"])
 
     return run
 
@@ -99,13 +98,13 @@ def _agree(least: int):
     return agree
 
 
-def _run_sets(id_col: str, text_cols: list[str], k: int):
+def _run_sets(k: int):
     """Rows of texts asked for by a pair -> the pair and the text's distinct runs."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = W.WordHasher()
         for batch in batches:
-            sets = [np.unique(W.run_hashes(hasher(W.words(t)), k)).tobytes() for t in batch["__text"]]
+            sets = [np.unique(W.run_hashes(hasher(W.words(t)), k)).tobytes() for t in batch["text"]]
             yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "tid": batch["tid"], "runs": sets})
 
     return run
@@ -123,8 +122,51 @@ def _checked(threshold: float):
     return check
 
 
+def sources(df: DataFrame, id_col: str, text_cols: list[str], held: Column | None = None) -> DataFrame:
+    """(id, held, t0, t1, ...): the columns that are read, under names that can't clash."""
+    texts = [F.col(c).cast("string").alias(f"t{i}") for i, c in enumerate(text_cols)]
+    return df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), (F.lit(False) if held is None else held).alias("held"), *texts)
+
+
+def texts_of(src: DataFrame, n: int, wanted: DataFrame) -> DataFrame:
+    """(tid, text) of the wanted texts, and of few others: a bitmap drops most of the rest before the shuffle."""
+    each = [F.struct((F.col("id") * n + i).alias("tid"), F.col(f"t{i}").alias("text")) for i in range(n)]
+    texts = src.select(F.explode(F.array(*each)).alias("t")).select("t.*").where("text is not null")
+    return keep_ids(texts, "tid", wanted).dropDuplicates(["tid"])
+
+
+def text_classes(src: DataFrame, n: int, *, k: int, threshold: float, min_words: int) -> tuple[DataFrame, DataFrame]:
+    """``(members, reps)``: members (record, field, held, cls), reps (cls, field, held, n, low, high) with the signature of each
+    class of identical texts. ``held`` and other texts have classes of their own."""
+    same = ["field", "held", "c1", "c2"]
+    features = stored(src.mapInPandas(_features(n, k, segments_for(threshold) * SYMBOLS, min_words), _FEATURES), "features")
+    classes = features.groupBy(*same).agg(F.min("tid").alias("cls"))
+    members = features.join(classes, same).select(F.expr(f"(tid - field) div {n}").alias("record"), "field", "held", "cls").distinct()
+    firsts = [F.first(c).alias(c) for c in ("n", "low", "high")]  # equal in a class
+    return members, stored(features.groupBy(*same).agg(F.min("tid").alias("cls"), *firsts).drop("c1", "c2"), "classes")
+
+
+def likely_pairs(reps: DataFrame, threshold: float, across: bool = False) -> DataFrame:
+    """(a, b): classes that share a variant of a segment and agree in enough symbols; ``across``: only pairs of a class that
+    isn't held (a) and one that is (b), otherwise a < b."""
+    segments = segments_for(threshold)
+    keys = lambda x: x.mapInPandas(_variant_keys(segments), "key long, cls long")
+    if across:
+        x, y, also = keys(reps.where("not held")), keys(reps.where("held")), ""
+    else:
+        x, y, also = keys(reps), keys(reps), " and x.cls < y.cls"
+    met = x.alias("x").join(y.alias("y"), F.expr("x.key = y.key" + also)).select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
+    sketch = reps.select("cls", "low")
+    return (
+        met.join(sketch.select(F.col("cls").alias("a"), F.col("low").alias("low_a")), "a")
+        .join(sketch.select(F.col("cls").alias("b"), F.col("low").alias("low_b")), "b")
+        .where(_agree(_agreement(threshold, segments * SYMBOLS))("low_a", "low_b"))
+        .select("a", "b")
+    )
+
+
 def near_duplicate_links(df: DataFrame, id_col: str, text_cols: list[str], *, k: int = 5, threshold: float = 0.8, min_words: int = 1) -> tuple[DataFrame, DataFrame]:
-    """``(members, links)``: members (record, field, cls) has each record's class of identical texts (by words) in each text
+    """``(members, links)``: members (record, field, held, cls) has each record's class of identical texts (by words) in each text
     column, links (field, cls_a, cls_b, similarity) the pairs of classes whose similarity is at least ``threshold``.
     A class is named by ``min(record) * len(text_cols) + field``.
 
@@ -132,28 +174,11 @@ def near_duplicate_links(df: DataFrame, id_col: str, text_cols: list[str], *, k:
     (under ``min_words`` or ``k`` words) have no class. Other columns are not read.
     """
     n = len(text_cols)
-    segments = segments_for(threshold)
-    symbols = segments * SYMBOLS
-    src = df.select(F.col(id_col).cast("long").alias("__id"), *[F.col(c).cast("string").alias(f"__t{i}") for i, c in enumerate(text_cols)]).where("__id is not null")
-    cols = [f"__t{i}" for i in range(n)]
-    features = stored(src.mapInPandas(_features("__id", cols, k, symbols, min_words), _FEATURES), "features")
-    classes = features.groupBy("field", "c1", "c2").agg(F.min("tid").alias("cls"))
-    members = features.join(classes, ["field", "c1", "c2"]).select(F.expr(f"(tid - field) div {n}").alias("record"), "field", "cls").distinct()
-    reps = stored(features.groupBy("field", "c1", "c2").agg(F.min("tid").alias("cls"), F.first("low").alias("low"), F.first("high").alias("high")).drop("c1", "c2"), "classes")
-    keys = reps.mapInPandas(_variant_keys(segments), "key long, cls long")
-    met = keys.alias("x").join(keys.alias("y"), F.expr("x.key = y.key and x.cls < y.cls")).select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
-    sketch = reps.select("cls", "low")
-    likely = (
-        met.join(sketch.select(F.col("cls").alias("a"), F.col("low").alias("low_a")), "a")
-        .join(sketch.select(F.col("cls").alias("b"), F.col("low").alias("low_b")), "b")
-        .where(_agree(_agreement(threshold, symbols))("low_a", "low_b"))
-        .select("a", "b")
-    )
-    likely = stored(likely, "candidates")
+    src = sources(df, id_col, text_cols)
+    members, reps = text_classes(src, n, k=k, threshold=threshold, min_words=min_words)
+    likely = stored(likely_pairs(reps, threshold), "candidates")
     wanted = likely.select("a", "b", F.explode(F.array("a", "b")).alias("tid"))
-    texts = src.select(F.explode(F.array(*[F.struct((F.col("__id") * n + i).alias("tid"), F.col(c).alias("__text")) for i, c in enumerate(cols)])).alias("t")).select("t.*").where("__text is not null")
-    texts = keep_ids(texts, "tid", wanted.select("tid")).dropDuplicates(["tid"])
-    sets = wanted.join(texts, "tid").mapInPandas(_run_sets("tid", cols, k), "a long, b long, tid long, runs binary")
+    sets = wanted.join(texts_of(src, n, wanted.select("tid")), "tid").mapInPandas(_run_sets(k), "a long, b long, tid long, runs binary")
     pairs = sets.groupBy("a", "b").agg(F.collect_list("runs").alias("sets")).select("a", "b", _checked(threshold)("sets").alias("similarity"))
     links = pairs.where(F.col("similarity") >= threshold).select(F.expr(f"cast(a % {n} as int)").alias("field"), F.col("a").alias("cls_a"), F.col("b").alias("cls_b"), "similarity")
     return members, links

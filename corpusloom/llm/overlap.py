@@ -6,14 +6,14 @@ shares at least t of a training text's distinct runs, so one of its (1 - t) rare
 only these are located. From each hit the match is extended to a maximal one, spans are merged, and the exact similarity
 decides. So the index loses nothing, and common phrases cost nothing.
 
-A training text is sent only to the shards that share one of its anchors: the smallest hashes of runs of ``ANCHOR`` words
-within every ``WINDOW`` of them. Texts with a common stretch of ``ANCHOR + WINDOW - 1`` = 11 words share an anchor for sure.
+A training text is sent only to the shards that hold a text with a similar signature (one that agrees in all but one of five
+symbols of a segment, see ``neardup``), so that the work grows with the texts and not with texts times shards. What is found
+there is up to the index alone: all texts of the shard are searched.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -22,42 +22,14 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import words as W
 from corpusloom.llm.fmindex import FmIndex
-from corpusloom.llm.reduce import keep_ids
+from corpusloom.llm.neardup import likely_pairs, sources, text_classes, texts_of
 from corpusloom.session import stored
 
-ANCHOR, WINDOW = 6, 6
 #: Words of evaluation text in one index, and training texts streamed through one load of it.
 SHARD_WORDS, CHUNK = 1_000_000, 8_000
-_FEATURES = "tid long, field int, eval boolean, c1 long, c2 long, n int, anchors array<long>"
 _MATCHES = "train long, held long, similarity double, spans int, longest int, covered int"
 
 
-def anchors(hashed: np.ndarray) -> np.ndarray:
-    """Distinct minimal hashes of the windows of consecutive runs; of all runs if there are fewer than a window."""
-    runs = W.run_hashes(hashed, min(ANCHOR, len(hashed)))
-    if len(runs) <= WINDOW:
-        return runs.min(keepdims=True) if len(runs) else runs
-    low = runs[: len(runs) - WINDOW + 1].copy()
-    for i in range(1, WINDOW):
-        np.minimum(low, runs[i : len(runs) - WINDOW + 1 + i], out=low)
-    return np.unique(low)
-
-
-def _features(n_cols: int, k: int, min_words: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher = W.WordHasher()
-        for batch in batches:
-            rows = []
-            for field in range(n_cols):
-                for i, held, text in zip(batch["id"], batch["eval"], batch[f"t{field}"]):
-                    ws = W.words(text)
-                    if len(ws) >= max(min_words, k):
-                        rows.append((int(i) * n_cols + field, field, bool(held), *W.content_hash(ws), len(ws), anchors(hasher(ws)).view(np.int64)))
-            yield pd.DataFrame(rows, columns=["tid", "field", "eval", "c1", "c2", "n", "anchors"])
-
-    return run
-
-
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for lo, hi in sorted(spans):
@@ -140,13 +112,13 @@ def matches(held: list[np.ndarray], train: list[np.ndarray], k: int, threshold:
 def _search(k: int, threshold: float):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         hasher = W.WordHasher()
-        held, train = group[group["eval"]], group[~group["eval"]]
+        held, train = group[group["held"]], group[~group["held"]]
         found = []
-        names, texts = held["cls"].to_numpy(), [hasher(W.words(t)) for t in held["text"]]
+        names, texts = held["tid"].to_numpy(), [hasher(W.words(t)) for t in held["text"]]
         for field in sorted(set(held["field"])):
             at = np.flatnonzero((held["field"] == field).to_numpy())
             mine = train[train["field"] == field]
-            own = mine["cls"].to_numpy()
+            own = mine["tid"].to_numpy()
             for m in matches([texts[i] for i in at], [hasher(W.words(t)) for t in mine["text"]], k, threshold):
                 found.append((own[m[0]], names[at[m[1]]], *m[2:]))
         return pd.DataFrame(found, columns=["train", "held", "similarity", "spans", "longest", "covered"])
@@ -155,33 +127,27 @@ def _search(k: int, threshold: float):
 
 
 def cross_split_matches(df: DataFrame, id_col: str, text_cols: list[str], split: str, *, train: str = "train", held_out: tuple[str, ...] = ("val", "test"), k: int = 5, threshold: float = 0.8, min_words: int = 1) -> tuple[DataFrame, DataFrame]:
-    """``(members, found)``: members (record, field, eval, cls) gives each record's class of identical texts, apart for training
+    """``(members, found)``: members (record, field, held, cls) gives each record's class of identical texts, apart for training
     and evaluation records; found (train, held, similarity, spans, longest, covered) the pairs of classes that are nearly the
     same, identical texts included. See ``cross_split_pairs`` for the arguments and special cases."""
-    spark, n = df.sparkSession, len(text_cols)
-    src = df.where(F.col(split).isin(train, *held_out) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), (F.col(split) != train).alias("eval"), *[F.col(c).cast("string").alias(f"t{i}") for i, c in enumerate(text_cols)])
-    features = stored(src.mapInPandas(_features(n, k, min_words), _FEATURES), "overlap-features")
-    classes = stored(features.groupBy("eval", "field", "c1", "c2").agg(F.min("tid").alias("cls"), F.first("n").alias("n"), F.first("anchors").alias("anchors")), "overlap-classes")
-    members = features.select("tid", "eval", "field", "c1", "c2").join(classes.select("eval", "field", "c1", "c2", "cls"), ["eval", "field", "c1", "c2"]).select(F.expr(f"(tid - field) div {n}").alias("record"), "field", "eval", "cls").distinct()
-    held = classes.where("eval")
+    n = len(text_cols)
+    src = sources(df.where(F.col(split).isin(train, *held_out)), id_col, text_cols, F.col(split) != train)
+    members, classes = text_classes(src, n, k=k, threshold=threshold, min_words=min_words)
+    held = classes.where("held")
     shards = max(1, math.ceil((held.agg(F.sum("n")).first()[0] or 0) / SHARD_WORDS))
-    shard = F.pmod(F.xxhash64("cls"), F.lit(shards)).cast("int").alias("shard")
-    keyed = F.explode("anchors").alias("anchor")
-    there = held.select(shard, "field", keyed).distinct()
-    routes = stored(classes.where("not eval").select("cls", "field", keyed).join(there, ["field", "anchor"]).select("cls", "field", "shard").distinct(), "routes")
-    load = routes.groupBy("shard").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
-    sent = routes.join(F.broadcast(load), "shard").select("cls", "field", "shard", F.pmod(F.xxhash64("cls", F.lit(7)), F.col("chunks")).cast("int").alias("chunk"), F.lit(False).alias("eval"))
-    indexed = held.select("cls", "field", shard).join(F.broadcast(load), "shard").select("cls", "field", "shard", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(True).alias("eval"))
+    shard = lambda c: F.pmod(F.xxhash64(c), F.lit(shards)).cast("int").alias("shard")
+    routes = stored(likely_pairs(classes, threshold, across=True).select(F.col("a").alias("tid"), shard("b")).distinct(), "routes")
+    load = F.broadcast(routes.groupBy("shard").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")))  # a row for each million words
+    sent = routes.join(load, "shard").select("tid", "shard", F.pmod(F.xxhash64("tid", F.lit(7)), F.col("chunks")).cast("int").alias("chunk"), F.lit(False).alias("held"))
+    indexed = held.select(F.col("cls").alias("tid"), shard("cls")).join(load, "shard").select("tid", "shard", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(True).alias("held"))
     wanted = sent.union(indexed)
-    texts = src.select(F.explode(F.array(*[F.struct((F.col("id") * n + i).alias("cls"), F.col(f"t{i}").alias("text")) for i in range(n)])).alias("t")).select("t.*").where("text is not null")
-    texts = keep_ids(texts, "cls", wanted.select("cls")).dropDuplicates(["cls"])
-    found = wanted.join(texts, "cls").groupBy("shard", "chunk").applyInPandas(_search(k, threshold), _MATCHES)
+    found = wanted.join(texts_of(src, n, wanted.select("tid")), "tid").withColumn("field", F.expr(f"cast(tid % {n} as int)")).groupBy("shard", "chunk").applyInPandas(_search(k, threshold), _MATCHES)
     return members, found
 
 
 def _expanded(members: DataFrame, found: DataFrame) -> DataFrame:
-    m = stored(members.select("record", "eval", "cls"), "overlap-members")
-    t, e = m.where("not eval").select(F.col("record").alias("train_record"), F.col("cls").alias("train")), m.where("eval").select(F.col("record").alias("held_record"), F.col("cls").alias("held"))
+    m = stored(members.select("record", "held", "cls"), "overlap-members")
+    t, e = m.where("not held").select(F.col("record").alias("train_record"), F.col("cls").alias("train")), m.where("held").select(F.col("record").alias("held_record"), F.col("cls").alias("held"))
     return found.select("train", "held").join(t, "train").join(e, "held").select("train_record", "held_record").distinct()
 
 
@@ -200,9 +166,9 @@ def cross_split_report(df: DataFrame, id_col: str, text_cols: list[str], split:
     training split, and the links they have. Links are counted by class, copies are not expanded."""
     members, found = cross_split_matches(df, id_col, text_cols, split, **options)
     members, found = stored(members, "overlap-members"), stored(found, "overlap-found")
-    copies = members.where("not eval").groupBy(F.col("cls").alias("train")).agg(F.count("*").alias("copies"))
+    copies = members.where("not held").groupBy(F.col("cls").alias("train")).agg(F.count("*").alias("copies"))
     per_class = found.join(copies, "train").groupBy(F.col("held").alias("cls")).agg(F.sum("copies").alias("links"))
-    per_record = members.where("eval").join(per_class, "cls").groupBy("record").agg(F.sum("links").alias("links"))
+    per_record = members.where("held").join(per_class, "cls").groupBy("record").agg(F.sum("links").alias("links"))
     held_out = options.get("held_out", ("val", "test"))
     rows = df.where(F.col(split).isin(*held_out)).select(F.col(id_col).cast("long").alias("record"), F.col(split).alias("split"), F.col(source).alias("source"))
     return rows.join(per_record, "record", "left").groupBy("split", "source").agg(F.count("*").alias("records"), F.count("links").alias("overlapping"), F.coalesce(F.sum("links"), F.lit(0)).alias("partners"))
