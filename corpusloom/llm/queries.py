@@ -15,6 +15,7 @@ from corpusloom.llm.packing import pack
 from corpusloom.llm.pairs import DEFECTS, broken_pairs
 from corpusloom.llm.people import name_node, person_keys, persons
 from corpusloom.llm.splits import assign_splits, code_node, together
+from corpusloom.llm.toxicity import fitted, rates, score
 from corpusloom.session import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +128,23 @@ def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequences, the tokens in them and the share of their room that is used."""
     used = p7_packed(spark, sf_dir).where("sequence is not null").groupBy("sequence").agg(F.sum("length").alias("used"))
     return used.agg(F.count("*").alias("sequences"), F.sum("used").alias("tokens"), (F.sum("used") / (F.count("*") * CAPACITY)).alias("fill"))
+
+
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, reviews = table(spark, sf_dir, "documents"), table(spark, sf_dir, "review_labels")
+    return score(documents, fitted(documents, reviews, "doc_id", "text", "abusive"), "doc_id", "text", "source")
+
+
+@query
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(spark, sf_dir).where("abusive").select("doc_id")
+
+
+@query
+def p8_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(spark, sf_dir).select("doc_id", "source", F.round("score", 6).alias("score"), "abusive")
+
+
+@query
+def p8_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rates(_scored(spark, sf_dir), "source")
