@@ -1,10 +1,4 @@
 """Checked queries: each a Spark function and, where SQL can express it, the equal DuckDB statement."""
 
-from __future__ import annotations
-
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+from corpusloom.queries import builtin, curation, texts  # noqa: F401
+from corpusloom.queries.base import QUERIES, SQL  # noqa: F401
