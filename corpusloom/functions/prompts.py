@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import _c
+from corpusloom.functions.text import _c, trimmed
 
 # Fixed values.
 INSTRUCTION = "Please convert the following trading strategy description into Pine Script code."
@@ -74,5 +74,5 @@ def instruction_output(c: Column | str) -> dict[str, Column]:
     """The parts of a response with ``INSTRUCTION:`` and ``OUTPUT:`` markers; without them all of it is the output."""
     text = _text(c)
     marked = text.contains("INSTRUCTION:") & text.contains("OUTPUT:")
-    part = lambda p: F.trim(F.regexp_extract(text, p, 1))
+    part = lambda p: trimmed(F.regexp_extract(text, p, 1))
     return {"instruction": F.when(marked, part(r"(?s)INSTRUCTION:(.*?)OUTPUT:")).otherwise(F.lit("")), "output": F.when(marked, part(r"(?s)OUTPUT:(.*)")).otherwise(text)}

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import _c, any_of, balanced, char_count, code_blocks, hit_count, occurrences, trimmed_length
+from corpusloom.functions.text import _c, any_of, balanced, bound, char_count, code_blocks, hit_count, occurrences, trimmed_length
 
 # Fixed values.
 SEGMENT_TERMS = ("sma", "ema", "rsi", "macd", "ta.", "close", "open", "high", "low", "volume", "strategy", "input", "threshold")
@@ -112,8 +112,8 @@ def reasoning_score(prompt: Column | str, response: Column | str) -> Column:
     """Logical and explaining words of the response, and the share of the prompt's words (repeats count) that it contains."""
     r = _low(response)
     asked = F.regexp_extract_all(_low(prompt), F.lit("[a-z0-9_]+"), F.lit(0))
-    kept = F.size(F.filter(asked, lambda w: F.contains(r, w)))
-    share = F.when(F.size(asked) > 0, kept / F.size(asked)).otherwise(F.lit(0.0))
+    kept = lambda ws: bound(r, lambda t: F.size(F.filter(ws, lambda w: F.contains(t, w))))
+    share = bound(asked, lambda ws: F.when(F.size(ws) > 0, kept(ws) / F.size(ws)).otherwise(F.lit(0.0)))
     return _capped(hit_count(r, LOGIC), 0.1, 0.3) + _capped(hit_count(r, EXPLAIN), 0.05, 0.2) + share * 0.3
 
 

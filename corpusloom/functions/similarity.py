@@ -67,7 +67,9 @@ def set_differences(a: Column, b: Column, k: int = 10) -> tuple[Column, Column]:
 def gram_cosine(pairs: DataFrame, key: str, a: str, b: str, sizes: Sequence[int] = (1, 2, 3)) -> DataFrame:
     """(key, cosine): cosine of the TF-IDF vectors of character n-grams; the two texts of a pair are the whole collection, so a
     gram has the weight 1 if both have it, else 1 + ln(3 / 2). The grams are counted by an aggregation over the pair's key."""
-    grams = lambda c: F.flatten(F.array(*[F.when(F.length(c) >= n, F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i, n=n: F.substring(c, i, F.lit(n)))).otherwise(F.array().cast("array<string>")) for n in sizes]))
+    none = F.array().cast("array<string>")
+    of_size = lambda c, n: F.when(F.length(c) >= n, F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i: F.substring(c, i, F.lit(n)))).otherwise(none)
+    grams = lambda c: F.flatten(F.array(*[of_size(c, n) for n in sizes]))
     text = lambda c: F.lower(F.coalesce(F.col(c), F.lit("")))
     one = lambda c, side: pairs.select(key, F.explode(grams(text(c))).alias("gram"), F.lit(side).alias("side"))
     counts = one(a, 0).union(one(b, 1)).groupBy(key, "gram").agg(F.sum(1 - F.col("side")).alias("x"), F.sum("side").alias("y"))

@@ -7,7 +7,7 @@ shorthand classes of regular expressions differ between engines.
 from __future__ import annotations
 
 import ast
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column
@@ -77,11 +77,20 @@ def contains_flags(c: Column | str, terms: dict[str, str]) -> dict[str, Column]:
 def term_hits(c: Column | str, vocabulary: Sequence[str]) -> Column:
     """The terms that occur in the text, as substrings, in the vocabulary's order."""
     text = F.coalesce(_c(c), F.lit(""))
-    return F.filter(F.array(*map(F.lit, vocabulary)), lambda v: F.contains(text, v))
+    return F.array_compact(F.array(*[F.when(text.contains(v), v) for v in vocabulary]))
 
 
 def hit_count(c: Column | str, vocabulary: Sequence[str]) -> Column:
-    return F.size(term_hits(c, vocabulary)).cast("long")
+    """The number of terms that occur: a plain sum, so that generated code computes the text once."""
+    text, out = F.coalesce(_c(c), F.lit("")), F.lit(0).cast("long")
+    for v in vocabulary:
+        out = out + text.contains(v).cast("long")
+    return out
+
+
+def bound(c: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is computed once, for bodies that use it many times inside other lambdas."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
 
 
 def any_of(c: Column | str, terms: Sequence[str]) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.functions.text import _c, code_blocks
+from corpusloom.functions.text import _c, code_blocks, trimmed
 
 COMPONENT = "map<string,struct<description:string,code:string>>"
 
@@ -41,7 +41,7 @@ def has_keys(components: Column | str, keys: list[str]) -> Column:
 
 def json_in(c: Column | str) -> Column:
     """JSON text in an answer: the block fenced as json, else the first fenced one, else all of it."""
-    return F.trim(F.coalesce(F.get(code_blocks(c, "json"), F.lit(0)), F.get(code_blocks(c), F.lit(0)), _c(c)))
+    return trimmed(F.coalesce(F.get(code_blocks(c, "json"), F.lit(0)), F.get(code_blocks(c), F.lit(0)), _c(c)))
 
 
 def flat_json_in(c: Column | str) -> Column:

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.functions.clean import drawing_removed
 from corpusloom.functions.text import _c, joined_upper, parsed_score
@@ -30,7 +31,7 @@ def answered(df: DataFrame, prompt: Column, model: Model | None, name: str = "an
     if model is None:
         return df.withColumn(name, F.lit(None).cast("string"))
     asked = df.withColumn("__prompt", prompt)
-    schema = asked.drop("__prompt").withColumn(name, F.lit("").cast("string")).schema
+    schema = T.StructType([*df.drop(name).schema.fields, T.StructField(name, T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ask = model.connect()

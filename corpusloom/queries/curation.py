@@ -150,8 +150,9 @@ def dissimilar_parts(spark: SparkSession, d: str) -> DataFrame:
 # Nested data.
 
 
-@query("""select coalesce(source_id, 'unknown') as source_id, segment_key as key, arg_max(input, k) as input, arg_max(output, k) as output from
-(select *, struct_pack(n := coalesce(length(output), -1), o := coalesce(output, ''), i := coalesce(input, '')) as k from segments where segment_key is not null) group by 1, 2 having input is not null and output is not null""")
+@query("""select source_id, key, input, output from (select coalesce(source_id, 'unknown') as source_id, segment_key as key, input, output,
+row_number() over (partition by coalesce(source_id, 'unknown'), segment_key order by coalesce(length(output), -1) desc, coalesce(output, '') desc, coalesce(input, '') desc) as n
+from segments where segment_key is not null) where n = 1 and input is not null and output is not null""")
 def packed_unpacked(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "segments").withColumn("source_id", F.coalesce("source_id", F.lit("unknown")))
     return nested.unpacked(nested.packed(rows, "source_id", "segment_key", "input", "output"), "source_id", "components")
@@ -233,9 +234,9 @@ def _relevance(t: str, vocabulary: tuple[str, ...] = score.TECHNICAL) -> str:
     return f"(0.7::double * least({hits(t, vocabulary)} / 20.0::double, 1.0::double) + 0.3::double * least(({total}) / 50.0::double, 1.0::double))"
 
 
-@query(f"select doc_id, round({_length('text')}, 6) as length_score, round({_relevance('lower(coalesce(text, chr(32)))')}, 6) as relevance from documents")
+@query(f"select doc_id, round({_length('text')}, 12) as length_score, round({_relevance('lower(coalesce(text, chr(32)))')}, 12) as relevance from documents")
 def length_and_relevance(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", F.round(score.length_score("text"), 6).alias("length_score"), F.round(score.keyword_relevance("text"), 6).alias("relevance"))
+    return table(spark, d, "documents").select("doc_id", F.round(score.length_score("text"), 12).alias("length_score"), F.round(score.keyword_relevance("text"), 12).alias("relevance"))
 
 
 def _groups(t: str) -> str:
@@ -256,19 +257,19 @@ _REASONING = f"({capped(hits(_LC, score.LOGIC), 0.1, 0.3)} + {capped(hits(_LC, s
 _ANSWER = f"({points(f'contains({_O}, {chr(39)}```{chr(39)})', 0.3)} + {points(any_hit(_O, ('def ', 'class ')), 0.2)} + {points(any_hit(_O, ('#', chr(34) * 3, '//')), 0.2)} + {points(f'regexp_matches({_O}, {chr(39)}[a-z_]+[ {chr(92)}t]*={chr(39)})', 0.1)})"
 
 
-@query(f"select pair_id, round({_groups(_LC)}, 6) as groups, round({_technical(_LC, _O)}, 6) as technical, round({_novelty(_LC)}, 6) as novelty, round({_REASONING}, 6) as reasoning, round({_ANSWER}, 6) as code from script_pairs")
+@query(f"select pair_id, round({_groups(_LC)}, 12) as groups, round({_technical(_LC, _O)}, 12) as technical, round({_novelty(_LC)}, 12) as novelty, round({_REASONING}, 12) as reasoning, round({_ANSWER}, 12) as code from script_pairs")
 def reward_parts(spark: SparkSession, d: str) -> DataFrame:
     parts = {"groups": score.group_score("output"), "technical": score.technical_score("output"), "novelty": score.novelty_score("output"), "reasoning": score.reasoning_score("input", "output"), "code": score.answer_code_score("output")}
-    return table(spark, d, "script_pairs").select("pair_id", *[F.round(c, 6).alias(n) for n, c in parts.items()])
+    return table(spark, d, "script_pairs").select("pair_id", *[F.round(c, 12).alias(n) for n, c in parts.items()])
 
 
 _COMPOSITE = f"""{_ANSWER} * 0.3::double + {_REASONING} * 0.25::double + {_groups(_LC)} * 0.2::double + {_technical(_LC, _O)} * 0.15::double + {_novelty(_LC)} * 0.1::double
 + {points(any_hit(_LC, ('risk', 'stop loss', 'drawdown')), 0.15)} + {points(f"contains({_LC}, '{chr(34) * 3}')", 0.2)} + {points(f"{chars(trim('output'))} < 50 or contains({_LC}, 'incomplete')", -0.3)}"""
 
 
-@query(f"select pair_id, round(greatest(-1.0::double, least(1.0::double, {_COMPOSITE})), 6) as reward from script_pairs")
+@query(f"select pair_id, round(greatest(-1.0::double, least(1.0::double, {_COMPOSITE})), 12) as reward from script_pairs")
 def composite_rewards(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "script_pairs").select("pair_id", F.round(score.composite_reward("input", "output"), 6).alias("reward"))
+    return table(spark, d, "script_pairs").select("pair_id", F.round(score.composite_reward("input", "output"), 12).alias("reward"))
 
 
 _SD, _SC = f"lower({_DESC})", f"lower({_CODE})"
@@ -280,9 +281,9 @@ _COMPLETE = " + ".join([
 ])
 
 
-@query(f"select row_id, round(least(1.0::double, {_COMPLETE}), 6) as reward from strategies")
+@query(f"select row_id, round(least(1.0::double, {_COMPLETE}), 12) as reward from strategies")
 def completeness_rewards(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "strategies").select("row_id", F.round(score.completeness_reward("name", "description", "source_code", "preview_title"), 6).alias("reward"))
+    return table(spark, d, "strategies").select("row_id", F.round(score.completeness_reward("name", "description", "source_code", "preview_title"), 12).alias("reward"))
 
 
 _BLOCKS = "regexp_extract_all(" + _O + ", '(?s)```(?:[A-Za-z]*)[ \\t\\r]*\\n(.*?)```', 1)"
@@ -290,14 +291,14 @@ _POINTS = " + ".join([points("contains(b, 'import ')", 1), points("contains(b, '
 _BLOCK = f"(case when len({_BLOCKS}) = 0 then 0.1::double else least(list_sum(list_transform({_BLOCKS}, lambda b: {_POINTS})) / 10.0::double, 1.0::double) end)"
 
 
-@query(f"select pair_id, round(0.4::double * {_BLOCK} + 0.3::double * {_length('output')} + 0.3::double * {_relevance(f'lower({_I} || chr(32) || {_O})')}, 6) as reward from script_pairs")
+@query(f"select pair_id, round(0.4::double * {_BLOCK} + 0.3::double * {_length('output')} + 0.3::double * {_relevance(f'lower({_I} || chr(32) || {_O})')}, 12) as reward from script_pairs")
 def small_rewards(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "script_pairs").select("pair_id", F.round(score.small_reward("input", "output"), 6).alias("reward"))
+    return table(spark, d, "script_pairs").select("pair_id", F.round(score.small_reward("input", "output"), 12).alias("reward"))
 
 
-@query("select pair_id, round(case when quality_score is null or likes_count is null then 0.1::double else greatest(0.0::double, least(1.0::double, quality_score / 10 * 0.6::double + likes_count / 100.0::double * 0.4::double)) end, 6) as reward from script_pairs")
+@query("select pair_id, round(case when quality_score is null or likes_count is null then 0.1::double else greatest(0.0::double, least(1.0::double, quality_score / 10 * 0.6::double + likes_count / 100.0::double * 0.4::double)) end, 12) as reward from script_pairs")
 def judged_rewards(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "script_pairs").select("pair_id", F.round(score.judged_reward(F.col("quality_score") / 10, F.col("likes_count") / 100.0), 6).alias("reward"))
+    return table(spark, d, "script_pairs").select("pair_id", F.round(score.judged_reward(F.col("quality_score") / 10, F.col("likes_count") / 100.0), 12).alias("reward"))
 
 
 @query(f"""select row_id, {points('coalesce(length(name) > 20, false)', 5)} + {points('coalesce(length(description) > 20, false)', 15)} + (case when k >= 3 then 10.0::double when k >= 1 then 5.0::double else 0::double end) as score

@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
@@ -67,7 +68,7 @@ def with_retries(fetch: Callable[[str], str | None], tries: int = 3, pause: floa
 
 def fetched(urls: DataFrame, url: str, fetch: Callable[[str], str | None], **retries: float) -> DataFrame:
     """``urls`` with ``html``; a task fetches its own rows, so the number of partitions bounds the load on the site."""
-    schema = urls.select("*", F.lit("").alias("html")).schema
+    schema = T.StructType([*urls.schema.fields, T.StructField("html", T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         get = with_retries(fetch, **retries)
