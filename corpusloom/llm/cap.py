@@ -26,7 +26,7 @@ def _ordered_bits(score: pd.Series) -> pd.Series:
 def as_long(df: DataFrame, score: str) -> Column:
     """The score as a long of the same order; null is lowest."""
     if dict(df.dtypes)[score] in ("tinyint", "smallint", "int", "bigint"):
-        return F.coalesce(F.col(score).cast("long"), F.lit(_LOWEST))
+        return F.when(F.col(score).isNotNull(), F.least(F.col(score).cast("long"), F.lit(-_LOWEST - 1))).otherwise(F.lit(_LOWEST))
     return _ordered_bits(F.col(score).cast("double"))
 
 
@@ -43,7 +43,8 @@ def cutoffs(counts: DataFrame, caps: DataFrame, few: bool = False) -> DataFrame:
     counts = counts.join(side(caps.select("who")), "who", "left_semi")
     while not bounds.where("hi - 1 > lo").isEmpty():
         step = f"greatest(hi div {WAYS} - lo div {WAYS}, 1L)"
-        mids = [F.expr(f"least(lo + {j} * {step}, hi)") for j in range(1, WAYS)]
+        # Added up in steps that stay between lo and hi, as their product may not fit a long.
+        mids = [F.expr(f"least(lo {f'+ 4 * {step} ' * (j // 4)} + {j % 4} * {step}, hi)") for j in range(1, WAYS)]
         above = counts.join(side(bounds), "who").groupBy("who").agg(*[F.sum(F.when(F.col("score") >= m, F.col("n")).otherwise(0)).alias(f"a{j}") for j, m in enumerate(mids, 1)])
         both = bounds.join(above, "who")
         lo = F.greatest(F.col("lo"), *[F.when(F.col(f"a{j}") >= F.col("cap"), m) for j, m in enumerate(mids, 1)])

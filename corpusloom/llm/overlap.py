@@ -33,14 +33,14 @@ _MATCHES = "train long, held long, similarity double, spans int, longest int, co
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for lo, hi in sorted(spans):
-        if out and lo <= out[-1][1]:
+        if out and lo < out[-1][1]:
             out[-1] = (out[-1][0], max(out[-1][1], hi))
         else:
             out.append((lo, hi))
     return out
 
 
-def _extended(a: np.ndarray, b: np.ndarray, at: int, to: int, k: int) -> tuple[int, int]:
+def _extended(a: np.ndarray, b: np.ndarray, at: int, to: int) -> tuple[int, int]:
     """The maximal match of ``a`` and ``b`` around a common run at ``a[at]`` and ``b[to]``, as a span of ``a``."""
     left = min(at, to)
     other = np.flatnonzero(a[at - left : at][::-1] != b[to - left : to][::-1])
@@ -50,6 +50,21 @@ def _extended(a: np.ndarray, b: np.ndarray, at: int, to: int, k: int) -> tuple[i
     return lo, at + (int(other[0]) if len(other) else right)
 
 
+def _maximal(a: np.ndarray, b: np.ndarray, k: int, hits: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The maximal matches of two texts as spans of ``a``: from the located hits, and from the runs that were too common to be
+    located, each with its first place in ``b``."""
+    spans = [_extended(a, b, i, j) for i, j in hits]
+    x, y = W.run_hashes(a, k), W.run_hashes(b, k)
+    values, first = np.unique(y, return_index=True)
+    at = np.minimum(np.searchsorted(values, x), len(values) - 1)
+    done = -1
+    for i in np.flatnonzero(values[at] == x):
+        if i > done:
+            spans.append(_extended(a, b, int(i), int(first[at[i]])))
+            done = spans[-1][1] - k
+    return spans
+
+
 def matches(held: list[np.ndarray], train: list[np.ndarray], k: int, threshold: float) -> list[tuple[int, int, float, int, int, int]]:
     """(train, held, similarity, spans, longest, covered) of the pairs of texts (arrays of word hashes) that reach the threshold:
     the number of merged spans of maximal matches in the training text, the words of the longest and of all."""
@@ -104,7 +119,7 @@ def matches(held: list[np.ndarray], train: list[np.ndarray], k: int, threshold:
             sets[e] = np.unique(W.run_hashes(held[e], k))
         s = W.jaccard(own_sets[t], sets[e])
         if s >= threshold:
-            spans = _merged([_extended(train[t], held[e], i, j, k) for i, j in hits])
+            spans = _merged(_maximal(train[t], held[e], k, hits))
             out.append((t, e, s, len(spans), max(b - a for a, b in spans), sum(b - a for a, b in spans)))
     return out
 

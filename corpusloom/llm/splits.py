@@ -72,7 +72,7 @@ def assign_splits(df: DataFrame, record: str, keys: str, proportions: dict[str,
         raise ValueError("proportions must add up to 1")
     spark = df.sparkSession
     state = state if state is not None else spark.createDataFrame([], STATE)
-    rows = stored(df.where(F.col(record).isNotNull()).select(F.col(record).alias("record"), F.expr(f"filter({keys}, k -> k is not null)").alias("keys")), "rows")
+    rows = stored(df.where(F.col(record).isNotNull()).select(F.col(record).alias("record"), F.coalesce(F.expr(f"filter({keys}, k -> k is not null)"), F.array().cast("array<string>")).alias("keys")), "rows")
     keyed = rows.where(F.size("keys") > 0)
     state = cut(merged(state, keyed.select(F.explode(F.expr("transform(keys, k -> struct(keys[0] as u, k as v))")).alias("e")).select("e.*")))
     first = keyed.groupBy(F.col("keys")[0].alias("node")).agg(F.count("*").alias("n"))

@@ -228,6 +228,9 @@ def fit(documents: list[tuple[list[list[str]], bool]], folds: int = 3, rounds: i
     for us, _ in read:
         for u in us:
             shared.update(u)
+    seeds = [tuple(reader(u)) for t in SEEDS for u in units(t)], [tuple(reader(u)) for t in FAIR for u in units(t)]
+    for u in (*seeds[0], *seeds[1]):
+        shared.update(u)
     weight = {w: math.log(lift(w)) for w in vocabulary}
     first = lambda s: sum(max(-1.0, weight.get(w, 0.0)) for w in s) / (len(s) + 2)
     n_bad -= len(SEEDS)
@@ -235,7 +238,6 @@ def fit(documents: list[tuple[list[list[str]], bool]], folds: int = 3, rounds: i
     chosen = [max(range(len(us)), key=lambda i: first(us[i]), default=None) if bad and us else None for us, bad in read]
     dropped, scores = [False] * n, [0.0] * n
 
-    seeds = [tuple(reader(u)) for t in SEEDS for u in units(t)], [tuple(reader(u)) for t in FAIR for u in units(t)]
     wrong: set[tuple[str, ...]] = set()  # abusive sentences that stand in documents reviewed as ordinary
 
     def models(keep) -> tuple[KneserNey, KneserNey]:
