@@ -10,36 +10,43 @@ from pyspark.sql import functions as F
 from corpusloom.functions.text import _c, trimmed
 
 # Fixed values.
-INSTRUCTION = "Please convert the following trading strategy description into Pine Script code."
-SYSTEM = "You are an expert in Pine Script programming."
+INSTRUCTION = "Generate Pine Script v6 code based on the following trading strategy description."
+SYSTEM = "You are a helpful assistant that generates Pine Script code for trading strategies."
+ALPACA = "Below is an instruction that describes a task, paired with an input that provides further context. Write a response that appropriately completes the request."
+ALPACA_TASK = "Generate Pine Script v6 code for the given trading strategy description."
+TRAINING = "Below is an instruction that describes a task. Write a response that appropriately completes the request."
 
 
 def _text(c: Column | str) -> Column:
     return F.coalesce(_c(c), F.lit(""))
 
 
-def instruction(a: Column | str, b: Column | str, text: str = INSTRUCTION, given: str = "Strategy Description:", answer: str = "Pine Script Code:") -> Column:
+def instruction(a: Column | str, b: Column | str, text: str = INSTRUCTION, given: str = "Description:", answer: str = "Code:") -> Column:
     return F.concat(F.lit(f"### Instruction:\n{text}\n\n### {given}\n"), _text(a), F.lit(f"\n\n### {answer}\n"), _text(b))
 
 
-def conversation(a: Column | str, b: Column | str, user: str = "Human", assistant: str = "Assistant") -> Column:
-    return F.concat(F.lit(f"{user}: "), _text(a), F.lit(f"\n\n{assistant}: "), _text(b))
+def conversation(a: Column | str, b: Column | str, user: str = "Human:", assistant: str = "Assistant:", system: str = SYSTEM) -> Column:
+    return F.concat(F.lit(f"System: {system}\n\n{user} "), _text(a), F.lit(f"\n\n{assistant} "), _text(b))
 
 
 def chatml(a: Column | str, b: Column | str, system: str = SYSTEM) -> Column:
     return F.concat(F.lit(f"<|im_start|>system\n{system}<|im_end|>\n<|im_start|>user\n"), _text(a), F.lit("<|im_end|>\n<|im_start|>assistant\n"), _text(b), F.lit("<|im_end|>"))
 
 
-def alpaca(a: Column | str, b: Column | str, text: str = INSTRUCTION) -> Column:
-    head = "Below is an instruction that describes a task, paired with an input that provides further context. Write a response that appropriately completes the request."
-    return F.concat(F.lit(f"{head}\n\n### Instruction:\n{text}\n\n### Input:\n"), _text(a), F.lit("\n\n### Response:\n"), _text(b))
+def alpaca(a: Column | str, b: Column | str, task: str = ALPACA_TASK) -> Column:
+    return F.concat(F.lit(f"{ALPACA}\n\n### Instruction:\n{task}\n\n### Input:\n"), _text(a), F.lit("\n\n### Response:\n"), _text(b))
+
+
+def training(a: Column | str, b: Column | str) -> Column:
+    """The form in which lengths are measured before training."""
+    return F.concat(F.lit(f"{TRAINING}\n\n### Instruction:\n"), _text(a), F.lit("\n\n### Response:\n"), _text(b))
 
 
 def simple(a: Column | str, b: Column | str, separator: str = "\n\n") -> Column:
     return F.concat(_text(a), F.lit(separator), _text(b))
 
 
-FORMATS: dict[str, Callable[..., Column]] = {"instruction": instruction, "conversation": conversation, "chatml": chatml, "alpaca": alpaca, "simple": simple}
+FORMATS: dict[str, Callable[..., Column]] = {"instruction": instruction, "conversation": conversation, "chatml": chatml, "alpaca": alpaca, "simple": simple, "training": training}
 
 
 def formatter(name: str) -> Callable[..., Column]:

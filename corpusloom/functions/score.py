@@ -7,10 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from corpusloom.functions.text import _c, any_of, balanced, bound, char_count, code_blocks, hit_count, occurrences, trimmed_length
+from corpusloom.functions.text import _c, any_of, balanced, bound, bracket_fault, char_count, hit_count, is_python, occurrences, trimmed
 
 # Fixed values.
 SEGMENT_TERMS = ("sma", "ema", "rsi", "macd", "ta.", "close", "open", "high", "low", "volume", "strategy", "input", "threshold")
@@ -19,6 +21,9 @@ SEGMENT_NAMES = ("threshold", "signal", "entry", "exit", "period", "length")
 GENERIC = ("this strategy uses", "the strategy", "it uses", "based on")
 SPECIFIC = ("200-day", "sma", "moving average", "crossover", "threshold", "signal", "entry", "exit")
 CODE_FUNCTIONS = ("ta.sma", "ta.ema", "ta.rsi", "ta.macd", "ta.stoch", "strategy.entry", "strategy.close", "strategy.exit", "plot", "plotshape", "label.new", "line.new")
+STRATEGY_FUNCTIONS = ("ta.sma", "ta.ema", "ta.rsi", "ta.macd", "ta.stoch", "ta.atr", "strategy.entry", "strategy.exit", "strategy.close", "plot", "plotshape", "plotchar", "label.new", "line.new")
+TRADING = ("bt.", "backtrader", "strategy", "indicator", "signal")
+RISKS = ("risk", "stop loss", "position size", "drawdown")
 LOGIC = ("because", "therefore", "since", "as a result", "consequently")
 EXPLAIN = ("strategy", "approach", "method", "technique", "algorithm")
 GROUPS = (
@@ -31,6 +36,8 @@ GROUPS = (
 TECHNICAL = ("algorithm", "strategy", "indicator", "signal", "portfolio", "volatility", "momentum", "trend", "support", "resistance", "timeframe", "market", "price", "volume")
 FINANCE = ("profit", "loss", "return", "volatility", "sharpe", "drawdown")
 NEW = ("novel", "innovative", "unique", "creative", "advanced", "hybrid")
+DOCSTRING = r'(?s)""".*?"""|' + r"(?s)'''.*?'''"
+NAME = r"(?:^|[^A-Za-z0-9_])[a-z_][a-z0-9_]*(?:[^A-Za-z0-9_]|$)"
 FORMULA = r"[0-9]+[ \t]*[+\-*/][ \t]*[0-9]+|[A-Za-z][ \t]*[+\-*/=][ \t]*[A-Za-z0-9]"
 
 
@@ -55,13 +62,13 @@ def _sum(parts: Sequence[Column]) -> Column:
 
 def segment_score(description: Column | str, code: Column | str) -> Column:
     """1 to 10: base 3, bonuses for length, terms, code characters, names and specific wording, deductions for notes and generic wording."""
-    d, c = _low(description), _low(code)
+    d, c, raw = _low(description), _low(code), F.coalesce(_c(code), F.lit(""))
     both = F.concat(d, F.lit(" "), c)
     parts = [
         F.lit(3.0),
         _if(char_count(description) > 50, 1), _if(char_count(description) > 100, 0.5), _if(char_count(code) > 20, 1), _if(char_count(code) > 50, 0.5),
-        _capped(hit_count(both, SEGMENT_TERMS), 0.4, 2.5), _capped(hit_count(c, SEGMENT_CODE), 0.2, 1.5), _capped(hit_count(both, SEGMENT_NAMES), 0.3, 1.0),
-        _if(c.contains("note:"), -2), hit_count(d, GENERIC) * F.lit(-0.3), _capped(hit_count(d, SPECIFIC), 0.2, 1.0),
+        _capped(hit_count(both, SEGMENT_TERMS), 0.4, 2.5), _capped(hit_count(raw, SEGMENT_CODE), 0.2, 1.5), _capped(hit_count(c, SEGMENT_NAMES), 0.3, 1.0),
+        _if(c.contains("note:") | trimmed(raw).startswith("note"), -2), hit_count(d, GENERIC) * F.lit(-0.3), _capped(hit_count(d, SPECIFIC), 0.2, 1.0),
     ]
     return F.greatest(F.lit(1.0), F.least(F.lit(10.0), _sum(parts)))
 
@@ -70,10 +77,20 @@ def code_quality(code: Column | str) -> Column:
     """0 to 10 from eight features of a script."""
     c = F.coalesce(_c(code), F.lit(""))
     parts = [
-        _if(c.contains("//@version"), 1), _if(c.contains("strategy(") | c.contains("indicator("), 2), _if(c.contains("input"), 1), _if(c.contains("ta."), 1.5),
-        _if(c.contains("strategy.entry") | c.contains("strategy.exit"), 2), _if(c.contains("plot"), 1), _if(hit_count(c, CODE_FUNCTIONS) >= 3, 1), _if(balanced(c), 0.5),
+        _if(c.contains("//@version="), 1), _if(any_of(c, ("strategy(", "indicator(")), 2), _if(c.contains("input."), 1), _if(c.contains("ta."), 1.5),
+        _if(any_of(c, ("strategy.entry", "strategy.close")), 2), _if(c.contains("plot("), 1), _if(hit_count(c, CODE_FUNCTIONS) >= 3, 1), _if(balanced(c), 0.5),
     ]
-    return _sum(parts)
+    return F.least(F.lit(10.0), _sum(parts))
+
+
+def strategy_quality(code: Column | str) -> Column:
+    """0 to 10, for strategies: entries and exits count apart, and five functions are asked for."""
+    c = F.coalesce(_c(code), F.lit(""))
+    parts = [
+        _if(c.contains("//@version="), 1), _if(c.contains("strategy("), 2), _if(c.contains("input."), 1), _if(any_of(c, ("ta.", "math.", "array.")), 1.5),
+        _if(c.contains("strategy.entry"), 2), _if(any_of(c, ("strategy.exit", "strategy.close")), 1.5), _if(any_of(c, ("plot(", "plotshape(")), 1), _if(hit_count(c, STRATEGY_FUNCTIONS) >= 5, 1),
+    ]
+    return F.least(F.lit(10.0), _sum(parts))
 
 
 def length_score(c: Column | str, low: int = 50, good: int = 200, enough: int = 800, high: int = 2000) -> Column:
@@ -118,55 +135,74 @@ def reasoning_score(prompt: Column | str, response: Column | str) -> Column:
 
 
 def answer_code_score(response: Column | str) -> Column:
+    """Fenced code, definitions, comments or docstrings, names in lower case; a deduction where brackets don't nest."""
     t = F.coalesce(_c(response), F.lit(""))
     return (
-        _if(t.contains("```"), 0.3) + _if(t.contains("def ") | t.contains("class "), 0.2)
-        + _if(t.contains("#") | t.contains('"""') | t.contains("//"), 0.2) + _if(t.rlike(r"[a-z_]+[ \t]*="), 0.1)
+        _if(t.rlike(r"(?s)```.*?```"), 0.3) + _if(t.rlike(r"def [A-Za-z0-9_]+\(|class [A-Za-z0-9_]+"), 0.2)
+        + _if(t.contains("#") | t.rlike(DOCSTRING), 0.2) + _if(t.rlike(NAME), 0.1) + _if(bracket_fault(t), -0.5)
     )
 
 
 def composite_reward(prompt: Column | str, response: Column | str, weights: Sequence[float] = (0.3, 0.25, 0.2, 0.15, 0.1)) -> Column:
     """-1 to 1: weighted code, reasoning, completeness, technical and novelty scores, with bonuses for risk and docstrings and a
     deduction for short or unfinished answers."""
-    t = _low(response)
+    t, raw = _low(response), F.coalesce(_c(response), F.lit(""))
     parts = [answer_code_score(response), reasoning_score(prompt, response), group_score(response), technical_score(response), novelty_score(response)]
     total = _sum([p * F.lit(float(w)) for p, w in zip(parts, weights)])
-    total = total + _if(any_of(t, ("risk", "stop loss", "drawdown")), 0.15) + _if(t.contains('"""'), 0.2)
-    total = total + _if((trimmed_length(response) < 50) | t.contains("incomplete"), -0.3)
+    total = total + _if(any_of(t, RISKS), 0.15) + _if(raw.rlike(r'(?s)""".*?"""'), 0.2)
+    total = total + _if((char_count(response) < 50) | t.contains("incomplete"), -0.3)
     return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), total))
 
 
 def completeness_reward(name: Column | str, description: Column | str, code: Column | str, reasoning: Column | str) -> Column:
-    """0 to 1: presence of the fields, trading terms and code in them."""
-    d, c = _low(description), _low(code)
-    both = F.concat(d, F.lit(" "), c)
-    has = lambda x: F.coalesce(_c(x) != "", F.lit(False))
-    parts = [
-        _if(has(name), 0.1), _if(has(description), 0.2), _if(has(code), 0.3), _if(_c(reasoning).isNotNull(), 0.2),
-        _if(both.contains("stop") & both.contains("loss"), 0.05), _if(any_of(both, ("entry", "buy")), 0.05), _if(any_of(both, ("exit", "sell")), 0.05), _if(both.contains("risk"), 0.05),
+    """0 to 1: presence of the fields (an empty string is present), lists in a description that is JSON, and terms of the code."""
+    c, kinds = _low(code), ("key_concepts", "mathematical_models", "evaluation_metrics")
+    data = F.from_json(_c(description), ", ".join(f"{k} string" for k in kinds))
+    given = lambda k: F.coalesce(~data[k].isin("", "[]", "{}", "0", "false"), F.lit(False))
+    parts = [_if(_c(x).isNotNull(), w) for x, w in ((name, 0.1), (description, 0.2), (code, 0.3), (reasoning, 0.2))]
+    parts += [_if(given(k), 0.1) for k in kinds]
+    parts += [
+        _if(c.contains("stop") & c.contains("loss"), 0.05), _if(any_of(c, ("entry", "buy")), 0.05), _if(any_of(c, ("exit", "sell")), 0.05), _if(c.contains("risk"), 0.05),
         _if(any_of(c, ("def ", "class ")), 0.1), _if(c.contains("import"), 0.05),
     ]
     return F.least(F.lit(1.0), _sum(parts))
 
 
-def block_score(response: Column | str) -> Column:
-    """0 to 1 over all fenced blocks: imports, functions, classes, docstrings, comments and indentation, 10 points in all."""
+def answer_blocks(response: Column | str, least: int = 10) -> Column:
+    """The fenced blocks over ``least`` characters; without any fence the whole text if it looks like code."""
+    t = F.coalesce(_c(response), F.lit(""))
+    fenced = F.transform(F.regexp_extract_all(t, F.lit(r"(?is)```(?:python)?(.*?)```"), F.lit(1)), trimmed)
+    whole = F.when(any_of(t, ("def ", "class ", "import ", "from ", "bt.")), F.array(trimmed(t))).otherwise(F.array().cast("array<string>"))
+    return F.filter(F.when(F.size(fenced) > 0, fenced).otherwise(whole), lambda b: F.length(b) > least)
+
+
+def block_score(response: Column | str, valid: Column | None = None) -> Column:
+    """0 to 1 over all blocks: imports, functions, classes, docstrings, comments, indentation and trading terms, and 2 points for
+    each of the ``valid`` blocks (their number, see ``parsing_blocks``); 10 points are 1."""
 
     def points(b: Column) -> Column:
+        has = lambda x: F.contains(b, F.lit(x))
         return (
-            _if(F.contains(b, F.lit("import ")), 1) + _if(F.contains(b, F.lit("def ")), 2) + _if(F.contains(b, F.lit("class ")), 1.5)
-            + _if(F.contains(b, F.lit('"""')), 1) + _if(F.contains(b, F.lit("#")), 0.5) + _if(F.contains(b, F.lit("\n    ")), 1)
+            _if(b.rlike(r"(?m)^[ \t]*(?:import|from) "), 1) + _if(has("def "), 2) + _if(has("class "), 1.5) + _if(has('"""') | has("'''"), 1) + _if(has("#"), 0.5)
+            + _if(b.rlike(r"(?m)^(?:    |\t)[ \t]*[^ \t\r\n]"), 1) + _if(any_of(F.lower(b), TRADING), 1)
         )
 
-    blocks = code_blocks(response)
+    blocks = answer_blocks(response)
     total = F.aggregate(F.transform(blocks, points), F.lit(0.0), lambda a, x: a + x)
+    total = total if valid is None else total + valid * F.lit(2.0)
     return F.when(F.size(blocks) == 0, F.lit(0.1)).otherwise(F.least(total / 10.0, F.lit(1.0)))
 
 
-def small_reward(prompt: Column | str, response: Column | str) -> Column:
+@F.pandas_udf(T.IntegerType())
+def parsing_blocks(blocks: pd.Series) -> pd.Series:
+    """How many of an array's texts parse as Python; nothing is run."""
+    return blocks.map(lambda bs: sum(map(is_python, bs if bs is not None else ())))
+
+
+def small_reward(prompt: Column | str, response: Column | str, valid: Column | None = None) -> Column:
     """0 to 1: 0.4 of the blocks' score, 0.3 of the length's, 0.3 of the keywords'."""
     both = F.concat(F.coalesce(_c(prompt), F.lit("")), F.lit(" "), F.coalesce(_c(response), F.lit("")))
-    return F.lit(0.4) * block_score(response) + F.lit(0.3) * length_score(response) + F.lit(0.3) * keyword_relevance(both)
+    return F.lit(0.4) * block_score(response, valid) + F.lit(0.3) * length_score(response) + F.lit(0.3) * keyword_relevance(both)
 
 
 def judged_reward(similarity: Column | str, code: Column | str, weights: tuple[float, float] = (0.6, 0.4), default: float = 0.1) -> Column:

@@ -184,14 +184,14 @@ def parsed_score(c: Column | str, low: float, high: float, default: float) -> Co
     return F.when(number.isNotNull(), F.least(F.greatest(number, F.lit(float(low))), F.lit(float(high)))).otherwise(F.lit(float(default)))
 
 
+def is_python(text: str | None) -> bool:
+    try:
+        return bool(text) and ast.parse(text) is not None
+    except (SyntaxError, ValueError, RecursionError, MemoryError):
+        return False
+
+
 @F.pandas_udf(T.BooleanType())
 def python_parses(code: pd.Series) -> pd.Series:
     """Whether a text is Python code; it is parsed and never run. Null and empty are not."""
-
-    def parses(text: str | None) -> bool:
-        try:
-            return bool(text) and ast.parse(text) is not None
-        except (SyntaxError, ValueError, RecursionError, MemoryError):
-            return False
-
-    return code.map(lambda t: parses(t if isinstance(t, str) else None))
+    return code.map(lambda t: is_python(t if isinstance(t, str) else None))

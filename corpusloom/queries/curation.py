@@ -194,8 +194,8 @@ _LD, _LC = f"lower({_I})", f"lower({_O})"
 _BOTH = f"({_LD} || ' ' || {_LC})"
 _SEGMENT = " + ".join([
     "3.0::double", points(f"{chars('input')} > 50", 1), points(f"{chars('input')} > 100", 0.5), points(f"{chars('output')} > 20", 1), points(f"{chars('output')} > 50", 0.5),
-    capped(hits(_BOTH, score.SEGMENT_TERMS), 0.4, 2.5), capped(hits(_LC, score.SEGMENT_CODE), 0.2, 1.5), capped(hits(_BOTH, score.SEGMENT_NAMES), 0.3, 1.0),
-    points(f"contains({_LC}, 'note:')", -2), f"{hits(_LD, score.GENERIC)} * -0.3::double", capped(hits(_LD, score.SPECIFIC), 0.2, 1.0),
+    capped(hits(_BOTH, score.SEGMENT_TERMS), 0.4, 2.5), capped(hits(_O, score.SEGMENT_CODE), 0.2, 1.5), capped(hits(_LC, score.SEGMENT_NAMES), 0.3, 1.0),
+    points(f"contains({_LC}, 'note:') or starts_with({trim(_O)}, 'note')", -2), f"{hits(_LD, score.GENERIC)} * -0.3::double", capped(hits(_LD, score.SPECIFIC), 0.2, 1.0),
 ])
 
 
@@ -213,10 +213,21 @@ def _balanced(c: str) -> str:
 
 
 def _quality(c: str) -> str:
-    return " + ".join([
-        points(f"contains({c}, '//@version')", 1), points(any_hit(c, ("strategy(", "indicator(")), 2), points(f"contains({c}, 'input')", 1), points(f"contains({c}, 'ta.')", 1.5),
-        points(any_hit(c, ("strategy.entry", "strategy.exit")), 2), points(f"contains({c}, 'plot')", 1), points(f"{hits(c, score.CODE_FUNCTIONS)} >= 3", 1), points(_balanced(c), 0.5),
-    ])
+    return "least(10.0::double, " + " + ".join([
+        points(f"contains({c}, '//@version=')", 1), points(any_hit(c, ("strategy(", "indicator(")), 2), points(f"contains({c}, 'input.')", 1), points(f"contains({c}, 'ta.')", 1.5),
+        points(any_hit(c, ("strategy.entry", "strategy.close")), 2), points(f"contains({c}, 'plot(')", 1), points(f"{hits(c, score.CODE_FUNCTIONS)} >= 3", 1), points(_balanced(c), 0.5),
+    ]) + ")"
+
+
+_STRATEGY = " + ".join([
+    points(f"contains({_CODE}, '//@version=')", 1), points(f"contains({_CODE}, 'strategy(')", 2), points(f"contains({_CODE}, 'input.')", 1), points(any_hit(_CODE, ("ta.", "math.", "array.")), 1.5),
+    points(f"contains({_CODE}, 'strategy.entry')", 2), points(any_hit(_CODE, ("strategy.exit", "strategy.close")), 1.5), points(any_hit(_CODE, ("plot(", "plotshape(")), 1), points(f"{hits(_CODE, score.STRATEGY_FUNCTIONS)} >= 5", 1),
+])
+
+
+@query(f"select row_id, least(10.0::double, {_STRATEGY}) as score from strategies")
+def strategy_quality(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "strategies").select("row_id", score.strategy_quality("source_code").alias("score"))
 
 
 @query(f"select row_id, {_quality(_CODE)} as score from strategies")
@@ -254,7 +265,10 @@ def _novelty(t: str) -> str:
 
 _ASKED = f"regexp_extract_all({_LD}, '[a-z0-9_]+')"
 _REASONING = f"({capped(hits(_LC, score.LOGIC), 0.1, 0.3)} + {capped(hits(_LC, score.EXPLAIN), 0.05, 0.2)} + (case when len({_ASKED}) > 0 then len(list_filter({_ASKED}, lambda w: contains({_LC}, w)))::double / len({_ASKED}) else 0::double end) * 0.3::double)"
-_ANSWER = f"({points(f'contains({_O}, {chr(39)}```{chr(39)})', 0.3)} + {points(any_hit(_O, ('def ', 'class ')), 0.2)} + {points(any_hit(_O, ('#', chr(34) * 3, '//')), 0.2)} + {points(f'regexp_matches({_O}, {chr(39)}[a-z_]+[ {chr(92)}t]*={chr(39)})', 0.1)})"
+_STACK = f"""list_reduce(list_prepend('', regexp_extract_all({_O}, '[()\\[\\]{{}}]')), lambda s, b: case when starts_with(s, 'x') then s when b in ('(', '[', '{{') then s || b
+ when (b = ')' and ends_with(s, '(')) or (b = ']' and ends_with(s, '[')) or (b = '}}' and ends_with(s, '{{')) then left(s, length(s) - 1) else 'x' end) <> ''"""
+_DOC = score.DOCSTRING.replace("'", "''")
+_ANSWER = "(" + " + ".join([points(f"regexp_matches({_O}, '(?s)```.*?```')", 0.3), points(f"regexp_matches({_O}, 'def [A-Za-z0-9_]+\\(|class [A-Za-z0-9_]+')", 0.2), points(f"contains({_O}, '#') or regexp_matches({_O}, '{_DOC}')", 0.2), points(f"regexp_matches({_O}, '{score.NAME}')", 0.1), points(_STACK, -0.5)]) + ")"
 
 
 @query(f"select pair_id, round({_groups(_LC)}, 12) as groups, round({_technical(_LC, _O)}, 12) as technical, round({_novelty(_LC)}, 12) as novelty, round({_REASONING}, 12) as reasoning, round({_ANSWER}, 12) as code from script_pairs")
@@ -264,7 +278,7 @@ def reward_parts(spark: SparkSession, d: str) -> DataFrame:
 
 
 _COMPOSITE = f"""{_ANSWER} * 0.3::double + {_REASONING} * 0.25::double + {_groups(_LC)} * 0.2::double + {_technical(_LC, _O)} * 0.15::double + {_novelty(_LC)} * 0.1::double
-+ {points(any_hit(_LC, ('risk', 'stop loss', 'drawdown')), 0.15)} + {points(f"contains({_LC}, '{chr(34) * 3}')", 0.2)} + {points(f"{chars(trim('output'))} < 50 or contains({_LC}, 'incomplete')", -0.3)}"""
++ {points(any_hit(_LC, score.RISKS), 0.15)} + {points(f"regexp_matches({_O}, '(?s){chr(34) * 3}.*?{chr(34) * 3}')", 0.2)} + {points(f"{chars('output')} < 50 or contains({_LC}, 'incomplete')", -0.3)}"""
 
 
 @query(f"select pair_id, round(greatest(-1.0::double, least(1.0::double, {_COMPOSITE})), 12) as reward from script_pairs")
@@ -273,10 +287,10 @@ def composite_rewards(spark: SparkSession, d: str) -> DataFrame:
 
 
 _SD, _SC = f"lower({_DESC})", f"lower({_CODE})"
-_SB = f"({_SD} || ' ' || {_SC})"
+_GIVEN = lambda k: f"coalesce(try_cast(description as json)->>'$.{k}' not in ('', '[]', '{{}}', '0', 'false'), false)"
 _COMPLETE = " + ".join([
-    points("coalesce(name <> '', false)", 0.1), points("coalesce(description <> '', false)", 0.2), points("coalesce(source_code <> '', false)", 0.3), points("preview_title is not null", 0.2),
-    points(f"contains({_SB}, 'stop') and contains({_SB}, 'loss')", 0.05), points(any_hit(_SB, ("entry", "buy")), 0.05), points(any_hit(_SB, ("exit", "sell")), 0.05), points(f"contains({_SB}, 'risk')", 0.05),
+    *[points(f"{c} is not null", w) for c, w in (("name", 0.1), ("description", 0.2), ("source_code", 0.3), ("preview_title", 0.2))], *[points(_GIVEN(k), 0.1) for k in ("key_concepts", "mathematical_models", "evaluation_metrics")],
+    points(f"contains({_SC}, 'stop') and contains({_SC}, 'loss')", 0.05), points(any_hit(_SC, ("entry", "buy")), 0.05), points(any_hit(_SC, ("exit", "sell")), 0.05), points(f"contains({_SC}, 'risk')", 0.05),
     points(any_hit(_SC, ("def ", "class ")), 0.1), points(f"contains({_SC}, 'import')", 0.05),
 ])
 
@@ -286,11 +300,22 @@ def completeness_rewards(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "strategies").select("row_id", F.round(score.completeness_reward("name", "description", "source_code", "preview_title"), 12).alias("reward"))
 
 
-_BLOCKS = "regexp_extract_all(" + _O + ", '(?s)```(?:[A-Za-z]*)[ \\t\\r]*\\n(.*?)```', 1)"
-_POINTS = " + ".join([points("contains(b, 'import ')", 1), points("contains(b, 'def ')", 2), points("contains(b, 'class ')", 1.5), points(f"contains(b, '{chr(34) * 3}')", 1), points("contains(b, '#')", 0.5), points("contains(b, chr(10) || '    ')", 1)])
+_TB = trim("b")
+_FENCED = f"list_transform(regexp_extract_all({_O}, '(?is)```(?:python)?(.*?)```', 1), lambda b: {_TB})"
+_BLOCKS = f"list_filter(case when len({_FENCED}) > 0 then {_FENCED} when {any_hit(_O, ('def ', 'class ', 'import ', 'from ', 'bt.'))} then [{trim(_O)}] else [] end, lambda b: length(b) > 10)"
+_POINTS = " + ".join([
+    points("regexp_matches(b, '(?m)^[ \\t]*(?:import|from) ')", 1), points("contains(b, 'def ')", 2), points("contains(b, 'class ')", 1.5), points(f"contains(b, '{chr(34) * 3}') or contains(b, repeat(chr(39), 3))", 1), points("contains(b, '#')", 0.5),
+    points("regexp_matches(b, '(?m)^(?:    |\\t)[ \\t]*[^ \\t\\r\\n]')", 1), points(any_hit("lower(b)", score.TRADING), 1),
+])
 _BLOCK = f"(case when len({_BLOCKS}) = 0 then 0.1::double else least(list_sum(list_transform({_BLOCKS}, lambda b: {_POINTS})) / 10.0::double, 1.0::double) end)"
 
 
+@query()
+def parsed_rewards(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "script_pairs").withColumn("valid", score.parsing_blocks(score.answer_blocks("output")))
+    return rows.select("pair_id", F.round(score.small_reward("input", "output", F.col("valid")), 12).alias("reward"))
+
+
 @query(f"select pair_id, round(0.4::double * {_BLOCK} + 0.3::double * {_length('output')} + 0.3::double * {_relevance(f'lower({_I} || chr(32) || {_O})')}, 12) as reward from script_pairs")
 def small_rewards(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "script_pairs").select("pair_id", F.round(score.small_reward("input", "output"), 12).alias("reward"))

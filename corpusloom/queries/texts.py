@@ -139,7 +139,6 @@ def spaces_collapsed(spark: SparkSession, d: str) -> DataFrame:
 
 
 _I, _O = "coalesce(input, '')", "coalesce(output, '')"
-_ALPACA = "Below is an instruction that describes a task, paired with an input that provides further context. Write a response that appropriately completes the request."
 _INS = quoted(prompts.INSTRUCTION)
 
 
@@ -148,11 +147,12 @@ def _concat(*parts: str) -> str:
 
 
 @query(f"""select pair_id,
-{_concat(f"'### Instruction:\\n' || {_INS} || '\\n\\n### Strategy Description:\\n'", _I, "'\\n\\n### Pine Script Code:\\n'", _O)} as instruction,
-{_concat("'Human: '", _I, "'\\n\\nAssistant: '", _O)} as conversation,
+{_concat(f"'### Instruction:\\n' || {_INS} || '\\n\\n### Description:\\n'", _I, "'\\n\\n### Code:\\n'", _O)} as instruction,
+{_concat(f"'System: {prompts.SYSTEM}\\n\\nHuman: '", _I, "'\\n\\nAssistant: '", _O)} as conversation,
 {_concat(f"'<|im_start|>system\\n{prompts.SYSTEM}<|im_end|>\\n<|im_start|>user\\n'", _I, "'<|im_end|>\\n<|im_start|>assistant\\n'", _O, "'<|im_end|>'")} as chatml,
-{_concat(f"'{_ALPACA}\\n\\n### Instruction:\\n' || {_INS} || '\\n\\n### Input:\\n'", _I, "'\\n\\n### Response:\\n'", _O)} as alpaca,
-{_concat(_I, "'\\n\\n'", _O)} as simple from script_pairs""")
+{_concat(f"'{prompts.ALPACA}\\n\\n### Instruction:\\n{prompts.ALPACA_TASK}\\n\\n### Input:\\n'", _I, "'\\n\\n### Response:\\n'", _O)} as alpaca,
+{_concat(_I, "'\\n\\n'", _O)} as simple,
+{_concat(f"'{prompts.TRAINING}\\n\\n### Instruction:\\n'", _I, "'\\n\\n### Response:\\n'", _O)} as training from script_pairs""")
 def prompt_formats(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "script_pairs").select("pair_id", *[prompts.formatter(n)("input", "output").alias(n) for n in prompts.FORMATS])
 

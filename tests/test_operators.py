@@ -134,6 +134,9 @@ def test_scores_stay_in_their_ranges(spark):
         assert all(low <= r[0] <= high for r in rows.select(f("d", "c")).collect())
     n = spark.createDataFrame([("x" * k,) for k in (10, 50, 125, 200, 800, 1400, 2000, 2001)], "c string")
     assert [round(r[0], 6) for r in n.select(score.length_score("c")).collect()] == [0.1, 0.1, 0.55, 1.0, 1.0, 0.65, 0.3, 0.3]
+    blocks = spark.createDataFrame([("```python\nimport x\ndef f():\n    return 1\n```",), ("no code",), (None,)], "c string")
+    got = blocks.select(score.block_score("c", score.parsing_blocks(score.answer_blocks("c"))).alias("s")).collect()
+    assert [round(r["s"], 6) for r in got] == [0.6, 0.1, 0.1]
     four = spark.createDataFrame([("entry exit stop sma",)], "c string")
     assert four.select(score.group_score("c")).first()[0] == pytest.approx(1.0)
 
@@ -147,7 +150,7 @@ def test_similarity(spark):
 
 def test_prompts(spark):
     rows = spark.createDataFrame([("i", "o")], schemas.PAIR)
-    assert prompts.formatted(rows, "conversation").first()["text"] == "Human: i\n\nAssistant: o"
+    assert prompts.formatted(rows, "conversation", system="s").first()["text"] == "System: s\n\nHuman: i\n\nAssistant: o"
     assert prompts.formatted(rows, "simple", separator="|").first()["text"] == "i|o"
     with pytest.raises(ValueError):
         prompts.formatter("other")
