@@ -61,6 +61,12 @@ def write_pairs(df: DataFrame, path: str, pair: list[str], metadata: list[str])
     return df.agg(F.count("*").alias("rows"))
 
 
+def write_run(df: DataFrame, path: str, **metadata: str | int | float | bool) -> None:
+    """Rows and the run's metadata (a row of its own), as a folder each."""
+    df.write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/results")
+    df.sparkSession.createDataFrame([tuple(metadata.values())], list(metadata)).write.mode("overwrite").json(f"{path}/metadata")
+
+
 def file_inventory(df: DataFrame) -> DataFrame:
     """(file, size_mb, rows, modified) of the files a DataFrame is read from."""
     m = F.col("_metadata")

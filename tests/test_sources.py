@@ -30,6 +30,8 @@ def test_parquet_round_trip(spark, tmp_path):
     (tmp_path / "out" / "bad.parquet").write_bytes(b"no parquet")
     good = spark.read.schema(back.schema).option("ignoreCorruptFiles", True).parquet(str(tmp_path / "out"))
     assert good.count() == 1
+    files.write_run(rows, str(tmp_path / "run"), batch=3, final=True)
+    assert spark.read.json(str(tmp_path / "run" / "metadata")).first()["batch"] == 3 and spark.read.json(str(tmp_path / "run" / "results")).count() == 3
     assert files.write_pairs(rows, str(tmp_path / "two"), ["name"], ["id"]).first()["rows"] == 3
 
 
