@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.session import cut, stored
 
-#: Midpoints a round counts together, per contributor.
-WAYS = 16
+#: A round counts the records above 2^8 midpoints of each contributor together.
+CELL_BITS = 8
 _LOWEST = -(2**63) + 1
 
 
@@ -33,23 +33,23 @@ def as_long(df: DataFrame, score: str) -> Column:
 def cutoffs(counts: DataFrame, caps: DataFrame, few: bool = False) -> DataFrame:
     """(who, cut, above): the largest score with at least ``cap`` records at or above it, and the records above it.
 
-    ``counts`` is (who, score, n), ``caps`` (who, cap), each cap at least 1 and at most the contributor's records. A round
-    cuts the open interval of every contributor at 15 midpoints and counts all records above all of them in one aggregation
-    with map-side combine; no contributor's records are ever sorted or gathered. ``few``: the contributors are so few that
-    their bounds may be broadcast.
+    ``counts`` is (who, score, n), ``caps`` (who, cap), each cap at least 1 and at most the contributor's records. A round cuts
+    every contributor's interval [lo, hi] into up to 256 cells of equal width, a power of two, and counts all records by cell in
+    one aggregation with map-side combine; the running sums from the top are the records above every midpoint, and the cell in
+    which they reach the cap is the next interval. No contributor's records are ever sorted or gathered. ``few``: the
+    contributors are so few that their bounds may be broadcast.
     """
     side = F.broadcast if few else (lambda x: x)
-    bounds = cut(counts.groupBy("who").agg(F.min("score").alias("lo"), (F.max("score") + 1).alias("hi")).join(side(caps), "who"))
     counts = counts.join(side(caps.select("who")), "who", "left_semi")
-    while not bounds.where("hi - 1 > lo").isEmpty():
-        step = f"greatest(hi div {WAYS} - lo div {WAYS}, 1L)"
-        # Added up in steps that stay between lo and hi, as their product may not fit a long.
-        mids = [F.expr(f"least(lo {f'+ 4 * {step} ' * (j // 4)} + {j % 4} * {step}, hi)") for j in range(1, WAYS)]
-        above = counts.join(side(bounds), "who").groupBy("who").agg(*[F.sum(F.when(F.col("score") >= m, F.col("n")).otherwise(0)).alias(f"a{j}") for j, m in enumerate(mids, 1)])
-        both = bounds.join(above, "who")
-        lo = F.greatest(F.col("lo"), *[F.when(F.col(f"a{j}") >= F.col("cap"), m) for j, m in enumerate(mids, 1)])
-        hi = F.least(F.col("hi"), *[F.when(F.col(f"a{j}") < F.col("cap"), m) for j, m in enumerate(mids, 1)])
-        bounds = cut(both.select("who", "cap", lo.alias("lo"), hi.alias("hi")))
+    bounds = cut(counts.groupBy("who").agg(F.min("score").alias("lo"), F.max("score").alias("hi")).join(side(caps), "who"))
+    top = Window.partitionBy("who").orderBy(F.desc("cell"))  # over at most 257 cells
+    while not bounds.where("hi > lo").isEmpty():
+        wide = bounds.withColumn("s", F.expr(f"greatest(length(bin(lo ^ hi)) - {CELL_BITS}, 0)"))
+        cell = F.expr("if(score > hi, shiftright(hi, s) + 1, shiftright(score, s))")
+        cells = counts.join(side(wide), "who").where("score >= lo").groupBy("who", "cap", "lo", "hi", "s", cell.alias("cell")).agg(F.sum("n").alias("n"))
+        reached = cells.withColumn("upto", F.sum("n").over(top)).where("upto >= cap").groupBy("who", "cap", "lo", "hi", "s").agg(F.max("cell").alias("cell"))
+        first = F.expr("shiftleft(cell, s)")
+        bounds = cut(reached.select("who", "cap", F.greatest(F.col("lo"), first).alias("lo"), F.least(F.col("hi"), first.bitwiseOR(F.expr("shiftleft(1L, s) - 1"))).alias("hi")))
     cuts = bounds.select("who", F.col("lo").alias("cut"))
     over = counts.join(side(cuts), "who").groupBy("who").agg(F.sum(F.when(F.col("score") > F.col("cut"), F.col("n")).otherwise(0)).alias("above"))
     return cuts.join(over, "who")

@@ -16,7 +16,7 @@ from corpusloom.llm.pairs import DEFECTS, broken_pairs
 from corpusloom.llm.people import name_node, person_keys, persons
 from corpusloom.llm.splits import assign_splits, code_node, together
 from corpusloom.llm.toxicity import fitted, rates, score
-from corpusloom.session import stored
+from corpusloom.session import ship, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -32,6 +32,7 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -61,7 +62,8 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "strategies").select("row_id", person_keys().alias("keys"), F.coalesce(F.nullif("likes_count", F.lit(0)), "preview_likes_count", F.lit(0)).alias("likes"))
     rows = stored(rows, "likes")
     first = persons(rows).withColumnRenamed("node", "key")
-    who = rows.select("row_id", "likes", F.get("keys", F.lit(0)).alias("key")).join(first, "key", "left").select("row_id", "likes", F.col("root").alias("who"))
+    named = rows.where(F.size("keys") > 0).select("row_id", "likes", F.col("keys")[0].alias("key")).join(first, "key").select("row_id", "likes", F.col("root").alias("who"))
+    who = named.union(rows.where(F.size("keys") <= 0).select("row_id", "likes", F.lit(None).cast("string")))
     return cap_contributors(who, "who", "likes", "row_id", max_share=0.02).where("not kept").select(F.col("record").alias("row_id"))
 
 
