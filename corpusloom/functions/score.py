@@ -5,6 +5,7 @@ The vocabularies are parameters; their defaults are fixed values. Terms are matc
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 import pandas as pd
@@ -34,6 +35,13 @@ GROUPS = (
     ("backtest", "performance", "sharpe", "returns"),
 )
 TECHNICAL = ("algorithm", "strategy", "indicator", "signal", "portfolio", "volatility", "momentum", "trend", "support", "resistance", "timeframe", "market", "price", "volume")
+#: Terms of ``keyword_relevance``, which says what repeats mean.
+RELEVANT = (
+    "sma", "ema", "rsi", "macd", "bollinger", "stochastic", "atr", "adx", "momentum", "williams", "cci", "roc", "trix", "aroon", "vortex",
+    "buy", "sell", "signal", "entry", "exit", "stop", "profit", "loss", "position", "trade", "strategy", "backtest", "portfolio", "risk", "return", "equity", "drawdown", "sharpe", "volume", "price",
+    "dataframe", "close", "open", "high", "low", "volume", "date", "pandas", "numpy", "bt", "backtrader", "zipline", "pyfolio",
+    "def", "class", "import", "return", "if", "for", "while", "calculate", "compute", "analyze", "indicator", "signal",
+)
 FINANCE = ("profit", "loss", "return", "volatility", "sharpe", "drawdown")
 NEW = ("novel", "innovative", "unique", "creative", "advanced", "hybrid")
 DOCSTRING = r'(?s)""".*?"""|' + r"(?s)'''.*?'''"
@@ -102,11 +110,11 @@ def length_score(c: Column | str, low: int = 50, good: int = 200, enough: int =
     )
 
 
-def keyword_relevance(c: Column | str, vocabulary: Sequence[str] = TECHNICAL) -> Column:
-    """0 to 1: 0.7 for up to 20 distinct keywords, 0.3 for up to 50 occurrences."""
-    t = _low(c)
-    total = _sum([occurrences(t, k) for k in vocabulary])
-    return F.lit(0.7) * F.least(hit_count(t, vocabulary) / 20.0, F.lit(1.0)) + F.lit(0.3) * F.least(total / 50.0, F.lit(1.0))
+def keyword_relevance(c: Column | str, vocabulary: Sequence[str] = RELEVANT) -> Column:
+    """0 to 1: 0.7 for up to 20 distinct keywords, 0.3 for up to 50 occurrences; those of a keyword listed twice count twice."""
+    t, times = _low(c), Counter(vocabulary)
+    total = _sum([occurrences(t, k) * F.lit(n) for k, n in times.items()])
+    return F.lit(0.7) * F.least(hit_count(t, tuple(times)) / 20.0, F.lit(1.0)) + F.lit(0.3) * F.least(total / 50.0, F.lit(1.0))
 
 
 def group_score(c: Column | str, groups: Sequence[Sequence[str]] = GROUPS) -> Column:

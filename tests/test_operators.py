@@ -128,6 +128,18 @@ def test_nested(spark):
     assert one(spark, "x", lambda c: nested.has_keys(models.taken_apart(c, c), ["core_method"])) is True
 
 
+def test_keyword_relevance_counts_its_own_list(spark):
+    assert (len(score.RELEVANT), len(set(score.RELEVANT))) == (60, 57)
+    texts = ["sma rsi buy entry stop", "Volume, volume and a signal", " ".join(score.RELEVANT), "algorithm trend market", "", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, c string")
+    got = dict(rows.select("id", score.keyword_relevance("c")).collect())
+    for i, t in enumerate(texts):
+        t = (t or "").lower()
+        distinct, total = len({k for k in score.RELEVANT if k in t}), sum(t.count(k) for k in score.RELEVANT)
+        assert got[i] == pytest.approx(0.7 * min(distinct / 20, 1) + 0.3 * min(total / 50, 1))
+    assert got[0] == pytest.approx(0.7 * 5 / 20 + 0.3 * 5 / 50) and got[1] == pytest.approx(0.7 * 2 / 20 + 0.3 * 6 / 50) and got[2] == 1
+
+
 def test_scores_stay_in_their_ranges(spark):
     rows = spark.createDataFrame([(None, None), ("", ""), ("x" * 5000, "note: " + "ta.sma(close) " * 400)], "d string, c string")
     for f, low, high in ((score.segment_score, 1, 10), (score.composite_reward, -1, 1), (score.small_reward, 0, 1)):
