@@ -143,7 +143,7 @@ def latest_crawls(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def dissimilar_parts(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "segments").where("source_id is not null and source_id <> 'unknown'").select("segment_id", "source_id", "output")
+    rows = table(spark, d, "segments").select("segment_id", "source_id", "output")
     return dedup.keep_dissimilar(rows, "source_id", "segment_id", "output").select("segment_id", "source_id")
 
 

@@ -10,6 +10,7 @@ from corpusloom import schemas
 from corpusloom.functions import clean, html, prompts, score, similarity, text
 from corpusloom.operators import aggregate, classify, dedup, filters, mixing, nested, select, series
 from corpusloom.plans import models, pipelines
+from corpusloom.queries import QUERIES
 from corpusloom.session import cut, shared_dir, stored
 
 
@@ -73,6 +74,21 @@ def test_dissimilar_rows(spark):
     assert {r["p"] for r in dedup.keep_dissimilar(rows, "g", "p", "c").collect()} == {1, 3, 4}
 
 
+def test_dissimilar_rows_of_large_groups(spark):
+    """Both paths, with null and empty codes, repeats and chains of similar codes; null is a group."""
+    codes = [None, "", "abcdefghij" * 3, "ABCDEFGHIJ" * 3, "abcdefghij" * 3 + "x" * 8, "abcdefghij" * 3 + "x" * 16, "0123456789", "abcdefghij" * 3 + "x", "0123 456789"]
+    rows = spark.createDataFrame([(g, 100 * k + i, c) for k, g in enumerate((None, "unknown", "s")) for i, c in enumerate(codes)] + [("t", 900, "x"), ("t", 901, "x")], "g string, p int, c string")
+    want = sorted(r["p"] for r in dedup.keep_dissimilar(rows, "g", "p", "c").collect())
+    assert [p for p in want if p < 100] == [0, 2, 5, 6] and len(want) == 13
+    assert sorted(r["p"] for r in dedup.keep_dissimilar(rows, "g", "p", "c", small=2).collect()) == want
+
+
+def test_dissimilar_parts_judges_every_segment(spark):
+    segments = spark.read.parquet("/root/testdata/sf0.01/segments.parquet")
+    kept = QUERIES["dissimilar_parts"](spark, "/root/testdata/sf0.01")
+    assert {r[0] for r in segments.select("source_id").distinct().collect()} == {r[0] for r in kept.select("source_id").distinct().collect()} >= {None, "unknown"}
+
+
 @pytest.mark.parametrize("share, a, b", [(0.5, 4, 4), (0.3, 4, 6), (0.8, 4, 0), (1.0, 4, 0), (0.0, 0, 6)])
 def test_mix(spark, share, a, b):
     rows = mixing.mix(spark.range(4), spark.range(100, 106), "id", share)
