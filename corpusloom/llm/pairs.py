@@ -45,17 +45,17 @@ REFUSALS = (
 
 #: Function words by language; single words that several languages use as often are left out.
 STOPWORDS = {
-    "en": "the and of to is that for with this when while after before only from under above by each then it was on not can has have if its are be who into between whenever so at an will",
+    "en": "the and of to is that for with this when while after before only from under above by each then it was on not can has have if its are be who into between whenever so at an will as do does no me we our you your they there here these this those than but any all both more most less over out up down until since per bar or in about such where which what how should would could must may does been were also same",
     "es": "el los las una del por para con que cuando si más está esta su sobre después antes entre desde cada pero como sin al y se tras mientras hasta durante abre supera queda vende compra espera",
     "pt": "o os as um uma do da dos das por para com que quando se mais está esta seu sobre depois antes entre desde cada mas como sem ao não e em até enquanto abaixo passa vale espera sinal ou",
     "fr": "le les une des du pour avec que quand si plus est cette son sur après avant entre depuis chaque mais comme sans au ne pas et dans lorsque sous la vaut ou puis reste sortie",
     "de": "der die das ein eine einen des für mit dass wenn mehr ist diese sein auf nach vor zwischen seit jede aber wie ohne und nicht im um von bei unter bis über sich zu den dem steht gilt während",
     "it": "il gli una della dei per con che quando se più è questa suo sopra dopo prima tra ogni ma come senza al non e nel mentre sotto di lo",
-    "tr": "ve bir bu için ile ne zaman eğer daha çok sonra önce her ama gibi olarak değil kadar olan ya da altında üstünde ise olur iken göre alır satar stratejisi değeri ayarını yapın seçin çıkınca düşerse aşarsa üstüne altına filtresi bekler bar kaybettikten geçersizdir kalan korur işlem açmaz",
+    "tr": "ve bir bu şu için ile ne zaman eğer daha çok az en sonra önce her hiç ama fakat ancak veya ya da gibi olarak değil var yok mı mi kadar olan oldu olur ise iken göre altında üstünde üzerinde üstüne altına içinde arasında karşı doğru çünkü yalnızca sadece bütün tüm bazı aynı diğer böyle şimdi hem ki onun bunun tarafından rağmen itibaren",
     "ru": "и в на не что для с когда если больше это его после до между каждый но как без по из при или то а от выше ниже пока чем",
 }
-#: Letters that speak for a language.
-_LETTERS = {"ğ": "tr", "ı": "tr", "ş": "tr", "ã": "pt", "õ": "pt", "ñ": "es", "ß": "de", "œ": "fr"}
+#: Letters that speak for languages.
+_LETTERS = {"ğ": ("tr",), "ı": ("tr",), "ş": ("tr",), "ü": ("tr", "de"), "ö": ("tr", "de"), "ç": ("tr", "fr", "pt"), "ä": ("de",), "ã": ("pt",), "õ": ("pt",), "ñ": ("es",), "ß": ("de",), "œ": ("fr",)}
 _VOTES: dict[str, list[str]] = {}
 for _language, _list in STOPWORDS.items():
     for _word in _list.split():
@@ -164,8 +164,9 @@ def copied(question: str, answer: str) -> tuple[float, float]:
     return count / len(a), sum(which) / len(q)
 
 
-def language(text: str) -> str | None:
-    """By script, else by the most stopwords; null if too little speaks for one."""
+def language(text: str, asked: str = "en") -> str | None:
+    """By script, else by the most votes of stopwords and letters; null if too little speaks for one: fewer than three votes, and
+    not two different stopwords of two or more letters with a lead of two votes over the language ``asked``."""
     han = kana = hangul = cyrillic = latin = 0
     for ch in text:
         if ch > "˿":
@@ -184,16 +185,23 @@ def language(text: str) -> str | None:
     if cyrillic >= 12 and cyrillic > latin * 2:
         return "ru"
     votes: Counter[str] = Counter()
+    voters: dict[str, set[str]] = {}
     for w in ws:
-        for language in _VOTES.get(w, ()):
+        of = list(_VOTES.get(w, ()))
+        for language in of:
+            if len(w) > 1:
+                voters.setdefault(language, set()).add(w)
+        if not w.isascii():
+            of += [x for letter, xs in _LETTERS.items() if letter in w for x in xs]
+        for language in of:
             votes[language] += 1
-        for letter, language in _LETTERS.items():
-            votes[language] += letter in w
-    votes = +votes
     if not votes:
         return None
     (best, n), second = votes.most_common(1)[0], (votes.most_common(2)[1][1] if len(votes) > 1 else 0)
-    return best if n >= 3 and n > second else None
+    if n <= second:
+        return None
+    clear = len(voters.get(best, ())) >= 2 and n - votes[asked] >= 2
+    return best if n >= 3 or clear else None
 
 
 def _plain(text: str) -> str:
@@ -262,6 +270,7 @@ def judge(question: str | None, answer: str | None, automaton: ahocorasick.Autom
     for line in lines[-2:]:
         if (_MARKER_LINE.match(line) or len(lines) == 1) and _GOES_ON.search(line) and (not is_code or not _CODE.search(_parts(line)[0])):
             return "truncated"
+    asked = (language(question) if not _CODE.search(_parts(question)[0]) else language(_parts(question)[1])) or "en"
     if is_code:
         if unclosed or len(fenced) % 2:
             return "truncated" if not _copy(question, text, True) else "copy"
@@ -269,15 +278,13 @@ def judge(question: str | None, answer: str | None, automaton: ahocorasick.Autom
             return "truncated"
         if _copy(question, inner, True):
             return "copy"
-        spoken = language(comments)
+        spoken = language(comments, asked)
     else:
         if _copy(question, text, False):
             return "copy"
-        spoken = language(text)
-    if spoken:
-        asked = language(question) if not _CODE.search(_parts(question)[0]) else language(_parts(question)[1])
-        if spoken != (asked or "en"):
-            return "language"
+        spoken = language(text, asked)
+    if spoken and spoken != asked:
+        return "language"
     if not is_code:
         last = text.rstrip()
         if not _SENTENCE_END.search(last) and len(tokens(last)) >= 4 or last.endswith(("...", "…")):

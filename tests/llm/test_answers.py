@@ -34,6 +34,17 @@ def test_defects(question, answer, want):
     assert pairs.judge(question, answer, pairs._refusing()) == want
 
 
+@pytest.mark.parametrize(
+    "comment, want",
+    [
+        ("16.75% zarardan sonra Fenor sinyali PELTEUQ üzerinde 7 çubuk susar", "language"), ("Compra cuando cierra sobre la media", "language"), ("nicht vor der Eröffnung", "language"),
+        ("Über-Trend", None), ("do as the Gödel Müller paper says", None), ("x, y and o, h, l, c", None), ("the façade of Çetin holds", None), ("el Niño", None),
+    ],
+)
+def test_short_comments(comment, want):
+    assert pairs.judge(Q, f"// {comment}\nfast = ta.ema(ohlc4, 9)\n", pairs._refusing()) == want
+
+
 def test_suffix_automaton_covers_common_stretches():
     rnd = random.Random(1)
     for _ in range(50):
