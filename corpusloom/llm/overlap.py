@@ -4,11 +4,12 @@ The texts of the evaluation splits lie in shards of bounded size, each in an FM-
 backward search: for each of their runs of ``k`` words the index tells the number of occurrences. A pair of similarity t
 shares at least t of a training text's distinct runs, so one of its (1 - t) rarest ones must occur in the evaluation text;
 only these are located. From each hit the match is extended to a maximal one, spans are merged, and the exact similarity
-decides. So the index loses nothing, and common phrases cost nothing.
+decides. So a shard's index loses no pair with a text sent to it, and common phrases cost nothing.
 
 A training text is sent only to the shards that hold a text with a similar signature (one that agrees in all but one of five
 symbols of a segment, see ``neardup``), so that the work grows with the texts and not with texts times shards. What is found
-there is up to the index alone: all texts of the shard are searched.
+there is up to the index alone: all texts of the shard are searched. Texts without a similar signature are not searched for, so a
+pair can be lost if the signatures miss it, with the probabilities that the README gives.
 """
 
 from __future__ import annotations
