@@ -91,11 +91,13 @@ def _dissimilar_of_large(rows: DataFrame, columns: list[str], position: str, cod
 
     # Each text is in one block of its group and meets the earlier ones of the whole group there.
     blocks = F.ceil(F.col("n") / block).cast("int")
-    side = lambda s, salt: texts.select(F.col("__g").alias(f"g{s}"), F.col("id").alias(f"id{s}"), F.col("o").alias(f"o{s}"), F.col("__t").alias(f"t{s}"), salt.alias(f"s{s}"))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a given number, as few bytes are long work here
+    key = F.concat_ws("/", "salt", F.to_json(F.struct("__g")))
+    side = lambda s, salt: texts.withColumn("salt", salt).select(key.alias(f"k{s}"), F.col("id").alias(f"id{s}"), F.col("o").alias(f"o{s}"), F.col("__t").alias(f"t{s}")).repartition(parts, f"k{s}")
     b, a = side("b", F.pmod(F.xxhash64("id"), blocks).cast("int")), side("a", F.explode(F.sequence(F.lit(0), blocks - 1)))
     x, y = F.length("ta"), F.length("tb")
     near = F.least(x, y) * 2 >= (x + y) * F.lit(most - 1e-9)  # a bound on the ratio
-    met = b.join(a, F.col("gb").eqNullSafe(F.col("ga")) & (F.col("sb") == F.col("sa")) & (F.col("oa") < F.col("ob")) & near)
+    met = b.join(a, (F.col("kb") == F.col("ka")) & (F.col("oa") < F.col("ob")) & near)
     edges = cut(met.where(alike("ta", "tb")).select(F.col("ida").alias("a"), F.col("idb").alias("b")))
 
     # What no undecided row precedes is kept, and what is like it dropped, until no pair is left.
