@@ -63,10 +63,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def partitions_for(spark: SparkSession, rows: int, per_task: int) -> int:
+    """Partitions for so many rows, at least the session's number."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_task))
+
+
+def stored_at(df: DataFrame, name: str, *by: str) -> str:
+    """Write ``df`` as a Parquet table in the shared folder, in folders by columns if any are given; its path."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.partitionBy(*by).parquet(path)
+    return path
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back: columnar and compressed, for tables that are
     read several times with different columns."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(stored_at(df, name))
