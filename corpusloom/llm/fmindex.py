@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import io
+
 import numpy as np
 
+from corpusloom.llm.words import run_hashes
+
 #: Every fourth text position keeps its suffix-array entry; the others are walked to one.
 SAMPLE = 4
 
@@ -32,13 +36,20 @@ def suffix_array(seq: np.ndarray) -> np.ndarray:
 class Bits:
     """A bit vector with constant-time rank: packed words and the ones before each word."""
 
-    def __init__(self, bits: np.ndarray) -> None:
+    def __init__(self, words: np.ndarray) -> None:
+        self.words = words
+        ones = np.bitwise_count(self.words).astype(np.int64)
+        self.before = np.concatenate([[0], np.cumsum(ones)[:-1]])
+
+    @classmethod
+    def of(cls, bits: np.ndarray) -> Bits:
         n = len(bits)
         padded = np.zeros((n // 64 + 1) * 64, dtype=np.uint8)
         padded[:n] = bits
-        self.words = np.packbits(padded, bitorder="little").view(np.uint64)
-        ones = np.bitwise_count(self.words).astype(np.int64)
-        self.before = np.concatenate([[0], np.cumsum(ones)[:-1]])
+        return cls(np.packbits(padded, bitorder="little").view(np.uint64))
+
+    def unpacked(self, n: int) -> np.ndarray:
+        return np.unpackbits(self.words.view(np.uint8), count=n, bitorder="little")
 
     def rank(self, i: np.ndarray) -> np.ndarray:
         w = i >> 6
@@ -50,31 +61,70 @@ class Bits:
 
 
 class FmIndex:
-    """Over texts given as arrays of 64-bit word hashes. Symbol 0 separates texts and is never searched for."""
+    """Over texts given as arrays of 64-bit word hashes. Symbol 1 ends each text and 0 the sequence; neither is searched for.
+
+    Beside the transform it keeps two small tables made from it: the intervals of all pairs of words, from which backward search
+    starts, and a bitmap of the hashes of all runs of ``k`` words, which tells most absent runs without a search. The texts
+    themselves are not kept: ``extract`` reads them back from the transform.
+    """
 
-    def __init__(self, texts: list[np.ndarray]) -> None:
+    def __init__(self, texts: list[np.ndarray], k: int) -> None:
+        self.k = k
         lengths = np.array([len(t) for t in texts], dtype=np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(lengths + 1)])  # of each text in the sequence
+        self.starts = np.concatenate([[0], np.cumsum(lengths + 1)]).astype(np.int64)  # of each text in the sequence
         self.vocabulary = np.unique(np.concatenate(texts)) if len(texts) else np.empty(0, dtype=np.uint64)
-        seq = np.zeros(int(self.starts[-1]), dtype=np.int64)
+        n, sigma = int(self.starts[-1]) + 1, len(self.vocabulary) + 2
+        seq, runs = np.ones(n, dtype=np.int64), []
+        seq[-1] = 0
         for s, t in zip(self.starts, texts):
-            seq[s : s + len(t)] = np.searchsorted(self.vocabulary, t) + 1
-        self.seq = seq.astype(np.int32)
-        n, sigma = len(seq), len(self.vocabulary) + 1
-        sa = suffix_array(seq) if n else np.empty(0, dtype=np.int64)
-        bwt = seq[sa - 1]
+            seq[s : s + len(t)] = np.searchsorted(self.vocabulary, t) + 2
+            runs.append(np.unique(run_hashes(t, k)))
+        self.runs = np.array([len(r) for r in runs], dtype=np.int32)  # distinct runs of each text
+        every = np.concatenate(runs) if runs else np.empty(0, dtype=np.uint64)
+        self.bits = max(10, int(len(every) * 16 - 1).bit_length())
+        bitmap = np.zeros(1 << self.bits, dtype=bool)
+        bitmap[(every >> np.uint64(64 - self.bits)).astype(np.int64)] = True
+        self.bitmap = np.packbits(bitmap, bitorder="little")
+        sa = suffix_array(seq)
         self.first = np.concatenate([[0], np.cumsum(np.bincount(seq, minlength=sigma))])  # C: suffixes that start with a smaller symbol
-        self.depth = max(1, int(sigma - 1).bit_length())
-        self.levels, self.zeros, level = [], [], bwt
-        for d in range(self.depth - 1, -1, -1):
+        pair = seq[sa] * sigma + seq[(sa + 1) % n]
+        begins = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+        self.pairs, self.pair_at = pair[begins], np.concatenate([begins, [n]]).astype(np.int32)
+        marked = sa % SAMPLE == 0
+        self.marks, self.samples = Bits.of(marked), sa[marked].astype(np.int32)
+        level = seq[sa - 1]
+        self.levels, self.zeros, depth = [], [], self._depth(sigma)
+        for d in range(depth - 1, -1, -1):
             bit = (level >> d) & 1
-            self.levels.append(Bits(bit))
+            self.levels.append(Bits.of(bit))
             self.zeros.append(n - int(bit.sum()))
             level = np.concatenate([level[bit == 0], level[bit == 1]])
-        symbols = np.arange(sigma, dtype=np.int64)
-        self.base = self._down(symbols, np.zeros(sigma, dtype=np.int64))
-        marked = sa % SAMPLE == 0
-        self.marks, self.samples = Bits(marked), sa[marked].astype(np.int32)
+        self._prepare()
+
+    @staticmethod
+    def _depth(sigma: int) -> int:
+        return max(1, int(sigma - 1).bit_length())
+
+    def _prepare(self) -> None:
+        sigma = len(self.vocabulary) + 2
+        self.sigma, self.depth = sigma, self._depth(sigma)
+        self.base = self._down(np.arange(sigma, dtype=np.int64), np.zeros(sigma, dtype=np.int64))
+
+    def dumped(self) -> bytes:
+        out = io.BytesIO()
+        levels = np.stack([b.words for b in self.levels])
+        np.savez(out, k=self.k, bits=self.bits, starts=self.starts, vocabulary=self.vocabulary, runs=self.runs, bitmap=self.bitmap, first=self.first, pairs=self.pairs, pair_at=self.pair_at, marks=self.marks.words, samples=self.samples, levels=levels, zeros=np.array(self.zeros))
+        return out.getvalue()
+
+    @classmethod
+    def loaded(cls, data: bytes) -> FmIndex:
+        self, z = cls.__new__(cls), np.load(io.BytesIO(data))
+        self.k, self.bits = int(z["k"]), int(z["bits"])
+        for name in ("starts", "vocabulary", "runs", "bitmap", "first", "pairs", "pair_at", "samples"):
+            setattr(self, name, z[name])
+        self.marks, self.levels, self.zeros = Bits(z["marks"]), [Bits(w) for w in z["levels"]], [int(x) for x in z["zeros"]]
+        self._prepare()
+        return self
 
     def _down(self, c: np.ndarray, i: np.ndarray) -> np.ndarray:
         for level, (bits, zeros) in enumerate(zip(self.levels, self.zeros)):
@@ -87,7 +137,12 @@ class FmIndex:
         if not len(self.vocabulary):
             return np.full(len(hashes), -1, dtype=np.int64)
         at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
-        return np.where(self.vocabulary[at] == hashes, at + 1, -1)
+        return np.where(self.vocabulary[at] == hashes, at + 2, -1)
+
+    def may_hold(self, runs: np.ndarray) -> np.ndarray:
+        """Whether an indexed text may have these runs (hashes); all that are there, and at most a sixteenth of the others."""
+        spot = (runs >> np.uint64(64 - self.bits)).astype(np.int64)
+        return (self.bitmap[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1 == 1
 
     def back(self, c: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """One step of backward search: the suffixes c·w of those intervals [lo, hi) of suffixes w."""
@@ -98,14 +153,31 @@ class FmIndex:
         """[lo, hi) of the suffixes that start with each run (a row of symbols, -1 anywhere matches nothing)."""
         lo, hi = np.zeros(len(runs), dtype=np.int64), np.zeros(len(runs), dtype=np.int64)
         live = np.flatnonzero((runs >= 0).all(axis=1))
-        c = runs[live, -1]
-        lo[live], hi[live] = self.first[c], self.first[c + 1]
-        for j in range(runs.shape[1] - 2, -1, -1):
+        if not len(live):
+            return lo, hi
+        if runs.shape[1] == 1:
+            c = runs[live, 0]
+            lo[live], hi[live] = self.first[c], self.first[c + 1]
+            return lo, hi
+        pair = runs[live, -2] * self.sigma + runs[live, -1]
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        there = self.pairs[at] == pair
+        live, at = live[there], at[there]
+        lo[live], hi[live] = self.pair_at[at], self.pair_at[at + 1]
+        for j in range(runs.shape[1] - 3, -1, -1):
             a, b = self.back(runs[live, j], lo[live], hi[live])
             lo[live], hi[live] = a, b
             live = live[b > a]
         return lo, np.maximum(lo, hi)
 
+    def _step(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of suffix-array rows the symbol before each suffix, and the row of the suffix that starts with it."""
+        i, c = rows, np.zeros(len(rows), dtype=np.int64)
+        for bits, zeros in zip(self.levels, self.zeros):
+            b, ones = bits.get(i), bits.rank(i)
+            c, i = (c << 1) | b, np.where(b == 1, zeros + ones, i - ones)
+        return c, self.first[c] + i - self.base[c]
+
     def locate(self, rows: np.ndarray) -> np.ndarray:
         """Text positions of suffix-array rows."""
         rows, out, walked = rows.copy(), np.full(len(rows), -1, dtype=np.int64), 0
@@ -115,13 +187,35 @@ class FmIndex:
             done = todo[hit]
             out[done] = self.samples[self.marks.rank(rows[done])] + walked
             todo = todo[~hit]
-            i, c = rows[todo], np.zeros(len(todo), dtype=np.int64)
-            for bits, zeros in zip(self.levels, self.zeros):
-                b, ones = bits.get(i), bits.rank(i)
-                c, i = (c << 1) | b, np.where(b == 1, zeros + ones, i - ones)
-            rows[todo] = self.first[c] + i - self.base[c]
+            rows[todo] = self._step(rows[todo])[1]
             walked += 1
         return out
 
+    def extract(self, texts: np.ndarray) -> list[np.ndarray]:
+        """The words (hashes) of texts by number, read back from the sampled positions, all at once."""
+        n = int(self.starts[-1]) + 1
+        row_of = np.empty(len(self.samples), dtype=np.int64)
+        row_of[self.samples // SAMPLE] = np.flatnonzero(self.marks.unpacked(n))
+        lo, hi = self.starts[texts], self.starts[texts + 1] - 1
+        # Every sampled position from the first after a text's begin to the first at or after its end; a text's last words may
+        # lie before the next sample, which stands in the following text, or before the sequence's end, that is before position 0.
+        a, b = lo // SAMPLE + 1, (hi + SAMPLE - 1) // SAMPLE
+        count = np.maximum(b - a + 1, 0)
+        sample = np.repeat(a - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(int(count.sum()))
+        wrapped = sample >= len(row_of)
+        steps = np.where(wrapped, (n - 1) % SAMPLE + 1, SAMPLE)
+        rows, at = row_of[np.where(wrapped, 0, sample)], np.where(wrapped, n, sample * SAMPLE)
+        place, word = [], []
+        for _ in range(SAMPLE):
+            go = steps > 0
+            rows, at, steps = rows[go], at[go] - 1, steps[go] - 1
+            c, rows = self._step(rows)
+            place.append(at)
+            word.append(c)
+        place, first = np.unique(np.concatenate(place), return_index=True)
+        word = np.concatenate(word)[first]
+        begin, end = np.searchsorted(place, lo), np.searchsorted(place, hi)
+        return [self.vocabulary[word[x:y] - 2] for x, y in zip(begin, end)]
+
     def text_of(self, positions: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.starts, positions, side="right") - 1

@@ -20,15 +20,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.llm import words as W
 from corpusloom.llm.components import components
 from corpusloom.llm.reduce import keep_ids
-from corpusloom.session import stored
+from corpusloom.session import cut, partitions_for, stored
 
 SYMBOLS = 5
+#: Keys shuffled to one task, and classes of one key in a block.
+KEYS_A_TASK, BLOCK = 1_000_000, 1_000
 _FEATURES = "tid long, field int, held boolean, c1 long, c2 long, n int, low binary, high binary"
 
 
@@ -48,6 +51,8 @@ def _multipliers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _features(n_cols: int, k: int, symbols: int, min_words: int):
+    """(id, held, t0, ...) -> a row for each text of enough words; the signature is empty if ``symbols`` is 0."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher, (a, b) = W.WordHasher(), _multipliers(symbols)
         for batch in batches:
@@ -57,11 +62,13 @@ def _features(n_cols: int, k: int, symbols: int, min_words: int):
                     ws = W.words(text)
                     if len(ws) < max(min_words, k):
                         continue
-                    runs = np.unique(W.run_hashes(hasher(ws), k))
-                    low = np.full(symbols, np.iinfo(np.uint64).max, dtype=np.uint64)
-                    for at in range(0, len(runs), 4096):  # bounded memory for very long texts
-                        low = np.minimum(low, (runs[at : at + 4096, None] * a[None, :] + b[None, :]).min(axis=0))
-                    sig = (W.mixed(low) >> np.uint64(48)).astype(np.uint16)
+                    sig = np.empty(0, dtype=np.uint16)
+                    if symbols:
+                        runs = np.unique(W.run_hashes(hasher(ws), k))
+                        low = np.full(symbols, np.iinfo(np.uint64).max, dtype=np.uint64)
+                        for at in range(0, len(runs), 4096):  # bounded memory for very long texts
+                            low = np.minimum(low, (runs[at : at + 4096, None] * a[None, :] + b[None, :]).min(axis=0))
+                        sig = (W.mixed(low) >> np.uint64(48)).astype(np.uint16)
                     rows.append((int(i) * n_cols + field, field, bool(held), *W.content_hash(ws), len(ws), (sig & 255).astype(np.uint8).tobytes(), (sig >> 8).astype(np.uint8).tobytes()))
             yield pd.DataFrame(rows, columns=["tid", "field", "held", "c1", "c2", "n", "low", "high"])
 
@@ -69,7 +76,8 @@ def _features(n_cols: int, k: int, symbols: int, min_words: int):
 
 
 def _variant_keys(segments: int):
-    """(cls, field, low, high) -> a row for each one-wildcard variant of each segment."""
+    """(cls, field, low, high) -> a row for each one-wildcard variant of each segment, with the symbol under the wildcard; -1 for
+    that of the first variant."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         weights = W.mixed(np.arange(101, 101 + SYMBOLS, dtype=np.uint64)) | np.uint64(1)
@@ -80,10 +88,12 @@ def _variant_keys(segments: int):
                 n = len(part)
                 low = np.frombuffer(b"".join(part["low"]), dtype=np.uint8).astype(np.uint64)
                 high = np.frombuffer(b"".join(part["high"]), dtype=np.uint8).astype(np.uint64)
-                sym = ((high << np.uint64(8)) | low).reshape(n, segments, SYMBOLS) + np.uint64(1)
-                part_sum = sym * weights
+                sym = ((high << np.uint64(8)) | low).reshape(n, segments, SYMBOLS)
+                part_sum = (sym + np.uint64(1)) * weights
                 keys = W.mixed(part_sum.sum(axis=2, dtype=np.uint64)[:, :, None] - part_sum + place + part["field"].to_numpy().astype(np.uint64)[:, None, None] * np.uint64(W.GOLDEN))
-                yield pd.DataFrame({"key": keys.reshape(-1).view(np.int64), "cls": np.repeat(part["cls"].to_numpy(), segments * SYMBOLS)})
+                under = sym.astype(np.int32)
+                under[:, :, 0] = -1
+                yield pd.DataFrame({"key": keys.reshape(-1).view(np.int64), "cls": np.repeat(part["cls"].to_numpy(), segments * SYMBOLS), "under": under.reshape(-1)})
 
     return run
 
@@ -99,27 +109,19 @@ def _agree(least: int):
 
 
 def _run_sets(k: int):
-    """Rows of texts asked for by a pair -> the pair and the text's distinct runs."""
+    """(tid, text) -> (tid, runs): the text's distinct runs."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = W.WordHasher()
         for batch in batches:
-            sets = [np.unique(W.run_hashes(hasher(W.words(t)), k)).tobytes() for t in batch["text"]]
-            yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "tid": batch["tid"], "runs": sets})
+            yield pd.DataFrame({"tid": batch["tid"], "runs": [np.unique(W.run_hashes(hasher(W.words(t)), k)).tobytes() for t in batch["text"]]})
 
     return run
 
 
-def _checked(threshold: float):
-    @F.pandas_udf("double")
-    def check(sets: pd.Series) -> pd.Series:
-        out = []
-        for pair in sets:
-            x, y = (np.frombuffer(p, dtype=np.uint64) for p in pair) if len(pair) == 2 else (np.empty(0), np.empty(0))
-            out.append(W.jaccard(x, y))
-        return pd.Series(out, dtype="float64")
-
-    return check
+@F.pandas_udf(T.DoubleType())
+def _similarity(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([W.jaccard(np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)) for x, y in zip(a, b)], dtype="float64")
 
 
 def sources(df: DataFrame, id_col: str, text_cols: list[str], held: Column | None = None) -> DataFrame:
@@ -129,33 +131,45 @@ def sources(df: DataFrame, id_col: str, text_cols: list[str], held: Column | Non
 
 
 def texts_of(src: DataFrame, n: int, wanted: DataFrame) -> DataFrame:
-    """(tid, text) of the wanted texts, and of few others: a bitmap drops most of the rest before the shuffle."""
+    """(tid, text) of the wanted texts (tid, each once)."""
     each = [F.struct((F.col("id") * n + i).alias("tid"), F.col(f"t{i}").alias("text")) for i in range(n)]
     texts = src.select(F.explode(F.array(*each)).alias("t")).select("t.*").where("text is not null")
-    return keep_ids(texts, "tid", wanted).dropDuplicates(["tid"])
+    return keep_ids(texts, "tid", wanted).join(wanted, "tid").dropDuplicates(["tid"])
 
 
-def text_classes(src: DataFrame, n: int, *, k: int, threshold: float, min_words: int) -> tuple[DataFrame, DataFrame]:
-    """``(members, reps)``: members (record, field, held, cls), reps (cls, field, held, n, low, high) with the signature of each
-    class of identical texts. ``held`` and other texts have classes of their own."""
+def text_classes(src: DataFrame, n: int, *, k: int, min_words: int, symbols: int = 0) -> tuple[DataFrame, DataFrame]:
+    """``(members, reps)``: members (record, field, held, cls), reps (cls, field, held, n, low, high) with the words and the
+    signature of each class of texts of the same words. ``held`` and other texts have classes of their own."""
     same = ["field", "held", "c1", "c2"]
-    features = stored(src.mapInPandas(_features(n, k, segments_for(threshold) * SYMBOLS, min_words), _FEATURES), "features")
+    features = stored(src.mapInPandas(_features(n, k, symbols, min_words), _FEATURES), "features")
     classes = features.groupBy(*same).agg(F.min("tid").alias("cls"))
     members = features.join(classes, same).select(F.expr(f"(tid - field) div {n}").alias("record"), "field", "held", "cls").distinct()
     firsts = [F.first(c).alias(c) for c in ("n", "low", "high")]  # equal in a class
     return members, stored(features.groupBy(*same).agg(F.min("tid").alias("cls"), *firsts).drop("c1", "c2"), "classes")
 
 
-def likely_pairs(reps: DataFrame, threshold: float, across: bool = False) -> DataFrame:
-    """(a, b): classes that share a variant of a segment and agree in enough symbols; ``across``: only pairs of a class that
-    isn't held (a) and one that is (b), otherwise a < b."""
-    segments = segments_for(threshold)
-    keys = lambda x: x.mapInPandas(_variant_keys(segments), "key long, cls long")
-    if across:
-        x, y, also = keys(reps.where("not held")), keys(reps.where("held")), ""
-    else:
-        x, y, also = keys(reps), keys(reps), " and x.cls < y.cls"
-    met = x.alias("x").join(y.alias("y"), F.expr("x.key = y.key" + also)).select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
+def variants(reps: DataFrame, segments: int) -> DataFrame:
+    """(key, cls, under, size): the keys that at least two classes have, and the number of classes that have each. One shuffle of
+    all keys, in partitions of a bounded number; what follows only sees the keys that are shared."""
+    parts = partitions_for(reps.sparkSession, reps.count() * segments * SYMBOLS, KEYS_A_TASK)
+    keys = reps.mapInPandas(_variant_keys(segments), "key long, cls long, under int").repartition(parts, "key")
+    return stored(keys.withColumn("size", F.count("*").over(Window.partitionBy("key"))).where("size > 1"), "variants")
+
+
+def _met(some: DataFrame, every: DataFrame, condition: str) -> DataFrame:
+    """(a, b), a < b: classes of ``some`` with those of ``every`` that have the same key and differ under the wildcard (equal
+    segments meet under the first variant alone). The classes of a large key are cut into blocks, each a part of its own."""
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    x = some.withColumn("block", F.when(F.col("size") > BLOCK, F.pmod(F.xxhash64("cls"), blocks)).otherwise(F.lit(0)).cast("int"))
+    y = every.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    spread = lambda d: d.repartition(partitions_for(d.sparkSession, some.count(), KEYS_A_TASK), "key", "block")
+    same = F.expr("x.key = y.key and x.block = y.block and (x.under = -1 or x.under <> y.under) and " + condition)
+    met = spread(x).alias("x").join(spread(y).alias("y"), same)
+    return met.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")).distinct()
+
+
+def likely(met: DataFrame, reps: DataFrame, threshold: float, segments: int) -> DataFrame:
+    """The pairs (a, b) whose signatures agree in enough symbols."""
     sketch = reps.select("cls", "low")
     return (
         met.join(sketch.select(F.col("cls").alias("a"), F.col("low").alias("low_a")), "a")
@@ -165,6 +179,17 @@ def likely_pairs(reps: DataFrame, threshold: float, across: bool = False) -> Dat
     )
 
 
+def _verified(pairs: DataFrame, src: DataFrame, n: int, k: int, threshold: float) -> DataFrame:
+    """(cls_a, cls_b, similarity) of the pairs (a, b) that reach the threshold. Every text that is in a pair is read and hashed
+    once; its set of runs then goes to its pairs."""
+    pairs = stored(pairs, "candidates")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("tid")).distinct()
+    sets = stored(texts_of(src, n, wanted).mapInPandas(_run_sets(k), "tid long, runs binary"), "run-sets")
+    both = pairs.join(sets.toDF("a", "runs_a"), "a").join(sets.toDF("b", "runs_b"), "b")
+    found = both.select(F.col("a").alias("cls_a"), F.col("b").alias("cls_b"), _similarity("runs_a", "runs_b").alias("similarity"))
+    return found.where(F.col("similarity") >= threshold)
+
+
 def near_duplicate_links(df: DataFrame, id_col: str, text_cols: list[str], *, k: int = 5, threshold: float = 0.8, min_words: int = 1) -> tuple[DataFrame, DataFrame]:
     """``(members, links)``: members (record, field, held, cls) has each record's class of identical texts (by words) in each text
     column, links (field, cls_a, cls_b, similarity) the pairs of classes whose similarity is at least ``threshold``.
@@ -173,36 +198,47 @@ def near_duplicate_links(df: DataFrame, id_col: str, text_cols: list[str], *, k:
     ``id_col`` must be an integer; rows whose id is null are ignored, repeated rows count once. Null, empty and short texts
     (under ``min_words`` or ``k`` words) have no class. Other columns are not read.
     """
-    n = len(text_cols)
+    n, segments = len(text_cols), segments_for(threshold)
     src = sources(df, id_col, text_cols)
-    members, reps = text_classes(src, n, k=k, threshold=threshold, min_words=min_words)
-    likely = stored(likely_pairs(reps, threshold), "candidates")
-    wanted = likely.select("a", "b", F.explode(F.array("a", "b")).alias("tid"))
-    sets = wanted.join(texts_of(src, n, wanted.select("tid")), "tid").mapInPandas(_run_sets(k), "a long, b long, tid long, runs binary")
-    pairs = sets.groupBy("a", "b").agg(F.collect_list("runs").alias("sets")).select("a", "b", _checked(threshold)("sets").alias("similarity"))
-    links = pairs.where(F.col("similarity") >= threshold).select(F.expr(f"cast(a % {n} as int)").alias("field"), F.col("a").alias("cls_a"), F.col("b").alias("cls_b"), "similarity")
-    return members, links
+    members, reps = text_classes(src, n, k=k, min_words=min_words, symbols=segments * SYMBOLS)
+    shared = variants(reps, segments)
+    links = _verified(likely(_met(shared, shared, "x.cls < y.cls"), reps, threshold, segments), src, n, k, threshold)
+    return members, links.select(F.expr(f"cast(cls_a % {n} as int)").alias("field"), "cls_a", "cls_b", "similarity")
 
 
 def near_duplicate_groups(df: DataFrame, id_col: str, text_cols: list[str], *, k: int = 5, threshold: float = 0.8, min_words: int = 1) -> DataFrame:
-    """(record, group, links): the group of each record (its smallest member) over all text columns, and the number of
-    records its texts are linked to, identical ones included. Records without any link are their own group with 0 links.
-    Copies are counted by class and never expanded into pairs.
+    """(record, group, copies): the group of each record (its smallest member) over all text columns, and the number of other records
+    with one of its texts. Records without any link are their own group with 0 copies. Arguments and special cases as in
+    ``near_duplicate_links``; every link that it finds lies within a group.
+
+    The groups need a spanning set of links only. First each key's classes are compared with the key's smallest class, so that a
+    template of n variants costs n comparisons a key. Then, of the keys whose classes aren't all in one component yet, those outside
+    the key's largest component are compared with all of the key in other components: what is left out would join what is joined.
     """
-    members, links = near_duplicate_links(df, id_col, text_cols, k=k, threshold=threshold, min_words=min_words)
-    members, links = stored(members, "members"), stored(links, "links")
-    sizes = members.groupBy("cls").agg(F.count("*").alias("size"), F.min("record").alias("first"))
-    both = links.select(F.col("cls_a").alias("cls"), F.col("cls_b").alias("other")).union(links.select(F.col("cls_b"), F.col("cls_a")))
-    reach = both.join(sizes.select(F.col("cls").alias("other"), F.col("size").alias("n")), "other").groupBy("cls").agg(F.sum("n").alias("linked"))
-    counts = members.join(sizes, "cls").join(reach, "cls", "left").groupBy("record").agg(F.sum(F.col("size") - 1 + F.coalesce("linked", F.lit(0))).alias("links"))
-    # A record ties its classes of different columns together; a star from each class to its record keeps that linear.
-    edges = links.select(F.col("cls_a").alias("u"), F.col("cls_b").alias("v")).union(members.select(F.col("cls").alias("u"), (-F.col("record") - 1).alias("v")))
-    roots = components(edges)
+    n, segments = len(text_cols), segments_for(threshold)
+    src = sources(df, id_col, text_cols)
+    members, reps = text_classes(src, n, k=k, min_words=min_words, symbols=segments * SYMBOLS)
+    members = stored(members, "members")
+    shared = variants(reps, segments)
+    star = shared.groupBy("key").agg(F.min("cls").alias("a")).join(shared.select("key", F.col("cls").alias("b")), "key").where("a < b").select("a", "b").distinct()
+    # A record ties its classes of different columns together only at the end, so that a key's components are those of its texts.
+    edges = cut(_verified(likely(star, reps, threshold, segments), src, n, k, threshold).select("cls_a", "cls_b"))
+    at = components(edges.toDF("u", "v")).toDF("cls", "comp")
+    placed = shared.join(at, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    sizes = placed.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
+    open_keys = stored(placed.join(main, "key"), "open-keys")
+    rest = _met(open_keys.where("comp <> main"), open_keys, "x.comp <> y.comp and (y.comp = y.main or x.cls < y.cls)")
+    more = _verified(likely(rest, reps, threshold, segments), src, n, k, threshold).select("cls_a", "cls_b")
+    # A star from each class to its records keeps that linear.
+    every = edges.union(more).toDF("u", "v").union(members.select(F.col("cls").alias("u"), (-F.col("record") - 1).alias("v")))
+    roots = components(every)
+    copies = members.join(members.groupBy("cls").agg(F.count("*").alias("size")), "cls").groupBy("record").agg(F.sum(F.col("size") - 1).alias("copies"))
     groups = members.select("record", "cls").join(roots.select(F.col("node").alias("cls"), "root"), "cls").groupBy("record").agg(F.min("root").alias("root"))
     names = groups.groupBy("root").agg(F.min("record").alias("group"))
-    found = groups.join(names, "root").join(counts, "record").select("record", "group", "links")
-    every = df.select(F.col(id_col).cast("long").alias("record")).where("record is not null").distinct()
-    return every.join(found, "record", "left").select("record", F.coalesce("group", "record").alias("group"), F.coalesce("links", F.lit(0)).cast("long").alias("links"))
+    found = groups.join(names, "root").join(copies, "record").select("record", "group", "copies")
+    all_records = df.select(F.col(id_col).cast("long").alias("record")).where("record is not null").distinct()
+    return all_records.join(found, "record", "left").select("record", F.coalesce("group", "record").alias("group"), F.coalesce("copies", F.lit(0)).cast("long").alias("copies"))
 
 
 def near_duplicate_pairs(df: DataFrame, id_col: str, text_cols: list[str], *, k: int = 5, threshold: float = 0.8, min_words: int = 1) -> DataFrame:

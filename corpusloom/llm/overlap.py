@@ -1,20 +1,25 @@
 """Same or nearly the same records across splits, by a compressed full-text index of the evaluation texts.
 
-The texts of the evaluation splits lie in shards of bounded size, each in an FM-index. Training texts stream through
-backward search: for each of their runs of ``k`` words the index tells the number of occurrences. A pair of similarity t
-shares at least t of a training text's distinct runs, so one of its (1 - t) rarest ones must occur in the evaluation text;
-only these are located. From each hit the match is extended to a maximal one, spans are merged, and the exact similarity
-decides. So a shard's index loses no pair with a text sent to it, and common phrases cost nothing.
-
-A training text is sent only to the shards that hold a text with a similar signature (one that agrees in all but one of five
-symbols of a segment, see ``neardup``), so that the work grows with the texts and not with texts times shards. What is found
-there is up to the index alone: all texts of the shard are searched. Texts without a similar signature are not searched for, so a
-pair can be lost if the signatures miss it, with the probabilities that the README gives.
+The texts of the evaluation splits lie in shards of a bounded number of words. Each shard's FM-index is built once, by one task,
+and stored in the shared folder. Training texts stream past it in blocks of a bounded number of words; a task reads one index
+after the other, so neither texts nor indexes are shuffled for the search. For a block and an index:
+
+* The bitmap of the index tells most runs of ``k`` words that no indexed text has. A pair of similarity t shares at least t of
+  the training text's distinct runs, so texts with fewer that may be there are done with.
+* Backward search gives the number of occurrences of every other run. Of the n distinct runs of a text at most n - t n are
+  missing in its partner, so of its n - t n + m rarest ones (those that don't occur at all come first) at least m must occur
+  there. Only these are located, and texts hit by fewer than m of them are done with.
+* The texts that are left are read back from the index, and the exact similarity decides. From each hit the match is extended to a
+  maximal one, and spans are merged and counted.
+
+Each step only leaves out what can't reach the threshold, so no pair is lost. The work is that of all training texts with every
+shard: it grows with the training words times the number of shards, most of it being the look into the bitmap.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -23,12 +28,15 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import words as W
 from corpusloom.llm.fmindex import FmIndex
-from corpusloom.llm.neardup import likely_pairs, sources, text_classes, texts_of
-from corpusloom.session import stored
+from corpusloom.llm.neardup import sources, text_classes
+from corpusloom.session import stored, stored_at
 
-#: Words of evaluation text in one index, and training texts streamed through one load of it.
-SHARD_WORDS, CHUNK = 1_000_000, 8_000
+#: Words of evaluation text in one index, and of training texts in a block.
+SHARD_WORDS, BLOCK_WORDS = 4_000_000, 1_000_000
+#: Hits asked of a pair beyond the one that must be there, as a share of the text's distinct runs; located occurrences held at once.
+MORE, AT_ONCE = 0.1, 2_000_000
 _MATCHES = "train long, held long, similarity double, spans int, longest int, covered int"
+_INDEX = "field int, shard int, tids binary, data binary"
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -66,78 +74,184 @@ def _maximal(a: np.ndarray, b: np.ndarray, k: int, hits: list[tuple[int, int]])
     return spans
 
 
-def matches(held: list[np.ndarray], train: list[np.ndarray], k: int, threshold: float) -> list[tuple[int, int, float, int, int, int]]:
-    """(train, held, similarity, spans, longest, covered) of the pairs of texts (arrays of word hashes) that reach the threshold:
-    the number of merged spans of maximal matches in the training text, the words of the longest and of all."""
-    if not held or not train:
+def _offsets(counts: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64) if len(counts) else np.empty(0, dtype=np.int64)
+
+
+def _portions(sizes: np.ndarray, most: int) -> list[slice]:
+    """Slices of consecutive items whose sizes add up to ``most`` or less, single items that are larger apart."""
+    out, begin, total = [], 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if total + n > most and i > begin:
+            out.append(slice(begin, i))
+            begin, total = i, 0
+        total += n
+    return [*out, slice(begin, len(sizes))] if len(sizes) else []
+
+
+class _Block:
+    """Training texts (arrays of word hashes) with their distinct runs, prepared once for all indexes."""
+
+    def __init__(self, texts: list[np.ndarray], k: int) -> None:
+        self.texts, self.k = texts, k
+        sizes = np.array([len(t) for t in texts], dtype=np.int64)
+        self.begins, self.flat = _offsets(sizes), np.concatenate(texts)
+        owner = np.repeat(np.arange(len(texts)), sizes)
+        n = max(0, len(self.flat) - k + 1)
+        spots = np.flatnonzero(owner[:n] == owner[k - 1 :]) if n else np.empty(0, dtype=np.int64)
+        hashes = W.run_hashes(self.flat, k)[spots]
+        order = np.lexsort((hashes, owner[spots]))
+        own, runs = owner[spots][order], hashes[order]
+        fresh = np.concatenate([[True], (own[1:] != own[:-1]) | (runs[1:] != runs[:-1])]) if len(own) else np.empty(0, dtype=bool)
+        self.own, self.runs, self.spots = own[fresh], runs[fresh], spots[order][fresh]  # by text and hash; a run's first place
+        self.count = np.bincount(self.own, minlength=len(texts))
+        self.first = _offsets(self.count)
+
+
+def matches(index: FmIndex, block: _Block, threshold: float) -> list[tuple[int, int, float, int, int, int]]:
+    """(text of the block, text of the index, similarity, spans, longest, covered) of the pairs of texts that reach the threshold:
+    the number of merged spans of maximal matches in the block's text, the words of the longest and of all."""
+    k, own, many = block.k, block.own, len(block.texts)
+    need = np.ceil(threshold * block.count - 1e-9).astype(np.int64)
+    sel = np.flatnonzero(index.may_hold(block.runs))
+    sel = sel[(np.bincount(own[sel], minlength=many) >= need)[own[sel]]]
+    if not len(sel):
         return []
-    index = FmIndex(held)
-    sizes = np.array([len(t) for t in train])
-    owner = np.repeat(np.arange(len(train)), sizes)
-    flat = index.ids(np.concatenate(train))
-    n = len(flat) - k + 1
-    if n <= 0:
+    # Each different run is searched once.
+    run, which = np.unique(block.runs[sel], return_inverse=True)
+    example = np.empty(len(run), dtype=np.int64)
+    example[which] = block.spots[sel]
+    lo, hi = index.intervals(index.ids(block.flat[example[:, None] + np.arange(k)]))
+    width = (hi - lo)[which]
+    sel, which, width = sel[width > 0], which[width > 0], width[width > 0]
+    present = np.bincount(own[sel], minlength=many)
+    keep = (present >= need)[own[sel]]
+    sel, which, width = sel[keep], which[keep], width[keep]
+    rare = np.lexsort((width, own[sel]))
+    sel, which, width = sel[rare], which[rare], width[rare]
+    text = own[sel]
+    here = np.bincount(text, minlength=many)
+    asked = np.minimum(need, np.maximum(1, np.ceil(MORE * block.count).astype(np.int64)))
+    place = np.arange(len(sel)) - _offsets(here)[text] + (block.count - present)[text]
+    chosen = place < (block.count - need + asked)[text]
+    sel, which, width, text = sel[chosen], which[chosen], width[chosen], text[chosen]
+    # Whole texts are located at a time, in bounded portions; the hits of a text beyond the bound are counted piece by piece.
+    ends = np.flatnonzero(np.concatenate([text[1:] != text[:-1], [True]])) + 1 if len(text) else np.empty(0, dtype=np.int64)
+    begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+    total = np.add.reduceat(width, begins) if len(begins) else np.empty(0, dtype=np.int64)
+    pairs: list[np.ndarray] = []
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    held = len(index.runs)
+    for portion in _portions(total, AT_ONCE):
+        span = slice(int(begins[portion.start]), int(ends[portion.stop - 1]))
+        keys, counts, hits = _hits(index, lo[which[span]], width[span], text[span], block.spots[sel[span]] - block.begins[text[span]], held)
+        t, e = keys // held, keys % held
+        fits = (counts >= asked[t]) & (index.runs[e] >= threshold * block.count[t] - 1e-9) & (block.count[t] >= threshold * index.runs[e] - 1e-9)
+        pairs.append(keys[fits])
+        inside = np.isin(hits[0], keys[fits])
+        found.append(tuple(h[inside] for h in hits))
+    if not pairs or not sum(map(len, pairs)):
         return []
-    inside = owner[:n] == owner[k - 1 :]
-    spots = np.flatnonzero(inside)
-    runs = np.lib.stride_tricks.sliding_window_view(flat, k)[spots]
-    hashes = W.run_hashes(np.concatenate(train), k)[spots]
-    order = np.lexsort((hashes, owner[spots]))
-    own, h = owner[spots][order], hashes[order]
-    fresh = np.concatenate([[True], (own[1:] != own[:-1]) | (h[1:] != h[:-1])])
-    order, own, h = order[fresh], own[fresh], h[fresh]
-    lo, hi = index.intervals(runs[order])
-    width = hi - lo
-    rare = np.lexsort((width, own))
-    count = np.bincount(own, minlength=len(train))
-    place = np.arange(len(rare)) - np.concatenate([[0], np.cumsum(count)[:-1]])[own[rare]]
-    prefix = count - np.ceil(threshold * count - 1e-9).astype(np.int64) + 1
-    chosen = rare[(place < prefix[own[rare]]) & (width[rare] > 0)]
-    begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    sets: dict[int, np.ndarray] = {}
-    own_sets = {}
-    out, seeds = [], {}
-    for at in range(0, len(chosen), 50_000):  # hits are expanded in bounded portions
-        part = chosen[at : at + 50_000]
-        wide = width[part]
-        cut = np.flatnonzero(np.concatenate([[True], np.cumsum(wide)[1:] // 2_000_000 != np.cumsum(wide)[:-1] // 2_000_000]))
-        for p in np.split(part, cut[1:]):
-            w = width[p]
-            rows = np.repeat(lo[p] - np.concatenate([[0], np.cumsum(w)[:-1]]), w) + np.arange(int(w.sum()))
-            pos = index.locate(rows)
-            text = index.text_of(pos)
-            who, spot = np.repeat(own[p], w), np.repeat(spots[order[p]], w)
-            key = who.astype(np.int64) * len(held) + text
-            diagonal = (pos - index.starts[text]) - (spot - begins[who])
-            firsts = np.unique(np.stack([key, diagonal]), axis=1, return_index=True)[1]
-            for f in firsts:
-                seeds.setdefault(int(key[f]), []).append((int(spot[f] - begins[who[f]]), int(pos[f] - index.starts[text[f]])))
-    for key, hits in seeds.items():
-        t, e = divmod(key, len(held))
-        if t not in own_sets:
-            own_sets = {t: np.unique(W.run_hashes(train[t], k))}
-        if e not in sets:
-            sets[e] = np.unique(W.run_hashes(held[e], k))
-        s = W.jaccard(own_sets[t], sets[e])
-        if s >= threshold:
-            spans = _merged(_maximal(train[t], held[e], k, hits))
-            out.append((t, e, s, len(spans), max(b - a for a, b in spans), sum(b - a for a, b in spans)))
+    keys = np.concatenate(pairs)
+    key, spot, pos = (np.concatenate([f[i] for f in found]) for i in range(3))
+    order = np.argsort(key, kind="stable")
+    key, spot, pos = key[order], spot[order], pos[order]
+    out = []
+    for some in np.array_split(keys, len(keys) // 20_000 + 1):  # texts are read back in bounded portions
+        different = np.unique(some % held)
+        words = dict(zip(different.tolist(), index.extract(different)))
+        sets = {e: np.unique(W.run_hashes(w, k)) for e, w in words.items()}
+        for pair in some.tolist():
+            t, e = divmod(pair, held)
+            s = W.jaccard(block.runs[block.first[t] : block.first[t] + block.count[t]], sets[e])
+            if s >= threshold:
+                a, b = np.searchsorted(key, [pair, pair + 1])
+                spans = _merged(_maximal(block.texts[t], words[e], k, list(zip(spot[a:b].tolist(), pos[a:b].tolist()))))
+                out.append((t, e, s, len(spans), max(y - x for x, y in spans), sum(y - x for x, y in spans)))
     return out
 
 
-def _search(k: int, threshold: float):
-    def run(group: pd.DataFrame) -> pd.DataFrame:
+def _hits(index: FmIndex, lo: np.ndarray, width: np.ndarray, text: np.ndarray, spot: np.ndarray, held: int) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The pairs (text * held + indexed text) that the intervals hit, the number of different runs of each, and one hit for each
+    diagonal: pair, place in the text, place in the indexed text."""
+    keys, counts, hits = [], [], []
+    for part in _portions(width, AT_ONCE):
+        w = width[part]
+        for begin in range(0, int(w.max(initial=0)), AT_ONCE):  # an interval beyond the bound comes in pieces
+            n = np.minimum(np.maximum(w - begin, 0), AT_ONCE)
+            at = np.repeat(np.arange(len(n)), n)
+            pos = index.locate(np.repeat(lo[part] + begin - _offsets(n), n) + np.arange(int(n.sum())))
+            e = index.text_of(pos)
+            pair, place = text[part][at].astype(np.int64) * held + e, pos - index.starts[e]
+            key, count = np.unique(_distinct_rows(pair, at), return_counts=True)  # a run in two pieces counts twice: it may only ask for a check more
+            keys.append(key)
+            counts.append(count)
+            order = np.lexsort((spot[part][at], place - spot[part][at], pair))
+            p, d = pair[order], (place - spot[part][at])[order]
+            new = np.concatenate([[True], (p[1:] != p[:-1]) | (d[1:] != d[:-1])]) if len(p) else np.empty(0, dtype=bool)
+            hits.append((p[new], spot[part][at][order][new], place[order][new]))
+    if not keys:
+        none = np.empty(0, dtype=np.int64)
+        return none, none, (none, none, none)
+    key, back = np.unique(np.concatenate(keys), return_inverse=True)
+    return key, np.bincount(back, weights=np.concatenate(counts)).astype(np.int64), tuple(np.concatenate([h[i] for h in hits]) for i in range(3))
+
+
+def _distinct_rows(pair: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The pairs, each once for every different ``at``."""
+    order = np.lexsort((at, pair))
+    p, a = pair[order], at[order]
+    return p[np.concatenate([[True], (p[1:] != p[:-1]) | (a[1:] != a[:-1])])] if len(p) else p
+
+
+def _built(k: int):
+    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         hasher = W.WordHasher()
-        held, train = group[group["held"]], group[~group["held"]]
-        found = []
-        names, texts = held["tid"].to_numpy(), [hasher(W.words(t)) for t in held["text"]]
-        for field in sorted(set(held["field"])):
-            at = np.flatnonzero((held["field"] == field).to_numpy())
-            mine = train[train["field"] == field]
-            own = mine["tid"].to_numpy()
-            for m in matches([texts[i] for i in at], [hasher(W.words(t)) for t in mine["text"]], k, threshold):
-                found.append((own[m[0]], names[at[m[1]]], *m[2:]))
-        return pd.DataFrame(found, columns=["train", "held", "similarity", "spans", "longest", "covered"])
+        group = group.sort_values("tid")
+        data = FmIndex([hasher(W.words(t)) for t in group["text"]], k).dumped()
+        return pd.DataFrame([(*key, group["tid"].to_numpy(dtype=np.int64).tobytes(), data)], columns=["field", "shard", "tids", "data"])
+
+    return run
+
+
+def _indexes(path: str, field: int) -> Iterator[tuple[np.ndarray, FmIndex]]:
+    """The stored indexes of a field, one after the other, from any file system that Arrow knows (file, hdfs, s3, gs)."""
+    import pyarrow.dataset as ds
+    from pyarrow.fs import FileSystem
+
+    system, root = FileSystem.from_uri(path)
+    for fragment in ds.dataset(root, filesystem=system, format="parquet", partitioning="hive").get_fragments(ds.field("field") == field):
+        for batch in fragment.to_batches(columns=["tids", "data"], batch_size=1):
+            for tids, data in zip(batch["tids"], batch["data"]):
+                yield np.frombuffer(tids.as_py(), dtype=np.int64), FmIndex.loaded(data.as_py())
+
+
+def _search(path: str, fields: list[int], k: int, threshold: float):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hasher = W.WordHasher()
+        waiting: dict[int, list[tuple[int, np.ndarray]]] = {f: [] for f in fields}
+
+        def searched(field: int) -> pd.DataFrame:
+            tids, texts = zip(*waiting[field])
+            waiting[field], found = [], []
+            block = _Block(list(texts), k)
+            for held, index in _indexes(path, field):
+                found += [(tids[m[0]], int(held[m[1]]), *m[2:]) for m in matches(index, block, threshold)]
+            return pd.DataFrame(found, columns=["train", "held", "similarity", "spans", "longest", "covered"])
+
+        size = dict.fromkeys(fields, 0)
+        for batch in batches:
+            for tid, field, text in zip(batch["tid"], batch["field"], batch["text"]):
+                if field in waiting:
+                    ws = hasher(W.words(text))
+                    waiting[field].append((int(tid), ws))
+                    size[field] += len(ws)
+                    if size[field] >= BLOCK_WORDS:
+                        yield searched(field)
+                        size[field] = 0
+        for field in fields:
+            if waiting[field]:
+                yield searched(field)
 
     return run
 
@@ -146,18 +260,22 @@ def cross_split_matches(df: DataFrame, id_col: str, text_cols: list[str], split:
     """``(members, found)``: members (record, field, held, cls) gives each record's class of identical texts, apart for training
     and evaluation records; found (train, held, similarity, spans, longest, covered) the pairs of classes that are nearly the
     same, identical texts included. See ``cross_split_pairs`` for the arguments and special cases."""
-    n = len(text_cols)
+    n, spark = len(text_cols), df.sparkSession
     src = sources(df.where(F.col(split).isin(train, *held_out)), id_col, text_cols, F.col(split) != train)
-    members, classes = text_classes(src, n, k=k, threshold=threshold, min_words=min_words)
-    held = classes.where("held")
-    shards = max(1, math.ceil((held.agg(F.sum("n")).first()[0] or 0) / SHARD_WORDS))
-    shard = lambda c: F.pmod(F.xxhash64(c), F.lit(shards)).cast("int").alias("shard")
-    routes = stored(likely_pairs(classes, threshold, across=True).select(F.col("a").alias("tid"), shard("b")).distinct(), "routes")
-    load = F.broadcast(routes.groupBy("shard").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")))  # a row for each million words
-    sent = routes.join(load, "shard").select("tid", "shard", F.pmod(F.xxhash64("tid", F.lit(7)), F.col("chunks")).cast("int").alias("chunk"), F.lit(False).alias("held"))
-    indexed = held.select(F.col("cls").alias("tid"), shard("cls")).join(load, "shard").select("tid", "shard", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(True).alias("held"))
-    wanted = sent.union(indexed)
-    found = wanted.join(texts_of(src, n, wanted.select("tid")), "tid").withColumn("field", F.expr(f"cast(tid % {n} as int)")).groupBy("shard", "chunk").applyInPandas(_search(k, threshold), _MATCHES)
+    members, classes = text_classes(src, n, k=k, min_words=min_words)
+    # The first text of each class.
+    each = [F.struct((F.col("id") * n + i).alias("tid"), F.col(f"t{i}").alias("text")) for i in range(n)]
+    texts = src.select(F.explode(F.array(*each)).alias("t")).select("t.*").where("text is not null")
+    kept = classes.select(F.col("cls").alias("tid"), "field", "held", "n")
+    words = {r["field"]: r["n"] for r in kept.where("held").groupBy("field").agg(F.sum("n").alias("n")).collect()}  # a row for each column
+    if not words:
+        return members, spark.createDataFrame([], _MATCHES)
+    shards = {f: math.ceil(x / SHARD_WORDS) for f, x in words.items()}
+    of = F.element_at(F.create_map(*[F.lit(x) for pair in shards.items() for x in pair]), F.col("field"))
+    held = kept.where("held").withColumn("shard", F.pmod(F.xxhash64("tid"), of).cast("int"))
+    built = held.join(texts, "tid").dropDuplicates(["tid"]).groupBy("field", "shard").applyInPandas(_built(k), _INDEX)
+    path = stored_at(built, "overlap-index", "field", "shard")
+    found = kept.where("not held").join(texts, "tid").dropDuplicates(["tid"]).select("tid", "field", "text").mapInPandas(_search(path, sorted(shards), k, threshold), _MATCHES)
     return members, found
 
 
