@@ -13,24 +13,24 @@ SAMPLE = 4
 
 
 def suffix_array(seq: np.ndarray) -> np.ndarray:
-    """By prefix doubling; as many rounds as the logarithm of the longest repeat."""
+    """By prefix doubling, in which only suffixes that aren't told apart yet are sorted again: as many rounds as the logarithm of
+    the longest repeat, each over what still repeats. The rank of a suffix is the first place of its group."""
     n = len(seq)
-    rank = np.unique(seq, return_inverse=True)[1].astype(np.int64)
-    order, h = np.argsort(rank, kind="stable"), 1
-    while True:
-        key = rank * (n + 1)
-        key[: n - h] += rank[h:] + 1
-        order = np.argsort(key, kind="stable")
-        step = np.empty(n, dtype=np.int64)
-        step[0] = 0
-        step[1:] = np.cumsum(key[order][1:] != key[order][:-1])
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = step
-        if step[-1] == n - 1 or h >= n:
-            return order
-        h *= 2
-        if h >= n:
-            return order
+    order = np.argsort(seq, kind="stable")
+    rank, live, new, h = np.empty(n, dtype=np.int64), np.arange(n), np.concatenate([[True], np.diff(seq[order]) != 0])[:n], 1
+    at = order
+    while len(live):
+        order[live] = at
+        rank[at] = np.maximum.accumulate(np.where(new, live, 0))
+        single = new & np.concatenate([new[1:], [True]])
+        live, at = live[~single], at[~single]
+        key = rank[at] * (n + 1)
+        inside = at + h < n
+        key[inside] += rank[at[inside] + h] + 1
+        by = np.argsort(key, kind="stable")
+        at, key, h = at[by], key[by], h * 2
+        new = np.concatenate([[True], key[1:] != key[:-1]])[: len(at)]
+    return order
 
 
 class Bits:

@@ -32,9 +32,9 @@ from corpusloom.llm.neardup import sources, text_classes
 from corpusloom.session import stored, stored_at
 
 #: Words of evaluation text in one index, and of training texts in a block.
-SHARD_WORDS, BLOCK_WORDS = 4_000_000, 1_000_000
+SHARD_WORDS, BLOCK_WORDS = 2_000_000, 1_000_000
 #: Hits asked of a pair beyond the one that must be there, as a share of the text's distinct runs; located occurrences held at once.
-MORE, AT_ONCE = 0.1, 2_000_000
+MORE, AT_ONCE = 0.05, 1_000_000
 _MATCHES = "train long, held long, similarity double, spans int, longest int, covered int"
 _INDEX = "field int, shard int, tids binary, data binary"
 
@@ -135,29 +135,40 @@ def matches(index: FmIndex, block: _Block, threshold: float) -> list[tuple[int,
     place = np.arange(len(sel)) - _offsets(here)[text] + (block.count - present)[text]
     chosen = place < (block.count - need + asked)[text]
     sel, which, width, text = sel[chosen], which[chosen], width[chosen], text[chosen]
-    # Whole texts are located at a time, in bounded portions; the hits of a text beyond the bound are counted piece by piece.
-    ends = np.flatnonzero(np.concatenate([text[1:] != text[:-1], [True]])) + 1 if len(text) else np.empty(0, dtype=np.int64)
-    begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-    total = np.add.reduceat(width, begins) if len(begins) else np.empty(0, dtype=np.int64)
-    pairs: list[np.ndarray] = []
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    if not len(sel):
+        return []
+    # Every chosen run is located once; of its places in an indexed text the first stands for all.
+    run, which = np.unique(which, return_inverse=True)
+    pos, spread = _located(index, lo[run], hi[run] - lo[run])
+    there = index.text_of(pos)
+    per = spread[which + 1] - spread[which]
+    ends = np.flatnonzero(np.concatenate([text[1:] != text[:-1], [True]])) + 1
+    begins = np.concatenate([[0], ends[:-1]])
+    keys: list[np.ndarray] = []
+    hits: list[np.ndarray] = []
     held = len(index.runs)
-    for portion in _portions(total, AT_ONCE):
+    for portion in _portions(np.add.reduceat(per, begins), AT_ONCE):  # whole texts
         span = slice(int(begins[portion.start]), int(ends[portion.stop - 1]))
-        keys, counts, hits = _hits(index, lo[which[span]], width[span], text[span], block.spots[sel[span]] - block.begins[text[span]], held)
-        t, e = keys // held, keys % held
-        fits = (counts >= asked[t]) & (index.runs[e] >= threshold * block.count[t] - 1e-9) & (block.count[t] >= threshold * index.runs[e] - 1e-9)
-        pairs.append(keys[fits])
-        inside = np.isin(hits[0], keys[fits])
-        found.append(tuple(h[inside] for h in hits))
-    if not pairs or not sum(map(len, pairs)):
+        key, count = _counted(text[span], which[span], per[span], spread, there, held)
+        t, e = key // held, key % held
+        key = key[(count >= asked[t]) & (index.runs[e] >= threshold * block.count[t] - 1e-9) & (block.count[t] >= threshold * index.runs[e] - 1e-9)]
+        some = np.flatnonzero(np.isin(text[span], key // held)) + span.start
+        for piece in _portions(per[some], AT_ONCE):
+            entry, place = _expanded_places(some[piece], which, per, spread)
+            pair = text[entry] * held + there[place]
+            good = np.isin(pair, key)
+            own_place = block.spots[sel[entry[good]]] - block.begins[text[entry[good]]]
+            hits.append(np.stack([pair[good], own_place, pos[place[good]] - index.starts[there[place[good]]]]))
+        keys.append(key)
+    pairs = np.concatenate(keys)
+    if not len(pairs):
         return []
-    keys = np.concatenate(pairs)
-    key, spot, pos = (np.concatenate([f[i] for f in found]) for i in range(3))
-    order = np.argsort(key, kind="stable")
-    key, spot, pos = key[order], spot[order], pos[order]
+    hit = np.concatenate(hits, axis=1)
+    hit = hit[:, np.lexsort((hit[1], hit[2] - hit[1], hit[0]))]
+    # Hits on one diagonal mostly lie in one match.
+    hit = hit[:, np.concatenate([[True], (np.diff(hit[0]) != 0) | (np.diff(hit[2] - hit[1]) != 0)])]
     out = []
-    for some in np.array_split(keys, len(keys) // 20_000 + 1):  # texts are read back in bounded portions
+    for some in np.array_split(pairs, len(pairs) // 20_000 + 1):  # texts are read back in bounded portions
         different = np.unique(some % held)
         words = dict(zip(different.tolist(), index.extract(different)))
         sets = {e: np.unique(W.run_hashes(w, k)) for e, w in words.items()}
@@ -165,43 +176,43 @@ def matches(index: FmIndex, block: _Block, threshold: float) -> list[tuple[int,
             t, e = divmod(pair, held)
             s = W.jaccard(block.runs[block.first[t] : block.first[t] + block.count[t]], sets[e])
             if s >= threshold:
-                a, b = np.searchsorted(key, [pair, pair + 1])
-                spans = _merged(_maximal(block.texts[t], words[e], k, list(zip(spot[a:b].tolist(), pos[a:b].tolist()))))
+                a, b = np.searchsorted(hit[0], [pair, pair + 1])
+                spans = _merged(_maximal(block.texts[t], words[e], k, list(zip(hit[1, a:b].tolist(), hit[2, a:b].tolist()))))
                 out.append((t, e, s, len(spans), max(y - x for x, y in spans), sum(y - x for x, y in spans)))
     return out
 
 
-def _hits(index: FmIndex, lo: np.ndarray, width: np.ndarray, text: np.ndarray, spot: np.ndarray, held: int) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """The pairs (text * held + indexed text) that the intervals hit, the number of different runs of each, and one hit for each
-    diagonal: pair, place in the text, place in the indexed text."""
-    keys, counts, hits = [], [], []
-    for part in _portions(width, AT_ONCE):
-        w = width[part]
-        for begin in range(0, int(w.max(initial=0)), AT_ONCE):  # an interval beyond the bound comes in pieces
-            n = np.minimum(np.maximum(w - begin, 0), AT_ONCE)
-            at = np.repeat(np.arange(len(n)), n)
-            pos = index.locate(np.repeat(lo[part] + begin - _offsets(n), n) + np.arange(int(n.sum())))
-            e = index.text_of(pos)
-            pair, place = text[part][at].astype(np.int64) * held + e, pos - index.starts[e]
-            key, count = np.unique(_distinct_rows(pair, at), return_counts=True)  # a run in two pieces counts twice: it may only ask for a check more
-            keys.append(key)
-            counts.append(count)
-            order = np.lexsort((spot[part][at], place - spot[part][at], pair))
-            p, d = pair[order], (place - spot[part][at])[order]
-            new = np.concatenate([[True], (p[1:] != p[:-1]) | (d[1:] != d[:-1])]) if len(p) else np.empty(0, dtype=bool)
-            hits.append((p[new], spot[part][at][order][new], place[order][new]))
-    if not keys:
-        none = np.empty(0, dtype=np.int64)
-        return none, none, (none, none, none)
+def _located(index: FmIndex, lo: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(positions, spread)``: the positions of interval i, one for each text, are those from ``spread[i]`` to ``spread[i + 1]``.
+    Intervals of different runs don't overlap, so they have as many rows as the index at most."""
+    owner = np.repeat(np.arange(len(width)), width)
+    rows = np.repeat(lo - _offsets(width), width) + np.arange(int(width.sum()))
+    pos = np.concatenate([index.locate(rows[i : i + AT_ONCE]) for i in range(0, len(rows), AT_ONCE)])
+    order = np.lexsort((pos, owner))
+    owner, pos = owner[order], pos[order]
+    text = index.text_of(pos)
+    first = np.concatenate([[True], (owner[1:] != owner[:-1]) | (text[1:] != text[:-1])])
+    return pos[first], np.concatenate([[0], np.cumsum(np.bincount(owner[first], minlength=len(width)))])
+
+
+def _expanded_places(entries: np.ndarray, which: np.ndarray, per: np.ndarray, spread: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each entry as often as its run was located, and those places."""
+    n = per[entries]
+    return np.repeat(entries, n), np.repeat(spread[which[entries]] - _offsets(n), n) + np.arange(int(n.sum()))
+
+
+def _counted(text: np.ndarray, which: np.ndarray, per: np.ndarray, spread: np.ndarray, there: np.ndarray, held: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs (text * held + indexed text) that have a run in common, and the number of different ones."""
+    keys, counts = [], []
+    for piece in _portions(per, AT_ONCE):
+        entry, place = _expanded_places(np.arange(piece.start, piece.stop), which, per, spread)
+        key, count = np.unique(text[entry] * held + there[place], return_counts=True)
+        keys.append(key)
+        counts.append(count)
+    if len(keys) == 1:
+        return keys[0], counts[0]
     key, back = np.unique(np.concatenate(keys), return_inverse=True)
-    return key, np.bincount(back, weights=np.concatenate(counts)).astype(np.int64), tuple(np.concatenate([h[i] for h in hits]) for i in range(3))
-
-
-def _distinct_rows(pair: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The pairs, each once for every different ``at``."""
-    order = np.lexsort((at, pair))
-    p, a = pair[order], at[order]
-    return p[np.concatenate([[True], (p[1:] != p[:-1]) | (a[1:] != a[:-1])])] if len(p) else p
+    return key, np.bincount(back, weights=np.concatenate(counts)).astype(np.int64)
 
 
 def _built(k: int):
