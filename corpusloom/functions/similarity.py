@@ -11,36 +11,43 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions.clean import comparable_code
-from corpusloom.functions.text import _c, char_count, identifiers, term_hits
+from corpusloom.functions.text import _c, char_count, identifiers
 
-#: Keywords that two scripts may share (fixed values).
-KEYWORDS = ("indicator", "strategy", "study", "input", "plot", "ta.", "math.", "request.")
+#: Patterns of keywords that two scripts may share (fixed values).
+KEYWORDS = ("strategy", "indicator", "input", "plot", r"ta\.", r"math\.", r"request\.", "security")
 #: Weights of text, structure, keywords, identifiers and length.
 WEIGHTS = (0.3, 0.25, 0.25, 0.15, 0.05)
 
 
 def jaccard(a: Column, b: Column) -> Column:
-    """Of arrays as sets; two empty ones are equal."""
+    """Of arrays as sets; 0 for two empty ones."""
     union = F.size(F.array_union(a, b))
-    return F.when(union == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / union)
+    return F.when(union == 0, F.lit(0.0)).otherwise(F.size(F.array_intersect(a, b)) / union)
+
+
+def keywords_in(code: Column | str, keywords: Sequence[str] = KEYWORDS) -> Column:
+    """The keywords as they are spelled in the code: found in any case, but told apart by it."""
+    c = F.coalesce(_c(code), F.lit(""))
+    return F.array_distinct(F.flatten(F.array(*[F.regexp_extract_all(c, F.lit(f"(?i){k}"), F.lit(0)) for k in keywords])))
 
 
 def keyword_similarity(a: Column | str, b: Column | str, keywords: Sequence[str] = KEYWORDS) -> Column:
-    return jaccard(term_hits(a, keywords), term_hits(b, keywords))
+    return jaccard(keywords_in(comparable_code(a), keywords), keywords_in(comparable_code(b), keywords))
 
 
 def identifier_similarity(a: Column | str, b: Column | str) -> Column:
-    return jaccard(identifiers(a), identifiers(b))
+    return jaccard(identifiers(comparable_code(a)), identifiers(comparable_code(b)))
 
 
 def length_similarity(a: Column | str, b: Column | str) -> Column:
-    x, y = char_count(a), char_count(b)
+    x, y = char_count(comparable_code(a)), char_count(comparable_code(b))
     return 1 - F.abs(x - y) / F.greatest(x, y, F.lit(1))
 
 
 def structural_similarity(a: Column | str, b: Column | str) -> Column:
-    """1 if the codes are equal without comments and spacing, else 0."""
-    return F.coalesce(comparable_code(a) == comparable_code(b), F.lit(False)).cast("double")
+    """1 if the codes are equal without comments and spacing, else 0; null is empty."""
+    plain = lambda c: F.coalesce(comparable_code(c), F.lit(""))
+    return (plain(a) == plain(b)).cast("double")
 
 
 def overall_similarity(parts: Sequence[Column], weights: Sequence[float] = WEIGHTS) -> Column:
@@ -80,6 +87,16 @@ def gram_cosine(pairs: DataFrame, key: str, a: str, b: str, sizes: Sequence[int]
     return pairs.select(key).join(found, key, "left").select(key, F.coalesce("cosine", F.lit(0.0)).alias("cosine"))
 
 
+def code_similarities(pairs: DataFrame, key: str, a: str, b: str) -> DataFrame:
+    """(key, text, structure, keywords, identifiers, length, overall): the five similarities of each pair's codes and their weighted
+    sum. ``key`` is unique; null codes are empty."""
+    plain = pairs.select(key, F.coalesce(comparable_code(a), F.lit("")).alias("a"), F.coalesce(comparable_code(b), F.lit("")).alias("b"))
+    parts = plain.select(key, structural_similarity("a", "b").alias("structure"), jaccard(keywords_in("a"), keywords_in("b")).alias("keywords"), jaccard(identifiers("a"), identifiers("b")).alias("identifiers"), length_similarity("a", "b").alias("length"))
+    both = gram_cosine(plain, key, "a", "b").withColumnRenamed("cosine", "text").join(parts, key)
+    names = ("text", "structure", "keywords", "identifiers", "length")
+    return both.select(key, *names, overall_similarity([F.col(n) for n in names]).alias("overall"))
+
+
 @F.pandas_udf(T.DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Matching-blocks ratio of two texts; null counts as empty."""

@@ -19,7 +19,8 @@ SPACE, FILLED = f"[{SPACES}]", f"[^{SPACES}]"
 EDGES = f"^{SPACE}+|{SPACE}+$"
 #: Scripts that count as not English: Han, kana, Hangul, Cyrillic, Arabic, Thai (fixed values).
 FOREIGN = r"[\x{4e00}-\x{9fff}\x{3040}-\x{309f}\x{30a0}-\x{30ff}\x{ac00}-\x{d7af}\x{0400}-\x{04ff}\x{0600}-\x{06ff}\x{0e00}-\x{0e7f}]"
-IDENTIFIER = r"[A-Za-z_][A-Za-z0-9_]*"
+#: A whole word of letters, digits and underscores of any script; an identifier is one of ASCII that begins with no digit.
+WORD, IDENTIFIER = r"[\p{L}\p{N}_]+", r"^[A-Za-z_][A-Za-z0-9_]*$"
 SYMBOL = r"[A-Z0-9_]+:[A-Z0-9]+(?::[A-Z0-9]+)?"
 
 
@@ -126,13 +127,19 @@ def bracket_fault(c: Column | str) -> Column:
     return F.aggregate(found, F.lit(""), step) != ""
 
 
-def code_blocks(c: Column | str, language: str = "[A-Za-z]*") -> Column:
-    return F.regexp_extract_all(F.coalesce(_c(c), F.lit("")), F.lit(rf"(?s)```(?:{language})[ \t\r]*\n(.*?)```"), F.lit(1))
+#: What may stand between an opening fence and the code: a language at the line's end, or nothing.
+ANY_FENCE = rf"(?:[A-Za-z]+[ \t\r]*\n|{SPACE}*)"
+
+
+def code_blocks(c: Column | str, language: str | None = None) -> Column:
+    """The contents of all fenced blocks, or of those fenced in the language (in any case); code may follow the fence on its line."""
+    head = ANY_FENCE if language is None else rf"(?:{language}){SPACE}+"
+    return F.regexp_extract_all(F.coalesce(_c(c), F.lit("")), F.lit(rf"(?si)```{head}(.*?)```"), F.lit(1))
 
 
 def code_or_text(c: Column | str, language: str = "python") -> Column:
-    """The first block fenced in the language, else the first fenced one, else the text."""
-    return F.coalesce(F.get(code_blocks(c, language), F.lit(0)), F.get(code_blocks(c), F.lit(0)), _c(c))
+    """The first block fenced in the language, else the first fenced one, else the text; trimmed."""
+    return trimmed(F.coalesce(F.get(code_blocks(c, language), F.lit(0)), F.get(code_blocks(c), F.lit(0)), _c(c)))
 
 
 def is_foreign(c: Column | str) -> Column:
@@ -153,9 +160,9 @@ def file_safe(c: Column | str) -> Column:
 
 
 def identifiers(c: Column | str) -> Column:
-    """Distinct identifiers of three or more characters that aren't all capitals, in lower case."""
-    found = F.regexp_extract_all(F.coalesce(_c(c), F.lit("")), F.lit(IDENTIFIER), F.lit(0))
-    return F.array_distinct(F.transform(F.filter(found, lambda w: (F.length(w) > 2) & (F.upper(w) != w)), F.lower))
+    """Distinct identifiers of three or more characters whose letters aren't all capitals, in lower case."""
+    found = F.regexp_extract_all(F.coalesce(_c(c), F.lit("")), F.lit(WORD), F.lit(0))
+    return F.array_distinct(F.transform(F.filter(found, lambda w: w.rlike(IDENTIFIER) & (F.length(w) > 2) & ~w.rlike("^[A-Z0-9_]*[A-Z][A-Z0-9_]*$")), F.lower))
 
 
 def picked_lines(c: Column | str, term: str, k: int, width: int) -> Column:
@@ -184,6 +191,28 @@ def parsed_score(c: Column | str, low: float, high: float, default: float) -> Co
     return F.when(number.isNotNull(), F.least(F.greatest(number, F.lit(float(low))), F.lit(float(high)))).otherwise(F.lit(float(default)))
 
 
+def percent_score(c: Column | str, default: float = 0.5) -> Column:
+    """The first whole number of one to three digits in a judge's answer as a share of 100, at most 1."""
+    number = F.regexp_extract(_c(c), r"(?:^|[^\p{L}\p{N}_])([0-9]{1,3})(?:[^\p{L}\p{N}_]|$)", 1).try_cast("double")
+    return F.when(number.isNotNull(), F.least(number / 100.0, F.lit(1.0))).otherwise(F.lit(float(default)))
+
+
+def syntax_grade(text: str | None) -> float:
+    """1.0 for Python code (nothing at all is also), 0.2 with a syntax error, 0.4 where the parser gives up otherwise."""
+    try:
+        ast.parse(text or "")
+        return 1.0
+    except SyntaxError:
+        return 0.2
+    except (ValueError, RecursionError, MemoryError):
+        return 0.4
+
+
+@F.pandas_udf(T.DoubleType())
+def python_grade(code: pd.Series) -> pd.Series:
+    return code.map(lambda t: syntax_grade(t if isinstance(t, str) else None))
+
+
 def is_python(text: str | None) -> bool:
     try:
         return bool(text) and ast.parse(text) is not None

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,14 +55,17 @@ def upper_median(df: DataFrame, value: Column | str, by: Sequence[str] = ()) ->
 
 
 def exclusive_quantiles(df: DataFrame, value: Column | str, points: Sequence[float], by: Sequence[str] = (), digits: int = 6) -> DataFrame:
-    """Quantiles at rank (n + 1) p, between neighbours in proportion, the rank kept within 1 and n: p25 and so on. With a single
-    value all are that value."""
+    """Quantiles at rank (n + 1) p, between neighbours in proportion, the rank kept within 1 and n: p25 and so on. They are asked for
+    of at least as many values as parts are cut for them (4 for p25 and p75, 20 for p95, 100 for p99); with fewer, those below one
+    half are the least value and the others the greatest."""
     out = []
     for p in points:
         h = (F.col("total") + 1) * F.lit(p)
         j = F.least(F.greatest(F.floor(h), F.lit(1)), F.greatest(F.col("total") - 1, F.lit(1)))
         low, high, part = _at(j), _at(F.least(j + 1, F.col("total"))), F.max(F.when(F.col("total") > 1, h - j).otherwise(F.lit(0.0)))
-        out.append(F.round(low + part * (high - low), digits).alias(f"p{p * 100:g}".replace(".", "_")))
+        least = Fraction(p).limit_denominator(1000).denominator
+        few = F.max("total") < least
+        out.append(F.round(F.when(few, F.min("v") if p < 0.5 else F.max("v")).otherwise(low + part * (high - low)), digits).alias(f"p{p * 100:g}".replace(".", "_")))
     return _ranked(df, value, by).groupBy(*by).agg(*out)
 
 

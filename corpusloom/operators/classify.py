@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.text import _c, any_of, word_count
 
-# Fixed values. ``_B`` stands for a word's beginning.
+# Fixed values. ``_B`` stands for a word's beginning and ``_S`` for white space: the shorthands for them mean other characters in
+# other engines.
 _B, _S = r"(?:^|[^A-Za-z0-9_])", r"[ \t\r\n]*"
 STRATEGY, INDICATOR = rf"(?i){_B}strategy{_S}\(|@strategy", rf"(?i){_B}indicator{_S}\(|@indicator"
 ORDER_CALL = r"(?i)strategy\.(?:entry|order|exit|close)"
@@ -23,11 +24,11 @@ THEMES = (
     ("unusual_patterns", ("moon", "unusual", "experimental")),
 )
 BUCKETS = (
-    ("complex", ("divergence", "multiple indicators", "combine", "blend")),
-    ("mtf", ("timeframe", "multi-frame", "htf", "higher timeframe")),
-    ("risk", ("risk management", "position sizing", "money management")),
-    ("ml", ("machine learning", "neural", "ai", "algorithm")),
-    ("unusual", ("moon phase", "unusual", "experimental", "novel")),
+    ("complex_indicators", ("divergence", "multiple indicators", "combine", "blend")),
+    ("multi_timeframe", ("timeframe", "multi-frame", "htf", "higher timeframe")),
+    ("risk_management", ("risk management", "position sizing", "money management")),
+    ("machine_learning", ("machine learning", "neural", "ai", "algorithm")),
+    ("unusual_patterns", ("moon phase", "unusual", "experimental", "novel")),
 )
 
 
@@ -72,10 +73,25 @@ def acceptance_band(rate: Column | str) -> Column:
     return banded(rate, ((80, "excellent"), (60, "good"), (40, "fair")), "low")
 
 
-def template_for(text: Column | str, templates: Sequence[tuple[Sequence[str], str]], other: str) -> Column:
-    """The template of the first set of keywords that the text has one of."""
+#: Instructions by the first rule whose terms the description has (fixed values): all of a rule's sets must have one.
+INSTRUCTIONS = (
+    ((("sma", "moving average"), ("threshold",)), "Implement a Pine Script code for SMA-based strategy with dynamic thresholds."),
+    ((("sma", "moving average"),), "Implement a Pine Script code for moving average crossover strategy."),
+    ((("rsi",),), "Implement a Pine Script code for RSI-based trading signals."),
+    ((("input",), ("parameter",)), "Implement a Pine Script code for configurable strategy parameters."),
+    ((("threshold",), ("entry",)), "Implement a Pine Script code for threshold-based entry and exit signals."),
+    ((("signal", "buy", "sell"),), "Implement a Pine Script code for trading signal generation."),
+    ((("period",), ("sma",)), "Implement a Pine Script code for period-based SMA calculation and thresholds."),
+)
+INSTRUCTION = "Implement a Pine Script code for the described trading strategy."
+
+
+def instruction_for(text: Column | str, rules: Sequence[tuple[Sequence[Sequence[str]], str]] = INSTRUCTIONS, other: str = INSTRUCTION) -> Column:
+    """The instruction of the first rule that the text meets, ``other`` without one."""
     low, out = F.lower(F.coalesce(_c(text), F.lit(""))), None
-    for terms, template in templates:
-        hit = any_of(low, terms)
-        out = F.when(hit, template) if out is None else out.when(hit, template)
+    for sets, wanted in rules:
+        hit = any_of(low, sets[0])
+        for terms in sets[1:]:
+            hit = hit & any_of(low, terms)
+        out = F.when(hit, wanted) if out is None else out.when(hit, wanted)
     return out.otherwise(other)

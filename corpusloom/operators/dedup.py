@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import re
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -30,7 +31,8 @@ def latest_by(df: DataFrame, key: str, position: str) -> DataFrame:
 
 
 def _comparable(code: object) -> str:
-    return " ".join(code.split()).lower() if isinstance(code, str) else ""
+    """White space collapsed to blanks, then cut at the first comment mark (the text is one line by then), lower case."""
+    return re.split("//|#", " ".join(code.split()), maxsplit=1)[0].lower() if isinstance(code, str) else ""
 
 
 def _alike(m: difflib.SequenceMatcher, most: float) -> bool:
@@ -47,7 +49,7 @@ def keep_dissimilar(df: DataFrame, group: str, position: str, code: str, most: f
         pdf = pdf.sort_values(position, kind="stable")
         kept: list[str] = []
         keep = []
-        m = difflib.SequenceMatcher(None, autojunk=False)
+        m = difflib.SequenceMatcher(None, autojunk=True)
         for text in map(_comparable, pdf[code]):
             m.set_seq2(text)
             similar = False
@@ -75,7 +77,7 @@ def _dissimilar_of_large(rows: DataFrame, columns: list[str], position: str, cod
 
     @F.pandas_udf(T.BooleanType())
     def alike(earlier: pd.Series, later: pd.Series) -> pd.Series:
-        m, out, last = difflib.SequenceMatcher(None, autojunk=False), [], None
+        m, out, last = difflib.SequenceMatcher(None, autojunk=True), [], None
         for a, b in zip(earlier, later):
             if b != last:
                 m.set_seq2(b)

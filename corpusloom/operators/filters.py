@@ -12,8 +12,8 @@ from corpusloom.functions.text import SPACE, _c, char_count, is_blank, trimmed,
 # Fixed values.
 NOTES = ("note:", "note that", "if the price of", "deleverage", "protect yourself")
 CODE_SIGNS = ("=", "(", ")", ".", "ta.", "close", "open", "high", "low", "sma", "ema", "rsi")
-CODE_SHAPES = (r"=[ \t]*[^=]", r"[A-Za-z0-9_]+[ \t\n]*\(", r"(?:^|[^A-Za-z0-9_])(?:if|while|for|function|def|var|let|const|input\.)(?:[^A-Za-z0-9_]|$)", r"[A-Za-z0-9_]+\.[A-Za-z0-9_]+", r"\[[^\n]*\]")
-NOTE_ONLY = r"(?i)^note: \([^\n]*\)$"
+CODE_SHAPES = (r"(?i)=\s*[^=]", r"(?i)\w+\s*\(", r"(?i)\b(?:if|while|for|function|def|var|let|const|input\.)\b", r"(?i)\w+\.\w+", r"(?i)\[.*\]")
+NOTE_ONLY = r"(?is)^\s*note:\s*\(.*\)\s*$"
 
 
 def first_reason(checks: Sequence[tuple[str, Column]]) -> Column:
@@ -50,10 +50,10 @@ def comment_free(code: Column | str) -> Column:
 
 
 def valid_code(code: Column | str, min_chars: int = 10) -> Column:
-    """Long enough with and without comments, no note, and at least one sign of code."""
+    """Long enough with and without comments, no note in any case, and at least one sign of code, as it is written."""
     bare, low, sign = comment_free(code), F.lower(_c(code)), F.lit(False)
     for s in CODE_SIGNS:
-        sign = sign | F.contains(F.lower(bare), F.lit(s))
+        sign = sign | F.contains(bare, F.lit(s))
     note = F.lit(False)
     for n in NOTES:
         note = note | low.contains(n)

@@ -19,7 +19,7 @@ from corpusloom.plans.models import Model, taken_apart, translated
 def script_pipeline(scripts: DataFrame, min_likes: int = 100, least: float = 5.0, model: Model | None = None) -> DataFrame:
     """Scripts to training pairs: filter, translate, drop drawing lines, score, filter by score. One stage, no shuffle."""
     likes = first_nonzero("likes_count", "preview_likes_count")
-    kept = scripts.where(first_reason(script_checks(likes, "description", "source_code", min_likes)).isNull())
+    kept = scripts.where(first_reason(script_checks("likes_count", "description", "source_code", min_likes)).isNull())
     spoken = translated(kept, "description", is_foreign("description"), model) if model else kept.withColumn("was_translated", F.lit(False))
     clean = drawing_removed("source_code")
     out = spoken.select("row_id", F.col("description").alias("input"), clean["cleaned"].alias("output"), clean["removed"].alias("removed_lines"), "was_translated", first_filled("name", "preview_title").alias("name"), likes.alias("likes"))

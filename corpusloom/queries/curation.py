@@ -9,6 +9,7 @@ from corpusloom.functions import clean, score, text
 from corpusloom.functions.text import FILLED, SPACE
 from corpusloom.operators import aggregate, classify, dedup, filters, mixing, nested, select
 from corpusloom.plans import models, pipelines
+from corpusloom.queries import fixed
 from corpusloom.queries.base import any_hit, blank, capped, chars, hits, lines, listed, points, query, table, trim, words
 from corpusloom.sources.files import column_profile
 from corpusloom.sources.web import capped_per_page, merged_records
@@ -31,20 +32,20 @@ def threshold_filter(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "strategies").select("row_id", filters.all_reasons(filters.threshold_checks("likes_count", "description")).alias("reasons"))
 
 
-_REASON = f"""case when {_LIKES} < 100 then 'low_likes' when {blank('description')} or {blank('source_code')} then 'empty'
+_REASON = f"""case when coalesce(likes_count, 0) < 100 then 'low_likes' when {blank('description')} or {blank('source_code')} then 'empty'
 when {chars(trim('description'))} < 30 then 'short_description' when {chars(trim('source_code'))} < 50 then 'short_code' end"""
 
 
 @query(f"select coalesce(reason, 'kept') as reason, count(*) as n, round(count(*) * 100.0::double / sum(count(*)) over (), 4) as percent from (select {_REASON} as reason from strategies) group by 1")
 def script_filter_reasons(spark: SparkSession, d: str) -> DataFrame:
-    rows = filters.with_reason(table(spark, d, "strategies"), filters.script_checks(likes(), "description", "source_code"))
+    rows = filters.with_reason(table(spark, d, "strategies"), filters.script_checks("likes_count", "description", "source_code"))
     return aggregate.histogram(rows, "reason", F.coalesce("reason", F.lit("kept")))
 
 
 _CUT = trim(r"regexp_replace(l, '(?://|#)[^\n]*', '', 'g')")
 _BARE = f"array_to_string(list_filter(list_transform({lines('output')}, lambda l: {_CUT}), lambda l: l <> ''), chr(10))"
 _LOWO = f"lower({_O})"
-_VALID = f"coalesce({chars(trim('output'))} >= 10 and not {any_hit(_LOWO, filters.NOTES)} and {chars(_BARE)} >= 10 and {any_hit(f'lower({_BARE})', filters.CODE_SIGNS)}, false)"
+_VALID = f"coalesce({chars(trim('output'))} >= 10 and not {any_hit(_LOWO, fixed.NOTES)} and {chars(_BARE)} >= 10 and {any_hit(_BARE, fixed.CODE_SIGNS)}, false)"
 _SEG = f"case when {blank('input')} or {blank('output')} then 'empty' when not {_VALID} then 'invalid_code' when {chars(trim('input'))} < 20 then 'short_description' end"
 
 
@@ -54,10 +55,10 @@ def segment_filter(spark: SparkSession, d: str) -> DataFrame:
 
 
 _MBARE = trim(rf"regexp_replace(regexp_replace(regexp_replace(regexp_replace(output, '//[^\n]*', '', 'g'), '(?s)/\*.*?\*/', '', 'g'), '#[^\n]*', '', 'g'), '{SPACE}+', ' ', 'g')")
-_SHAPES = " or ".join(f"regexp_matches({_MBARE}, '{p}')" for p in filters.CODE_SHAPES)
+_SHAPES = " or ".join(f"regexp_matches({_MBARE}, '{p}')" for p in fixed.CODE_SHAPES)
 
 
-@query(f"select segment_id, coalesce({chars(trim('output'))} >= 20 and ({_SHAPES}) and not regexp_matches({trim('output')}, '{filters.NOTE_ONLY}'), false) as meaningful from segments")
+@query(f"select segment_id, coalesce({chars(trim('output'))} >= 20 and ({_SHAPES}) and not regexp_matches(output, '{fixed.NOTE_ONLY}'), false) as meaningful from segments")
 def meaningful_code(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "segments").select("segment_id", filters.meaningful_code("output").alias("meaningful"))
 
@@ -85,20 +86,20 @@ def resumed_rows(spark: SparkSession, d: str) -> DataFrame:
 
 # Classification.
 
-_KIND = f"case when regexp_matches({_CODE}, '{classify.STRATEGY}') then 'strategy' when regexp_matches({_CODE}, '{classify.INDICATOR}') then 'indicator' when regexp_matches({_CODE}, '{classify.ORDER_CALL}') then 'strategy' when regexp_matches({_CODE}, '{classify.PLOTS}') then 'indicator' else 'unknown' end"
+_KIND = f"case when regexp_matches({_CODE}, '{fixed.STRATEGY}') then 'strategy' when regexp_matches({_CODE}, '{fixed.INDICATOR}') then 'indicator' when regexp_matches({_CODE}, '{fixed.ORDER_CALL}') then 'strategy' when regexp_matches({_CODE}, '{fixed.PLOTS}') then 'indicator' else 'unknown' end"
 
 
-@query(f"select row_id, {_KIND} as kind, regexp_matches({_CODE}, '{classify.PLOTS}') as has_plots, regexp_matches({_CODE}, '{classify.ORDERS}') as has_orders, {words('description')} as description_words from strategies")
+@query(f"select row_id, {_KIND} as kind, regexp_matches({_CODE}, '{fixed.PLOTS}') as has_plots, regexp_matches({_CODE}, '{fixed.ORDERS}') as has_orders, {words('description')} as description_words from strategies")
 def script_kinds(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "strategies").select("row_id", *[c.alias(n) for n, c in classify.script_traits("source_code", "description").items()])
 
 
-@query(f"select row_id, case {' '.join(f'when {any_hit(f'lower({_DESC})', t)} then {chr(39)}{n}{chr(39)}' for n, t in classify.THEMES)} else 'standard' end as theme from strategies")
+@query(f"select row_id, case {' '.join(f'when {any_hit(f'lower({_DESC})', t)} then {chr(39)}{n}{chr(39)}' for n, t in fixed.THEMES)} else 'standard' end as theme from strategies")
 def first_themes(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "strategies").select("row_id", classify.first_theme("description").alias("theme"))
 
 
-_BUCKETS = " union all ".join(f"select row_id, '{n}' as theme, {_LIKES} as likes from strategies where {any_hit(f'lower({_DESC})', t)}" for n, t in classify.BUCKETS)
+_BUCKETS = " union all ".join(f"select row_id, '{n}' as theme, {_LIKES} as likes from strategies where {any_hit(f'lower({_DESC})', t)}" for n, t in fixed.BUCKETS)
 
 
 @query(f"select theme, count(*) as n from ({_BUCKETS}) group by 1")
@@ -111,12 +112,15 @@ def rate_bands(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "script_pairs").select("pair_id", classify.acceptance_band(F.col("quality_score") * 10).alias("band"))
 
 
-_TEMPLATES = ((("momentum", "trend"), "Write a trend strategy."), (("volume",), "Write a volume strategy."), (("stop",), "Write a strategy with stops."))
+_SAYS = lambda *terms: any_hit(f"lower({_DESC})", terms)
+_INSTRUCTION = f"""'Implement a Pine Script code for ' || case when {_SAYS('sma', 'moving average')} then case when {_SAYS('threshold')} then 'SMA-based strategy with dynamic thresholds.' else 'moving average crossover strategy.' end
+when {_SAYS('rsi')} then 'RSI-based trading signals.' when {_SAYS('input')} and {_SAYS('parameter')} then 'configurable strategy parameters.' when {_SAYS('threshold')} and {_SAYS('entry')} then 'threshold-based entry and exit signals.'
+when {_SAYS('signal', 'buy', 'sell')} then 'trading signal generation.' else 'the described trading strategy.' end"""
 
 
-@query(f"select row_id, case {' '.join(f'when {any_hit(f'lower({_DESC})', t)} then {chr(39)}{n}{chr(39)}' for t, n in _TEMPLATES)} else 'Write a strategy.' end as template from strategies")
+@query(f"select row_id, {_INSTRUCTION} as template from strategies")
 def instruction_templates(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "strategies").select("row_id", classify.template_for("description", _TEMPLATES, "Write a strategy.").alias("template"))
+    return table(spark, d, "strategies").select("row_id", classify.instruction_for("description").alias("template"))
 
 
 # Deduplication.
@@ -194,8 +198,8 @@ _LD, _LC = f"lower({_I})", f"lower({_O})"
 _BOTH = f"({_LD} || ' ' || {_LC})"
 _SEGMENT = " + ".join([
     "3.0::double", points(f"{chars('input')} > 50", 1), points(f"{chars('input')} > 100", 0.5), points(f"{chars('output')} > 20", 1), points(f"{chars('output')} > 50", 0.5),
-    capped(hits(_BOTH, score.SEGMENT_TERMS), 0.4, 2.5), capped(hits(_O, score.SEGMENT_CODE), 0.2, 1.5), capped(hits(_LC, score.SEGMENT_NAMES), 0.3, 1.0),
-    points(f"contains({_LC}, 'note:') or starts_with({trim(_O)}, 'note')", -2), f"{hits(_LD, score.GENERIC)} * -0.3::double", capped(hits(_LD, score.SPECIFIC), 0.2, 1.0),
+    capped(hits(_BOTH, fixed.SEGMENT_TERMS), 0.4, 2.5), capped(hits(_O, fixed.SEGMENT_CODE), 0.2, 1.5), capped(hits(_LC, fixed.SEGMENT_NAMES), 0.3, 1.0),
+    points(f"contains({_LC}, 'note:') or starts_with({trim(_O)}, 'note')", -2), f"{hits(_LD, fixed.GENERIC)} * -0.3::double", capped(hits(_LD, fixed.SPECIFIC), 0.2, 1.0),
 ])
 
 
@@ -215,13 +219,13 @@ def _balanced(c: str) -> str:
 def _quality(c: str) -> str:
     return "least(10.0::double, " + " + ".join([
         points(f"contains({c}, '//@version=')", 1), points(any_hit(c, ("strategy(", "indicator(")), 2), points(f"contains({c}, 'input.')", 1), points(f"contains({c}, 'ta.')", 1.5),
-        points(any_hit(c, ("strategy.entry", "strategy.close")), 2), points(f"contains({c}, 'plot(')", 1), points(f"{hits(c, score.CODE_FUNCTIONS)} >= 3", 1), points(_balanced(c), 0.5),
+        points(any_hit(c, ("strategy.entry", "strategy.close")), 2), points(f"contains({c}, 'plot(')", 1), points(f"{hits(c, fixed.CODE_FUNCTIONS)} >= 3", 1), points(_balanced(c), 0.5),
     ]) + ")"
 
 
 _STRATEGY = " + ".join([
     points(f"contains({_CODE}, '//@version=')", 1), points(f"contains({_CODE}, 'strategy(')", 2), points(f"contains({_CODE}, 'input.')", 1), points(any_hit(_CODE, ("ta.", "math.", "array.")), 1.5),
-    points(f"contains({_CODE}, 'strategy.entry')", 2), points(any_hit(_CODE, ("strategy.exit", "strategy.close")), 1.5), points(any_hit(_CODE, ("plot(", "plotshape(")), 1), points(f"{hits(_CODE, score.STRATEGY_FUNCTIONS)} >= 5", 1),
+    points(f"contains({_CODE}, 'strategy.entry')", 2), points(any_hit(_CODE, ("strategy.exit", "strategy.close")), 1.5), points(any_hit(_CODE, ("plot(", "plotshape(")), 1), points(f"{hits(_CODE, fixed.STRATEGY_FUNCTIONS)} >= 5", 1),
 ])
 
 
@@ -240,9 +244,9 @@ def _length(t: str) -> str:
     return f"(case when {n} < 50 then 0.1::double when {n} > 2000 then 0.3::double when {n} >= 200 and {n} <= 800 then 1.0::double when {n} < 200 then 0.1::double + 0.9::double * ({n} - 50) / 150 else 0.3::double + 0.7::double * (2000 - {n}) / 1200 end)"
 
 
-def _relevance(t: str, vocabulary: tuple[str, ...] = score.TECHNICAL) -> str:
+def _relevance(t: str, vocabulary: tuple[str, ...] = fixed.RELEVANT) -> str:
     total = " + ".join(_n(t, k) for k in vocabulary)
-    return f"(0.7::double * least({hits(t, vocabulary)} / 20.0::double, 1.0::double) + 0.3::double * least(({total}) / 50.0::double, 1.0::double))"
+    return f"(0.7::double * least({hits(t, tuple(dict.fromkeys(vocabulary)))} / 20.0::double, 1.0::double) + 0.3::double * least(({total}) / 50.0::double, 1.0::double))"
 
 
 @query(f"select doc_id, round({_length('text')}, 12) as length_score, round({_relevance('lower(coalesce(text, chr(32)))')}, 12) as relevance from documents")
@@ -251,24 +255,24 @@ def length_and_relevance(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _groups(t: str) -> str:
-    met = "(" + " + ".join(f"{any_hit(t, g)}::int" for g in score.GROUPS) + ")"
+    met = "(" + " + ".join(f"{any_hit(t, g)}::int" for g in fixed.GROUPS) + ")"
     return f"({met} * 0.2::double + {points(f'{met} >= 4', 0.2)})"
 
 
 def _technical(t: str, raw: str) -> str:
-    return f"({capped(hits(t, score.TECHNICAL), 0.05, 0.4)} + {points(f'regexp_matches({raw}, {chr(39)}{score.FORMULA}{chr(39)})', 0.2)} + {capped(hits(t, score.FINANCE), 0.05, 0.2)})"
+    return f"({capped(hits(t, fixed.TECHNICAL), 0.05, 0.4)} + {points(f'regexp_matches({raw}, {chr(39)}{fixed.FORMULA}{chr(39)})', 0.2)} + {capped(hits(t, fixed.FINANCE), 0.05, 0.2)})"
 
 
 def _novelty(t: str) -> str:
-    return f"({capped(hits(t, score.NEW), 0.1, 0.3)} + {points(any_hit(t, ('combine', 'hybrid')), 0.2)} + {points(any_hit(t, ('custom', 'modified')), 0.2)})"
+    return f"({capped(hits(t, fixed.NEW), 0.1, 0.3)} + {points(any_hit(t, ('combine', 'hybrid')), 0.2)} + {points(any_hit(t, ('custom', 'modified')), 0.2)})"
 
 
 _ASKED = f"regexp_extract_all({_LD}, '[a-z0-9_]+')"
-_REASONING = f"({capped(hits(_LC, score.LOGIC), 0.1, 0.3)} + {capped(hits(_LC, score.EXPLAIN), 0.05, 0.2)} + (case when len({_ASKED}) > 0 then len(list_filter({_ASKED}, lambda w: contains({_LC}, w)))::double / len({_ASKED}) else 0::double end) * 0.3::double)"
+_REASONING = f"({capped(hits(_LC, fixed.LOGIC), 0.1, 0.3)} + {capped(hits(_LC, fixed.EXPLAIN), 0.05, 0.2)} + (case when len({_ASKED}) > 0 then len(list_filter({_ASKED}, lambda w: contains({_LC}, w)))::double / len({_ASKED}) else 0::double end) * 0.3::double)"
 _STACK = f"""list_reduce(list_prepend('', regexp_extract_all({_O}, '[()\\[\\]{{}}]')), lambda s, b: case when starts_with(s, 'x') then s when b in ('(', '[', '{{') then s || b
  when (b = ')' and ends_with(s, '(')) or (b = ']' and ends_with(s, '[')) or (b = '}}' and ends_with(s, '{{')) then left(s, length(s) - 1) else 'x' end) <> ''"""
-_DOC = score.DOCSTRING.replace("'", "''")
-_ANSWER = "(" + " + ".join([points(f"regexp_matches({_O}, '(?s)```.*?```')", 0.3), points(f"regexp_matches({_O}, 'def [A-Za-z0-9_]+\\(|class [A-Za-z0-9_]+')", 0.2), points(f"contains({_O}, '#') or regexp_matches({_O}, '{_DOC}')", 0.2), points(f"regexp_matches({_O}, '{score.NAME}')", 0.1), points(_STACK, -0.5)]) + ")"
+_DOC = fixed.DOCSTRING.replace("'", "''")
+_ANSWER = "(" + " + ".join([points(f"regexp_matches({_O}, '(?s)```.*?```')", 0.3), points(f"regexp_matches({_O}, 'def [A-Za-z0-9_]+\\(|class [A-Za-z0-9_]+')", 0.2), points(f"contains({_O}, '#') or regexp_matches({_O}, '{_DOC}')", 0.2), points(f"regexp_matches({_O}, '{fixed.NAME}')", 0.1), points(_STACK, -0.5)]) + ")"
 
 
 @query(f"select pair_id, round({_groups(_LC)}, 12) as groups, round({_technical(_LC, _O)}, 12) as technical, round({_novelty(_LC)}, 12) as novelty, round({_REASONING}, 12) as reasoning, round({_ANSWER}, 12) as code from script_pairs")
@@ -278,7 +282,7 @@ def reward_parts(spark: SparkSession, d: str) -> DataFrame:
 
 
 _COMPOSITE = f"""{_ANSWER} * 0.3::double + {_REASONING} * 0.25::double + {_groups(_LC)} * 0.2::double + {_technical(_LC, _O)} * 0.15::double + {_novelty(_LC)} * 0.1::double
-+ {points(any_hit(_LC, score.RISKS), 0.15)} + {points(f"regexp_matches({_O}, '(?s){chr(34) * 3}.*?{chr(34) * 3}')", 0.2)} + {points(f"{chars('output')} < 50 or contains({_LC}, 'incomplete')", -0.3)}"""
++ {points(any_hit(_LC, fixed.RISKS), 0.15)} + {points(f"regexp_matches({_O}, '(?s){chr(34) * 3}.*?{chr(34) * 3}')", 0.2)} + {points(f"{chars('output')} < 50 or contains({_LC}, 'incomplete')", -0.3)}"""
 
 
 @query(f"select pair_id, round(greatest(-1.0::double, least(1.0::double, {_COMPOSITE})), 12) as reward from script_pairs")
@@ -305,7 +309,7 @@ _FENCED = f"list_transform(regexp_extract_all({_O}, '(?is)```(?:python)?(.*?)```
 _BLOCKS = f"list_filter(case when len({_FENCED}) > 0 then {_FENCED} when {any_hit(_O, ('def ', 'class ', 'import ', 'from ', 'bt.'))} then [{trim(_O)}] else [] end, lambda b: length(b) > 10)"
 _POINTS = " + ".join([
     points("regexp_matches(b, '(?m)^[ \\t]*(?:import|from) ')", 1), points("contains(b, 'def ')", 2), points("contains(b, 'class ')", 1.5), points(f"contains(b, '{chr(34) * 3}') or contains(b, repeat(chr(39), 3))", 1), points("contains(b, '#')", 0.5),
-    points("regexp_matches(b, '(?m)^(?:    |\\t)[ \\t]*[^ \\t\\r\\n]')", 1), points(any_hit("lower(b)", score.TRADING), 1),
+    points("regexp_matches(b, '(?m)^(?:    |\\t)[ \\t]*[^ \\t\\r\\n]')", 1), points(any_hit("lower(b)", fixed.TRADING), 1),
 ])
 _BLOCK = f"(case when len({_BLOCKS}) = 0 then 0.1::double else least(list_sum(list_transform({_BLOCKS}, lambda b: {_POINTS})) / 10.0::double, 1.0::double) end)"
 
@@ -327,9 +331,9 @@ def judged_rewards(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""select row_id, {points('coalesce(length(name) > 20, false)', 5)} + {points('coalesce(length(description) > 20, false)', 15)} + (case when k >= 3 then 10.0::double when k >= 1 then 5.0::double else 0::double end) as score
-from (select *, len(list_filter({listed(score.TECHNICAL)}, lambda v: contains({_SD}, v))) as k from strategies)""")
+from (select *, len(list_filter({listed(fixed.TECHNICAL)}, lambda v: contains({_SD}, v))) as k from strategies)""")
 def field_completeness(spark: SparkSession, d: str) -> DataFrame:
-    concepts = text.term_hits(F.lower(F.coalesce("description", F.lit(""))), score.TECHNICAL)
+    concepts = text.term_hits(F.lower(F.coalesce("description", F.lit(""))), fixed.TECHNICAL)
     c = score.field_completeness({"name": (F.col("name"), 5), "description": (F.col("description"), 15)}, {"concepts": (concepts, 10)})
     return table(spark, d, "strategies").select("row_id", c.alias("score"))
 
@@ -337,7 +341,7 @@ def field_completeness(spark: SparkSession, d: str) -> DataFrame:
 # Statistics.
 
 
-@query(f"select count(*) as total, count_if(kind = 'strategy') as strategies, count_if(kind = 'indicator') as indicators, count_if(kind = 'unknown') as others, count_if(plots) as with_plots from (select {_KIND} as kind, regexp_matches({_CODE}, '{classify.PLOTS}') as plots from strategies)")
+@query(f"select count(*) as total, count_if(kind = 'strategy') as strategies, count_if(kind = 'indicator') as indicators, count_if(kind = 'unknown') as others, count_if(plots) as with_plots from (select {_KIND} as kind, regexp_matches({_CODE}, '{fixed.PLOTS}') as plots from strategies)")
 def kind_counts(spark: SparkSession, d: str) -> DataFrame:
     t = classify.script_traits("source_code", "description")
     rows = table(spark, d, "strategies").select(t["kind"].alias("kind"), t["has_plots"].alias("plots"))
@@ -351,7 +355,7 @@ def score_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""select count(*) as scripts, count_if(removed > 0) as cleaned, sum(removed)::bigint as removed, round(case when count_if(removed > 0) > 0 then sum(removed)::double / count_if(removed > 0) else 0 end, 6) as per_cleaned,
-round(count_if(removed > 0) * 100.0::double / count(*), 4) as percent from (select coalesce(len(list_filter({lines('source_code')}, lambda l: regexp_matches(l, '{clean.DRAWING_LINE}'))), 0) as removed from strategies)""")
+round(count_if(removed > 0) * 100.0::double / count(*), 4) as percent from (select coalesce(len(list_filter({lines('source_code')}, lambda l: regexp_matches(l, '{fixed.DRAWING_LINE}'))), 0) as removed from strategies)""")
 def cleaning_stats(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "strategies").select(clean.drawing_removed("source_code")["removed"].alias("removed"))
     n = F.count_if(F.col("removed") > 0)
@@ -361,7 +365,8 @@ def cleaning_stats(spark: SparkSession, d: str) -> DataFrame:
 def _quantile(p: float) -> str:
     h = f"((n + 1) * {p}::double)"
     j = f"least(greatest(floor({h}), 1), greatest(n - 1, 1))::bigint"
-    return f"round(v[{j}] + (case when n > 1 then {h} - {j} else 0 end) * (v[least({j} + 1, n)] - v[{j}]), 6)"
+    least = {0.25: 4, 0.75: 4, 0.95: 20, 0.99: 100}[p]
+    return f"round(case when n < {least} then v[{'1' if p < 0.5 else 'n'}] else v[{j}] + ({h} - {j}) * (v[least({j} + 1, n)] - v[{j}]) end, 6)"
 
 
 _POINTS_P = (0.25, 0.75, 0.95, 0.99)
@@ -380,7 +385,7 @@ def length_stats(spark: SparkSession, d: str) -> DataFrame:
     return aggregate.length_stats(rows, "w", ["source"])
 
 
-_EDGES = (0, 50, 100, 200, 400, 800, 1600)
+_EDGES = fixed.LENGTH_EDGES
 _BUCKET = "case " + " ".join(f"when w >= {a} and w < {b} then '{a}-{b - 1}'" for a, b in zip(_EDGES, _EDGES[1:])) + f" when w >= {_EDGES[-1]} then '{_EDGES[-1]}+' end"
 
 
@@ -504,11 +509,11 @@ def assigned_references(spark: SparkSession, d: str) -> DataFrame:
 # Pipelines.
 
 
-_CLEAN = f"coalesce(array_to_string(list_filter({lines('source_code')}, lambda l: not regexp_matches(l, '{clean.DRAWING_LINE}')), chr(10)), '')"
+_CLEAN = f"coalesce(array_to_string(list_filter({lines('source_code')}, lambda l: not regexp_matches(l, '{fixed.DRAWING_LINE}')), chr(10)), '')"
 
 
 @query(f"""select * from (select row_id, description as input, cleaned as output, removed_lines, likes, title, {_quality('cleaned')} as score from
-(select row_id, description, {_CLEAN} as cleaned, coalesce(len(list_filter({lines('source_code')}, lambda l: regexp_matches(l, '{clean.DRAWING_LINE}'))), 0) as removed_lines, {_LIKES} as likes, coalesce(nullif(name, ''), nullif(preview_title, '')) as title from strategies where ({_REASON}) is null)) where score >= 5""")
+(select row_id, description, {_CLEAN} as cleaned, coalesce(len(list_filter({lines('source_code')}, lambda l: regexp_matches(l, '{fixed.DRAWING_LINE}'))), 0) as removed_lines, {_LIKES} as likes, coalesce(nullif(name, ''), nullif(preview_title, '')) as title from strategies where ({_REASON}) is null)) where score >= 5""")
 def script_pipeline(spark: SparkSession, d: str) -> DataFrame:
     return pipelines.script_pipeline(table(spark, d, "strategies")).select("row_id", "input", "output", "removed_lines", "likes", F.col("name").alias("title"), "score")
 

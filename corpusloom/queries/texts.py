@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions import clean, html, prompts, score, similarity, text
-from corpusloom.functions.text import IDENTIFIER, SPACE, SYMBOL
+from corpusloom.functions import clean, html, prompts, similarity, text
+from corpusloom.functions.text import SPACE, SYMBOL
+from corpusloom.queries import fixed
 from corpusloom.queries.base import blank, chars, hits, lines, listed, query, quoted, table, trim, words
 from corpusloom.sources.web import page_urls
 
@@ -34,9 +35,9 @@ def substring_flags(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "strategies").select("row_id", *[c.alias(n) for n, c in text.contains_flags("source_code", _FLAGS).items()])
 
 
-@query(f"select row_id, array_to_string(list_filter({listed(score.CODE_FUNCTIONS)}, lambda v: contains({_CODE}, v)), ',') as found, {hits('source_code', score.CODE_FUNCTIONS)} as n from strategies")
+@query(f"select row_id, array_to_string(list_filter({listed(fixed.CODE_FUNCTIONS)}, lambda v: contains({_CODE}, v)), ',') as found, {hits('source_code', fixed.CODE_FUNCTIONS)} as n from strategies")
 def vocabulary_hits(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "strategies").select("row_id", F.array_join(text.term_hits("source_code", score.CODE_FUNCTIONS), ",").alias("found"), text.hit_count("source_code", score.CODE_FUNCTIONS).alias("n"))
+    return table(spark, d, "strategies").select("row_id", F.array_join(text.term_hits("source_code", fixed.CODE_FUNCTIONS), ",").alias("found"), text.hit_count("source_code", fixed.CODE_FUNCTIONS).alias("n"))
 
 
 def _n(t: str, term: str) -> str:
@@ -60,16 +61,19 @@ def occurrence_counts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "strategies").select("row_id", *[text.occurrences("source_code", t).alias(n) for n, t in _TERMS.items()])
 
 
-def _blocks(t: str, language: str) -> str:
-    return f"regexp_extract_all(coalesce({t}, ''), '(?s)```(?:{language})[ \\t\\r]*\\n(.*?)```', 1)"
+_FENCE = f"(?:[A-Za-z]+[ \\t\\r]*\\n|{SPACE}*)"
 
 
-@query(f"""select pair_id, coalesce({_blocks('output', 'pine')}[1], {_blocks('output', '[A-Za-z]*')}[1], output) as code, len({_blocks('output', '[A-Za-z]*')}) as blocks from script_pairs""")
+def _blocks(t: str, head: str = _FENCE) -> str:
+    return f"regexp_extract_all(coalesce({t}, ''), '(?si)```{head}(.*?)```', 1)"
+
+
+@query(f"""select pair_id, {trim(f"coalesce({_blocks('output', f'(?:pine){SPACE}+')}[1], {_blocks('output')}[1], output)")} as code, len({_blocks('output')}) as blocks from script_pairs""")
 def code_blocks(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "script_pairs").select("pair_id", text.code_or_text("output", "pine").alias("code"), F.size(text.code_blocks("output")).cast("long").alias("blocks"))
 
 
-@query(f"select doc_id, coalesce(regexp_matches(text, '{text.FOREIGN}'), false) as is_foreign from documents")
+@query(f"select doc_id, coalesce(regexp_matches(text, '{fixed.FOREIGN}'), false) as is_foreign from documents")
 def foreign_flags(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", text.is_foreign("text").alias("is_foreign"))
 
@@ -82,7 +86,10 @@ def symbol_texts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "processing_states").select("state_id", F.coalesce(text.joined_upper(s), F.lit("")).alias("symbols"), text.first_symbol(F.array_join(s, " ")).alias("first_symbol"), text.file_safe(F.coalesce(F.get(s, F.lit(0)), F.lit(""))).alias("file_name"))
 
 
-@query(f"select row_id, array_to_string(list_sort(list_distinct(list_transform(list_filter(regexp_extract_all({_CODE}, '{IDENTIFIER}'), lambda w: length(w) > 2 and upper(w) <> w), lambda w: lower(w)))), ',') as identifiers from strategies")
+_IDS = lambda t: f"list_distinct(list_transform(list_filter(regexp_extract_all({t}, '[\\p{{L}}\\p{{N}}_]+'), lambda w: regexp_matches(w, '^[A-Za-z_][A-Za-z0-9_]*$') and length(w) > 2 and not (upper(w) = w and lower(w) <> w)), lambda w: lower(w)))"
+
+
+@query(f"select row_id, array_to_string(list_sort({_IDS(_CODE)}), ',') as identifiers from strategies")
 def identifier_sets(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "strategies").select("row_id", F.array_join(F.array_sort(text.identifiers("source_code")), ",").alias("identifiers"))
 
@@ -112,14 +119,14 @@ def python_syntax(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "processing_states").select("state_id", text.python_parses("converted_code").alias("parses"))
 
 
-@query(f"""select row_id, array_to_string(list_filter(x, lambda l: not regexp_matches(l, '{clean.DRAWING_LINE}')), chr(10)) as cleaned,
-coalesce(len(list_filter(x, lambda l: regexp_matches(l, '{clean.DRAWING_LINE}'))), 0) as removed from (select row_id, {lines('source_code')} as x from strategies)""")
+@query(f"""select row_id, array_to_string(list_filter(x, lambda l: not regexp_matches(l, '{fixed.DRAWING_LINE}')), chr(10)) as cleaned,
+coalesce(len(list_filter(x, lambda l: regexp_matches(l, '{fixed.DRAWING_LINE}'))), 0) as removed from (select row_id, {lines('source_code')} as x from strategies)""")
 def drawing_removed(spark: SparkSession, d: str) -> DataFrame:
     out = clean.drawing_removed("source_code")
     return table(spark, d, "strategies").select("row_id", out["cleaned"].alias("cleaned"), out["removed"].alias("removed"))
 
 
-@query(f"select row_id, {trim(f'''array_to_string(list_filter({lines('source_code')}, lambda l: not regexp_matches(l, '{clean.PLOT_CALL}')), chr(10))''')} as stripped from strategies")
+@query(f"select row_id, {trim(f'''array_to_string(list_filter({lines('source_code')}, lambda l: not regexp_matches(l, '{fixed.PLOT_CALL}')), chr(10))''')} as stripped from strategies")
 def plots_stripped(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "strategies").select("row_id", clean.plots_stripped("source_code").alias("stripped"))
 
@@ -172,26 +179,77 @@ def few_shot_prompt(spark: SparkSession, d: str) -> DataFrame:
     return prompts.few_shot(ranks_between(table(spark, d, "script_pairs"), "quality_score", "pair_id", 1, 3), "rank", "input", "output", 3)
 
 
-def _page(spark: SparkSession, d: str) -> DataFrame:
-    """Pages made of the scripts' fields, as the crawler would see them."""
-    esc = lambda c: F.replace(F.replace(F.coalesce(F.col(c), F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
-    page = F.concat(
-        F.lit("<html><body><article class='card x'><a href='"), F.coalesce("script_url", F.lit("")), F.lit("'>t</a><a href='/script/other/'>u</a></article><h1>"), esc("name"),
-        F.lit("</h1><time datetime='"), F.coalesce("created_at", F.lit("")), F.lit("'></time><span class='symbol'>"), esc("symbol"), F.lit("</span><span class='likes'>"), F.format_number(F.coalesce("likes_count", F.lit(0)), 0), F.lit("</span><pre>x</pre></body></html>"),
+def _escaped(c: str) -> Column:
+    return F.replace(F.replace(F.coalesce(F.col(c), F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+
+
+def _card(d: DataFrame) -> Column:
+    """A listing's card, made of a crawl's preview fields."""
+    return F.concat(
+        F.lit('<article class="card-x big"><h3><a href="'), F.coalesce("script_url", F.lit("")), F.lit('">'), _escaped("preview_title"), F.lit('</a></h3><a href="/script/other/">u</a><a class="x-author" href="'), F.coalesce("preview_author_url", F.lit("")), F.lit('">by '), _escaped("preview_author"),
+        F.lit('</a><time datetime="'), F.coalesce("preview_created_at", F.lit("")), F.lit('"> some day </time><button class="boost-1">'), F.format_number(F.coalesce("preview_likes_count", F.lit(0)), 0), F.lit(' boosts</button><a class="comment-button">'), F.coalesce(F.col("preview_comments_count").cast("string"), F.lit("none")), F.lit("</a></article>"),
     )
-    return table(spark, d, "strategies").select("row_id", "script_url", page.alias("html"))
 
 
-@query("select row_id, coalesce(name, '') as name, coalesce(created_at, '') as created_at, coalesce(symbol, '') as symbol, coalesce(likes_count, 0)::bigint as likes, nullif(regexp_extract(script_url, '/script/([^/]+)/', 1), '') as script from strategies")
+def _page(spark: SparkSession, d: str) -> DataFrame:
+    """Script pages made of the scripts' fields as a browser would show them: the code stands in editor tokens, a code element, a
+    script or plain text by turns, the likes in a counter of digits or as text."""
+    rows = table(spark, d, "strategies").withColumn("turn", F.expr("row_id % 4")).withColumn("code", F.replace(F.coalesce("source_code", F.lit("")), F.lit("\r"), F.lit("")))
+    likes = F.coalesce("likes_count", F.lit(0)).cast("string")
+    tokens = F.array_join(F.transform(F.split(_escaped("code"), "\n", -1), lambda x: F.concat(F.lit('<div class="view-line"><span><span class="mtk1">'), x, F.lit('</span><span class="mtk2"></span></span></div>'))), "")
+    place = (
+        F.when(F.col("turn") == 0, F.concat(F.lit('<div class="code-box">'), tokens, F.lit("</div>")))
+        .when(F.col("turn") == 1, F.concat(F.lit('<div class="source-code"><pre>'), _escaped("code"), F.lit("</pre></div>")))
+        .when(F.col("turn") == 2, F.concat(F.lit('<script>var x = {"source": '), F.expr("substring(to_json(named_struct('a', code)), 6, length(to_json(named_struct('a', code))) - 6)"), F.lit("}</script>")))
+        .otherwise(F.lit(""))
+    )
+    digits = F.array_join(F.transform(F.regexp_extract_all(likes, F.lit("[0-9]"), F.lit(0)), lambda x: F.concat(F.lit('<span class="digitGrid-1"><span class="digit-2">'), x, F.lit("</span></span>"))), "")
+    counter = F.when(F.col("turn") < 2, F.concat(F.lit('<button aria-pressed="false"><span class="container-3">'), digits, F.lit("</span></button>"))).otherwise(F.concat(F.lit('<i class="boost-count">'), F.format_number(F.coalesce("likes_count", F.lit(0)), 0), F.lit("</i>")))
+    chart = F.when(F.col("turn") == 0, F.lit("")).otherwise(F.concat(F.lit('<a href="/chart/'), F.col("row_id").cast("string"), F.lit('/">chart</a>')))
+    symbol = F.when(F.col("turn") == 1, F.concat(F.lit('<meta name="symbol" content="'), _escaped("symbol"), F.lit('">'))).otherwise(F.concat(F.lit('<b class="symbol-name">'), _escaped("symbol"), F.lit("</b>")))
+    user = F.concat(F.lit('<a href="/u/'), F.col("row_id").cast("string"), F.lit('/"><span class="usernameOutline-1"><span class="username-2">'), _escaped("author"), F.lit("</span></span></a>"), F.when(F.col("turn") == 2, '<i class="badge-pro"></i>').otherwise(""))
+    page = F.concat(F.lit("<html><head>"), symbol, F.lit("</head><body>"), _card(rows), F.lit("<h1>"), _escaped("name"), F.lit('</h1><time datetime="'), F.coalesce("created_at", F.lit("")), F.lit('"></time>'), user, counter, chart, F.lit('<div class="description">'), _escaped("description"), F.lit("</div>"), place, F.lit("</body></html>"))
+    return rows.select("row_id", "script_url", page.alias("html"))
+
+
+_SITE = "https://scripts.example/listing/"
+_JOINED = lambda c: f"case when starts_with({c}, 'http') then {c} when starts_with({c}, '/') then 'https://scripts.example' || {c} else '{_SITE}' || {c} end"
+
+
+@query(f"""select row_id, {trim("coalesce(name, '')")} as name, {trim("coalesce(description, '')")} as description, coalesce(nullif(preview_created_at, ''), 'some day') as created_at, {trim("coalesce(symbol, '')")} as symbol, nullif({trim("coalesce(author, '')")}, '') as username,
+case when coalesce({trim("author")}, '') <> '' then 'https://scripts.example/u/' || row_id || '/' end as profile_url, case when coalesce({trim("author")}, '') <> '' then row_id % 4 = 2 end as pro_plan, coalesce(likes_count, 0)::bigint as likes_count,
+case when row_id % 4 = 0 then script_url else 'https://scripts.example/chart/' || row_id || '/' end as chart_url from strategies""")
 def html_records(spark: SparkSession, d: str) -> DataFrame:
-    rows = _page(spark, d).select("row_id", html.script_record("html").alias("r"), F.get(html.script_links("html"), F.lit(0)).alias("link"))
-    return rows.select("row_id", F.coalesce("r.name", F.lit("")).alias("name"), F.coalesce("r.created_at", F.lit("")).alias("created_at"), F.coalesce("r.symbol", F.lit("")).alias("symbol"), html.likes_of(F.col("r")).alias("likes"), html.script_id("link").alias("script"))
+    rows = _page(spark, d).withColumn("r", html.script_record("html", F.coalesce("script_url", F.lit(""))))
+    text_ = lambda c: F.coalesce(F.col(f"r.{c}"), F.lit("")).alias(c)
+    return rows.select("row_id", text_("name"), text_("description"), text_("created_at"), text_("symbol"), "r.username", "r.profile_url", "r.pro_plan", "r.likes_count", "r.chart_url")
 
 
-@query()
+_CLEANED = trim("replace(coalesce(source_code, ''), chr(13), '')")
+_MARKED = f"({' or '.join(f'contains({_CLEANED}, {quoted(m)})' for m in ('@version', 'indicator', 'strategy'))})"
+
+
+@query(f"select row_id, {_CLEANED} as code from strategies where row_id % 4 < 3 and {_MARKED}")
+def html_code(spark: SparkSession, d: str) -> DataFrame:
+    """The code of pages that hold it in editor tokens, a code element or a script."""
+    rows = _page(spark, d).where(F.expr("row_id % 4 < 3")).select("row_id", text.trimmed(html.script_record("html")["source_code"]).alias("code"))
+    marked = table(spark, d, "strategies").where(text.any_of("source_code", html.CODE_MARKS)).select("row_id")
+    return rows.join(marked, "row_id", "left_semi")
+
+
+@query(f"""select row_id, {_JOINED("coalesce(script_url, '')")} as script_url, nullif({trim("coalesce(preview_title, '')")}, '') as preview_title, case when {blank('preview_author')} then 'by' else {trim("replace('by ' || preview_author, 'by ', '')")} end as preview_author,
+case when coalesce(preview_author_url, '') <> '' then {_JOINED("preview_author_url")} end as preview_author_url, coalesce(preview_created_at, '') as preview_created_at, 'some day' as preview_created_display,
+coalesce(preview_likes_count, 0)::bigint as preview_likes_count, coalesce(preview_comments_count, 0)::bigint as preview_comments_count from strategies where regexp_matches(script_url, '/script/[^/]+/')""")
+def html_cards(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "strategies").where(F.col("script_url").rlike("/script/[^/]+/"))
+    cards = rows.select("row_id", html.preview_cards(_card(rows), F.lit(_SITE)).alias("cards"))
+    return cards.select("row_id", F.inline("cards"))
+
+
+@query(f"select row_id, {trim("coalesce(name, '')")} as title, {_JOINED("coalesce(script_url, '')")} as url, {_JOINED("case when regexp_matches(script_url, '/script/[^/]+/') then script_url else '/script/other/' end")} as link from strategies")
 def html_links(spark: SparkSession, d: str) -> DataFrame:
-    rows = _page(spark, d).select("row_id", html.select_text("html", ".missing", "h1").alias("title"), html.joined_url(F.lit("https://scripts.example/"), html.select_attribute("html", "href", "a")).alias("url"))
-    return rows
+    join = lambda c: html.joined_url(F.lit(_SITE), c)
+    return _page(spark, d).select("row_id", html.select_text("html", ".missing", "h1").alias("title"), join(html.select_attribute("html", "href", "article a")).alias("url"), join(F.get(html.script_links("html"), F.lit(0))).alias("link"))
 
 
 def _crawls(spark: SparkSession, d: str) -> DataFrame:
@@ -207,26 +265,28 @@ def _bare(t: str) -> str:
     return trim(rf"regexp_replace(regexp_replace(regexp_replace({t}, '//[^\n]*', '', 'g'), '(?s)/\*.*?\*/', '', 'g'), '{SPACE}+', ' ', 'g')")
 
 
-_KW = lambda t: f"list_filter({listed(similarity.KEYWORDS)}, lambda v: contains(coalesce({t}, ''), v))"
-_IDS = lambda t: f"list_distinct(list_transform(list_filter(regexp_extract_all(coalesce({t}, ''), '{IDENTIFIER}'), lambda w: length(w) > 2 and upper(w) <> w), lambda w: lower(w)))"
-_JAC = lambda x, y: f"case when len(list_distinct(list_concat({x}, {y}))) = 0 then 1.0::double else len(list_intersect({x}, {y}))::double / len(list_distinct(list_concat({x}, {y}))) end"
+_KW = lambda t: "list_distinct(flatten([" + ", ".join(f"regexp_extract_all({t}, '(?i){k}')" for k in fixed.SHARED_KEYWORDS) + "]))"
+_JAC = lambda x, y: f"case when len(list_distinct(list_concat({x}, {y}))) = 0 then 0.0::double else len(list_intersect({x}, {y}))::double / len(list_distinct(list_concat({x}, {y}))) end"
 _CRAWLS = "select row_id, lag(source_code) over w as a, source_code as b, row_number() over w as n from strategies where id is not null window w as (partition by id order by row_id)"
+_GRAMS = lambda t: "flatten([" + ", ".join(f"list_transform(range(1, length({t}) - {n} + 2), lambda i: substring({t}, i, {n}))" for n in (1, 2, 3)) + "])"
+_PARTS = f"""with p as (select row_id, coalesce({_bare('a')}, '') as a, coalesce({_bare('b')}, '') as b from ({_CRAWLS}) where n > 1),
+g as (select row_id, gram, sum(1 - side) as x, sum(side) as y from (select row_id, unnest({_GRAMS('lower(a)')}) as gram, 0 as side from p union all select row_id, unnest({_GRAMS('lower(b)')}), 1 from p) group by 1, 2),
+c as (select row_id, case when sum(x) > 0 and sum(y) > 0 then sum(x * y * w * w) / sqrt(sum(x * x * w * w) * sum(y * y * w * w)) else 0.0 end as text from (select *, case when x > 0 and y > 0 then 1.0::double else ln(1.5::double) + 1 end as w from g) group by 1),
+s as (select p.row_id, coalesce(c.text, 0.0) as text, (a = b)::int::double as structure, {_JAC(_KW('a'), _KW('b'))} as keywords, {_JAC(_IDS('a'), _IDS('b'))} as identifiers, 1 - abs(length(a) - length(b))::double / greatest(length(a), length(b), 1) as len from p left join c on c.row_id = p.row_id)"""
 
 
-@query(f"""with p as (from ({_CRAWLS}) where n > 1),
-s as (select row_id, {_JAC(_KW('a'), _KW('b'))} as keywords, {_JAC(_IDS('a'), _IDS('b'))} as identifiers, coalesce(({_bare('a')} = {_bare('b')})::int, 0)::double as structure,
-1 - abs({chars('a')} - {chars('b')})::double / greatest({chars('a')}, {chars('b')}, 1) as len from p)
-select row_id, round(keywords, 6) as keywords, round(identifiers, 6) as identifiers, structure, round(len, 6) as length,
-case when greatest(identifiers, structure) > 0.6 then 'High' when greatest(identifiers, structure) > 0.3 then 'Medium' else 'Low' end as confidence from s""")
+@query(f"""{_PARTS} select row_id, round(text, 6) as text, structure, round(keywords, 6) as keywords, round(identifiers, 6) as identifiers, round(len, 6) as length,
+round(text * 0.3::double + structure * 0.25::double + keywords * 0.25::double + identifiers * 0.15::double + len * 0.05::double, 6) as overall,
+case when greatest(text, structure) > 0.6 then 'High' when greatest(text, structure) > 0.3 then 'Medium' else 'Low' end as confidence from s""")
 def pair_similarity(spark: SparkSession, d: str) -> DataFrame:
-    p = _crawls(spark, d)
-    ids, structure = similarity.identifier_similarity("a", "b"), similarity.structural_similarity("a", "b")
-    return p.select("row_id", F.round(similarity.keyword_similarity("a", "b"), 6).alias("keywords"), F.round(ids, 6).alias("identifiers"), structure.alias("structure"), F.round(similarity.length_similarity("a", "b"), 6).alias("length"), similarity.similarity_confidence(ids, structure).alias("confidence"))
+    s = similarity.code_similarities(_crawls(spark, d), "row_id", "a", "b")
+    rounded = [F.round(n, 6).alias(n) for n in ("text", "keywords", "identifiers", "length", "overall")]
+    return s.select("row_id", "structure", *rounded, similarity.similarity_confidence("text", "structure").alias("confidence"))
 
 
-@query()
+@query(f"{_PARTS} select row_id, round(text, 6) as cosine, case when text > 0.7 then 'High' when text > 0.4 then 'Medium' else 'Low' end as level from s")
 def gram_similarity(spark: SparkSession, d: str) -> DataFrame:
-    p = _crawls(spark, d)
+    p = _crawls(spark, d).select("row_id", clean.comparable_code("a").alias("a"), clean.comparable_code("b").alias("b"))
     cosine = similarity.gram_cosine(p, "row_id", "a", "b")
     return cosine.select("row_id", F.round("cosine", 6).alias("cosine"), similarity.similarity_level("cosine").alias("level"))
 
@@ -237,7 +297,7 @@ def sequence_ratios(spark: SparkSession, d: str) -> DataFrame:
     return p.select("row_id", F.round(similarity.sequence_ratio("a", "b"), 6).alias("ratio"), F.length(similarity.unified_diff("a", "b")).alias("diff_chars"))
 
 
-@query(f"""with p as (from ({_CRAWLS}) where n > 1), s as (select row_id, {_IDS('a')} as x, {_IDS('b')} as y from p)
+@query(f"""with p as (from ({_CRAWLS}) where n > 1), s as (select row_id, {_IDS("coalesce(a, '')")} as x, {_IDS("coalesce(b, '')")} as y from p)
 select row_id, array_to_string(list_sort(list_filter(x, lambda v: not list_contains(y, v)))[1:10], ',') as only_a, array_to_string(list_sort(list_filter(y, lambda v: not list_contains(x, v)))[1:10], ',') as only_b from s""")
 def set_differences(spark: SparkSession, d: str) -> DataFrame:
     a, b = similarity.set_differences(text.identifiers("a"), text.identifiers("b"))

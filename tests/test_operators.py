@@ -37,7 +37,7 @@ def test_scalar_features(spark):
     assert one(spark, [" ", None], text.all_blank, "array<string>") is True
     assert one(spark, [" ", "a"], text.all_blank, "array<string>") is False
     assert one(spark, None, text.is_blank) is True
-    assert one(spark, "a ```python\nx=1\n``` b ```\ny\n```", text.code_or_text) == "x=1\n"
+    assert one(spark, "a ```python\nx=1\n``` b ```\ny\n```", text.code_or_text) == "x=1"
     assert one(spark, "plain", text.code_or_text) == "plain"
     assert one(spark, "Rsi RSI rsi ab _x1", text.identifiers) == ["rsi", "_x1"]
     assert one(spark, "score: 7.5 of 10", lambda c: text.parsed_score(c, 1, 10, 5)) == 7.5
@@ -187,9 +187,9 @@ def test_prompts(spark):
 
 
 def test_html(spark):
-    page = "<article class='card big'><a href='/script/a/'>1</a><a href='/script/b/'>2</a></article><article class='card'><p>none</article><h1> A <b>b</b> </h1><a class='author' href='/u/me/'>me</a><i class='pro'></i>"
+    page = "<article class='card big'><a href='/script/a/'>1</a><a href='/script/b/'>2</a></article><article class='card'><p>none</article><h1> A <b>b</b> </h1><a class='author-link' href='/u/me/'>me</a><i class='pro'></i>"
     r = one(spark, page, html.script_record)
-    assert (r["name"], r["username"], r["profile_url"], r["pro_plan"], r["created_at"]) == ("A b", "me", "/u/me/", True, None)
+    assert (r["name"], r["username"], r["profile_url"], r["pro_plan"], r["created_at"]) == ("Ab", "me", "/u/me/", True, None)
     assert one(spark, page, html.script_links) == ["/script/a/"]
     assert one(spark, None, html.script_links) == []
     assert one(spark, "/script/a/", lambda c: html.joined_url(F.lit("https://x.example/y/"), c)) == "https://x.example/script/a/"
@@ -226,7 +226,7 @@ def test_classification(spark):
     assert [r[0] for r in rows.select(classify.script_kind("c")).collect()] == ["strategy", "indicator", "strategy", "indicator", "unknown", "unknown"]
     t = spark.createDataFrame([("risk of divergence, maintained",)], "c string")
     assert t.select(classify.first_theme("c")).first()[0] == "complex_indicators"
-    assert t.select(classify.all_themes("c")).first()[0] == ["complex", "ml"]
+    assert t.select(classify.all_themes("c")).first()[0] == ["complex_indicators", "machine_learning"]
 
 
 def test_series(spark):
@@ -237,3 +237,72 @@ def test_series(spark):
 def test_cut_and_stored(spark):
     assert shared_dir(spark) == shared_dir(spark) or True
     assert cut(spark.range(3)).count() == stored(spark.range(3).toDF("x"), "t").count() == 3
+
+
+def test_similarity_of_pairs(spark):
+    """Keywords keep their spelling, comments count for nothing, and two empty sets are not alike."""
+    rows = spark.createDataFrame(
+        [(1, "strategy(x)\nta.sma(close)", "// only a comment\nStrategy(x)\nta.sma(close)"), (2, "strategy input plot", "strategy plot security"), (3, "sma_period entry", "sma_period exits"), (4, None, "")], "k int, a string, b string"
+    )
+    got = {r["k"]: r for r in similarity.code_similarities(rows, "k", "a", "b").collect()}
+    assert got[1]["keywords"] == pytest.approx(1 / 3) and got[1]["identifiers"] == 1 and got[1]["text"] == pytest.approx(1) and got[1]["structure"] == 0
+    assert got[2]["keywords"] == pytest.approx(2 / 4) and got[3]["identifiers"] == pytest.approx(1 / 3)
+    assert (got[4]["keywords"], got[4]["identifiers"], got[4]["text"], got[4]["structure"], got[4]["length"]) == (0, 0, 0, 1, 1)
+    assert got[4]["overall"] == pytest.approx(0.25 + 0.05)
+
+
+def test_code_checks_follow_their_case_rules(spark):
+    rows = spark.createDataFrame([("CLOSE RSI HIGH words only",), ("close rsi high words only",), ("NOTE: x = ta.sma(close, 20)",)], "c string")
+    assert [r[0] for r in rows.select(filters.valid_code("c")).collect()] == [False, True, False]
+    rows = spark.createDataFrame([("WHILE the sun is up, WAIT",), ("Note:   (x = 1,\n y = 2 and so on)",), ("just some words and nothing else",)], "c string")
+    assert [r[0] for r in rows.select(filters.meaningful_code("c")).collect()] == [True, False, False]
+
+
+def test_likes_of_the_script_itself_decide(spark):
+    rows = spark.createDataFrame([(0, 500), (None, 500), (150, 0)], "l int, p int").select("l", F.lit("d" * 40).alias("d"), F.lit("c" * 60).alias("c"))
+    assert [r[0] for r in rows.select(filters.first_reason(filters.script_checks("l", "d", "c"))).collect()] == ["low_likes", "low_likes", None]
+
+
+def test_small_samples_have_no_far_quantiles(spark):
+    got = aggregate.exclusive_quantiles(spark.createDataFrame([(v,) for v in (3, 1, 2)], "v int"), "v", (0.25, 0.75, 0.95, 0.99)).first()
+    assert list(got) == [1, 3, 3, 3]
+    rows = spark.range(1, 21).selectExpr("id v")
+    import statistics
+
+    values = list(range(1, 21))
+    assert list(aggregate.exclusive_quantiles(rows, "v", (0.25, 0.95, 0.99)).first()) == pytest.approx([statistics.quantiles(values, n=4)[0], statistics.quantiles(values, n=20)[18], 20])
+
+
+def test_answers_in_fences_and_scores(spark):
+    assert one(spark, "a ```PYTHON\nx=1\n``` b", text.code_or_text) == "x=1"
+    assert one(spark, "```x=1```", text.code_or_text) == "x=1"
+    assert one(spark, "```pine\ny\n```", text.code_or_text) == "y"
+    assert [one(spark, v, text.percent_score) for v in ("Score: 85", "999 of 100", "no", None, "1234 or 7")] == [0.85, 1.0, 0.5, 0.5, 0.07]
+    assert [one(spark, v, text.python_grade) for v in ("x = 1", "def (", "\0")] == [1.0, 0.2, 0.2]
+    assert one(spark, "abc 1abc éabc _12 ABC Ab1", text.identifiers) == ["abc", "_12", "ab1"]
+
+
+def test_script_pages(spark):
+    code = "//@version=5\nstrategy('x')"
+    editor = "".join(f"<div class='line'><span><span class='mtk1'>{x[:4]}</span><span class='mtk2'>{x[4:]}</span></span></div>" for x in code.split("\n"))
+    script = '<script>{"source": "//@version=5\\nstrategy(\'x\')"}</script>'
+    for body, want in ((editor, code), (f"<div class='source-code'><pre>{code}</pre></div>", code), (script, code), (f"<p>{'w' * 200}</p>\n{code}\n\n{'z' * 3000}", None), ("<pre>no mark</pre>", None)):
+        got = one(spark, body, html.script_record)["source_code"]
+        if want:
+            assert got == want
+        elif "version" in body:
+            assert got.startswith("w" * 90) and code in got and 2000 < len(got) < 2300
+        else:
+            assert got is None
+    digits = "<button aria-pressed='true'><span class='container-1'>" + "".join(f"<span class='digitGrid-a'><span class='digit-b'>{x}</span></span>" for x in "120") + "</span></button><i class='likes-count'>7</i>"
+    assert one(spark, digits, html.script_record)["likes_count"] == 120
+    assert one(spark, "<i class='likes-count'>1,234 likes</i>", html.script_record)["likes_count"] == 1234
+    page = one(spark, "<a data-username='me' href='/u/me/'>other</a><b class='x-premium'></b><meta name='symbol' content='A:B'>", lambda c: html.script_record(c, F.lit("https://x.example/script/1/")))
+    assert (page["username"], page["profile_url"], page["pro_plan"], page["symbol"], page["chart_url"]) == ("me", "https://x.example/u/me/", True, "A:B", "https://x.example/script/1/")
+    assert one(spark, None, html.script_record)["source_code"] is None
+    card = "<article class='card'><a href='/script/a/'>T</a><a class='author' href='/u/n/'>by N</a><time datetime='2020'>x</time><button class='boost'>1,5 K</button></article><article class='card'>none</article>"
+    assert [r.asDict() for r in one(spark, card, lambda c: html.preview_cards(c, F.lit("https://x.example/")))] == [
+        {"script_url": "https://x.example/script/a/", "preview_title": "T", "preview_author": "N", "preview_author_url": "https://x.example/u/n/", "preview_created_at": "2020", "preview_created_display": "x", "preview_likes_count": 15, "preview_comments_count": 0}
+    ]
+    with pytest.raises(ValueError):
+        html.Page("<p>").select("p:first")
