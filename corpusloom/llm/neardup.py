@@ -30,8 +30,8 @@ from corpusloom.llm.reduce import keep_ids
 from corpusloom.session import cut, partitions_for, stored
 
 SYMBOLS = 5
-#: Keys shuffled to one task, and classes of one key in a block.
-KEYS_A_TASK, BLOCK = 1_000_000, 1_000
+#: Keys shuffled to one task; classes of a key up to which its pairs are made where the key is; classes of one key in a block.
+KEYS_A_TASK, FEW, BLOCK = 1_000_000, 32, 1_000
 _FEATURES = "tid long, field int, held boolean, c1 long, c2 long, n int, low binary, high binary"
 
 
@@ -76,8 +76,8 @@ def _features(n_cols: int, k: int, symbols: int, min_words: int):
 
 
 def _variant_keys(segments: int):
-    """(cls, field, low, high) -> a row for each one-wildcard variant of each segment, with the symbol under the wildcard; -1 for
-    that of the first variant."""
+    """(cls, field, low, high) -> a row for each one-wildcard variant of each segment. ``packed`` has the symbol under the wildcard in
+    its 16 low bits; above it are a bit that marks the first variant and the variant's hash, which together are its key."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         weights = W.mixed(np.arange(101, 101 + SYMBOLS, dtype=np.uint64)) | np.uint64(1)
@@ -91,9 +91,9 @@ def _variant_keys(segments: int):
                 sym = ((high << np.uint64(8)) | low).reshape(n, segments, SYMBOLS)
                 part_sum = (sym + np.uint64(1)) * weights
                 keys = W.mixed(part_sum.sum(axis=2, dtype=np.uint64)[:, :, None] - part_sum + place + part["field"].to_numpy().astype(np.uint64)[:, None, None] * np.uint64(W.GOLDEN))
-                under = sym.astype(np.int32)
-                under[:, :, 0] = -1
-                yield pd.DataFrame({"key": keys.reshape(-1).view(np.int64), "cls": np.repeat(part["cls"].to_numpy(), segments * SYMBOLS), "under": under.reshape(-1)})
+                first = (np.arange(SYMBOLS) == 0).astype(np.uint64) << np.uint64(16)
+                packed = (keys & np.uint64(0xFFFFFFFFFFFE0000)) | first[None, None, :] | sym
+                yield pd.DataFrame({"packed": packed.reshape(-1).view(np.int64), "cls": np.repeat(part["cls"].to_numpy(), segments * SYMBOLS)})
 
     return run
 
@@ -109,19 +109,29 @@ def _agree(least: int):
 
 
 def _run_sets(k: int):
-    """(tid, text) -> (tid, runs): the text's distinct runs."""
+    """(tid, text) -> (tid, runs): the text's distinct runs, by the upper six bytes of their hashes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = W.WordHasher()
         for batch in batches:
-            yield pd.DataFrame({"tid": batch["tid"], "runs": [np.unique(W.run_hashes(hasher(W.words(t)), k)).tobytes() for t in batch["text"]]})
+            yield pd.DataFrame({"tid": batch["tid"], "runs": [_packed(W.run_hashes(hasher(W.words(t)), k)) for t in batch["text"]]})
 
     return run
 
 
+def _packed(runs: np.ndarray) -> bytes:
+    return np.unique(runs >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _unpacked(runs: bytes) -> np.ndarray:
+    out = np.zeros((len(runs) // 6, 8), dtype=np.uint8)
+    out[:, :6] = np.frombuffer(runs, dtype=np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
 @F.pandas_udf(T.DoubleType())
 def _similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([W.jaccard(np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)) for x, y in zip(a, b)], dtype="float64")
+    return pd.Series([W.jaccard(_unpacked(x), _unpacked(y)) for x, y in zip(a, b)], dtype="float64")
 
 
 def sources(df: DataFrame, id_col: str, text_cols: list[str], held: Column | None = None) -> DataFrame:
@@ -139,33 +149,49 @@ def texts_of(src: DataFrame, n: int, wanted: DataFrame) -> DataFrame:
 
 def text_classes(src: DataFrame, n: int, *, k: int, min_words: int, symbols: int = 0) -> tuple[DataFrame, DataFrame]:
     """``(members, reps)``: members (record, field, held, cls), reps (cls, field, held, n, low, high) with the words and the
-    signature of each class of texts of the same words. ``held`` and other texts have classes of their own."""
+    signature, if asked for, of each class of texts of the same words. ``held`` and other texts have classes of their own."""
     same = ["field", "held", "c1", "c2"]
     features = stored(src.mapInPandas(_features(n, k, symbols, min_words), _FEATURES), "features")
     classes = features.groupBy(*same).agg(F.min("tid").alias("cls"))
     members = features.join(classes, same).select(F.expr(f"(tid - field) div {n}").alias("record"), "field", "held", "cls").distinct()
-    firsts = [F.first(c).alias(c) for c in ("n", "low", "high")]  # equal in a class
+    firsts = [F.first(c).alias(c) for c in ("n", "low", "high")[: 3 if symbols else 1]]  # equal in a class
     return members, stored(features.groupBy(*same).agg(F.min("tid").alias("cls"), *firsts).drop("c1", "c2"), "classes")
 
 
 def variants(reps: DataFrame, segments: int) -> DataFrame:
-    """(key, cls, under, size): the keys that at least two classes have, and the number of classes that have each. One shuffle of
-    all keys, in partitions of a bounded number; what follows only sees the keys that are shared."""
+    """(key, cls, under, size, before): the keys that at least two classes have, the number of classes that have each and, for
+    keys of at most ``FEW`` classes, the smaller of them. ``under`` is the symbol under the wildcard, -1 for the first variant.
+    One shuffle of all keys, in partitions of a bounded number; what follows only sees the keys that are shared."""
     parts = partitions_for(reps.sparkSession, reps.count() * segments * SYMBOLS, KEYS_A_TASK)
-    keys = reps.mapInPandas(_variant_keys(segments), "key long, cls long, under int").repartition(parts, "key")
-    return stored(keys.withColumn("size", F.count("*").over(Window.partitionBy("key"))).where("size > 1"), "variants")
+    packed = reps.mapInPandas(_variant_keys(segments), "packed long, cls long").repartition(parts, F.shiftright("packed", 16))
+    keys = packed.select(F.shiftright("packed", 16).alias("key"), "cls", F.expr("if(packed & 65536 = 0, cast(packed & 65535 as int), -1)").alias("under"))
+    shared = keys.withColumn("size", F.count("*").over(Window.partitionBy("key"))).where("size > 1")
+    before = F.collect_list(F.struct("cls", "under")).over(Window.partitionBy("key").orderBy("cls").rowsBetween(-FEW, -1))
+    return stored(shared.withColumn("before", F.when(F.col("size") <= FEW, before)), "variants")
+
+
+def _differ(x: str, y: str) -> str:
+    """Of two classes with a key: that they differ under the wildcard. Equal segments meet under the first variant alone."""
+    return f"({x}under = -1 or {x}under <> {y}under)"
 
 
 def _met(some: DataFrame, every: DataFrame, condition: str) -> DataFrame:
-    """(a, b), a < b: classes of ``some`` with those of ``every`` that have the same key and differ under the wildcard (equal
-    segments meet under the first variant alone). The classes of a large key are cut into blocks, each a part of its own."""
+    """(a, b): classes of ``some`` (x) with those of ``every`` (y) that have the same key and fulfil the condition. The classes of a
+    large key are cut into blocks, each a part of its own."""
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     x = some.withColumn("block", F.when(F.col("size") > BLOCK, F.pmod(F.xxhash64("cls"), blocks)).otherwise(F.lit(0)).cast("int"))
     y = every.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    spread = lambda d: d.repartition(partitions_for(d.sparkSession, some.count(), KEYS_A_TASK), "key", "block")
-    same = F.expr("x.key = y.key and x.block = y.block and (x.under = -1 or x.under <> y.under) and " + condition)
-    met = spread(x).alias("x").join(spread(y).alias("y"), same)
-    return met.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")).distinct()
+    parts = partitions_for(some.sparkSession, some.count(), KEYS_A_TASK)
+    spread = lambda d: d.drop("before").repartition(parts, "key", "block")
+    same = F.expr(f"x.key = y.key and x.block = y.block and {_differ('x.', 'y.')} and {condition}")
+    return spread(x).alias("x").join(spread(y).alias("y"), same).select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"))
+
+
+def pairs_of(shared: DataFrame) -> DataFrame:
+    """(a, b), a < b: all pairs of classes that share a key."""
+    small = shared.where(F.col("size") <= FEW).select("under", F.col("cls").alias("b"), F.explode("before").alias("y"))
+    large = shared.where(F.col("size") > FEW)
+    return small.where(_differ("", "y.")).select(F.col("y.cls").alias("a"), "b").union(_met(large, large, "x.cls < y.cls")).distinct()
 
 
 def likely(met: DataFrame, reps: DataFrame, threshold: float, segments: int) -> DataFrame:
@@ -202,7 +228,7 @@ def near_duplicate_links(df: DataFrame, id_col: str, text_cols: list[str], *, k:
     src = sources(df, id_col, text_cols)
     members, reps = text_classes(src, n, k=k, min_words=min_words, symbols=segments * SYMBOLS)
     shared = variants(reps, segments)
-    links = _verified(likely(_met(shared, shared, "x.cls < y.cls"), reps, threshold, segments), src, n, k, threshold)
+    links = _verified(likely(pairs_of(shared), reps, threshold, segments), src, n, k, threshold)
     return members, links.select(F.expr(f"cast(cls_a % {n} as int)").alias("field"), "cls_a", "cls_b", "similarity")
 
 
@@ -228,7 +254,7 @@ def near_duplicate_groups(df: DataFrame, id_col: str, text_cols: list[str], *, k
     sizes = placed.groupBy("key", "comp").agg(F.count("*").alias("n"))
     main = sizes.groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
     open_keys = stored(placed.join(main, "key"), "open-keys")
-    rest = _met(open_keys.where("comp <> main"), open_keys, "x.comp <> y.comp and (y.comp = y.main or x.cls < y.cls)")
+    rest = _met(open_keys.where("comp <> main"), open_keys, "x.comp <> y.comp and (y.comp = y.main or x.cls < y.cls)").distinct()
     more = _verified(likely(rest, reps, threshold, segments), src, n, k, threshold).select("cls_a", "cls_b")
     # A star from each class to its records keeps that linear.
     every = edges.union(more).toDF("u", "v").union(members.select(F.col("cls").alias("u"), (-F.col("record") - 1).alias("v")))
