@@ -61,9 +61,6 @@ def emphasis_removed(c: Column | str) -> Column:
 
 
 def escapes_decoded(c: Column | str) -> Column:
-    """``\\n``, ``\\t``, ``\\"`` and ``\\/`` of a JSON string literal."""
-    out = _c(c)
-    for raw, plain in ((r"\n", "\n"), (r"\t", "\t"), (r"\"", '"'), (r"\/", "/")):
-        out = F.replace(out, F.lit(raw), F.lit(plain))
-    return out
+    """The text of a JSON string literal without its quotes: all of its escapes are decoded; what isn't one stays as it is."""
+    return F.coalesce(F.from_json(F.concat(F.lit('{"s":"'), _c(c), F.lit('"}')), "s string")["s"], _c(c))
 

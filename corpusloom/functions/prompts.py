@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import _c, trimmed
+from corpusloom.functions.text import _c, lines, trimmed
+from corpusloom.operators.classify import instruction_for
 
 # Fixed values.
 INSTRUCTION = "Generate Pine Script v6 code based on the following trading strategy description."
@@ -60,21 +61,135 @@ def formatted(df: DataFrame, name: str, a: str = "input", b: str = "output", **o
     return df.select(formatter(name)(a, b, **options).alias("text"))
 
 
-def few_shot(examples: DataFrame, rank: str, description: str, code: str, n: int, task: Column | str | None = None) -> DataFrame:
-    """(prompt): a prompt from the first ``n`` examples by rank, which are few by meaning, so that they can be joined in order."""
-    first = examples.where(F.col(rank) <= n).agg(F.array_sort(F.collect_list(F.struct(F.col(rank).alias("r"), _text(description).alias("d"), _text(code).alias("c")))).alias("x"))
-    shown = F.transform("x", lambda e: F.concat(F.lit("Example "), e["r"].cast("string"), F.lit(":\nDescription: "), e["d"], F.lit("\nCode:\n"), e["c"]))
-    return first.select(F.array_join(shown, "\n\n").alias("prompt"))
+# Fixed texts of generation prompts.
+EXAMPLES_HEAD = "You are an expert TradingView Pine Script developer. Based on strategy descriptions, generate complete Pine Script code.\n\nHere are some examples:\n\n"
+TARGET = ("Now generate Pine Script code for this strategy:\n\nDescription: ", "\n\nPine Script Code:")
+ZERO_SHOT = (
+    "You are an expert TradingView Pine Script developer. Generate complete and functional Pine Script code for the following trading strategy:\n\nDescription: ",
+    "\n\nPlease generate complete Pine Script v5 code that implements this strategy. Include all necessary components like strategy declaration, inputs, calculations, entry/exit logic, and plotting.\n\nPine Script Code:",
+)
+OUTLINE_HEAD = ("You are an expert Pine Script developer. Generate high-quality Pine Script v5 code based on strategy descriptions.\n\nHere are ", " examples of successful trading strategies:\n\n")
+OUTLINE_TARGET = (
+    "\n" + "=" * 60 + "\nTARGET STRATEGY\n" + "=" * 60 + "\n\nGenerate complete Pine Script v5 code for this strategy:\n\nDescription: ",
+    "\n\nRequirements:\n1. Use //@version=5\n2. Include strategy() declaration\n3. Add input parameters\n4. Implement core strategy logic\n5. Add entry/exit conditions\n6. Include risk management\n7. Add plotting/visualization\n8. Follow the patterns shown in examples above\n\nPine Script Code:",
+)
+MINIMAL = ("Generate a Pine Script trading strategy based on this description:\n\n", "\n\nPlease provide complete Pine Script v5 code.")
+
+
+def shown_example(rank: Column | str, description: Column | str, code: Column | str, chars: tuple[int, int] = (200, 500)) -> Column:
+    """An example of a prompt: the beginnings of its description and of its code."""
+    return F.concat(F.lit("Example "), _c(rank).cast("string"), F.lit(":\nDescription: "), F.left(_text(description), F.lit(chars[0])), F.lit("...\n\nPine Script Code:\n"), F.left(_text(code), F.lit(chars[1])), F.lit("...\n\n---\n\n"))
+
+
+def outlined_example(rank: Column | str, name: Column | str, likes: Column | str, description: Column | str, code: Column | str) -> Column:
+    """An example of which only the telling lines are shown: version, declaration, inputs and entries."""
+    bar = "=" * 50
+
+    def some(term: str, k: int, head: str, shape: Callable[[Column], Column]) -> Column:
+        picked = F.transform(F.slice(F.filter(lines(_text(code)), lambda x: F.contains(x, F.lit(term))), 1, k), shape)
+        return F.when(F.size(picked) > 0, F.concat(F.lit(head), F.array_join(picked, ""))).otherwise(F.lit(""))
+
+    version = F.get(F.filter(lines(_text(code)), lambda x: F.startswith(x, F.lit("//@version="))), F.lit(0))
+    row = lambda x: F.concat(F.lit("  "), F.left(trimmed(x), F.lit(80)), F.lit("...\n"))
+    return F.concat(
+        F.lit(f"{bar}\nEXAMPLE "), _c(rank).cast("string"), F.lit(f"\n{bar}\nStrategy: "), F.coalesce(_c(name), F.lit("Unknown")), F.lit("\nLikes: "), F.coalesce(_c(likes), F.lit(0)).cast("string"), F.lit("\n\nDescription:\n"), F.left(_text(description), F.lit(400)), F.lit("...\n\n"),
+        F.coalesce(F.concat(F.lit("Version: "), version, F.lit("\n")), F.lit("")), some("strategy(", 1, "Strategy Declaration: ", lambda x: F.concat(F.left(x, F.lit(100)), F.lit("...\n"))), some("input.", 3, "Input Examples:\n", row), some("strategy.entry", 2, "Entry Logic:\n", row), F.lit("\n"),
+    )
+
+
+def few_shot(examples: DataFrame, rank: str, n: int, shown: Column) -> str:
+    """The first ``n`` examples by rank as one text, in order. They are few by meaning; the same text goes into every prompt."""
+    return "".join(r["text"] for r in examples.where(F.col(rank) <= n).select(rank, shown.alias("text")).orderBy(rank).limit(n).collect())
+
+
+def generation_prompt(target: Column | str, examples: str | None = None, style: str = "plain", n: int = 0) -> Column:
+    """What a model is asked to write code for: after examples (``plain`` or ``outlined``), or without any (``plain`` or ``minimal``)."""
+    if examples is None:
+        before, after = MINIMAL if style == "minimal" else ZERO_SHOT
+        return F.concat(F.lit(before), _text(target), F.lit(after))
+    head, (before, after) = (f"{OUTLINE_HEAD[0]}{n}{OUTLINE_HEAD[1]}", OUTLINE_TARGET) if style == "outlined" else (EXAMPLES_HEAD, TARGET)
+    return F.concat(F.lit(head + examples + before), _text(target), F.lit(after))
 
 
 def thought_answer(thought: Column | str, answer: Column | str) -> Column:
     return F.concat(F.lit("<think>\n"), _text(thought), F.lit("\n</think>\n<answer>\n"), _text(answer), F.lit("\n</answer>"))
 
 
-def markdown(sections: dict[str, Column]) -> Column:
-    """Headed sections, those without text left out."""
-    parts = [F.when(F.coalesce(c, F.lit("")) != "", F.concat(F.lit(f"## {title}\n"), c)) for title, c in sections.items()]
-    return F.concat_ws("\n\n", *parts)
+# Fixed texts of reasoned answers.
+THOUGHT = (
+    "2. **Implementation Approach**: I need to break down this strategy into its core components and implement each part using appropriate Pine Script functions.",
+    "3. **Technical Requirements**: Identify the necessary technical indicators, parameters, and conditional logic required for this strategy.",
+    "4. **Code Structure**: Plan the implementation by determining the sequence of operations and proper Pine Script syntax to achieve the desired functionality.",
+)
+REWRAPPED_THOUGHT = (
+    "2. **Implementation Requirements**: Based on the strategy description, I need to implement the core logic using appropriate Pine Script functions and syntax.",
+    "3. **Code Structure Planning**: I'll analyze the required components and translate them into Pine Script syntax, considering proper variable naming, function usage, and logic flow.",
+    "4. **Pine Script Translation**: Converting the conceptual strategy requirements into executable Pine Script code with appropriate technical indicators and conditional logic.",
+)
+TAGS = ("<think>", "</think>", "<answer>", "</answer>")
+
+
+def reasoned_answer(description: Column | str, code: Column | str, steps: tuple[str, ...] = THOUGHT) -> Column:
+    """A thought of fixed steps about the description, then the code."""
+    return thought_answer(F.concat(F.lit("1. **Strategy Analysis**: "), _text(description), F.lit("\n\n" + "\n\n".join(steps))), code)
+
+
+def rewrapped(content: Column | str, description: Column | str, code: Column | str) -> Column:
+    """The content if it has all four tags of a thought and an answer, else a thought about the description and the code."""
+    tagged = F.lit(True)
+    for tag in TAGS:
+        tagged = tagged & _text(content).contains(tag)
+    return F.when(tagged, _text(content)).otherwise(reasoned_answer(description, code, REWRAPPED_THOUGHT))
+
+
+def reasoned_pair(response: Column | str, description: Column | str, code: Column | str) -> dict[str, Column]:
+    """Instruction and output of a model's response: by its markers, else an instruction by rule; the output is rewrapped."""
+    text = _text(response)
+    marked, parts = text.contains("INSTRUCTION:") & text.contains("OUTPUT:"), F.split(text, "OUTPUT:", -1)
+    asked = F.when(marked, trimmed(F.replace(F.get(parts, F.lit(0)), F.lit("INSTRUCTION:"), F.lit("")))).otherwise(instruction_for(description))
+    return {"instruction": asked, "output": rewrapped(F.when(marked, trimmed(F.get(parts, F.lit(1)))).otherwise(text), description, code)}
+
+
+def _analysis(description: Column | str) -> tuple[Column, Column, Column]:
+    """``(value, is_object, is_json)`` of a description that may be JSON."""
+    value = F.try_parse_json(_c(description))
+    return value, F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False)), value.isNotNull()
+
+
+def _strings(value: Column, field: str) -> Column:
+    return F.coalesce(F.try_variant_get(value, f"$.{field}", "array<string>"), F.array().cast("array<string>"))
+
+
+ASKED = "Include the following in your response: 1. Clear entry and exit conditions 2. Risk management rules 3. Complete implementation code 4. Explanation of the strategy logic 5. Key parameters and their rationale"
+
+
+def strategy_prompt(name: Column | str, description: Column | str, symbols: Column | str) -> Column:
+    """The request for a strategy: title, abstract and first five concepts of a description that is a JSON object, else its text."""
+    value, is_object, _ = _analysis(description)
+    title = F.coalesce(F.try_variant_get(value, "$.title", "string"), _text(name))
+    abstract = F.when(is_object, F.try_variant_get(value, "$.abstract", "string")).otherwise(_c(description))
+    concepts = F.array_join(F.slice(_strings(value, "key_concepts"), 1, 5), ", ")
+    given = lambda head, c: F.when(F.coalesce(c, F.lit("")) != "", F.concat(F.lit(head), c))
+    return F.concat_ws(
+        " ", F.concat(F.lit("Create a trading strategy called '"), F.when(is_object, title).otherwise(_text(name)), F.lit("'.")), given("Strategy description: ", abstract), given("Focus on these key concepts: ", concepts),
+        F.concat(F.lit("The strategy should work with these instruments: "), _c(symbols)), F.lit(ASKED),
+    )
+
+
+def strategy_response(name: Column | str, description: Column | str, reasoning: Column | str, code: Column | str, symbols: Column | str) -> Column:
+    """The answer to it as Markdown: sections of the description's parts, the logic, the code and the instruments; those that are
+    null are left out, and so are empty lists."""
+    value, is_object, is_json = _analysis(description)
+
+    def listed(title: str, field: str) -> Column:
+        items = F.transform(_strings(value, field), lambda x: F.concat(F.lit("- "), x))
+        return F.when(F.size(items) > 0, F.concat(F.lit(f"## {title}\n"), F.array_join(items, "\n"), F.lit("\n")))
+
+    section = lambda title, c: F.concat(F.lit(f"## {title}\n"), c, F.lit("\n"))
+    return F.concat_ws(
+        "\n", F.concat(F.lit("# "), _text(name), F.lit("\n")), F.when(is_object, section("Strategy Overview", F.try_variant_get(value, "$.abstract", "string"))), listed("Key Concepts", "key_concepts"), listed("Mathematical Models", "mathematical_models"),
+        F.when(~is_json, section("Description", _c(description))), section("Strategy Logic", _c(reasoning)), F.concat(F.lit("## Implementation\n\n```python\n"), _c(code), F.lit("\n```\n")), section("Applicable Instruments", _c(symbols)),
+    )
 
 
 def instruction_output(c: Column | str) -> dict[str, Column]:

@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.functions.text import _c, any_of, balanced, bound, bracket_fault, char_count, hit_count, is_python, occurrences, trimmed
+from corpusloom.functions.text import WORD, _c, any_of, balanced, bound, bracket_fault, char_count, hit_count, is_python, occurrences, percent_score, python_grade, trimmed
 
 # Fixed values.
 SEGMENT_TERMS = ("sma", "ema", "rsi", "macd", "ta.", "close", "open", "high", "low", "volume", "strategy", "input", "threshold")
@@ -136,7 +136,7 @@ def novelty_score(c: Column | str) -> Column:
 def reasoning_score(prompt: Column | str, response: Column | str) -> Column:
     """Logical and explaining words of the response, and the share of the prompt's words (repeats count) that it contains."""
     r = _low(response)
-    asked = F.regexp_extract_all(_low(prompt), F.lit("[a-z0-9_]+"), F.lit(0))
+    asked = F.regexp_extract_all(_low(prompt), F.lit(WORD), F.lit(0))
     kept = lambda ws: bound(r, lambda t: F.size(F.filter(ws, lambda w: F.contains(t, w))))
     share = bound(asked, lambda ws: F.when(F.size(ws) > 0, kept(ws) / F.size(ws)).otherwise(F.lit(0.0)))
     return _capped(hit_count(r, LOGIC), 0.1, 0.3) + _capped(hit_count(r, EXPLAIN), 0.05, 0.2) + share * 0.3
@@ -219,11 +219,41 @@ def judged_reward(similarity: Column | str, code: Column | str, weights: tuple[f
     return F.when(total.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), total))).otherwise(F.lit(default))
 
 
-def field_completeness(texts: dict[str, tuple[Column, float]], lists: dict[str, tuple[Column, float]] | None = None) -> Column:
-    """The weights of the fields that are given: of texts over 20 characters, of arrays with three or more elements, half for one."""
-    parts = [_if(F.coalesce(F.length(v) > 20, F.lit(False)), w) for v, w in texts.values()]
-    for v, w in (lists or {}).values():
-        n = F.coalesce(F.size(v), F.lit(0))
-        parts.append(F.when(n >= 3, F.lit(float(w))).when(n >= 1, F.lit(w / 2)).otherwise(F.lit(0.0)))
-    return _sum(parts)
-
+def judged_code(response: Column | str, answer: Column | str) -> Column:
+    """0.4 of the syntax of the response's first fenced block and 0.6 of what a judge answers about it; 0.3 without a block."""
+    blocks = F.regexp_extract_all(F.coalesce(_c(response), F.lit("")), F.lit(r"(?s)```(?:python)?\s*(.*?)```"), F.lit(1))
+    graded = python_grade(trimmed(F.coalesce(F.get(blocks, F.lit(0)), F.lit("")))) * F.lit(0.4) + percent_score(answer) * F.lit(0.6)
+    return F.when(F.size(blocks) == 0, F.lit(0.3)).otherwise(graded)
+
+
+#: Fields of an analysis and their points (fixed values).
+ANALYSIS_WEIGHTS = {
+    "title": 5.0, "abstract": 15.0, "main_algorithms": 15.0, "key_concepts": 10.0, "mathematical_models": 10.0, "implementation_requirements": 10.0,
+    "evaluation_metrics": 5.0, "datasets_mentioned": 5.0, "high_level_logic": 15.0, "complexity_analysis": 5.0, "novelty": 10.0, "content_preview": 5.0,
+}
+#: Objects that count by one of their texts, and the characters it must exceed.
+ANALYSIS_PARTS = {"main_algorithms": ("algorithms", 30), "content_preview": ("abstract_preview", 20)}
+
+
+def analysis_score(value: Column) -> Column:
+    """The completeness of an analysis (a variant, see ``parse_json``): the weights of texts over 20 characters, of lists of three or
+    more, half for shorter ones, of objects half unless one of their texts decides; more for many concepts and models. 0 for a null,
+    for what isn't an object, and for an analysis that tells an error."""
+    at = lambda f, kind="variant": F.try_variant_get(value, f"$.{f}", kind)
+    kind = lambda f: F.coalesce(F.schema_of_variant(at(f)), F.lit(""))
+    size = lambda f: F.coalesce(F.size(at(f, "array<variant>")), F.lit(0))
+    parts = []
+    for field, weight in ANALYSIS_WEIGHTS.items():
+        part, least = ANALYSIS_PARTS.get(field, (None, 0))
+        # An object is empty if nothing stands between its brackets.
+        as_object = _if(F.coalesce(F.length(at(f"{field}.{part}", "string")), F.lit(0)) > least, weight) if part else _if(~kind(field).isin("OBJECT<>"), weight / 2)
+        as_list = F.when(size(field) >= 3, F.lit(weight)).when(size(field) >= 1, F.lit(weight / 2)).otherwise(F.lit(0.0))
+        parts.append(
+            F.when(kind(field) == "STRING", _if(F.length(at(field, "string")) > 20, weight))
+            .when(kind(field).startswith("OBJECT"), as_object)
+            .when(kind(field).startswith("ARRAY"), as_list)
+            .otherwise(F.lit(0.0))
+        )
+    parts += [_if(size("key_concepts") >= 5, 5), _if(size("key_concepts") >= 10, 5), _if(size("mathematical_models") >= 3, 5)]
+    sound = F.schema_of_variant(value).startswith("OBJECT") & (kind("parse_error") == "") & (kind("error") == "")
+    return F.when(F.coalesce(sound, F.lit(False)), _sum(parts)).otherwise(F.lit(0.0))

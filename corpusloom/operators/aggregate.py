@@ -19,6 +19,16 @@ def histogram(df: DataFrame, name: str, value: Column | str) -> DataFrame:
     return counts.select(name, "n", F.round(F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy()), 4).alias("percent"))  # over the few values
 
 
+def breakdown(df: DataFrame, reason: str) -> DataFrame:
+    """(reason, n, percent) of the rows that have one, the most frequent first."""
+    return histogram(df.where(F.col(reason).isNotNull()), reason, reason).orderBy(F.desc("n"), reason)
+
+
+def mean_of_scored(df: DataFrame, score: Column | str, digits: int = 2) -> DataFrame:
+    """(scored, mean) over the rows with a score; 0.0 for none."""
+    return df.agg(F.count(_c(score)).alias("scored"), F.round(F.coalesce(F.avg(_c(score)), F.lit(0.0)), digits).alias("mean"))
+
+
 def condition_counts(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
     return df.agg(F.count("*").alias("total"), *[F.count_if(F.coalesce(c, F.lit(False))).alias(name) for name, c in conditions.items()])
 
@@ -107,3 +117,11 @@ def batch_stats(df: DataFrame, position: str, size: int, accepted: Column) -> Da
 def agreement_rate(df: DataFrame, a: Column | str, b: Column | str) -> DataFrame:
     same = F.count_if(_c(a).eqNullSafe(_c(b)))
     return df.agg(F.count("*").alias("n"), same.alias("same"), rate(same, F.count("*")).alias("percent"))
+
+
+def batch_summary(batches: DataFrame, last: int = 5) -> DataFrame:
+    """(batches, acceptance, latest): of the rows of ``batch_stats`` their number, the share accepted in percent, and the last few."""
+    few = F.transform(F.slice(F.sort_array(F.collect_list(F.struct("batch", "accepted", "total")), asc=False), 1, last), lambda b: F.format_string("%d: %d/%d", b["batch"], b["accepted"], b["total"]))
+    # Every task keeps the last few only.
+    top = batches.orderBy(F.desc("batch")).limit(last).agg(F.array_join(few, ", ").alias("latest"))
+    return batches.agg(F.count("*").alias("batches"), F.round(F.coalesce(F.try_divide(F.sum("accepted") * 100.0, F.sum("total")), F.lit(0.0)), 4).alias("acceptance")).withColumn("one", F.lit(1)).join(top.withColumn("one", F.lit(1)), "one").drop("one")

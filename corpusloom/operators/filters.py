@@ -104,3 +104,8 @@ def not_done(df: DataFrame, key: str, done: DataFrame, position: str | None = No
         return left
     ahead = df.where(F.col(position) >= from_position)
     return ahead.unionByName(left.where(F.col(position) < from_position))
+
+
+def first_pass_checks(description: Column | str, code: Column | str, min_description: int = 15) -> list[tuple[str, Column]]:
+    """The first pass over segments with its reasons, in order."""
+    return [("empty", is_blank(description) | is_blank(code)), ("short_description", trimmed_length(description) < min_description), ("meaningless_code", ~meaningful_code(code))]

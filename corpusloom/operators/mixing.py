@@ -27,11 +27,11 @@ def exact_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     return df.orderBy(draw(key, seed), key).limit(n)
 
 
-def _position(df: DataFrame, key: str, seed: int, buckets: int = 256) -> DataFrame:
+def _position(df: DataFrame, key: str, seed: int, rows: int, per_range: int = 100_000) -> DataFrame:
     """Rows with ``__at``, their 1-based place in the drawn order. The leading digits of the draw part the rows into ranges whose
-    sizes are added up first, so that no task orders more than a range."""
+    sizes are added up first, so that no task orders more than a range: as many ranges as ``rows`` (their number) ask for."""
     drawn = df.withColumn("__draw", draw(key, seed))
-    digits = max(1, math.ceil(math.log(buckets, 16)))
+    digits = max(1, math.ceil(math.log(max(1, rows / per_range), 16)))
     drawn = drawn.withColumn("__range", F.substring("__draw", 1, digits))
     sizes = drawn.groupBy("__range").agg(F.count("*").alias("__n"))
     before = sizes.withColumn("__before", F.sum("__n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)))  # over at most 16^digits rows
@@ -44,7 +44,7 @@ def exact_split(df: DataFrame, key: str, ratio: float, seed: int = 42, name: str
     """Exactly ``floor(n * ratio)`` rows are ``first``, the others ``second``."""
     total = df.count()
     head = int(total * ratio)
-    placed = _position(df, key, seed)
+    placed = _position(df, key, seed, total)
     return placed.select(*df.columns, F.when(F.col("__at") <= head, first).otherwise(second).alias(name))
 
 
@@ -67,10 +67,23 @@ def mix(a: DataFrame, b: DataFrame, key: str, share: float, seed: int = 42, tags
     if share <= 0:
         return b.withColumn("origin", F.lit(tags[1]))
     want = int(a.count() * (1 - share) / share)
-    at = _position(b, key, seed)
+    at = _position(b, key, seed, b.count())
     return left.unionByName(at.where(F.col("__at") <= want).select(*b.columns, F.lit(tags[1]).alias("origin")), allowMissingColumns=True)
 
 
+def mix_stats(mixed: DataFrame, share: float, totals: dict[str, DataFrame], origin: str = "origin") -> DataFrame:
+    """(origin, rows, share, wanted_share, available) for each of the two tables of a mix: what it gave, its share of the whole, the share
+    asked for, and the rows it has. A table that gave nothing has a row too."""
+    rows = None
+    for (name, df), wanted in zip(totals.items(), (share, 1 - share)):
+        one = df.agg(F.count("*").alias("available")).select(F.lit(name).alias("origin"), F.round(F.lit(wanted), 6).alias("wanted_share"), "available")
+        rows = one if rows is None else rows.union(one)
+    given = mixed.groupBy(F.col(origin).alias("origin")).agg(F.count("*").alias("rows"))
+    counts = rows.join(given, "origin", "left").select("origin", F.coalesce("rows", F.lit(0)).alias("rows"), "wanted_share", "available")
+    whole = F.sum("rows").over(Window.partitionBy())  # over two rows
+    return counts.select("origin", "rows", F.round(F.coalesce(F.try_divide(F.col("rows"), whole), F.lit(0.0)), 6).alias("share"), "wanted_share", "available")
+
+
 def removed(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
     return before.join(after.select(key).distinct(), key, "left_anti")
 

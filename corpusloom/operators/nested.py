@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -30,6 +31,15 @@ def unpacked(df: DataFrame, id_col: str, *components: str) -> DataFrame:
     return rows.where("part.description is not null and part.code is not null").select(id_col, "key", F.col("part.description").alias("input"), F.col("part.code").alias("output"))
 
 
+def unpacked_nested(df: DataFrame, id_col: str, paths: Sequence[str], lineage: Sequence[str] = ()) -> DataFrame:
+    """As ``unpacked``, from the first of the given paths (also of nested fields) that is there; ``lineage`` columns go with each
+    row, ``unknown`` where they are null."""
+    found = F.coalesce(*[F.col(p) for p in paths])
+    kept = [F.coalesce(F.col(c), F.lit("unknown")).alias(c.split(".")[-1]) for c in (id_col, *lineage)]
+    rows = df.select(*kept, F.explode(found).alias("key", "part"))
+    return rows.where("part.description is not null and part.code is not null").select(*[c.split(".")[-1] for c in (id_col, *lineage)], "key", F.col("part.description").alias("input"), F.col("part.code").alias("output"))
+
+
 def has_keys(components: Column | str, keys: list[str]) -> Column:
     """Whether a map has all keys, each with both of its fields."""
     out = F.lit(True)
@@ -71,6 +81,17 @@ def parsed(c: Column | str, schema: str) -> Column:
     return F.from_json(_c(c), schema)
 
 
+def checked_assessment(c: Column | str) -> dict[str, Column]:
+    """The fields of a judge's JSON answer, each with its default where it is missing or of another type: a whole score within 0 and
+    100, whether it passes, and the reason."""
+    v = F.try_parse_json(json_in(c))
+    at = lambda field, kind: F.try_variant_get(v, f"$.{field}", kind)
+    kind = F.schema_of_variant(F.try_variant_get(v, "$.score", "variant"))
+    number = F.when(kind.rlike("^(?:BIGINT|DECIMAL|DOUBLE|FLOAT)"), at("score", "double"))
+    flag = F.when(F.schema_of_variant(F.try_variant_get(v, "$.passed", "variant")) == "BOOLEAN", at("passed", "boolean"))
+    return {"score": clamped(F.floor(number), 0, 100, 0).cast("long"), "passed": F.coalesce(flag, F.lit(False)), "reason": F.coalesce(at("reason", "string"), F.lit(""))}
+
+
 def clamped(c: Column | str, low: float, high: float, default: float) -> Column:
     return F.when(_c(c).isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), _c(c)))).otherwise(F.lit(default))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,3 +53,12 @@ def first_n(df: DataFrame, position: str, n: int) -> DataFrame:
 def last_n(df: DataFrame, position: str, n: int) -> DataFrame:
     """The last n rows, latest first."""
     return df.orderBy(F.col(position).desc()).limit(n)
+
+
+def best_of_each(df: DataFrame, group: str, order: Sequence[str], score: Column | str, key: str, each: int = 2, most: int = 6) -> DataFrame:
+    """The best few of each group, groups in the given order, the first ``most`` of all with their ``place``. A row that is in several
+    groups may come several times."""
+    place = F.array_position(F.array(*[F.lit(g) for g in order]), F.col(group))
+    best = top_k_per_group(df.where(place > 0), group, score, key, each).orderBy(place, "rank").limit(most)
+    w = Window.orderBy(place, "rank")  # over at most ``most`` rows
+    return best.withColumn("place", F.row_number().over(w)).drop("rank")

@@ -13,7 +13,7 @@ from corpusloom.functions.text import first_filled, first_nonzero, is_foreign, w
 from corpusloom.operators.classify import script_kind
 from corpusloom.operators.dedup import keep_longest
 from corpusloom.operators.filters import all_reasons, first_reason, script_checks, segment_checks, threshold_checks
-from corpusloom.plans.models import Model, taken_apart, translated
+from corpusloom.plans.models import Model, assessed, best_analysis, converted, inferred_symbols, rewritten, taken_apart, translated, validated
 
 
 def script_pipeline(scripts: DataFrame, min_likes: int = 100, least: float = 5.0, model: Model | None = None) -> DataFrame:
@@ -35,11 +35,17 @@ def restructure_pipeline(scripts: DataFrame) -> DataFrame:
     return scripts.select("row_id", "id", reasons.alias("reasons"), F.when(ok, "completed").otherwise("rejected").alias("status"), parts.alias("components"))
 
 
-def segment_pipeline(segments: DataFrame, least: float = 6.0) -> DataFrame:
-    """Segments to pairs: filter, keep the longest description of equal codes, score, filter by score."""
+def segment_pipeline(segments: DataFrame, least: float = 6.0, *, translate: bool = False, augment: bool = False, dedup: bool = True, model: Model | None = None) -> DataFrame:
+    """Segments to pairs: filter, keep the longest description of equal codes, translate and rewrite descriptions where asked for,
+    score, filter by score. Without segments there is nothing to do at any stage."""
     kept = segments.where(first_reason(segment_checks("input", "output")).isNull())
-    best = keep_longest(kept, "output", "input", "segment_id")
-    return best.withColumn("score", segment_score("input", "output")).where(F.col("score") >= least)
+    return composed(
+        kept,
+        (dedup, lambda d: keep_longest(d, "output", "input", "segment_id")),
+        (translate, lambda d: translated(d, "input", is_foreign("input"), model)),
+        (augment, lambda d: rewritten(d, "input", "output", model=model)),
+        (True, lambda d: d.withColumn("score", segment_score("input", "output")).where(F.col("score") >= least)),
+    )
 
 
 def staged(df: DataFrame, stages: list[tuple[str, Column]], done: str = "completed") -> DataFrame:
@@ -51,9 +57,20 @@ def staged(df: DataFrame, stages: list[tuple[str, Column]], done: str = "complet
     return df.withColumn("status", out.otherwise(done))
 
 
-def agent_pipeline(scripts: DataFrame, min_words: int = 100) -> DataFrame:
-    """Classification, then length, for every script; the stages a model backs pass offline."""
-    return staged(scripts, [("classifier", script_kind("source_code") == "strategy"), ("filter", word_count("description") >= min_words)])
+def agent_pipeline(scripts: DataFrame, min_words: int = 100, model: Model | None = None, min_score: float = 40.0, candidates: int = 3) -> DataFrame:
+    """Every script with the stage it came to: classification, filter by length and score, conversion, validation, then (for those
+    that are left) analysis, symbols and reasoning. Without a model there are the first two stages only, the score passing."""
+    gates = [("classifier", script_kind("source_code") == "strategy"), ("filter", word_count("description") >= min_words)]
+    if model is None:
+        return staged(scripts, gates)
+    early = gates[0][1] & gates[1][1]
+    out = assessed(scripts, "description", model, 0, 100, unparsed=0.0, name="filter_score", when=early)
+    live = early & (F.col("filter_score") >= min_score)
+    out = converted(out, "source_code", model, when=live)
+    out = out.withColumn("validation_result", validated("conversion.code"))
+    out = best_analysis(out, "description", candidates, model, when=F.col("validation_result"))
+    out = inferred_symbols(out, "description", model, when=F.col("validation_result")).withColumn("reasoning", F.when(F.col("validation_result"), F.lit("")))
+    return staged(out, [gates[0], ("filter", live), ("conversion", F.col("conversion.code").isNotNull()), ("validation", F.col("validation_result"))])
 
 
 def status_counts(df: DataFrame, status: str = "status") -> DataFrame:

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions import clean, score, text
+from corpusloom.functions import clean, prompts, score, text
 from corpusloom.functions.text import FILLED, SPACE
 from corpusloom.operators import aggregate, classify, dedup, filters, mixing, nested, select
 from corpusloom.plans import models, pipelines
 from corpusloom.queries import fixed
 from corpusloom.queries.base import any_hit, blank, capped, chars, hits, lines, listed, points, query, table, trim, words
 from corpusloom.sources.files import column_profile
-from corpusloom.sources.web import capped_per_page, merged_records
+from corpusloom.sources.web import capped_per_page, listing_plan, merged_records
 
 _CODE, _DESC, _I, _O = "coalesce(source_code, '')", "coalesce(description, '')", "coalesce(input, '')", "coalesce(output, '')"
 _LIKES = "coalesce(nullif(likes_count, 0), nullif(preview_likes_count, 0), 0)"
@@ -267,7 +267,7 @@ def _novelty(t: str) -> str:
     return f"({capped(hits(t, fixed.NEW), 0.1, 0.3)} + {points(any_hit(t, ('combine', 'hybrid')), 0.2)} + {points(any_hit(t, ('custom', 'modified')), 0.2)})"
 
 
-_ASKED = f"regexp_extract_all({_LD}, '[a-z0-9_]+')"
+_ASKED = f"regexp_extract_all({_LD}, '[\\p{{L}}\\p{{N}}_]+')"
 _REASONING = f"({capped(hits(_LC, fixed.LOGIC), 0.1, 0.3)} + {capped(hits(_LC, fixed.EXPLAIN), 0.05, 0.2)} + (case when len({_ASKED}) > 0 then len(list_filter({_ASKED}, lambda w: contains({_LC}, w)))::double / len({_ASKED}) else 0::double end) * 0.3::double)"
 _STACK = f"""list_reduce(list_prepend('', regexp_extract_all({_O}, '[()\\[\\]{{}}]')), lambda s, b: case when starts_with(s, 'x') then s when b in ('(', '[', '{{') then s || b
  when (b = ')' and ends_with(s, '(')) or (b = ']' and ends_with(s, '[')) or (b = '}}' and ends_with(s, '{{')) then left(s, length(s) - 1) else 'x' end) <> ''"""
@@ -330,12 +330,51 @@ def judged_rewards(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "script_pairs").select("pair_id", F.round(score.judged_reward(F.col("quality_score") / 10, F.col("likes_count") / 100.0), 12).alias("reward"))
 
 
-@query(f"""select row_id, {points('coalesce(length(name) > 20, false)', 5)} + {points('coalesce(length(description) > 20, false)', 15)} + (case when k >= 3 then 10.0::double when k >= 1 then 5.0::double else 0::double end) as score
-from (select *, len(list_filter({listed(fixed.TECHNICAL)}, lambda v: contains({_SD}, v))) as k from strategies)""")
-def field_completeness(spark: SparkSession, d: str) -> DataFrame:
-    concepts = text.term_hits(F.lower(F.coalesce("description", F.lit(""))), fixed.TECHNICAL)
-    c = score.field_completeness({"name": (F.col("name"), 5), "description": (F.col("description"), 15)}, {"concepts": (concepts, 10)})
-    return table(spark, d, "strategies").select("row_id", c.alias("score"))
+def _analyses(spark: SparkSession, d: str) -> DataFrame:
+    """Analyses as JSON, of the scripts' own fields; among them some that aren't objects, aren't JSON or tell an error."""
+    parts = F.split(F.coalesce("description", F.lit("")), "[.]")
+    whole = F.to_json(F.struct(
+        F.coalesce("name", F.lit("")).alias("title"), F.coalesce("description", F.lit("")).alias("abstract"), F.struct(F.left(F.coalesce("source_code", F.lit("")), F.lit(40)).alias("algorithms")).alias("main_algorithms"), F.slice(parts, 1, 12).alias("key_concepts"),
+        F.slice(parts, 1, 2).alias("mathematical_models"), F.coalesce("symbol", F.lit("")).alias("implementation_requirements"), F.struct(F.lit(1).alias("x")).alias("evaluation_metrics"), F.col("crawl_page").alias("datasets_mentioned"), F.struct(F.left(F.coalesce("description", F.lit("")), F.lit(21)).alias("abstract_preview")).alias("content_preview"),
+    ))
+    error = F.lit('{"title": "a title of some length here", "error": "none"}')
+    text_ = F.when(F.expr("row_id % 7 = 0"), error).when(F.expr("row_id % 7 = 1"), F.col("description")).when(F.expr("row_id % 7 = 2"), F.lit("[1, 2]")).otherwise(whole)
+    return table(spark, d, "strategies").select("row_id", "name", "description", "source_code", "symbol", text_.alias("analysis"))
+
+
+_PART = f"string_split({_DESC}, '.')"
+_ANALYSIS = f"""(15 * ({chars('description')} > 20)::int + 5 * ({chars('name')} > 20)::int + 15 * (least({chars('source_code')}, 40) > 30)::int + (case when len({_PART}) >= 3 then 10 else 5 end)
++ (case when len({_PART}) >= 2 then 5 else 5 end) + 10 * ({chars('symbol')} > 20)::int + 2.5 + 5 * (least({chars('description')}, 21) > 20)::int + 5 * (len({_PART}) >= 5)::int + 5 * (len({_PART}) >= 10)::int)::double"""
+
+
+@query(f"select row_id, case when row_id % 7 < 3 then 0.0::double else {_ANALYSIS} end as score from strategies")
+def analysis_scores(spark: SparkSession, d: str) -> DataFrame:
+    return _analyses(spark, d).select("row_id", score.analysis_score(F.try_parse_json("analysis")).alias("score"))
+
+
+_IS_WHOLE, _Q = "(row_id % 7 >= 3)", "chr(39)"
+_LIST = lambda k: f"array_to_string(list_transform({_PART}[1:{k}], lambda x: '- ' || x), chr(10))"
+_TEXT_OR = "coalesce(case row_id % 7 when 2 then '[1, 2]' else description end, '')"
+
+
+@query(f"""select row_id, 'Create a trading strategy called ' || {_Q} || case when row_id % 7 = 0 then 'a title of some length here' else coalesce(name, '') end || {_Q} || '.'
+|| (case when {_IS_WHOLE} then case when {_DESC} <> '' then ' Strategy description: ' || description else '' end when row_id % 7 = 0 then '' when {_TEXT_OR} <> '' then ' Strategy description: ' || {_TEXT_OR} else '' end)
+|| (case when {_IS_WHOLE} and array_to_string({_PART}[1:5], ', ') <> '' then ' Focus on these key concepts: ' || array_to_string({_PART}[1:5], ', ') else '' end)
+|| coalesce(' The strategy should work with these instruments: ' || symbol, '')
+|| ' Include the following in your response: 1. Clear entry and exit conditions 2. Risk management rules 3. Complete implementation code 4. Explanation of the strategy logic 5. Key parameters and their rationale' as prompt,
+'# ' || coalesce(name, '') || chr(10) || (case when {_IS_WHOLE} then chr(10) || '## Strategy Overview' || chr(10) || {_DESC} || chr(10) || chr(10) || '## Key Concepts' || chr(10) || {_LIST(12)} || chr(10) || chr(10) || '## Mathematical Models' || chr(10)
+|| {_LIST(2)} || chr(10) when row_id % 7 = 1 then coalesce(chr(10) || '## Description' || chr(10) || description || chr(10), '') else '' end)
+|| coalesce(chr(10) || '## Implementation' || chr(10) || chr(10) || '```python' || chr(10) || source_code || chr(10) || '```' || chr(10), '') || coalesce(chr(10) || '## Applicable Instruments' || chr(10) || symbol || chr(10), '') as response from strategies""")
+def strategy_messages(spark: SparkSession, d: str) -> DataFrame:
+    """Prompts and Markdown answers from descriptions that are analyses, other JSON or plain text."""
+    none = F.lit(None).cast("string")
+    return _analyses(spark, d).select("row_id", prompts.strategy_prompt("name", "analysis", "symbol").alias("prompt"), prompts.strategy_response("name", "analysis", none, "source_code", "symbol").alias("response"))
+
+
+@query()
+def judged_codes(spark: SparkSession, d: str) -> DataFrame:
+    """Syntax of the first fenced block and a judge's answer together."""
+    return table(spark, d, "script_pairs").select("pair_id", F.round(score.judged_code("output", F.col("quality_score").cast("string")), 6).alias("score"))
 
 
 # Statistics.
@@ -543,13 +582,94 @@ def offline_models(spark: SparkSession, d: str) -> DataFrame:
     return models.assessed(models.translated(rows, "text", text.is_foreign("text")), "text", unparsed=50.0)
 
 
-@query("select segment_id, input, coalesce(length(output), 0) < 40 as rewrite_failed from segments")
+@query(f"select segment_id, input, case when not {blank('input')} and not {blank('output')} then 5.0::double end as match_score, false as was_rewritten, not {blank('input')} and not {blank('output')} as rewrite_failed from segments")
 def offline_rewrites(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "segments").withColumn("match", F.when(text.char_count("output") < 40, F.lit(3.0)).otherwise(F.lit(8.0)))
-    return models.rewritten(rows.select("segment_id", "input", "match"), "input", "match").select("segment_id", "input", "rewrite_failed")
+    """Without a model every match is 5, which asks for a new text that doesn't come."""
+    out = models.rewritten(table(spark, d, "segments"), "input", "output")
+    return out.select("segment_id", "input", "match_score", "was_rewritten", "rewrite_failed")
+
+
+@query(f"select row_id, 0.0::double as analysis_score, 3 as candidates, 0 as attempts, false as valid, 'low' as confidence, 'Error: no answer' as generated_code, {_INSTRUCTION} as instruction from strategies")
+def offline_stages(spark: SparkSession, d: str) -> DataFrame:
+    """What analysis, conversion, validation, symbols, generation and reasoning give without a model."""
+    rows = table(spark, d, "strategies")
+    out = models.inferred_symbols(models.converted(models.best_analysis(rows, "description"), "source_code"), "description")
+    out = models.reasoned(models.generated(out, F.col("description")), "description", "source_code")
+    return out.select("row_id", "analysis_score", "candidates", F.col("conversion.attempts").alias("attempts"), models.validated("conversion.code").alias("valid"), "confidence", "generated_code", "instruction")
 
 
 @query("select state_id, coalesce(array_to_string(list_transform(relevant_symbols[1:5], lambda s: upper(s)), ','), '') as symbols, case when coalesce(len(relevant_symbols), 0) > 0 then 'high' else 'low' end as confidence from processing_states")
 def offline_symbols(spark: SparkSession, d: str) -> DataFrame:
     out = models.symbols_or_none("relevant_symbols")
     return table(spark, d, "processing_states").select("state_id", out["symbols"].alias("symbols"), out["confidence"].alias("confidence"))
+
+
+# Reports.
+
+
+_FIRST = f"case when {blank('input')} or {blank('output')} then 'empty' when {chars(trim('input'))} < 15 then 'short_description' when not coalesce({chars(trim('output'))} >= 20 and ({_SHAPES}) and not regexp_matches(output, '{fixed.NOTE_ONLY}'), false) then 'meaningless_code' end"
+
+
+@query(f"select reason, count(*) as n, round(count(*) * 100.0::double / sum(count(*)) over (), 4) as percent from (select {_FIRST} as reason from segments) where reason is not null group by 1")
+def first_pass_reasons(spark: SparkSession, d: str) -> DataFrame:
+    return aggregate.breakdown(filters.with_reason(table(spark, d, "segments"), filters.first_pass_checks("input", "output")), "reason")
+
+
+@query("select count(quality_score) as scored, round(coalesce(avg(quality_score), 0), 2) as mean from script_pairs")
+def mean_quality(spark: SparkSession, d: str) -> DataFrame:
+    return aggregate.mean_of_scored(table(spark, d, "script_pairs"), "quality_score")
+
+
+@query("""with b as (select segment_id // 100 as batch, count(*) as total, count_if(length(output) > 60) as accepted from segments group by 1)
+select (select count(*) from b) as batches, (select round(sum(accepted) * 100.0::double / sum(total), 4) from b) as acceptance, (select string_agg(batch || ': ' || accepted || '/' || total, ', ' order by batch desc) from (from b order by batch desc limit 5)) as latest""")
+def batch_summary(spark: SparkSession, d: str) -> DataFrame:
+    return aggregate.batch_summary(aggregate.batch_stats(table(spark, d, "segments"), "segment_id", 100, F.length("output") > 60))
+
+
+@query("""with a as (select count(*) as n from script_pairs), b as (select count(*) as n from segments), g as (select a.n as x, least(floor(a.n * (1 - 0.7::double) / 0.7::double)::bigint, b.n) as y, a.n as ta, b.n as tb from a, b)
+select 'pairs' as origin, x as rows, round(x::double / (x + y), 6) as share, 0.7::double as wanted_share, ta as available from g union all select 'segments', y, round(y::double / (x + y), 6), 0.3::double, tb from g""")
+def mix_report(spark: SparkSession, d: str) -> DataFrame:
+    a, b = table(spark, d, "script_pairs").select(F.col("pair_id").alias("key")), table(spark, d, "segments").select(F.col("segment_id").alias("key"))
+    return mixing.mix_stats(mixing.mix(a, b, "key", 0.7, tags=("pairs", "segments")), 0.7, {"pairs": a, "segments": b})
+
+
+_ORDER = "case theme when 'complex_indicators' then 1 when 'multi_timeframe' then 2 when 'risk_management' then 3 when 'machine_learning' then 4 else 5 end"
+
+
+@query(f"select * from (select theme, row_id, likes, row_number() over (order by {_ORDER}, rank) as place from (select *, row_number() over (partition by theme order by likes desc, row_id) as rank from ({_BUCKETS})) where rank <= 2) where place <= 6")
+def challenging_cases(spark: SparkSession, d: str) -> DataFrame:
+    rows = classify.by_theme(table(spark, d, "strategies").select("row_id", "description", likes().alias("likes")), "description")
+    return select.best_of_each(rows, "theme", [n for n, _ in classify.BUCKETS], "likes", "row_id").select("theme", "row_id", "likes", "place")
+
+
+@query("""select source_id, author, key, input, output from (select coalesce(source_id, 'unknown') as source_id, coalesce(min(source_author) over (partition by coalesce(source_id, 'unknown')), 'unknown') as author, segment_key as key, input, output,
+row_number() over (partition by coalesce(source_id, 'unknown'), segment_key order by coalesce(length(output), -1) desc, coalesce(output, '') desc, coalesce(input, '') desc) as n
+from segments) where key is not null and n = 1 and input is not null and output is not null""")
+def unpacked_lineage(spark: SparkSession, d: str) -> DataFrame:
+    """Parts from a nested path, with the columns that tell where they come from."""
+    rows = table(spark, d, "segments").withColumn("source_id", F.coalesce("source_id", F.lit("unknown")))
+    maps = nested.packed(rows, "source_id", "segment_key", "input", "output").join(rows.groupBy("source_id").agg(F.min("source_author").alias("author")), "source_id")
+    held = maps.select("source_id", "author", F.struct("components").alias("metadata"), F.lit(None).cast(nested.COMPONENT).alias("components"))
+    return nested.unpacked_nested(held, "source_id", ["metadata.components", "components"], ["author"])
+
+
+@query("select event_id, case when try_cast(json_extract(props, '$.k') as bigint) is null then 0 else greatest(0, least(100, try_cast(json_extract(props, '$.k') as bigint) * 30)) end as score, event_id % 2 = 0 as passed, case when event_id % 3 = 0 then 'fine' else '' end as reason from events")
+def checked_assessments(spark: SparkSession, d: str) -> DataFrame:
+    """Judges' answers in fences, with fields that are missing or of another type."""
+    passed = F.when(F.expr("event_id % 2 = 0"), "true").otherwise('"yes"')
+    reason = F.when(F.expr("event_id % 3 = 0"), ', "reason": "fine"').otherwise("")
+    answer = F.concat(F.lit('Here:\n```json\n{"score": '), F.coalesce((nested.parsed("props", "k bigint")["k"] * 30).cast("string"), F.lit('"none"')), F.lit(', "passed": '), passed, reason, F.lit("}\n```"))
+    return table(spark, d, "events").select("event_id", *[c.alias(n) for n, c in nested.checked_assessment(answer).items()])
+
+
+@query("""select * from (values ('https://scripts.example/top/?t=1', 1, 'https://scripts.example/top/?t=1'), ('https://scripts.example/top/?t=1', 2, 'https://scripts.example/top/page-2/?t=1'), ('https://scripts.example/top/?t=1', 3, 'https://scripts.example/top/page-3/?t=1'),
+('https://scripts.example/picks/', 1, 'https://scripts.example/picks/')) t(listing, page, url)""")
+def listing_pages(spark: SparkSession, d: str) -> DataFrame:
+    return listing_plan(spark, [("https://scripts.example/top/?t=1", 3), ("https://scripts.example/picks/", 1)], 1, 3)
+
+
+@query("select doc_id, text as decoded from documents")
+def escapes_decoded(spark: SparkSession, d: str) -> DataFrame:
+    """Texts as JSON string literals, decoded again."""
+    literal = F.expr("substring(to_json(named_struct('s', text)), 7, length(to_json(named_struct('s', text))) - 8)")
+    return table(spark, d, "documents").select("doc_id", F.when(F.col("text").isNotNull(), clean.escapes_decoded(literal)).alias("decoded"))

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import clean, html, prompts, similarity, text
 from corpusloom.functions.text import SPACE, SYMBOL
+from corpusloom.operators.filters import few_shot_eligible
+from corpusloom.operators.select import ranks_between
 from corpusloom.queries import fixed
 from corpusloom.queries.base import blank, chars, hits, lines, listed, query, quoted, table, trim, words
 from corpusloom.sources.web import page_urls
@@ -171,12 +175,66 @@ def thought_answers(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "script_pairs").select("pair_id", prompts.thought_answer("input", "output").alias("thought"), F.when(parts["instruction"] != "", "marked").otherwise(parts["output"]).alias("plain"))
 
 
-@query(f"""with r as (select pair_id, input, output, row_number() over (order by quality_score desc nulls last, pair_id) as n from script_pairs)
-select array_to_string(list(t order by n), chr(10) || chr(10)) as prompt from (select n, 'Example ' || n || ':' || chr(10) || 'Description: ' || {_I} || chr(10) || 'Code:' || chr(10) || {_O} as t from r where n <= 3)""")
-def few_shot_prompt(spark: SparkSession, d: str) -> DataFrame:
-    from corpusloom.operators.select import ranks_between
+_EXAMPLES = "select *, row_number() over (order by coalesce(likes_count, 0) desc, pair_id) as n from script_pairs where length(input) > 50 and length(output) > 200"
+_HEAD = "You are an expert TradingView Pine Script developer. Based on strategy descriptions, generate complete Pine Script code.\n\nHere are some examples:\n\n"
+_ZERO = (
+    "You are an expert TradingView Pine Script developer. Generate complete and functional Pine Script code for the following trading strategy:\n\nDescription: ",
+    "\n\nPlease generate complete Pine Script v5 code that implements this strategy. Include all necessary components like strategy declaration, inputs, calculations, entry/exit logic, and plotting.\n\nPine Script Code:",
+)
+_NL = lambda t: quoted(t).replace("\n", "' || chr(10) || '")
+
+
+@query(f"""with r as ({_EXAMPLES}), x as (select string_agg('Example ' || n || ':' || chr(10) || 'Description: ' || left(input, 200) || {_NL(chr(10).join(["...", "", "Pine Script Code:", ""]))} || left(output, 500) || {_NL(chr(10).join(["...", "", "---", "", ""]))}, '' order by n) as shown from r where n <= 3)
+select pair_id, {_NL(_HEAD)} || shown || {_NL("Now generate Pine Script code for this strategy:" + chr(10) * 2 + "Description: ")} || coalesce(input, '') || {_NL(chr(10) * 2 + "Pine Script Code:")} as few_shot, {_NL(_ZERO[0])} || coalesce(input, '') || {_NL(_ZERO[1])} as zero_shot from script_pairs, x""")
+def generation_prompts(spark: SparkSession, d: str) -> DataFrame:
+    """For every pair's description a prompt after three examples and one without any."""
+    rows = table(spark, d, "script_pairs")
+    best = ranks_between(rows.where(few_shot_eligible("input", "output", None)), F.coalesce("likes_count", F.lit(0)), "pair_id", 1, 3)
+    shown = prompts.few_shot(best, "rank", 3, prompts.shown_example("rank", "input", "output"))
+    return rows.select("pair_id", prompts.generation_prompt("input", shown).alias("few_shot"), prompts.generation_prompt("input").alias("zero_shot"))
+
+
+def _outline(head: str, term: str, k: int, row: str) -> str:
+    found = f"list_filter({lines('output')}, lambda l: contains(l, '{term}'))"
+    return f"case when len({found}) > 0 then {_NL(head)} || array_to_string(list_transform({found}[1:{k}], lambda l: {row}), '') else '' end"
+
+
+_BAR = "=" * 50
+_ROW = f"'  ' || left({trim('l')}, 80) || '...' || chr(10)"
+
+
+@query(f"""select pair_id, '{_BAR}' || chr(10) || 'EXAMPLE ' || n || chr(10) || '{_BAR}' || chr(10) || 'Strategy: ' || coalesce(name, 'Unknown') || chr(10) || 'Likes: ' || coalesce(likes_count, 0) || {_NL(chr(10) * 2 + "Description:" + chr(10))} || left(input, 400) || '...' || chr(10) || chr(10)
+|| coalesce('Version: ' || list_filter({lines('output')}, lambda l: starts_with(l, '//@version='))[1] || chr(10), '') || {_outline("Strategy Declaration: ", "strategy(", 1, "left(l, 100) || '...' || chr(10)")} || {_outline("Input Examples:" + chr(10), "input.", 3, _ROW)} || {_outline("Entry Logic:" + chr(10), "strategy.entry", 2, _ROW)} || chr(10) as shown from ({_EXAMPLES}) where n <= 200""")
+def outlined_examples(spark: SparkSession, d: str) -> DataFrame:
+    """The telling lines of the 200 best pairs, as examples of a prompt."""
+    best = ranks_between(table(spark, d, "script_pairs").where(few_shot_eligible("input", "output", None)), F.coalesce("likes_count", F.lit(0)), "pair_id", 1, 200)
+    return best.select("pair_id", prompts.outlined_example("rank", "name", "likes_count", "input", "output").alias("shown"))
+
+
+def _thought(steps: Sequence[str]) -> str:
+    return f"{_NL('<think>' + chr(10) + '1. **Strategy Analysis**: ')} || {_I} || {_NL(''.join(chr(10) * 2 + s for s in steps) + chr(10) + '</think>' + chr(10) + '<answer>' + chr(10))} || {_O} || {_NL(chr(10) + '</answer>')}"
+
+
+_STEPS = (
+    "2. **Implementation Approach**: I need to break down this strategy into its core components and implement each part using appropriate Pine Script functions.",
+    "3. **Technical Requirements**: Identify the necessary technical indicators, parameters, and conditional logic required for this strategy.",
+    "4. **Code Structure**: Plan the implementation by determining the sequence of operations and proper Pine Script syntax to achieve the desired functionality.",
+)
+_RESTEPS = (
+    "2. **Implementation Requirements**: Based on the strategy description, I need to implement the core logic using appropriate Pine Script functions and syntax.",
+    "3. **Code Structure Planning**: I'll analyze the required components and translate them into Pine Script syntax, considering proper variable naming, function usage, and logic flow.",
+    "4. **Pine Script Translation**: Converting the conceptual strategy requirements into executable Pine Script code with appropriate technical indicators and conditional logic.",
+)
+_RESPONSE = f"case pair_id % 3 when 0 then 'INSTRUCTION: do it OUTPUT: <think>t</think><answer>' || {_O} || '</answer>' when 1 then 'INSTRUCTION: do that OUTPUT: ' || {_O} else {_O} end"
+
 
-    return prompts.few_shot(ranks_between(table(spark, d, "script_pairs"), "quality_score", "pair_id", 1, 3), "rank", "input", "output", 3)
+@query(f"""select pair_id, {_thought(_STEPS)} as template, case pair_id % 3 when 0 then 'do it' when 1 then 'do that' end as instruction,
+case when pair_id % 3 = 0 then {trim(f"'<think>t</think><answer>' || {_O} || '</answer>'")} else {_thought(_RESTEPS)} end as output from script_pairs""")
+def reasoned_answers(spark: SparkSession, d: str) -> DataFrame:
+    """Reasoned answers by template, and read from responses of three forms: marked and tagged, marked, neither."""
+    rows = table(spark, d, "script_pairs").withColumn("response", F.expr(_RESPONSE))
+    pair = prompts.reasoned_pair("response", "input", "output")
+    return rows.select("pair_id", prompts.reasoned_answer("input", "output").alias("template"), F.when(F.expr("pair_id % 3 < 2"), pair["instruction"]).alias("instruction"), pair["output"].alias("output"))
 
 
 def _escaped(c: str) -> Column:

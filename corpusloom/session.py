@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -48,10 +50,14 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` of the session, a temporary one only where it is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir`` of the session. Where it is unset a temporary one, on a single
+    machine only; on a cluster, whose machines don't share one, it is an error."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="corpusloom-")
+        atexit.register(shutil.rmtree, path.removeprefix("file://"), ignore_errors=True)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(path)
     return path

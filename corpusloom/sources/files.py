@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.operators.mixing import exact_sample
+from corpusloom.operators.select import first_n
+
 
 def read_json(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     """Files of a JSON array or of one object; both give rows."""
@@ -35,18 +38,28 @@ def _any_set(df: DataFrame):
 
 
 def read_parquet(spark: SparkSession, path: str, pattern: str | None = None, tolerant: bool = False) -> DataFrame:
-    """Parquet files by name pattern, columns of all files; ``tolerant`` skips unreadable ones."""
+    """Parquet files by name pattern, columns of all files; ``tolerant`` skips unreadable ones, but if none can be read it is an error."""
     reader = spark.read.option("mergeSchema", True)
     if tolerant:
         reader = reader.option("ignoreCorruptFiles", True)
     return (reader.option("pathGlobFilter", pattern) if pattern else reader).parquet(path)
 
 
-def write_rows(df: DataFrame, path: str, columns: list[str], required: list[str]) -> None:
-    """Parquet with a fixed order of columns; rows that lack a required value (null or empty) are left out."""
+def newest_first(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
+    """(file, bytes, modified) of the files of a folder by name pattern, the one modified last first. Their content isn't read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    return files.select(F.col("path").alias("file"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified")).orderBy(F.desc("modified"), "file")
+
+
+def write_rows(df: DataFrame, path: str, columns: list[str], required: list[str], position: str | None = None, batch: int = 10) -> None:
+    """Parquet with a fixed order of columns; rows that lack a required value (null or empty) are left out. With a ``position`` column
+    there is a folder for each ``batch`` positions."""
     for c in required:
         df = df.where(F.col(c).isNotNull() & (F.col(c).cast("string") != ""))
-    df.select(*columns).write.mode("append").parquet(path)
+    if position is None:
+        df.select(*columns).write.mode("append").parquet(path)
+    else:
+        df.select(F.expr(f"`{position}` div {batch}").alias("batch"), *columns).write.mode("append").partitionBy("batch").parquet(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -54,24 +67,28 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def write_pairs(df: DataFrame, path: str, pair: list[str], metadata: list[str]) -> DataFrame:
-    """Pairs and their metadata side by side; returns a row of statistics."""
+def write_pairs(df: DataFrame, path: str, pair: list[str], metadata: list[str], **stats: Column) -> DataFrame:
+    """Pairs and their metadata side by side; returns a row with the number of rows and the given aggregates."""
     df.select(*pair).write.mode("overwrite").json(f"{path}/pairs")
     df.select(*metadata).write.mode("overwrite").json(f"{path}/metadata")
-    return df.agg(F.count("*").alias("rows"))
+    return df.agg(F.count("*").alias("rows"), *[c.alias(n) for n, c in stats.items()])
 
 
-def write_run(df: DataFrame, path: str, **metadata: str | int | float | bool) -> None:
-    """Rows and the run's metadata (a row of its own), as a folder each."""
+def write_run(df: DataFrame, path: str, every: int | None = None, position: str = "position", **metadata: str | int | float | bool) -> None:
+    """Rows and the run's metadata (a row of its own), as a folder each. With ``every`` the rows are also saved by batches of so many
+    positions, each in a folder that is complete as soon as it is there."""
+    if every is not None:
+        for b in sorted(r["b"] for r in df.select(F.expr(f"`{position}` div {every}").alias("b")).distinct().collect()):  # a row a batch
+            df.where(F.expr(f"`{position}` div {every}") == b).write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/intermediate/batch-{b}")
     df.write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/results")
     df.sparkSession.createDataFrame([tuple(metadata.values())], list(metadata)).write.mode("overwrite").json(f"{path}/metadata")
 
 
 def file_inventory(df: DataFrame) -> DataFrame:
-    """(file, size_mb, rows, modified) of the files a DataFrame is read from."""
+    """(file, size_mb, rows, columns, modified) of the files a DataFrame is read from; all have the DataFrame's columns."""
     m = F.col("_metadata")
     per = df.groupBy(m["file_path"].alias("file_path"), m["file_name"].alias("file"), m["file_size"].alias("size"), m["file_modification_time"].alias("modified")).agg(F.count("*").alias("rows"))
-    return per.select("file", F.round(F.col("size") / 1048576, 2).alias("size_mb"), "rows", "modified")
+    return per.select("file", F.round(F.col("size") / 1048576, 2).alias("size_mb"), "rows", F.lit(len(df.columns)).alias("columns"), "modified")
 
 
 def inventory_totals(inventory: DataFrame) -> DataFrame:
@@ -89,3 +106,8 @@ def column_profile(df: DataFrame) -> DataFrame:
     counts = df.agg(F.count("*").alias("__rows"), *[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
     each = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("type"), F.col(f"`{c}`").alias("filled"), F.col("__rows").alias("rows")) for c in df.columns])
     return counts.select(F.explode(each).alias("c")).select("c.*")
+
+
+def inspected(df: DataFrame, order: str, n: int = 5, seed: int = 42) -> dict[str, DataFrame]:
+    """The profile of a table, its first rows and a sample of as many."""
+    return {"profile": column_profile(df), "head": first_n(df, order, n), "sample": exact_sample(df, order, n, seed)}

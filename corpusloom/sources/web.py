@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import threading
 import time
 from collections.abc import Callable, Iterator
 
@@ -22,6 +23,15 @@ def page_urls(spark: SparkSession, base: str, first: int, last: int, style: str
     return pages.select("page", F.when(F.col("page") == 1, F.lit(base)).otherwise(part).alias("url"))
 
 
+def listing_plan(spark: SparkSession, listings: list[tuple[str, int]], first: int, pages: int, style: str = "dash") -> DataFrame:
+    """(listing, page, url): the pages of several listings, each with a limit of its own (editor's picks have one page)."""
+    out = None
+    for base, most in listings:
+        one = page_urls(spark, base, first, first + min(pages, most) - 1, style).select(F.lit(base).alias("listing"), "page", "url")
+        out = one if out is None else out.union(one)
+    return out
+
+
 def capped_per_page(df: DataFrame, page: str, position: str, most: int) -> DataFrame:
     w = Window.partitionBy(page).orderBy(position)
     return df.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= most).drop("__n")
@@ -49,18 +59,31 @@ def until_empty(pages: DataFrame, page: str, records: str) -> DataFrame:
 
 
 def with_retries(fetch: Callable[[str], str | None], tries: int = 3, pause: float = 1.0, limit: float = 120.0) -> Callable[[str], str | None]:
-    """A fetch that waits longer after each failure, with jitter, and gives up with null after so many tries or seconds."""
+    """A fetch that waits longer after each failure, with jitter, and gives up with null after so many tries or seconds; one that hangs
+    is left behind when its time is over (its thread ends with the task)."""
+
+    def attempt(url: str, seconds: float) -> tuple[bool, str | None]:
+        done: list[tuple[bool, str | None]] = []
+
+        def work() -> None:
+            try:
+                done.append((True, fetch(url)))
+            except Exception:
+                done.append((False, None))
+
+        thread = threading.Thread(target=work, daemon=True)
+        thread.start()
+        thread.join(seconds)
+        return done[0] if done else (True, None)
 
     def run(url: str) -> str | None:
         began = time.monotonic()
         for k in range(tries):
-            try:
-                return fetch(url)
-            except Exception:
-                wait = pause * 2**k + random.random() * pause
-                if k + 1 == tries or time.monotonic() - began + wait > limit:
-                    return None
-                time.sleep(wait)
+            ok, page = attempt(url, max(0.0, limit - (time.monotonic() - began)))
+            wait = pause * 2**k + random.random() * pause
+            if ok or k + 1 == tries or time.monotonic() - began + wait > limit:
+                return page
+            time.sleep(wait)
         return None
 
     return run

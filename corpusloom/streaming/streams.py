@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,26 +37,42 @@ def deduplicated(events: DataFrame, time: str, *keys: str, late: str = "2 hours"
 
 
 class SavedProgress:
-    """A small JSON file of a run's progress: show, set and reset with a backup."""
+    """A run's progress in a shared folder, as a table of its states: show the last, set another, reset with a backup. A state is
+    written whole before it counts, so a crash leaves the one before."""
 
-    def __init__(self, path: str) -> None:
-        self.path = Path(path)
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path
+
+    def _states(self) -> DataFrame:
+        self.spark.createDataFrame([], "version long, kind string, state string").write.mode("append").parquet(self.path)  # so that there is a table
+        return self.spark.read.schema("version long, kind string, state string").parquet(self.path)
+
+    def _last(self) -> tuple[int, dict]:
+        row = self._states().agg(F.max_by(F.struct("version", "kind", "state"), "version").alias("r")).first()["r"]
+        return (-1, {}) if row is None else (row["version"], json.loads(row["state"]) if row["kind"] == "set" else {})
+
+    def _add(self, version: int, kind: str, state: dict) -> None:
+        self.spark.createDataFrame([(version, kind, json.dumps(state, sort_keys=True))], "version long, kind string, state string").coalesce(1).write.mode("append").parquet(self.path)
 
     def show(self) -> dict:
-        return json.loads(self.path.read_text()) if self.path.exists() else {}
+        return self._last()[1]
 
     def set(self, **values: int | str) -> dict:
-        state = self.show() | values
-        self.path.parent.mkdir(parents=True, exist_ok=True)
-        self.path.write_text(json.dumps(state, sort_keys=True))
-        return state
-
-    def reset(self) -> Path | None:
-        if not self.path.exists():
-            return None
-        backup = self.path.with_suffix(".backup.json")
-        self.path.replace(backup)
-        return backup
+        version, state = self._last()
+        self._add(version + 1, "set", state | values)
+        return state | values
+
+    def reset(self) -> bool:
+        """Whether there was a state; it stays in the table as the backup."""
+        version, state = self._last()
+        if state:
+            self._add(version + 1, "reset", {})
+        return bool(state)
+
+    def backup(self) -> dict:
+        """The last state before a reset, or the current one."""
+        row = self._states().where("kind = 'set'").agg(F.max_by("state", "version").alias("s")).first()["s"]
+        return json.loads(row) if row else {}
 
 
 def resumed(df: DataFrame, key: str, done: DataFrame, process: Callable[[DataFrame], DataFrame], overwrite: bool = False) -> DataFrame:

@@ -208,8 +208,6 @@ def test_models(spark):
         return ask
 
     assert [r["model_score"] for r in models.assessed(rows, "t", models.Model(connect=failing)).collect()] == [0, 0]
-    low = rows.withColumn("m", F.lit(3.0))
-    assert [r["rewrite_failed"] for r in models.rewritten(low, "t", "m").collect()] == [True, True]
 
 
 def test_statuses_and_observation(spark):
@@ -306,3 +304,105 @@ def test_script_pages(spark):
     ]
     with pytest.raises(ValueError):
         html.Page("<p>").select("p:first")
+
+
+def scripted(**answers):
+    """A client that answers by what the prompt begins with; a list of answers is given one by one, without one it fails."""
+
+    def connect():
+        given = {k: list(v) if isinstance(v, list) else v for k, v in answers.items()}
+
+        def ask(prompt):
+            found = next((v for k, v in given.items() if prompt.startswith(k)), None)
+            found = (found.pop(0) if len(found) > 1 else found[0]) if isinstance(found, list) else found
+            if found is None:
+                raise OSError
+            return found
+
+        return ask
+
+    return connect
+
+
+GOOD = "```python\nimport backtrader as bt\nclass S(bt.Strategy):\n    def __init__(self):\n        pass\n    def next(self):\n        self.buy()\n```"
+
+
+def test_conversion_is_told_what_was_missing(spark):
+    rows = spark.createDataFrame([("strategy(1)",), (" ",), (None,)], "c string")
+    got = models.converted(rows, "c", models.Model(scripted(Convert=["nothing", "```python\nimport backtrader\n```", GOOD]), 1)).select("conversion.*").collect()
+    assert (got[0]["attempts"], got[0]["error"]) == (3, None) and "def next" in got[0]["code"] and "```" not in got[0]["code"]
+    assert [(r["code"], r["attempts"], r["error"]) for r in got[1:]] == [(None, 0, "no source code")] * 2
+    failing = models.converted(rows, "c", models.Model(scripted(), 1)).select("conversion.*").first()
+    assert (failing["code"], failing["attempts"], failing["error"]) == (None, 5, "empty answer")
+
+
+def test_rewriting_keeps_what_it_replaces(spark):
+    rows = spark.createDataFrame([("old", "code"), ("", "code"), ("old", None)], "d string, c string")
+    answers = {"Rate": 'So: {"match_score": 3, "needs_regeneration": false}', "Describe": " **new** text\n"}
+    got = models.rewritten(rows, "d", "c", model=models.Model(scripted(**answers))).collect()
+    assert [(r["d"], r["original"], r["match_score"], r["was_rewritten"], r["rewrite_failed"]) for r in got] == [("new text", "old", 3.0, True, False), ("", None, None, False, False), ("old", None, None, False, False)]
+    asked = {"Rate": '{"match_score": 9, "needs_regeneration": true}', "Describe": "x"}
+    assert models.rewritten(rows, "d", "c", model=models.Model(scripted(**asked))).first()["d"] == "x"
+    kept = {"Rate": '{"match_score": 9}'}
+    assert [r["was_rewritten"] or r["rewrite_failed"] for r in models.rewritten(rows, "d", "c", model=models.Model(scripted(**kept))).collect()] == [False] * 3
+
+
+def test_best_of_several_analyses(spark):
+    rows = spark.createDataFrame([("x",)], "d string")
+    answers = ["not json", '{"title": "short", "key_concepts": ["a", "b"]}', '```json\n{"abstract": "long enough to be counted", "key_concepts": ["a", "b", "c"]}\n```']
+    got = models.best_analysis(rows, "d", 3, models.Model(scripted(Analyse=answers))).first()
+    assert got["analysis_score"] == 25 and "long enough" in got["analysis"] and got["candidates"] == 3
+    none = models.best_analysis(rows, "d", 3, models.Model(scripted(), 1)).first()
+    assert (none["analysis"], none["analysis_score"]) == (None, 0.0)
+    full = {"key_concepts": list("abcdefghij"), "mathematical_models": list("abc"), "main_algorithms": {"algorithms": "a" * 31}, "content_preview": {"abstract_preview": "p" * 20}, "novelty": {"x": 1}, "title": "t" * 21}
+    for extra, want in (({}, 10 + 10 + 10 + 5 + 15 + 5 + 5), ({"error": "e"}, 0), ({"parse_error": None}, 0)):
+        assert one(spark, json.dumps(full | extra), lambda c: score.analysis_score(F.try_parse_json(c))) == want
+    assert [one(spark, v, lambda c: score.analysis_score(F.try_parse_json(c))) for v in (None, "[]", "no json", "{}")] == [0, 0, 0, 0]
+
+
+def test_agent_stages(spark):
+    words = "word " * 120
+    rows = spark.createDataFrame([(1, "strategy(x)", words), (2, "indicator(x)", words), (3, "strategy(x)", "few"), (4, "strategy(y)", words)], "id int, source_code string, description string")
+    answers = {"Rate": "85", "Convert this script to a Backtrader strategy.\n\nstrategy(x)": GOOD, "Analyse": '{"abstract": "long enough to be counted"}', "Which": '{"symbols": ["btc", "eth"], "confidence": "high"}'}
+    got = {r["id"]: r for r in pipelines.agent_pipeline(rows, model=models.Model(scripted(**answers), 1)).collect()}
+    assert {k: r["status"] for k, r in got.items()} == {1: "completed", 2: "rejected_by_classifier", 3: "rejected_by_filter", 4: "rejected_by_conversion"}
+    assert (got[1]["symbols"], got[1]["confidence"], got[1]["analysis_score"], got[1]["reasoning"]) == (["BTC", "ETH"], "high", 15.0, "")
+    assert (got[2]["symbols"], got[2]["reasoning"], got[2]["conversion"]["attempts"]) == ([], None, 0)
+    assert {r["status"] for r in pipelines.agent_pipeline(rows, model=models.Model(scripted(Rate="10"), 1)).collect()} == {"rejected_by_classifier", "rejected_by_filter"}
+
+
+def test_translation_of_lines_and_other_answers(spark):
+    rows = spark.createDataFrame([(["this", "это", None],), (["a"],), (None,)], "x array<string>")
+    got = models.translated_lines(rows, "x", models.Model(scripted(Translate="it"))).collect()
+    assert [(r["x"], r["lines_translated"]) for r in got] == [(["this", "it", None], True), (["a"], False), (None, False)]
+    assert [r["lines_translated"] for r in models.translated_lines(rows, "x").collect()] == [False] * 3
+    texts = spark.createDataFrame([("d", "c")], "d string, c string")
+    assert models.assessed(texts, "d", models.Model(scripted(Rate="no number")), 1, 10, unparsed=5.0, failed=1.0).first()["model_score"] == 5
+    assert models.assessed(texts, "d", models.Model(scripted(), 1), 1, 10, unparsed=5.0, failed=1.0).first()["model_score"] == 1
+    assert models.generated(texts, F.col("d"), models.Model(scripted(d="```pine\nplot(x)\n```"))).first()["generated_code"] == "plot(x)"
+    assert models.consistency(texts, "d", "c").first()["consistency"].startswith("Analysis failed")
+    assert models.reasoned(texts, "d", "c", models.Model(scripted(Write="INSTRUCTION: do OUTPUT: <think>a</think><answer>b</answer>"))).first()["output_text"] == "<think>a</think><answer>b</answer>"
+    dropped = models.drawing_dropped(spark.createDataFrame([("plot(x)\ny = 1",), ("z = 2",)], "c string"), "c", models.Model(scripted(Remove="y")))
+    assert [(r["c"], r["removed_lines"]) for r in dropped.collect()] == [("y", 1), ("z = 2", 0)]
+    rows = spark.createDataFrame([(1, "x" * 60 + " это", "strategy(1) = ta.sma(close, 9)", "k")], "segment_id int, input string, output string, source_id string")
+    out = pipelines.segment_pipeline(rows, 1.0, translate=True, augment=True, model=models.Model(scripted(Translate="In English now", Rate='{"match_score": 8}')))
+    assert [(r["input"], r["match_score"]) for r in out.collect()] == [("In English now", 8.0)] and pipelines.segment_pipeline(rows.limit(0)).count() == 0
+
+
+def test_judges_and_reports(spark):
+    rows = spark.createDataFrame([("```python\nx = 1\n```", "80"), ("```\ndef (\n```", None), ("no code", "90")], "c string, a string")
+    assert [round(r[0], 6) for r in rows.select(score.judged_code("c", "a")).collect()] == [0.88, 0.38, 0.3]
+    assert one(spark, '{"score": 250, "passed": true}', lambda c: nested.checked_assessment(c)["score"]) == 100
+    assert one(spark, '{"score": "9"}', lambda c: nested.checked_assessment(c)["score"]) == 0
+    assert one(spark, "a\\u00e9\\n\\\"", clean.escapes_decoded) == 'aé\n"' and one(spark, '"', clean.escapes_decoded) == '"'
+    mixed = mixing.mix(spark.range(4), spark.range(100, 106), "id", 0.5)
+    assert {r["origin"]: (r["rows"], r["share"], r["available"]) for r in mixing.mix_stats(mixed, 0.5, {"a": spark.range(4), "b": spark.range(100, 106)}).collect()} == {"a": (4, 0.5, 4), "b": (4, 0.5, 6)}
+    assert mixing.mix_stats(mixed.limit(0), 0.5, {"a": spark.range(0), "b": spark.range(0)}).first()["share"] == 0
+    stats = aggregate.batch_stats(spark.range(70), "id", 10, F.col("id") % 2 == 0)
+    assert aggregate.batch_summary(stats).first().asDict() == {"batches": 7, "acceptance": 50.0, "latest": "6: 5/10, 5: 5/10, 4: 5/10, 3: 5/10, 2: 5/10"}
+    assert [r["id"] for r in select.last_n(spark.range(9), "id", 2).collect()] == [8, 7]
+
+
+def test_positions_are_whole_in_many_ranges(spark):
+    rows = mixing._position(spark.range(500), "id", 1, 500, per_range=10).select("id", "__at").collect()
+    assert sorted(r["__at"] for r in rows) == list(range(1, 501))

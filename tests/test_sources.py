@@ -1,6 +1,10 @@
 """Readers, writers and incremental runs on files."""
 
 import json
+import os
+import time
+
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -47,6 +51,8 @@ def test_pages(spark, tmp_path):
         raise OSError
 
     assert web.with_retries(fetch, tries=2, pause=0.0)("u") is None and len(tries) == 2
+    began = time.monotonic()
+    assert web.with_retries(lambda u: time.sleep(30), limit=0.3)("u") is None and time.monotonic() - began < 5
     got = web.fetched(spark.createDataFrame([("u",), (None,)], "url string"), "url", lambda u: f"<p>{u}</p>")
     assert {r["html"] for r in got.collect()} == {"<p>u</p>", None}
     (tmp_path / "one.html").write_text("<h1>x</h1>")
@@ -85,8 +91,30 @@ def test_stream_windows_drop_late_rows(spark, tmp_path):
 
 
 def test_saved_progress_and_resume(spark, tmp_path):
-    p = streams.SavedProgress(str(tmp_path / "p.json"))
-    assert p.show() == {} and p.set(last=3) == {"last": 3} and p.reset().exists() and p.show() == {} and p.reset() is None
+    p = streams.SavedProgress(spark, str(tmp_path / "p"))
+    assert p.show() == {} and p.set(last=3) == {"last": 3} and p.set(n=1) == {"last": 3, "n": 1} and p.reset() and p.show() == {} and not p.reset() and p.backup() == {"last": 3, "n": 1}
+    assert streams.SavedProgress(spark, str(tmp_path / "p")).set(last=5) == {"last": 5}
     rows, done = spark.createDataFrame([("a",), ("b",)], "k string"), spark.createDataFrame([("a", 1), ("z", 9)], "k string, n int")
     got = streams.resumed(rows, "k", done, lambda d: d.withColumn("n", F.lit(0)))
     assert {(r["k"], r["n"]) for r in got.collect()} == {("a", 1), ("b", 0)}
+
+
+def test_files_by_age_batches_and_bad_files(spark, tmp_path):
+    rows = spark.range(25).selectExpr("id", "cast(id as string) name")
+    files.write_rows(rows, str(tmp_path / "b"), ["id", "name"], ["name"], position="id")
+    assert {r["batch"]: r["count"] for r in spark.read.parquet(str(tmp_path / "b")).groupBy("batch").count().collect()} == {0: 10, 1: 10, 2: 5}
+    files.write_run(rows, str(tmp_path / "r"), every=10, position="id", run="x")
+    assert spark.read.json(str(tmp_path / "r" / "intermediate" / "batch-2")).count() == 5 and spark.read.json(str(tmp_path / "r" / "results")).count() == 25
+    for i, name in enumerate(("old", "new")):
+        path = tmp_path / "bad" / f"{name}.parquet"
+        path.parent.mkdir(exist_ok=True)
+        path.write_bytes(b"not parquet")
+        os.utime(path, (1000 + i, 1000 + i))
+    assert [r["file"].rsplit("/", 1)[1] for r in files.newest_first(spark, str(tmp_path / "bad")).collect()] == ["new.parquet", "old.parquet"]
+    with pytest.raises(Exception):
+        files.read_parquet(spark, str(tmp_path / "bad"), "*.parquet", tolerant=True).count()
+    assert files.write_pairs(rows, str(tmp_path / "p"), ["name"], ["id"], top=F.max("id")).first().asDict() == {"rows": 25, "top": 24}
+    seen = files.inspected(rows, "id", 3)
+    assert [r["id"] for r in seen["head"].collect()] == [0, 1, 2] and seen["sample"].count() == 3 and seen["profile"].count() == 2
+    read = spark.read.parquet(str(tmp_path / "b"))
+    assert {r["columns"] for r in files.file_inventory(read).collect()} == {3}
