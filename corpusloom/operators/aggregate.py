@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import _c
+from corpusloom.session import stored
 
 SCORE_BANDS = ((9.0, "excellent"), (7.0, "good"), (5.0, "average"), (3.0, "poor"))
 
@@ -45,13 +46,28 @@ def score_summary(df: DataFrame, score: Column | str, bands: Sequence[tuple[floa
     return df.agg(F.count(s).alias("n"), zero(F.avg(s)).alias("mean"), zero(F.min(s)).alias("low"), zero(F.max(s)).alias("high"), *counts)
 
 
-def _ranked(df: DataFrame, value: Column | str, by: Sequence[str]) -> DataFrame:
+#: Distinct values that one task puts in order.
+VALUES_A_TASK = 1_000_000
+
+
+def _ranked(df: DataFrame, value: Column | str, by: Sequence[str], per_task: int = VALUES_A_TASK) -> DataFrame:
     """Counts by value with the number of rows at or below: (by, v, upto, total, n). The distinct values take the place of the
-    rows, so the window orders few rows even where a value is frequent."""
-    counts = df.select(*by, _c(value).cast("double").alias("v")).where("v is not null").groupBy(*by, "v").agg(F.count("*").alias("n"))
-    w = Window.partitionBy(*by).orderBy("v") if by else Window.orderBy("v")
-    whole = Window.partitionBy(*by) if by else Window.partitionBy()
-    return counts.withColumn("upto", F.sum("n").over(w)).withColumn("total", F.sum("n").over(whole))
+    rows. They are ordered in ranges of a bounded number, whose rows are added up first, so that neither a group nor the whole
+    has to be ordered by one task."""
+    counts = stored(df.select(*by, _c(value).cast("double").alias("v")).where("v is not null").groupBy(*by, "v").agg(F.count("*").alias("n")), "counts")
+    ranges = -(-counts.count() // per_task)
+    if ranges > 1:
+        counts = stored(counts.repartitionByRange(ranges, "v").withColumn("__range", F.spark_partition_id()), "ranges")
+    else:
+        counts = counts.withColumn("__range", F.lit(0))
+    sizes = counts.groupBy(*by, "__range").agg(F.sum("n").alias("__n"))
+    before = Window.partitionBy(*by).orderBy("__range")  # over one row for each range
+    sizes = sizes.select(*[F.col(c).alias(f"__by_{c}") for c in by], F.col("__range").alias("__r"), (F.sum("__n").over(before) - F.col("__n")).alias("__before"), F.sum("__n").over(Window.partitionBy(*by)).alias("total"))
+    same = F.col("__range") == F.col("__r")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"__by_{c}"))
+    inside = F.sum("n").over(Window.partitionBy(*by, "__range").orderBy("v"))
+    return counts.join(sizes, same).withColumn("upto", F.col("__before") + inside).select(*by, "v", "upto", "total", "n")
 
 
 def _at(rank: Column) -> Column:

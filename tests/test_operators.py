@@ -406,3 +406,10 @@ def test_judges_and_reports(spark):
 def test_positions_are_whole_in_many_ranges(spark):
     rows = mixing._position(spark.range(500), "id", 1, 500, per_range=10).select("id", "__at").collect()
     assert sorted(r["__at"] for r in rows) == list(range(1, 501))
+
+
+def test_quantiles_over_many_ranges(spark):
+    rows = spark.range(1000).selectExpr("id % 7 g", "cast((id * 37) % 501 as int) v").union(spark.createDataFrame([(None, 5)], "g bigint, v int"))
+    for by in ([], ["g"]):
+        few, many = (aggregate._ranked(rows, "v", by, n).orderBy(*by, "v").collect() for n in (10**6, 20))
+        assert few == many and len(few) > 400
