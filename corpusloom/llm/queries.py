@@ -14,7 +14,7 @@ from corpusloom.llm.overlap import cross_split_pairs, cross_split_report
 from corpusloom.llm.packing import pack
 from corpusloom.llm.pairs import DEFECTS, broken_pairs
 from corpusloom.llm.people import name_node, person_keys, persons
-from corpusloom.llm.splits import assign_splits, code_node, together
+from corpusloom.llm.splits import ComponentTable, assign_splits, code_node, together
 from corpusloom.llm.toxicity import fitted, rates, score
 from corpusloom.session import ship, stored
 
@@ -70,7 +70,7 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _related(spark: SparkSession, sf_dir: str) -> DataFrame:
     node = code_node("source_code")
     keys = F.concat(person_keys(), F.when(node.isNull(), F.array().cast("array<string>")).otherwise(F.array(node)))
-    return table(spark, sf_dir, "strategies").select("row_id", "author", keys.alias("keys"))
+    return table(spark, sf_dir, "strategies").select("row_id", "author", "crawl_page", keys.alias("keys"))
 
 
 PARTS = {"train": 0.8, "validation": 0.1, "test": 0.1}
@@ -79,9 +79,9 @@ PARTS = {"train": 0.8, "validation": 0.1, "test": 0.1}
 @query
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _related(spark, sf_dir)
-    _, state = assign_splits(rows, "row_id", "keys", PARTS)
+    _, components = assign_splits(rows, "row_id", "keys", PARTS)
     names = rows.where("author <> ''").select("author").distinct().select(F.col("author").alias("value"), name_node("author").alias("node"))
-    return together(names, state).select(F.col("a").alias("author_a"), F.col("b").alias("author_b"))
+    return together(names, components.resolved()).select(F.col("a").alias("author_a"), F.col("b").alias("author_b"))
 
 
 @query
@@ -90,6 +90,18 @@ def p4_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assigned.select(F.col("record").alias("row_id"), "split")
 
 
+@query
+def p4_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(batch, split, records): the crawl in two batches, of even and of odd pages, the second over the table that the first left."""
+    rows, table_ = _related(spark, sf_dir).withColumn("odd", F.coalesce(F.expr("crawl_page % 2 = 1"), F.lit(False))), ComponentTable(spark)
+    out = None
+    for batch, some in enumerate((rows.where("not odd"), rows.where("odd")), 1):
+        assigned, _ = assign_splits(some, "row_id", "keys", PARTS, table_)
+        counts = assigned.groupBy("split").agg(F.count("*").alias("records")).select(F.lit(batch).alias("batch"), "split", "records")
+        out = counts if out is None else out.union(counts)
+    return out
+
+
 def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = table(spark, sf_dir, "script_pairs").select(F.lit("script_pairs").alias("table_name"), F.col("pair_id").alias("row_key"), F.col("input").alias("question"), F.col("output").alias("answer"))
     segments = table(spark, sf_dir, "segments").select(F.lit("segments"), "segment_id", "input", "output")
