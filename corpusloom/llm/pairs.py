@@ -45,17 +45,23 @@ REFUSALS = (
 
 #: Function words by language; single words that several languages use as often are left out.
 STOPWORDS = {
-    "en": "the and of to is that for with this when while after before only from under above by each then it was on not can has have if its are be who into between whenever so at an will as do does no me we our you your they there here these this those than but any all both more most less over out up down until since per bar or in about such where which what how should would could must may does been were also same",
-    "es": "el los las una del por para con que cuando si más está esta su sobre después antes entre desde cada pero como sin al y se tras mientras hasta durante abre supera queda vende compra espera",
-    "pt": "o os as um uma do da dos das por para com que quando se mais está esta seu sobre depois antes entre desde cada mas como sem ao não e em até enquanto abaixo passa vale espera sinal ou",
-    "fr": "le les une des du pour avec que quand si plus est cette son sur après avant entre depuis chaque mais comme sans au ne pas et dans lorsque sous la vaut ou puis reste sortie",
-    "de": "der die das ein eine einen des für mit dass wenn mehr ist diese sein auf nach vor zwischen seit jede aber wie ohne und nicht im um von bei unter bis über sich zu den dem steht gilt während",
+    "en": "the and of to is that for with this when while after before only from under above by each then it was on not can has have if its are be who into between whenever so at an will as do does no me we our you your they there here these this those than but any all both more most less over out up down until since per or in about such where which what how should would could must may does been were also same",
+    "es": "el los las una del por para con que cuando si más está esta su sobre después antes entre desde cada pero como sin al y se tras mientras hasta durante",
+    "pt": "o os as um uma do da dos das por para com que quando se mais está esta seu sobre depois antes entre desde cada mas como sem ao não e em até enquanto abaixo ou",
+    "fr": "le les une des du pour avec que quand si plus est cette son sur après avant entre depuis chaque mais comme sans au ne pas et dans lorsque sous la ou puis",
+    "de": "der die das ein eine einen des für mit dass wenn mehr ist diese sein auf nach vor zwischen seit jede aber wie ohne und nicht im um von bei unter bis über sich zu den dem während",
     "it": "il gli una della dei per con che quando se più è questa suo sopra dopo prima tra ogni ma come senza al non e nel mentre sotto di lo",
     "tr": "ve bir bu şu için ile ne zaman eğer daha çok az en sonra önce her hiç ama fakat ancak veya ya da gibi olarak değil var yok mı mi kadar olan oldu olur ise iken göre altında üstünde üzerinde üstüne altına içinde arasında karşı doğru çünkü yalnızca sadece bütün tüm bazı aynı diğer böyle şimdi hem ki onun bunun tarafından rağmen itibaren",
+    "nl": "het een van dat niet voor zijn naar ook maar bij nog wordt worden door deze wanneer boven geen daarna tussen elke zonder",
+    "pl": "nie się jest że jak przez dla ale oraz gdy lub gdzie jeśli nad pod przed każdy bez między tylko już są",
+    "id": "dan yang dari untuk dengan pada ini itu tidak adalah akan atau jika saat oleh ketika setelah sebelum antara setiap tanpa lebih",
+    "sv": "och att som för på är inte med av när över eller efter före mellan varje utan från till denna",
     "ru": "и в на не что для с когда если больше это его после до между каждый но как без по из при или то а от выше ниже пока чем",
 }
 #: Letters that speak for languages.
-_LETTERS = {"ğ": ("tr",), "ı": ("tr",), "ş": ("tr",), "ü": ("tr", "de"), "ö": ("tr", "de"), "ç": ("tr", "fr", "pt"), "ä": ("de",), "ã": ("pt",), "õ": ("pt",), "ñ": ("es",), "ß": ("de",), "œ": ("fr",)}
+_LETTERS = {"ğ": ("tr",), "ı": ("tr",), "ş": ("tr",), "ü": ("tr", "de"), "ö": ("tr", "de"), "ç": ("tr", "fr", "pt"), "ä": ("de",), "ã": ("pt",), "õ": ("pt",), "ñ": ("es",), "ß": ("de",), "œ": ("fr",), "ł": ("pl",), "ę": ("pl",), "ą": ("pl",), "ż": ("pl",), "å": ("sv",)}
+#: Scripts that tell a language, or stand for several (ranges of characters).
+_SCRIPTS = (("ru", "Ѐ", "ӿ"), ("el", "Ͱ", "Ͽ"), ("he", "\u0590", "\u05ff"), ("ar", "\u0600", "\u06ff"), ("hi", "\u0900", "\u097f"), ("th", "\u0e00", "\u0e7f"))
 _VOTES: dict[str, list[str]] = {}
 for _language, _list in STOPWORDS.items():
     for _word in _list.split():
@@ -79,6 +85,12 @@ _ALONE = frozenset("pass break continue return else try finally".split())
 _SENTENCE_END = re.compile(r"[.!?。！？…:;)\]\"'»”*`]$")
 
 
+_BLOCK = re.compile(r"^[ \t]*```[^\n`]*\n.*?(?:^[ \t]*```[^\n`]*$|\Z)", re.DOTALL | re.MULTILINE)
+_WORDS = re.compile(r"[^\W\d_]{2,}")
+#: A question of so many words in which no language is recognised is in an unknown one; its answers aren't judged by language.
+UNKNOWN_WORDS = 30
+
+
 def _refusing() -> ahocorasick.Automaton:
     automaton = ahocorasick.Automaton()
     for phrase in REFUSALS:
@@ -165,9 +177,11 @@ def copied(question: str, answer: str) -> tuple[float, float]:
 
 
 def language(text: str, asked: str = "en") -> str | None:
-    """By script, else by the most votes of stopwords and letters; null if too little speaks for one: fewer than three votes, and
-    not two different stopwords of two or more letters with a lead of two votes over the language ``asked``."""
-    han = kana = hangul = cyrillic = latin = 0
+    """One of en, es, pt, fr, de, it, tr, nl, pl, id, sv and, by script, ru (any Cyrillic), zh, ja, ko, el, he, ar, hi, th: by script, else by
+    the most votes of stopwords and letters. Null if too little speaks for one: fewer than three votes, and not two different
+    stopwords of two or more letters with a lead of two votes over the language ``asked``."""
+    han = kana = hangul = latin = 0
+    letters: Counter[str] = Counter()
     for ch in text:
         if ch > "˿":
             if "一" <= ch <= "鿿":
@@ -176,14 +190,16 @@ def language(text: str, asked: str = "en") -> str | None:
                 kana += 1
             elif "가" <= ch <= "힯":
                 hangul += 1
-            elif "Ѐ" <= ch <= "ӿ":
-                cyrillic += 1
+            else:
+                for name, low, high in _SCRIPTS:
+                    if low <= ch <= high:
+                        letters[name] += 1
     ws = re.findall(r"[^\W\d_]+", text.lower())
     latin = sum(w[0] < "̀" for w in ws)
     if han + kana + hangul >= 5 and (han + kana + hangul) * 2 > latin:
         return "ko" if hangul > han + kana else "ja" if kana >= 3 and kana * 8 > han else "zh"
-    if cyrillic >= 12 and cyrillic > latin * 2:
-        return "ru"
+    if letters and letters.most_common(1)[0][1] >= 12 and letters.most_common(1)[0][1] > latin * 2:
+        return letters.most_common(1)[0][0]
     votes: Counter[str] = Counter()
     voters: dict[str, set[str]] = {}
     for w in ws:
@@ -270,7 +286,10 @@ def judge(question: str | None, answer: str | None, automaton: ahocorasick.Autom
     for line in lines[-2:]:
         if (_MARKER_LINE.match(line) or len(lines) == 1) and _GOES_ON.search(line) and (not is_code or not _CODE.search(_parts(line)[0])):
             return "truncated"
-    asked = (language(question) if not _CODE.search(_parts(question)[0]) else language(_parts(question)[1])) or "en"
+    spoken_there = question if not _CODE.search(_parts(question)[0]) else _parts(question)[1]
+    asked = language(spoken_there)
+    if asked is None and len(_WORDS.findall(spoken_there)) < UNKNOWN_WORDS:
+        asked = "en"
     if is_code:
         if unclosed or len(fenced) % 2:
             return "truncated" if not _copy(question, text, True) else "copy"
@@ -278,12 +297,13 @@ def judge(question: str | None, answer: str | None, automaton: ahocorasick.Autom
             return "truncated"
         if _copy(question, inner, True):
             return "copy"
-        spoken = language(comments, asked)
+        outside = _BLOCK.sub("\n", answer) if fenced and asked else ""
+        spoken = next((s for s in (language(c, asked or "en") for c in (comments, outside)) if s and s != asked), None)
     else:
         if _copy(question, text, False):
             return "copy"
-        spoken = language(text, asked)
-    if spoken and spoken != asked:
+        spoken = language(text, asked or "en")
+    if spoken and asked and spoken != asked:
         return "language"
     if not is_code:
         last = text.rstrip()
@@ -328,7 +348,8 @@ def _copy(question: str, answer: str, is_code: bool) -> bool:
 def broken_pairs(df: DataFrame, key: str, question: str, answer: str, judged: str | None = None) -> DataFrame:
     """(key, defect): each row of ``df`` whose answer is defective and its defect, one of ``DEFECTS``; rows for which the
     condition ``judged`` (SQL) isn't true are no cases. One pass, no shuffle. A null answer is empty; a null question leaves
-    the checks that need it out and counts as English. Null or repeated keys are kept as they are. Other columns are not read.
+    the checks that need it out and counts as English, as does one of few words; a long one in a language that isn't recognised (see
+    ``language`` for those that are) leaves the check of the language out. Null or repeated keys are kept as they are. Other columns are not read.
     """
     kind = df.schema[key].dataType
     rows = (df.where(judged) if judged else df).select(F.col(key).alias("__key"), F.col(question).cast("string").alias("__q"), F.col(answer).cast("string").alias("__a"))

@@ -13,13 +13,14 @@ reviews alone.
 from __future__ import annotations
 
 import math
+import pickle
 import re
 import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Letters of other scripts that are drawn like Latin ones (fixed values).
@@ -33,8 +34,8 @@ _SPACED = re.compile(r"(?<![\w*])(?:[^\W\d_][ .\-_*·|/]){2,}[^\W\d_](?![\w*])")
 _RUN = re.compile(r"(.)\1{2,}")
 _BOS, _RARE, _NUM, _MASK = "<s>", "<rare>", "<num>", "<masked>"
 DISCOUNT, CLIP = 0.75, 7.0
-#: Reviewed documents used at most, those with the smallest hash of their id.
-SAMPLE = 6000
+#: Reviewed documents used at most, those with the smallest hash of their id, and their characters together.
+SAMPLE, SAMPLE_CHARS = 6000, 50_000_000
 WINDOW, SHORTNESS = 12, 4
 #: A word must stand in this share of the reviewed documents (and in two) to be known.
 RARE_SHARE = 0.001
@@ -286,27 +287,34 @@ def _cut(scored: list[tuple[float, bool]]) -> float:
     return at
 
 
-def fitted(documents: DataFrame, reviews: DataFrame, record: str, text: str, verdict: str, sample: int = SAMPLE) -> Scorer:
-    """A scorer from the reviewed rows of ``documents``: the mean of a document's verdicts decides, undecided ones and ties are
-    left out. At most ``sample`` reviewed documents are used, those with the smallest hash of their id; only they reach the driver."""
+def fitted(documents: DataFrame, reviews: DataFrame, record: str, text: str, verdict: str, sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> bytes:
+    """A pickled scorer from the reviewed rows of ``documents``: the mean of a document's verdicts decides, undecided ones and ties
+    are left out. At most ``sample`` reviewed documents of ``sample_chars`` characters together are used, whole ones in the order of
+    the hash of their id. One task fits; only the models reach the driver, whose size the sample bounds."""
     votes = reviews.where(F.col(verdict).isNotNull()).groupBy(F.col(record).alias("__id")).agg(F.avg(F.col(verdict).cast("double")).alias("__bad")).where("__bad <> 0.5")
     votes = votes.orderBy(F.xxhash64("__id"), "__id").limit(sample)
     rows = documents.select(F.col(record).alias("__id"), F.col(text).cast("string").alias("__text")).where("__text is not null").join(F.broadcast(votes), "__id")
-    found = rows.orderBy("__id").collect()  # at most ``sample`` rows
-    return fit([(units(r["__text"]), r["__bad"] > 0.5) for r in found])
+    upto = F.sum(F.length("__text")).over(Window.orderBy(F.xxhash64("__id"), "__id", "__text"))  # over at most ``sample`` rows
+    found = rows.withColumn("__upto", upto).where(F.col("__upto") <= sample_chars).select("__text", (F.col("__bad") > 0.5).alias("__abusive"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        read = [(units(t), bool(b)) for batch in batches for t, b in zip(batch["__text"], batch["__abusive"])]
+        yield pd.DataFrame({"model": [pickle.dumps(fit(read))]})
+
+    row = found.coalesce(1).mapInPandas(run, "model binary").first()
+    return bytes(row[0]) if row else pickle.dumps(fit([]))  # without reviews, no task
 
 
-def score(documents: DataFrame, scorer: Scorer, record: str, text: str, *keep: str) -> DataFrame:
+def score(documents: DataFrame, scorer: Scorer | bytes, record: str, text: str, *keep: str) -> DataFrame:
     """(record, *keep, score, abusive) for each row: the score is length-normalised log-likelihood ratio minus the threshold, abusive
     whether it is above 0. Null and empty texts have a score far below 0 and aren't abusive. One pass without a shuffle; the
     model, bounded by the sample it was fitted on, is broadcast."""
-    shared = documents.sparkSession.sparkContext.broadcast(scorer)
-    fields = [documents.schema[c] for c in (record, *keep)]
+    shared = documents.sparkSession.sparkContext.broadcast(scorer if isinstance(scorer, bytes) else pickle.dumps(scorer))
     rows = documents.select(record, *keep, F.col(text).cast("string").alias("__text"))
-    schema = rows.select(record, *keep, F.lit(0.0).alias("score"), F.lit(True).alias("abusive")).schema if fields else None
+    schema = rows.select(record, *keep, F.lit(0.0).alias("score"), F.lit(True).alias("abusive")).schema
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = shared.value
+        model = pickle.loads(shared.value)
         for batch in batches:
             scores = [model.document(t if isinstance(t, str) else None) - model.threshold for t in batch["__text"]]
             yield batch.drop(columns="__text").assign(score=scores, abusive=[s > 0 for s in scores])

@@ -152,3 +152,26 @@ def test_result_columns(spark, name, columns):
 @pytest.mark.parametrize("name", ["p1_rates", "p2_report", "p4_splits", "p5_groups", "p7_packed", "p7_fill", "p8_scores", "p8_rates"])
 def test_other_queries_run(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
+
+
+def test_languages():
+    of = pairs.language
+    assert of("Het systeem wacht niet voor een signaal maar ook van het gemiddelde") == "nl"
+    assert of("Strategia nie otwiera pozycji, gdy rynek jest przed sesją oraz bez trendu") == "pl"
+    assert of("Strategi ini tidak akan masuk jika sinyal dari rata rata belum ada untuk hari itu") == "id"
+    for text, want in (("الاستراتيجية تشتري عند الاختراق", "ar"), ("रणनीति तब खरीदती है जब औसत बढ़ता है", "hi"), ("กลยุทธ์นี้ซื้อเมื่อราคาขึ้น", "th"), ("η στρατηγική αγοράζει όταν ανεβαίνει", "el"), ("האסטרטגיה קונה כאשר המחיר עולה", "he")):
+        assert of(text) == want
+    automaton = pairs._refusing()
+    arabic = "الاستراتيجية تشتري عند الاختراق فوق المتوسط ثم تبيع عند الهبوط"
+    assert pairs.judge("Describe how the position is opened and when it is closed.", arabic, automaton) == "language"
+    unknown = " ".join(f"zor{chr(97 + i % 26)}un" for i in range(40))  # a long question in no known language
+    assert pairs.judge(unknown, "The strategy buys when the average rises and it sells when it falls.", automaton) is None
+    fenced = "Esta estrategia compra cuando el precio está sobre la media, y vende después.\n```pine\nplot(close)\n```"
+    assert pairs.judge("Write a script that plots the close and nothing else of the bars.", fenced, automaton) == "language"
+
+
+def test_reviews_are_bounded_by_their_length(spark):
+    docs = spark.createDataFrame([(i, ("you stupid idiot " if i % 2 else "a quiet trade ") + "x" * 100) for i in range(40)], "doc_id long, text string")
+    reviews = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("abusive"))
+    small, whole = (len(toxicity.fitted(docs, reviews, "doc_id", "text", "abusive", sample_chars=n)) for n in (300, 10**6))
+    assert small <= whole

@@ -5,11 +5,12 @@ import random
 import numpy as np
 import pytest
 
+from corpusloom.llm import neardup, overlap
 from corpusloom.llm import words as W
 from corpusloom.llm.components import components
 from corpusloom.llm.fmindex import FmIndex, suffix_array
 from corpusloom.llm.neardup import near_duplicate_groups, near_duplicate_pairs, segments_for
-from corpusloom.llm.overlap import cross_split_pairs, cross_split_report, matches
+from corpusloom.llm.overlap import cross_split_pairs, cross_split_report
 from corpusloom.llm.reduce import keep_ids
 
 SCHEMA = "row_id long, a string, b string, split string, cls string, tid int, held string"
@@ -57,7 +58,7 @@ def test_pairs_equal_brute_force(spark, k, threshold, least):
 def test_groups_are_the_components_of_the_pairs(spark):
     rows = corpus(2)
     df = spark.createDataFrame(rows + rows[:5] + [(None, "x " * 50, None, None, "", 1, "")], SCHEMA)
-    got = {r["record"]: (r["group"], r["links"]) for r in near_duplicate_groups(df, "row_id", ["a", "b"], k=3, threshold=0.6, min_words=30).collect()}
+    got = {r["record"]: (r["group"], r["copies"]) for r in near_duplicate_groups(df, "row_id", ["a", "b"], k=3, threshold=0.6, min_words=30).collect()}
     parent = {r[0]: r[0] for r in rows}
 
     def find(x):
@@ -70,7 +71,8 @@ def test_groups_are_the_components_of_the_pairs(spark):
         x, y = find(x), find(y)
         parent[max(x, y)] = min(x, y)
     assert {r: g for r, (g, _) in got.items()} == {r: find(r) for r in parent}
-    assert {r for r, (_, n) in got.items() if n} == {r for p in pairs for r in p}
+    same = {r[0]: sum(bool(r[i]) and r[i] and len(W.words(r[i])) >= 30 and W.words(r[i]) == W.words(q[i] or "") for q in rows if q[0] != r[0] for i in (1, 2)) for r in rows}
+    assert {r: n for r, (_, n) in got.items()} == same
 
 
 def test_near_duplicates_of_nothing(spark):
@@ -88,31 +90,97 @@ def test_segments_follow_the_threshold():
     assert segments_for(0.6) == 16 and segments_for(0.8) < segments_for(0.7) < segments_for(0.6) and segments_for(1.0) == 1
 
 
+@pytest.mark.parametrize("few, block", [(2, 3), (2, 1000), (100, 1000)])
+def test_large_keys_give_the_same_pairs_and_groups(spark, monkeypatch, few, block):
+    rnd = random.Random(9)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(w if rnd.random() > 0.03 else f"x{rnd.randrange(99)}" for w in base), None, None, "", 1, "") for i in range(40)]
+    monkeypatch.setattr(neardup, "FEW", few)
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = brute(rows, 3, 0.6, 30)
+    assert {tuple(r) for r in near_duplicate_pairs(df, "row_id", ["a"], k=3, threshold=0.6, min_words=30).collect()} == want and len(want) > 300
+    group = {i: i for i in range(40)}
+    for _ in range(40):
+        for x, y in want:
+            group[x] = group[y] = min(group[x], group[y])
+    assert {r["record"]: r["group"] for r in near_duplicate_groups(df, "row_id", ["a"], k=3, threshold=0.6, min_words=30).collect()} == group
+
+
+def test_chains_are_joined_beyond_a_keys_smallest_class(spark):
+    """Neighbours are alike and others aren't, so that stars around the smallest class don't reach the ends."""
+    ws = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(ws[i * 12 : i * 12 + 60]), None, None, "", 1, "") for i in range(20)]
+    want = brute(rows, 3, 0.6, 30)
+    assert want == {(i, i + 1) for i in range(19)}
+    groups = near_duplicate_groups(spark.createDataFrame(rows, SCHEMA), "row_id", ["a"], k=3, threshold=0.6, min_words=30).collect()
+    assert {r["group"] for r in groups} == {0}
+
+
+def test_five_thousand_variants_of_a_template(spark):
+    rnd = random.Random(10)
+    base = [f"w{i}" for i in range(80)]
+    rows = []
+    for i in range(5000):
+        ws = list(base)
+        ws[rnd.randrange(80)] = f"n{i}"
+        rows.append((i, " ".join(ws)))
+    df = spark.createDataFrame(rows, "row_id long, a string")
+    groups = near_duplicate_groups(df, "row_id", ["a"], k=3, threshold=0.6, min_words=30)
+    assert groups.groupBy("group").count().collect() == [(0, 5000)]
+
+
 def test_suffix_array_and_index():
     rng = np.random.default_rng(0)
     texts = [rng.integers(1, 6, size=n).astype(np.uint64) for n in (0, 1, 5, 40, 40, 200)]
-    index = FmIndex(texts)
-    seq = index.seq.astype(int)
-    assert suffix_array(seq.astype(np.int64)).tolist() == sorted(range(len(seq)), key=lambda i: seq[i:].tolist())
+    for n in (1, 2, 50, 300):
+        seq = rng.integers(0, 3, size=n)
+        assert suffix_array(seq).tolist() == sorted(range(n), key=lambda i: seq[i:].tolist())
+    index = FmIndex.loaded(FmIndex(texts, 3).dumped())
+    for i, words in enumerate(index.extract(np.arange(len(texts)))):
+        assert words.tolist() == texts[i].tolist()
     for k in (1, 2, 3, 4):
-        asked = np.array([index.ids(rng.integers(1, 8, size=k).astype(np.uint64)) for _ in range(60)])
-        lo, hi = index.intervals(asked)
-        for run, a, b in zip(asked, lo, hi):
-            want = [i for i in range(len(seq) - k + 1) if (run >= 0).all() and (seq[i : i + k] == run).all()]
-            assert sorted(index.locate(np.arange(a, b)).tolist()) == want
-    where = index.locate(np.arange(len(seq)))
-    assert sorted(where.tolist()) == list(range(len(seq)))
+        for run in rng.integers(1, 8, size=(60, k)).astype(np.uint64):
+            lo, hi = index.intervals(index.ids(run)[None, :])
+            pos = index.locate(np.arange(lo[0], hi[0]))
+            text = index.text_of(pos)
+            want = sorted((i, j) for i, t in enumerate(texts) for j in range(len(t) - k + 1) if (t[j : j + k] == run).all())
+            assert sorted(zip(text.tolist(), (pos - index.starts[text]).tolist())) == want
+            assert k != 3 or not want or index.may_hold(W.run_hashes(run, 3)).all()
+    none = FmIndex([], 3)
+    assert none.intervals(none.ids(np.array([[1, 2, 3]], dtype=np.uint64).ravel())[None, :])[1].tolist() == [0]
+
+
+def matched(held, train, k, threshold):
+    return overlap.matches(FmIndex(held, k), overlap._Block(train, k), threshold)
 
 
 def test_matches_have_maximal_spans():
     h = W.WordHasher()
     a = h("one two three four five six seven eight nine ten".split())
     b = h("zero one two three four five X six seven eight nine ten".split())
-    assert matches([b], [a], 3, 0.5) == [(0, 0, pytest.approx(6 / 12), 2, 5, 10)]
-    assert matches([], [a], 3, 0.5) == [] and matches([b], [h(["one"])], 3, 0.5) == []
+    assert matched([b], [a], 3, 0.5) == [(0, 0, pytest.approx(6 / 12), 2, 5, 10)]
+    assert matched([b], [h(["one"])], 3, 0.5) == [] and matched([b], [h([]), a], 3, 0.5)[0][:2] == (1, 0)
+    rep = h(("x y " * 30).split())
+    assert matched([rep, b], [rep], 3, 0.9) == [(0, 0, 1.0, 1, 60, 60)]
+
+
+@pytest.mark.parametrize("at_once, more", [(1, 0.0), (7, 0.05), (10**6, 0.5)])
+def test_matches_in_portions_equal_brute_force(monkeypatch, at_once, more):
+    monkeypatch.setattr(overlap, "AT_ONCE", at_once)
+    monkeypatch.setattr(overlap, "MORE", more)
+    h = W.WordHasher()
+    texts = [h(W.words(r[1])) for r in corpus(4, 90)]
+    held, train = texts[:30], texts[30:]
+    for k, t in ((3, 0.6), (2, 0.8), (5, 0.5)):
+        sets = lambda x: set(W.run_hashes(x, k).tolist())
+        want = {(i, j) for i, x in enumerate(train) for j, y in enumerate(held) if sets(x) & sets(y) and len(sets(x) & sets(y)) >= t * len(sets(x) | sets(y))}
+        assert {m[:2] for m in matched(held, train, k, t)} == want and want
 
 
-def test_overlaps_equal_brute_force(spark):
+@pytest.mark.parametrize("words", [200, 4_000_000])
+def test_overlaps_equal_brute_force(spark, monkeypatch, words):
+    monkeypatch.setattr(overlap, "SHARD_WORDS", words)
     rows = corpus(3, 80)
     df = spark.createDataFrame(rows + rows[:3], SCHEMA)
     got = {tuple(r) for r in cross_split_pairs(df, "row_id", ["a", "b"], "split", k=3, threshold=0.6, min_words=30).collect()}
@@ -155,5 +223,5 @@ def test_components_against_union_find(spark):
 
 def test_bitmap_keeps_all_that_is_wanted(spark):
     wanted = spark.range(0, 1000, 7)
-    kept = {r[0] for r in keep_ids(spark.range(1000).toDF("k"), "k", wanted, bits=12).collect()}
+    kept = {r[0] for r in keep_ids(spark.range(1000).toDF("k"), "k", wanted).collect()}
     assert set(range(0, 1000, 7)) <= kept and len(kept) < 1000
