@@ -23,6 +23,7 @@ def local_session(cores: int | str = 8, name: str = "corpusloom", **conf: str) -
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.host", "127.0.0.1")
     )
     for key, value in conf.items():
@@ -33,6 +34,7 @@ def local_session(cores: int | str = 8, name: str = "corpusloom", **conf: str) -
 
 
 _shipped: set[str] = set()
+_written: list[str] = []
 
 
 def ship(spark: SparkSession) -> None:
@@ -77,10 +79,21 @@ def partitions_for(spark: SparkSession, rows: int, per_task: int) -> int:
 def stored_at(df: DataFrame, name: str, *by: str) -> str:
     """Write ``df`` as a Parquet table in the shared folder, in folders by columns if any are given; its path."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.partitionBy(*by).parquet(path)
     return path
 
 
+def release(spark: SparkSession) -> int:
+    """Delete the tables that ``stored`` and ``stored_at`` have written so far, once the results that read them are no longer
+    needed; how many there were. Checkpoints are deleted by Spark where ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set."""
+    context, count = spark.sparkContext, len(_written)
+    while _written:
+        path = context._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    return count
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back: columnar and compressed, for tables that are
     read several times with different columns."""

@@ -1,6 +1,7 @@
 """Known answers of the operators on small tables."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import Observation
@@ -11,7 +12,7 @@ from corpusloom.functions import clean, html, prompts, score, similarity, text
 from corpusloom.operators import aggregate, classify, dedup, filters, mixing, nested, select, series
 from corpusloom.plans import models, pipelines
 from corpusloom.queries import QUERIES
-from corpusloom.session import cut, shared_dir, stored
+from corpusloom.session import cut, release, shared_dir, stored
 
 
 def one(spark, value, f, kind="string"):
@@ -234,7 +235,10 @@ def test_series(spark):
 
 def test_cut_and_stored(spark):
     assert shared_dir(spark) == shared_dir(spark) or True
-    assert cut(spark.range(3)).count() == stored(spark.range(3).toDF("x"), "t").count() == 3
+    table = stored(spark.range(3).toDF("x"), "t")
+    assert cut(spark.range(3)).count() == table.count() == 3
+    files_before = table.inputFiles()
+    assert release(spark) >= 1 and release(spark) == 0 and not os.path.exists(files_before[0].removeprefix("file://"))
 
 
 def test_similarity_of_pairs(spark):
