@@ -10,8 +10,8 @@ from pyspark.sql import types as T
 
 from corpusloom.session import cut, stored
 
-#: A round counts the records above 2^8 midpoints of each contributor together.
-CELL_BITS = 8
+#: A round counts the records above 2^12 midpoints of each contributor together.
+CELL_BITS = 12
 _LOWEST = -(2**63) + 1
 
 
@@ -34,7 +34,7 @@ def cutoffs(counts: DataFrame, caps: DataFrame, few: bool = False) -> DataFrame:
     """(who, cut, above): the largest score with at least ``cap`` records at or above it, and the records above it.
 
     ``counts`` is (who, score, n), ``caps`` (who, cap), each cap at least 1 and at most the contributor's records. A round cuts
-    every contributor's interval [lo, hi] into up to 256 cells of equal width, a power of two, and counts all records by cell in
+    every contributor's interval [lo, hi] into up to 4,096 cells of equal width, a power of two, and counts all records by cell in
     one aggregation with map-side combine; the running sums from the top are the records above every midpoint, and the cell in
     which they reach the cap is the next interval. No contributor's records are ever sorted or gathered. ``few``: the
     contributors are so few that their bounds may be broadcast.
@@ -42,7 +42,7 @@ def cutoffs(counts: DataFrame, caps: DataFrame, few: bool = False) -> DataFrame:
     side = F.broadcast if few else (lambda x: x)
     counts = counts.join(side(caps.select("who")), "who", "left_semi")
     bounds = cut(counts.groupBy("who").agg(F.min("score").alias("lo"), F.max("score").alias("hi")).join(side(caps), "who"))
-    top = Window.partitionBy("who").orderBy(F.desc("cell"))  # over at most 257 cells
+    top = Window.partitionBy("who").orderBy(F.desc("cell"))  # over at most 4,097 cells
     while not bounds.where("hi > lo").isEmpty():
         wide = bounds.withColumn("s", F.expr(f"greatest(length(bin(lo ^ hi)) - {CELL_BITS}, 0)"))
         cell = F.expr("if(score > hi, shiftright(hi, s) + 1, shiftright(score, s))")
