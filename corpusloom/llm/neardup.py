@@ -252,8 +252,9 @@ def near_duplicate_groups(df: DataFrame, id_col: str, text_cols: list[str], *, k
     at = components(edges.toDF("u", "v")).toDF("cls", "comp")
     placed = shared.join(at, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     sizes = placed.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
-    open_keys = stored(placed.join(main, "key"), "open-keys")
+    outside = F.sum("n") - F.max("n")  # classes beside the largest component: their number decides on the blocks
+    main = sizes.groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), outside.alias("size")).where("size > 0")
+    open_keys = stored(placed.drop("size").join(main, "key"), "open-keys")
     rest = _met(open_keys.where("comp <> main"), open_keys, "x.comp <> y.comp and (y.comp = y.main or x.cls < y.cls)").distinct()
     more = _verified(likely(rest, reps, threshold, segments), src, n, k, threshold).select("cls_a", "cls_b")
     # A star from each class to its records keeps that linear.

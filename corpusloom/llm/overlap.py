@@ -274,7 +274,7 @@ def cross_split_matches(df: DataFrame, id_col: str, text_cols: list[str], split:
     n, spark = len(text_cols), df.sparkSession
     src = sources(df.where(F.col(split).isin(train, *held_out)), id_col, text_cols, F.col(split) != train)
     members, classes = text_classes(src, n, k=k, min_words=min_words)
-    # The first text of each class.
+    # The first text of each class, shuffled once for both sides.
     each = [F.struct((F.col("id") * n + i).alias("tid"), F.col(f"t{i}").alias("text")) for i in range(n)]
     texts = src.select(F.explode(F.array(*each)).alias("t")).select("t.*").where("text is not null")
     kept = classes.select(F.col("cls").alias("tid"), "field", "held", "n")
@@ -283,10 +283,10 @@ def cross_split_matches(df: DataFrame, id_col: str, text_cols: list[str], split:
         return members, spark.createDataFrame([], _MATCHES)
     shards = {f: math.ceil(x / SHARD_WORDS) for f, x in words.items()}
     of = F.element_at(F.create_map(*[F.lit(x) for pair in shards.items() for x in pair]), F.col("field"))
-    held = kept.where("held").withColumn("shard", F.pmod(F.xxhash64("tid"), of).cast("int"))
-    built = held.join(texts, "tid").dropDuplicates(["tid"]).groupBy("field", "shard").applyInPandas(_built(k), _INDEX)
-    path = stored_at(built, "overlap-index", "field", "shard")
-    found = kept.where("not held").join(texts, "tid").dropDuplicates(["tid"]).select("tid", "field", "text").mapInPandas(_search(path, sorted(shards), k, threshold), _MATCHES)
+    firsts = stored(kept.join(texts, "tid").dropDuplicates(["tid"]).select("tid", "field", "held", "text"), "texts")
+    held = firsts.where("held").select("tid", "field", F.pmod(F.xxhash64("tid"), of).cast("int").alias("shard"), "text")
+    path = stored_at(held.groupBy("field", "shard").applyInPandas(_built(k), _INDEX), "overlap-index", "field", "shard")
+    found = firsts.where("not held").select("tid", "field", "text").mapInPandas(_search(path, sorted(shards), k, threshold), _MATCHES)
     return members, found
 
 

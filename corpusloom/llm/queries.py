@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.bpe import count_tokens, encode
@@ -162,3 +162,57 @@ def p8_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def p8_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates(_scored(spark, sf_dir), "source")
+
+
+# Checks: what must hold of the results above, counted; SQL tells the counts.
+
+
+@query
+def p1_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(table_name, answers, without_row, several): answers, defects of rows that aren't answers, answers with more than one defect."""
+    every, found = _answers(spark, sf_dir).select("table_name", "row_key"), stored(p1_found(spark, sf_dir), "found")
+    answers = every.groupBy("table_name").agg(F.count("*").alias("answers"))
+    lost = found.join(every, ["table_name", "row_key"], "left_anti").groupBy("table_name").agg(F.count("*").alias("without_row"))
+    several = found.groupBy("table_name", "row_key").count().where("count > 1").groupBy("table_name").agg(F.count("*").alias("several"))
+    return answers.join(lost, "table_name", "left").join(several, "table_name", "left").na.fill(0)
+
+
+@query
+def p4_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(rows, without_split, authors_apart): rows, those without one of the splits, authors whose rows are in several."""
+    rows = table(spark, sf_dir, "strategies").select("row_id", "author").join(p4_splits(spark, sf_dir), "row_id", "left")
+    authors = rows.where("author <> ''").groupBy("author").agg(F.count_distinct("split").alias("splits")).agg(F.count_if(F.col("splits") > 1).alias("authors_apart"))
+    counts = rows.agg(F.count("*").alias("rows"), F.count_if(~F.coalesce(F.col("split").isin(*PARTS), F.lit(False))).alias("without_split"))
+    return counts.withColumn("one", F.lit(1)).join(authors.withColumn("one", F.lit(1)), "one").drop("one")
+
+
+@query
+def p7_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(texts, empty_texts, overfull, overlapping, split_short): texts, those without a place, sequences with more tokens than their
+    capacity, pieces that begin before another ends, texts in several pieces that would have fitted into one."""
+    packed = stored(p7_packed(spark, sf_dir), "packed")
+    placed = packed.where("sequence is not null")
+    before = F.lag(F.col("offset") + F.col("length")).over(Window.partitionBy("sequence").orderBy("offset"))  # over the pieces of a sequence
+    spans = placed.withColumn("before", before).groupBy("sequence").agg(F.max(F.col("offset") + F.col("length")).alias("end"), F.count_if(F.col("before") > F.col("offset")).alias("over"))
+    texts = packed.groupBy("doc_id").agg(F.sum("length").alias("length"), F.count("*").alias("pieces"))
+    of_texts = texts.agg(F.count("*").alias("texts"), F.count_if(F.col("length") == 0).alias("empty_texts"), F.count_if((F.col("pieces") > 1) & (F.col("length") <= CAPACITY)).alias("split_short"))
+    of_spans = spans.agg(F.count_if(F.col("end") > CAPACITY).alias("overfull"), F.coalesce(F.sum("over"), F.lit(0)).alias("overlapping"))
+    return of_texts.withColumn("one", F.lit(1)).join(of_spans.withColumn("one", F.lit(1)), "one").drop("one")
+
+
+_RUNS = r"""w as (select row_id, split, source_url, f, list_transform(regexp_extract_all(t, '[\p{L}\p{N}_]+'), lambda x: lower(x)) as ws from (select row_id, split, source_url, 0 as f, source_code as t from strategies union all select row_id, split, source_url, 1, description from strategies)),
+u as (select row_id, f, list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) as runs from w where len(ws) >= 30),
+e as (select row_id, f, len(runs) as n, unnest(runs) as run from u),
+near as (select distinct row_a, row_b from (select a.row_id as row_a, b.row_id as row_b, a.f, a.n as x, b.n as y, count(*) as k from e a join e b on a.f = b.f and a.run = b.run and a.row_id < b.row_id group by all) where k::double / (x + y - k) >= 0.6)"""
+_ACROSS = "(s.split = 'train' and t.split in ('val', 'test') or t.split = 'train' and s.split in ('val', 'test'))"
+
+SQL["p5_found"] = f"with {_RUNS} select row_a, row_b from near"
+SQL["p2_found"] = f"with {_RUNS} select row_a, row_b from near join strategies s on s.row_id = row_a join strategies t on t.row_id = row_b where {_ACROSS}"
+SQL["p5_groups"] = f"""with recursive {_RUNS}, links as (select row_a as x, row_b as y from near union all select row_b, row_a from near),
+reach(x, y) as (select row_id, row_id from strategies union select reach.x, links.y from reach join links on links.x = reach.y),
+same as (select row_id, sum(n - 1)::bigint as copies from (select row_id, count(*) over (partition by f, ws) as n from w where len(ws) >= 30) group by 1)
+select reach.x as record, min(y) as "group", coalesce(any_value(copies), 0) as copies from reach left join same on same.row_id = reach.x group by 1"""
+SQL["p1_checks"] = """select table_name, count(*) as answers, 0 as without_row, 0 as several from (select 'script_pairs' as table_name from script_pairs union all select 'segments' from segments
+union all select 'processing_states' from processing_states where conversion_attempts is null or conversion_attempts <> 0) group by 1"""
+SQL["p4_checks"] = "select count(*) as rows, 0 as without_split, 0 as authors_apart from strategies"
+SQL["p7_checks"] = "select count(*) as texts, count_if(coalesce(text, '') = '') as empty_texts, 0 as overfull, 0 as overlapping, 0 as split_short from documents"
