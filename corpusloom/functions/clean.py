@@ -56,6 +56,12 @@ def dedup_key(c: Column | str) -> Column:
     return F.lower(spaces_collapsed(c))
 
 
+def comparable_line(c: Column | str) -> Column:
+    """White space collapsed, then cut at the first comment mark (the text is one line by then), lower case: what the ratio of
+    matching blocks is measured on. Null is empty."""
+    return F.lower(F.get(F.split(spaces_collapsed(F.coalesce(_c(c), F.lit(""))), "//|#", -1), F.lit(0)))
+
+
 def emphasis_removed(c: Column | str) -> Column:
     return F.replace(_c(c), F.lit("*"), F.lit(""))
 

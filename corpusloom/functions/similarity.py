@@ -99,8 +99,8 @@ def code_similarities(pairs: DataFrame, key: str, a: str, b: str) -> DataFrame:
 
 @F.pandas_udf(T.DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Matching-blocks ratio of two texts; null counts as empty."""
-    return pd.Series([difflib.SequenceMatcher(None, x or "", y or "", autojunk=False).ratio() for x, y in zip(a, b)], dtype="float64")
+    """Matching-blocks ratio of two texts, characters that are frequent in long ones left out of account; null counts as empty."""
+    return pd.Series([difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b)], dtype="float64")
 
 
 @F.pandas_udf(T.StringType())

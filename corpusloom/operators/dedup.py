@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import difflib
-import re
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.functions.clean import dedup_key
+from corpusloom.functions.clean import comparable_line, dedup_key
 from corpusloom.session import cut, stored
 
 
@@ -30,11 +29,6 @@ def latest_by(df: DataFrame, key: str, position: str) -> DataFrame:
     return df.groupBy(F.col(key).alias("__key")).agg(F.max_by(F.struct(*[F.col(c) for c in df.columns]), F.col(position)).alias("__row")).select("__row.*")
 
 
-def _comparable(code: object) -> str:
-    """White space collapsed to blanks, then cut at the first comment mark (the text is one line by then), lower case."""
-    return re.split("//|#", " ".join(code.split()), maxsplit=1)[0].lower() if isinstance(code, str) else ""
-
-
 def _alike(m: difflib.SequenceMatcher, most: float) -> bool:
     return m.real_quick_ratio() >= most and m.quick_ratio() >= most and m.ratio() >= most
 
@@ -49,8 +43,8 @@ def keep_dissimilar(df: DataFrame, group: str, position: str, code: str, most: f
         pdf = pdf.sort_values(position, kind="stable")
         kept: list[str] = []
         keep = []
-        m = difflib.SequenceMatcher(None, autojunk=True)
-        for text in map(_comparable, pdf[code]):
+        m = difflib.SequenceMatcher(None)
+        for text in pdf["__t"]:
             m.set_seq2(text)
             similar = False
             for k in kept:
@@ -61,23 +55,20 @@ def keep_dissimilar(df: DataFrame, group: str, position: str, code: str, most: f
             keep.append(not similar)
             if not similar:
                 kept.append(text)
-        return pdf[keep]
+        return pdf.loc[keep, columns]
 
     large = df.groupBy(F.col(group).alias("__g")).agg(F.count("*").alias("__n")).where(F.col("__n") > small)
-    few = df.join(large, F.col(group).eqNullSafe(F.col("__g")), "left_anti").groupBy(group).applyInPandas(run, df.schema)
+    columns = df.columns
+    few = df.join(large, F.col(group).eqNullSafe(F.col("__g")), "left_anti").withColumn("__t", comparable_line(F.col(code).cast("string"))).groupBy(group).applyInPandas(run, df.schema)
     return few.unionByName(_dissimilar_of_large(df.join(large, F.col(group).eqNullSafe(F.col("__g"))), df.columns, position, code, most, small))
 
 
 def _dissimilar_of_large(rows: DataFrame, columns: list[str], position: str, code: str, most: float, block: int) -> DataFrame:
     """``rows`` have their group as __g and its size as __n."""
 
-    @F.pandas_udf(T.StringType())
-    def comparable(codes: pd.Series) -> pd.Series:
-        return codes.map(_comparable)
-
     @F.pandas_udf(T.BooleanType())
     def alike(earlier: pd.Series, later: pd.Series) -> pd.Series:
-        m, out, last = difflib.SequenceMatcher(None, autojunk=True), [], None
+        m, out, last = difflib.SequenceMatcher(None), [], None
         for a, b in zip(earlier, later):
             if b != last:
                 m.set_seq2(b)
@@ -88,7 +79,7 @@ def _dissimilar_of_large(rows: DataFrame, columns: list[str], position: str, cod
 
     order = F.struct(F.col(position).isNull().alias("no"), F.col(position).alias("at"), F.col("__t").alias("t"))
     row = F.struct(*[F.col(c) for c in columns])
-    texts = rows.withColumn("__t", comparable(F.col(code).cast("string"))).groupBy("__g", "__t").agg(F.min(order).alias("o"), F.min_by(row, order).alias("row"), F.first("__n").alias("n"))
+    texts = rows.withColumn("__t", comparable_line(F.col(code).cast("string"))).groupBy("__g", "__t").agg(F.min(order).alias("o"), F.min_by(row, order).alias("row"), F.first("__n").alias("n"))
     texts = stored(texts.withColumn("id", F.md5(F.concat(F.to_json(F.struct("__g")), F.lit("\n"), "__t"))), "texts")
 
     # Each text is in one block of its group and meets the earlier ones of the whole group there.

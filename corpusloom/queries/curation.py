@@ -371,6 +371,12 @@ def strategy_messages(spark: SparkSession, d: str) -> DataFrame:
     return _analyses(spark, d).select("row_id", prompts.strategy_prompt("name", "analysis", "symbol").alias("prompt"), prompts.strategy_response("name", "analysis", none, "source_code", "symbol").alias("response"))
 
 
+@query("""select doc_id, case when regexp_matches(text, '(?:^|[^\\p{L}\\p{N}_])[0-9]{1,3}(?:[^\\p{L}\\p{N}_]|$)') then least(regexp_extract(text, '(?:^|[^\\p{L}\\p{N}_])([0-9]{1,3})(?:[^\\p{L}\\p{N}_]|$)', 1)::double / 100.0, 1.0) else 0.5::double end as score from documents""")
+def percent_scores(spark: SparkSession, d: str) -> DataFrame:
+    """The first number of up to three digits in a text as a share of 100."""
+    return table(spark, d, "documents").select("doc_id", text.percent_score("text").alias("score"))
+
+
 @query()
 def judged_codes(spark: SparkSession, d: str) -> DataFrame:
     """Syntax of the first fenced block and a judge's answer together."""

@@ -352,7 +352,7 @@ def gram_similarity(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def sequence_ratios(spark: SparkSession, d: str) -> DataFrame:
     p = _crawls(spark, d)
-    return p.select("row_id", F.round(similarity.sequence_ratio("a", "b"), 6).alias("ratio"), F.length(similarity.unified_diff("a", "b")).alias("diff_chars"))
+    return p.select("row_id", F.round(similarity.sequence_ratio(clean.comparable_line("a"), clean.comparable_line("b")), 6).alias("ratio"), F.length(similarity.unified_diff("a", "b")).alias("diff_chars"))
 
 
 @query(f"""with p as (from ({_CRAWLS}) where n > 1), s as (select row_id, {_IDS("coalesce(a, '')")} as x, {_IDS("coalesce(b, '')")} as y from p)
