@@ -273,11 +273,13 @@ def judge(question: str | None, answer: str | None, automaton: ahocorasick.Autom
         return "empty"
     fenced = _FENCE.findall(answer)
     inner = answer
+    last = ""
     if fenced:
         blocks = re.findall(r"^[ \t]*```[^\n`]*\n(.*?)(?:^[ \t]*```|\Z)", answer, re.DOTALL | re.MULTILINE)
         inner = max(blocks, key=len, default=text)
         if not _CONTENT.search(inner):
             inner = text
+        last = blocks[-1] if len(blocks) > 1 and blocks[-1] != inner else ""
     code, comments, unclosed = _parts(inner)
     is_code = bool(_CODE.search(code)) and not _prose(inner, code)
     lines = [x for x in text.split("\n") if x.strip()]
@@ -293,7 +295,7 @@ def judge(question: str | None, answer: str | None, automaton: ahocorasick.Autom
     if is_code:
         if unclosed or len(fenced) % 2:
             return "truncated" if not _copy(question, text, True) else "copy"
-        if _open_end(inner, code):
+        if _open_end(inner, code) or last and _CODE.search(_parts(last)[0]) and (_parts(last)[2] or _open_end(last, _parts(last)[0])):
             return "truncated"
         if _copy(question, inner, True):
             return "copy"
