@@ -80,11 +80,11 @@ def upper_median(df: DataFrame, value: Column | str, by: Sequence[str] = ()) ->
     return _ranked(df, value, by).groupBy(*by).agg(_at(F.expr("total div 2 + 1")).alias("median"))
 
 
-def exclusive_quantiles(df: DataFrame, value: Column | str, points: Sequence[float], by: Sequence[str] = (), digits: int = 6) -> DataFrame:
+def exclusive_quantiles(df: DataFrame, value: Column | str, points: Sequence[float], by: Sequence[str] = (), digits: int = 6, median: bool = False) -> DataFrame:
     """Quantiles at rank (n + 1) p, between neighbours in proportion, the rank kept within 1 and n: p25 and so on. They are asked for
     of at least as many values as parts are cut for them (4 for p25 and p75, 20 for p95, 100 for p99); with fewer, those below one
-    half are the least value and the others the greatest."""
-    out = []
+    half are the least value and the others the greatest. ``median`` adds the upper median."""
+    out = [_at(F.expr("total div 2 + 1")).alias("median")] if median else []
     for p in points:
         h = (F.col("total") + 1) * F.lit(p)
         j = F.least(F.greatest(F.floor(h), F.lit(1)), F.greatest(F.col("total") - 1, F.lit(1)))

@@ -421,7 +421,7 @@ _WORDS = words("text")
 @query(f"select doc_kind, {', '.join(f'{_quantile(p)} as p{p * 100:g}' for p in _POINTS_P)}, v[n // 2 + 1] as median from (select doc_kind, list_sort(list(w)) as v, len(list(w)) as n from (select doc_kind, ({_WORDS})::double as w from documents) group by 1)")
 def length_quantiles(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "documents").select("doc_kind", text.word_count("text").alias("w"))
-    return aggregate.exclusive_quantiles(rows, "w", _POINTS_P, ["doc_kind"]).join(aggregate.upper_median(rows, "w", ["doc_kind"]), "doc_kind")
+    return aggregate.exclusive_quantiles(rows, "w", _POINTS_P, ["doc_kind"], median=True)
 
 
 @query(f"select source, count(w) as n, sum(w)::bigint as total, min(w) as low, max(w) as high, round(avg(w), 6) as mean, round(coalesce(stddev_samp(w), 0), 6) as stdev from (select coalesce(source, '') as source, {_WORDS} as w from documents) group by 1")

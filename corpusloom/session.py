@@ -65,6 +65,12 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, on whatever file system."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``checkpoint()`` in the shared folder; survives the loss of executors."""
     shared_dir(df.sparkSession)
