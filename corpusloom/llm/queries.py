@@ -68,9 +68,9 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _related(spark: SparkSession, sf_dir: str) -> DataFrame:
-    node = code_node("source_code")
+    rows, node = table(spark, sf_dir, "strategies"), code_node("source_code")  # the package is sent before a function is made
     keys = F.concat(person_keys(), F.when(node.isNull(), F.array().cast("array<string>")).otherwise(F.array(node)))
-    return table(spark, sf_dir, "strategies").select("row_id", "author", "crawl_page", keys.alias("keys"))
+    return rows.select("row_id", "author", "crawl_page", keys.alias("keys"))
 
 
 PARTS = {"train": 0.8, "validation": 0.1, "test": 0.1}

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.components import components
 from corpusloom.llm.reduce import keep_ids
-from corpusloom.session import cut, partitions_for, shared_dir, stored
+from corpusloom.session import cut, exists, partitions_for, shared_dir, stored
 
 QUARANTINE = "quarantine"
 #: Tables of a batch. Of parts the row in which ``root`` is ``top`` is a component's head and has its split and size.
@@ -50,14 +50,14 @@ class ComponentTable:
     """The table of components in a folder, one of its own in the shared folder if none is given."""
 
     def __init__(self, spark: SparkSession, path: str | None = None) -> None:
-        self.spark, self.path = spark, path or f"{shared_dir(spark)}/components-{uuid.uuid4().hex}"
-
-    def _commits(self) -> DataFrame:
-        self.spark.createDataFrame([], "batch long").write.mode("append").parquet(f"{self.path}/commits")  # so that there is a table
-        return self.spark.read.schema("batch long").parquet(f"{self.path}/commits")
+        self.spark, self.path, self._batches = spark, path or f"{shared_dir(spark)}/components-{uuid.uuid4().hex}", 0 if path is None else None
 
     def batches(self) -> int:
-        return self._commits().agg(F.max("batch")).first()[0] or 0
+        """The number of batches, read once: a table has one writer."""
+        if self._batches is None:
+            there = exists(self.spark, f"{self.path}/commits")
+            self._batches = (self.spark.read.schema("batch long").parquet(f"{self.path}/commits").agg(F.max("batch")).first()[0] or 0) if there else 0
+        return self._batches
 
     def add(self, batch: Batch) -> None:
         """Each table of the batch in a folder of its own, then the commit. A try that failed before is overwritten."""
@@ -65,6 +65,7 @@ class ComponentTable:
         for name in SCHEMAS:
             getattr(batch, name).write.mode("overwrite").parquet(f"{self.path}/{name}/batch={number}")
         self.spark.createDataFrame([(number,)], "batch long").coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
+        self._batches = number
 
     def _log(self, name: str) -> DataFrame:
         done = self.batches()
@@ -193,7 +194,7 @@ def assign_splits(df: DataFrame, record: str, keys: str, proportions: dict[str,
         return {r["split"]: r["n"] for r in d.where("split is not null").groupBy("split").agg(F.sum("n").alias("n")).collect()}
 
     held = dict.fromkeys(proportions, 0)
-    for sign, d in ((1, comps), (1, table.alone())) if first else ((1, comps), (1, table.alone()), (1, parts.where("root = top")), (-1, heads)):
+    for sign, d in () if first else ((1, comps), (1, table.alone()), (1, parts.where("root = top")), (-1, heads)):
         for s, n in by_split(d).items():
             held[s] = held.get(s, 0) + sign * n
     new, single = comps.where("split is null"), rows.where(F.size("keys") <= 0)
