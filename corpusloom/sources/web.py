@@ -23,8 +23,16 @@ def page_urls(spark: SparkSession, base: str, first: int, last: int, style: str
     return pages.select("page", F.when(F.col("page") == 1, F.lit(base)).otherwise(part).alias("url"))
 
 
+def argument_errors(first: int, pages: int, per_page: int | None = None) -> list[str]:
+    """What is wrong with the arguments of a crawl; nothing if they can be used."""
+    checks = (("first", first), ("pages", pages), ("per_page", 1 if per_page is None else per_page))
+    return [f"{name} must be greater than 0, is {value}" for name, value in checks if value <= 0]
+
+
 def listing_plan(spark: SparkSession, listings: list[tuple[str, int]], first: int, pages: int, style: str = "dash") -> DataFrame:
     """(listing, page, url): the pages of several listings, each with a limit of its own (editor's picks have one page)."""
+    if errors := argument_errors(first, pages):
+        raise ValueError("; ".join(errors))
     out = None
     for base, most in listings:
         one = page_urls(spark, base, first, first + min(pages, most) - 1, style).select(F.lit(base).alias("listing"), "page", "url")
@@ -33,6 +41,9 @@ def listing_plan(spark: SparkSession, listings: list[tuple[str, int]], first: in
 
 
 def capped_per_page(df: DataFrame, page: str, position: str, most: int) -> DataFrame:
+    """The first rows of each page; a cap below 1 is an error."""
+    if errors := argument_errors(1, 1, most):
+        raise ValueError("; ".join(errors))
     w = Window.partitionBy(page).orderBy(position)
     return df.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= most).drop("__n")
 

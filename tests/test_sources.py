@@ -44,6 +44,11 @@ def test_pages(spark, tmp_path):
     assert [u["url"] for u in urls] == ["https://x.example/scripts/?q=1", "https://x.example/scripts/page-2/?q=1", "https://x.example/scripts/page-3/?q=1"]
     pages = spark.createDataFrame([(1, ["a"]), (2, []), (3, ["b"])], "page int, found array<string>")
     assert [r["page"] for r in web.until_empty(pages, "page", "found").collect()] == [1]
+    assert web.argument_errors(1, 2) == [] and len(web.argument_errors(0, -1, 0)) == 3
+    with pytest.raises(ValueError):
+        web.listing_plan(spark, [("https://x.example/", 1)], 1, 0)
+    with pytest.raises(ValueError):
+        web.capped_per_page(pages, "page", "page", 0)
     tries = []
 
     def fetch(url):
