@@ -32,6 +32,8 @@ from corpusloom.session import cut, partitions_for, stored
 SYMBOLS = 5
 #: Keys shuffled to one task; classes of a key up to which its pairs are made where the key is; classes of one key in a block.
 KEYS_A_TASK, FEW, BLOCK = 1_000_000, 32, 1_000
+#: Classes that are looked at for keys that very many have, and the share of them that makes a key hot.
+SEEN, HOT = 5_000, 0.005
 _FEATURES = "tid long, field int, held boolean, c1 long, c2 long, n int, low binary, high binary"
 
 
@@ -161,13 +163,34 @@ def text_classes(src: DataFrame, n: int, *, k: int, min_words: int, symbols: int
 def variants(reps: DataFrame, segments: int) -> DataFrame:
     """(key, cls, under, size, before): the keys that at least two classes have, the number of classes that have each and, for
     keys of at most ``FEW`` classes, the smaller of them. ``under`` is the symbol under the wildcard, -1 for the first variant.
-    One shuffle of all keys, in partitions of a bounded number; what follows only sees the keys that are shared."""
-    parts = partitions_for(reps.sparkSession, reps.count() * segments * SYMBOLS, KEYS_A_TASK)
-    packed = reps.mapInPandas(_variant_keys(segments), "packed long, cls long").repartition(parts, F.shiftright("packed", 16))
-    keys = packed.select(F.shiftright("packed", 16).alias("key"), "cls", F.expr("if(packed & 65536 = 0, cast(packed & 65535 as int), -1)").alias("under"))
+    One shuffle of all keys, in partitions of a bounded number, except for hot keys, whose classes stay where they are; what
+    follows only sees the keys that are shared."""
+    classes = reps.count()
+    hot = _hot_keys(reps, classes, segments)
+    key = F.shiftright("packed", 16)
+    packed = reps.mapInPandas(_variant_keys(segments), "packed long, cls long")
+    cold = packed if hot is None else packed.join(F.broadcast(hot), key == F.col("hot"), "left_anti")
+    shape = (key.alias("key"), F.col("cls"), F.expr("if(packed & 65536 = 0, cast(packed & 65535 as int), -1)").alias("under"))
+    keys = cold.repartition(partitions_for(reps.sparkSession, classes * segments * SYMBOLS, KEYS_A_TASK), key).select(*shape)
     shared = keys.withColumn("size", F.count("*").over(Window.partitionBy("key"))).where("size > 1")
     before = F.collect_list(F.struct("cls", "under")).over(Window.partitionBy("key").orderBy("cls").rowsBetween(-FEW, -1))
-    return stored(shared.withColumn("before", F.when(F.col("size") <= FEW, before)), "variants")
+    shared = shared.withColumn("before", F.when(F.col("size") <= FEW, before))
+    if hot is not None:
+        rows = stored(packed.join(F.broadcast(hot), key == F.col("hot"), "left_semi").select(*shape), "hot-variants")
+        sizes = rows.groupBy("key").agg(F.count("*").alias("size"))  # a row for each hot key
+        shared = shared.unionByName(rows.join(F.broadcast(sizes), "key").select("key", "cls", "under", "size", F.lit(None).cast(shared.schema["before"].dataType).alias("before")))
+    return stored(shared, "variants")
+
+
+def _hot_keys(reps: DataFrame, classes: int, segments: int) -> DataFrame | None:
+    """(hot): the keys of more than a ``HOT`` share of some ``SEEN`` classes, null without any. Their classes aren't brought to one
+    task; there are at most keys a class / ``HOT`` of them. Whether a key is found here changes the way of its classes only."""
+    every = max(1, classes // SEEN)
+    some = reps.where(F.pmod(F.xxhash64("cls"), F.lit(every)) == 0)
+    least = max(FEW + 1, math.ceil(HOT * classes / every))
+    keys = some.mapInPandas(_variant_keys(segments), "packed long, cls long").groupBy(F.shiftright("packed", 16).alias("hot")).count().where(F.col("count") >= least)
+    keys = stored(keys.select("hot"), "hot-keys")
+    return None if keys.isEmpty() else keys
 
 
 def _differ(x: str, y: str) -> str:

@@ -90,13 +90,14 @@ def test_segments_follow_the_threshold():
     assert segments_for(0.6) == 16 and segments_for(0.8) < segments_for(0.7) < segments_for(0.6) and segments_for(1.0) == 1
 
 
-@pytest.mark.parametrize("few, block", [(2, 3), (2, 1000), (100, 1000)])
-def test_large_keys_give_the_same_pairs_and_groups(spark, monkeypatch, few, block):
+@pytest.mark.parametrize("few, block, seen", [(2, 3, 20), (2, 1000, 1), (100, 1000, 5000)])
+def test_large_keys_give_the_same_pairs_and_groups(spark, monkeypatch, few, block, seen):
     rnd = random.Random(9)
     base = [f"w{i}" for i in range(60)]
     rows = [(i, " ".join(w if rnd.random() > 0.03 else f"x{rnd.randrange(99)}" for w in base), None, None, "", 1, "") for i in range(40)]
     monkeypatch.setattr(neardup, "FEW", few)
     monkeypatch.setattr(neardup, "BLOCK", block)
+    monkeypatch.setattr(neardup, "SEEN", seen)
     df = spark.createDataFrame(rows, SCHEMA)
     want = brute(rows, 3, 0.6, 30)
     assert {tuple(r) for r in near_duplicate_pairs(df, "row_id", ["a"], k=3, threshold=0.6, min_words=30).collect()} == want and len(want) > 300
