@@ -73,6 +73,21 @@ OUTLINE_TARGET = (
     "\n" + "=" * 60 + "\nTARGET STRATEGY\n" + "=" * 60 + "\n\nGenerate complete Pine Script v5 code for this strategy:\n\nDescription: ",
     "\n\nRequirements:\n1. Use //@version=5\n2. Include strategy() declaration\n3. Add input parameters\n4. Implement core strategy logic\n5. Add entry/exit conditions\n6. Include risk management\n7. Add plotting/visualization\n8. Follow the patterns shown in examples above\n\nPine Script Code:",
 )
+PLAIN_HEAD = "You are an expert in generating TradingView Pine Script code for trading strategies. \nBased on the description provided, generate complete and functional Pine Script code.\n\nHere are some examples of descriptions and their corresponding Pine Script code:\n\n"
+PLAIN_TARGET = ("\n\n\nNow, based on the following description, generate the corresponding TradingView Pine Script code:\n\nDescription: ", "\n\nGenerated TradingView Pine Script Code:")
+PLAIN_ZERO_SHOT = (
+    "You are an expert in generating TradingView Pine Script code for trading strategies.\nBased on the description provided, generate complete and functional Pine Script code.\n\nDescription: ",
+    "\n\nPlease generate a complete TradingView Pine Script code that implements the described strategy. \nThe code should be functional and follow Pine Script v5 syntax.\n\nGenerated TradingView Pine Script Code:",
+)
+PATTERN_HEAD = (
+    "You are an expert Pine Script developer specializing in advanced trading strategies. Your task is to generate high-quality, functional Pine Script code based on strategy descriptions.\n\nKey requirements:\n- Use Pine Script v5 syntax\n- Include proper input parameters \n"
+    "- Implement robust entry/exit logic\n- Add appropriate risk management\n- Include visualization elements\n- Follow Pine Script best practices\n\nHere are examples of high-quality strategy implementations:\n\n"
+)
+PATTERN_TARGET = (
+    "Now, based on the patterns shown above, generate a complete Pine Script strategy for:\n\nDescription: ",
+    "\n\nRequirements:\n1. Start with //@version=5\n2. Include strategy() declaration with appropriate parameters\n3. Add input parameters for key strategy settings\n4. Implement the core strategy logic based on the description\n5. Add proper entry and exit conditions\n"
+    "6. Include risk management (stop loss, take profit)\n7. Add visualization elements (plots, shapes, etc.)\n8. Follow the coding patterns shown in the examples above\n\nGenerate the complete Pine Script code:",
+)
 MINIMAL = ("Generate a Pine Script trading strategy based on this description:\n\n", "\n\nPlease provide complete Pine Script v5 code.")
 
 
@@ -97,17 +112,45 @@ def outlined_example(rank: Column | str, name: Column | str, likes: Column | str
     )
 
 
-def few_shot(examples: DataFrame, rank: str, n: int, shown: Column) -> str:
+def whole_example(description: Column | str, code: Column | str) -> Column:
+    """An example with all of its text."""
+    return F.concat(F.lit("\nDescription: "), _text(description), F.lit("\n\nGenerated TradingView Pine Script Code:\n"), _text(code), F.lit("\n"))
+
+
+def pattern_example(rank: Column | str, name: Column | str, description: Column | str, code: Column | str) -> Column:
+    """An example of which the patterns are shown: version, the declaration up to its first bracket, inputs and entries."""
+    each = lines(_text(code))
+    version = F.get(F.filter(each, lambda x: F.startswith(x, F.lit("//@version="))), F.lit(0))
+    declared = F.regexp_extract(_text(code), r"strategy\([^)]*\)", 0)
+
+    def some(term: str, k: int, head: str) -> Column:
+        picked = F.transform(F.slice(F.filter(each, lambda x: F.contains(x, F.lit(term))), 1, k), lambda x: F.concat(F.lit("  "), trimmed(x), F.lit("\n")))
+        return F.when(F.size(picked) > 0, F.concat(F.lit(head), F.array_join(picked, ""))).otherwise(F.lit(""))
+
+    return F.concat(
+        F.lit("=== EXAMPLE "), _c(rank).cast("string"), F.lit(" ===\nStrategy: "), F.coalesce(_c(name), F.lit("Unknown")), F.lit("\nDescription: "), F.left(_text(description), F.lit(300)), F.lit("...\n\n"), F.coalesce(F.concat(F.lit("Version: "), version, F.lit("\n")), F.lit("")),
+        F.when(_text(code).contains("strategy("), F.concat(F.lit("Strategy Declaration: "), F.when(F.length(declared) > 100, F.concat(F.left(declared, F.lit(100)), F.lit("..."))).otherwise(declared), F.lit("\n"))).otherwise(F.lit("")),
+        some("input.", 3, "Input Examples:\n"), some("strategy.entry", 2, "Entry Logic Examples:\n"), F.lit("\n" + "=" * 50 + "\n\n"),
+    )
+
+
+def few_shot(examples: DataFrame, rank: str, n: int, shown: Column, by: str = "") -> str:
     """The first ``n`` examples by rank as one text, in order. They are few by meaning; the same text goes into every prompt."""
-    return "".join(r["text"] for r in examples.where(F.col(rank) <= n).select(rank, shown.alias("text")).orderBy(rank).limit(n).collect())
+    return by.join(r["text"] for r in examples.where(F.col(rank) <= n).select(rank, shown.alias("text")).orderBy(rank).limit(n).collect())
+
+
+#: Style -> what stands before examples, and around the target after them; around the target without any.
+EXAMPLE_STYLES = {"plain": (EXAMPLES_HEAD, TARGET), "whole": (PLAIN_HEAD, PLAIN_TARGET), "patterns": (PATTERN_HEAD, PATTERN_TARGET)}
+ZERO_SHOT_STYLES = {"plain": ZERO_SHOT, "whole": PLAIN_ZERO_SHOT, "patterns": MINIMAL, "minimal": MINIMAL}
 
 
 def generation_prompt(target: Column | str, examples: str | None = None, style: str = "plain", n: int = 0) -> Column:
-    """What a model is asked to write code for: after examples (``plain`` or ``outlined``), or without any (``plain`` or ``minimal``)."""
+    """What a model is asked to write code for: after examples (``plain``, ``outlined``, ``whole`` or ``patterns``; see the functions for
+    an example of each), or without any (``plain``, ``whole`` or ``minimal``)."""
     if examples is None:
-        before, after = MINIMAL if style == "minimal" else ZERO_SHOT
+        before, after = ZERO_SHOT_STYLES[style]
         return F.concat(F.lit(before), _text(target), F.lit(after))
-    head, (before, after) = (f"{OUTLINE_HEAD[0]}{n}{OUTLINE_HEAD[1]}", OUTLINE_TARGET) if style == "outlined" else (EXAMPLES_HEAD, TARGET)
+    head, (before, after) = (f"{OUTLINE_HEAD[0]}{n}{OUTLINE_HEAD[1]}", OUTLINE_TARGET) if style == "outlined" else EXAMPLE_STYLES[style]
     return F.concat(F.lit(head + examples + before), _text(target), F.lit(after))
 
 

@@ -417,3 +417,21 @@ def test_quantiles_over_many_ranges(spark):
     for by in ([], ["g"]):
         few, many = (aggregate._ranked(rows, "v", by, n).orderBy(*by, "v").collect() for n in (10**6, 20))
         assert few == many and len(few) > 400
+
+
+def test_examples_of_each_style(spark):
+    code = "//@version=5\nstrategy('x',\n y)\nn = input.int(3)\n  strategy.entry('L')"
+    rows = spark.createDataFrame([(1, "A", "first", code), (2, None, "second", "plot(x)"), (3, "C", "third", code)], "rank int, name string, d string, c string")
+    whole = prompts.few_shot(rows, "rank", 2, prompts.whole_example("d", "c"), "\n\n")
+    assert whole == f"\nDescription: first\n\nGenerated TradingView Pine Script Code:\n{code}\n\n\n\nDescription: second\n\nGenerated TradingView Pine Script Code:\nplot(x)\n"
+    shown = prompts.few_shot(rows, "rank", 2, prompts.pattern_example("rank", "name", "d", "c"))
+    bar = "\n" + "=" * 50 + "\n\n"
+    assert shown == (
+        "=== EXAMPLE 1 ===\nStrategy: A\nDescription: first...\n\nVersion: //@version=5\nStrategy Declaration: strategy('x',\n y)\nInput Examples:\n  n = input.int(3)\nEntry Logic Examples:\n  strategy.entry('L')\n" + bar
+        + "=== EXAMPLE 2 ===\nStrategy: Unknown\nDescription: second...\n\n" + bar
+    )
+    for style, examples in (("plain", None), ("whole", None), ("minimal", None), ("plain", "E"), ("whole", "E"), ("patterns", "E"), ("outlined", "E")):
+        text_ = one(spark, "the target", lambda c: prompts.generation_prompt(c, examples, style, 3))
+        assert "the target" in text_ and (examples is None or "E" in text_) and text_.rstrip().endswith((":", "."))
+    with pytest.raises(KeyError):
+        prompts.generation_prompt("c", None, "other")
